@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratalog.config import DOMAIN_KEYWORDS, EvalConfig, SkewConfig, WellConfig
 from stratalog.functions.times import micros
-from stratalog.operators.skew import lag, last_known, mark_blocks, position, running_min, scan
+from stratalog.operators.skew import lag, last_known, mark_blocks, position, running_min, scan_marked
 
 
 def perplexity(df: DataFrame, loss: str = "loss", by: list[str] | None = None) -> DataFrame:
@@ -57,11 +57,11 @@ def early_stop(
     """First step per run with ``patience`` evaluations in a row without a new best, else null."""
     evals = log.where("eval_loss is not null").select("run", "step", "eval_loss")
     evals = mark_blocks(evals, ["run"], "step", skew)
-    best = scan(evals, ["run"], ["step"], skew, best=running_min(F.col("eval_loss")), n=position())
-    prior = scan(best, ["run"], ["step"], skew, prior=lag(F.col("best")))
+    best = scan_marked(evals, ["run"], ["step"], best=running_min(F.col("eval_loss")), n=position())
+    prior = scan_marked(best, ["run"], ["step"], prior=lag(F.col("best")))
     improved = F.col("prior").isNull() | (F.col("eval_loss") < F.col("prior"))
-    waits = scan(
-        prior, ["run"], ["step"], skew, since=last_known(F.when(improved, F.col("n")))
+    waits = scan_marked(
+        prior, ["run"], ["step"], since=last_known(F.when(improved, F.col("n")))
     ).withColumn("waited", F.col("n") - F.col("since"))
     return waits.groupBy("run").agg(
         F.count(F.lit(1)).alias("n_evals"),

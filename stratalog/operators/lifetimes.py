@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalog.config import SkewConfig
 from stratalog.functions.times import micros
-from stratalog.operators.skew import BLOCK, last_known, mark_blocks, scan
+from stratalog.operators.skew import last_known, scan, scan_marked
 from stratalog.session import shared_root
 
 SMALL_KEY = 20_000
@@ -96,10 +96,12 @@ def with_lifetime(
     time: str,
     starts: DataFrame,
     name: str = "started_at",
-    skew: SkewConfig = SkewConfig(),
     order: list[str] | None = None,
 ) -> DataFrame:
-    """Add the start of the period each row lies in, or null before the first one."""
+    """Add the start of the period each row lies in, or null before the first one.
+
+    ``df`` has been through ``mark_blocks`` on the same keys and order.
+    """
     order = order or [time]
     flagged = (
         df.withColumn("_t", micros(time))
@@ -111,7 +113,5 @@ def with_lifetime(
         .drop("_t")
     )
     # rows of one time share its start, whichever comes first among them
-    marked = flagged if BLOCK in df.columns else mark_blocks(flagged, keys, order[0], skew)
-    out = scan(marked, keys, order, skew, **{"_l": last_known(F.col("_s"))})
-    out = out.withColumn(name, F.timestamp_micros("_l")).drop("_s", "_l")
-    return out if BLOCK in df.columns else out.drop(BLOCK)
+    out = scan_marked(flagged, keys, order, **{"_l": last_known(F.col("_s"))})
+    return out.withColumn(name, F.timestamp_micros("_l")).drop("_s", "_l")

@@ -15,7 +15,10 @@ def train(
     df: DataFrame, features: list[str], label: str = "label", trees: int = 20, depth: int = 6,
     seed: int = 42,
 ) -> PipelineModel:
-    """Trees grow from statistics merged over executors; no data reaches the driver."""
+    """Trees grow from statistics merged over executors; no data reaches the driver.
+
+    A null curve value is kept as NaN, which the trees send down one side of a split.
+    """
     assemble = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed

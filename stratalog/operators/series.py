@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratalog.config import SeriesConfig, SkewConfig
 from stratalog.functions.times import micros
 from stratalog.operators.lifetimes import lifetime_starts
-from stratalog.operators.skew import last_known, mark_blocks, scan
+from stratalog.operators.skew import last_known, mark_blocks, scan_marked
 
 
 def latest(df: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def served(
         F.col("_hit") & F.col("ok"),
         F.struct(F.col("fetched_at").alias("at"), F.col("value").alias("value")),
     )
-    seen = scan(hit, keys, order, skew, _now=last_known(held))
+    seen = scan_marked(hit, keys, order, _now=last_known(held))
     age = micros("fetched_at") - micros("_now.at")
     state = (
         F.when(F.col("_now").isNull(), "failed")

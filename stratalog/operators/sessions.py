@@ -11,7 +11,7 @@ from stratalog.functions.audit_rules import has_text
 from stratalog.functions.text import estimate_tokens, fill, strip
 from stratalog.functions.times import micros
 from stratalog.operators.lifetimes import lifetime_starts, with_lifetime
-from stratalog.operators.skew import last_known, mark_blocks, scan, tail
+from stratalog.operators.skew import BLOCK, last_known, mark_blocks, scan, scan_marked, tail
 
 CONTEXT = ("well_name", "summary", "n_zones", "dominant_lithology", "mean_confidence")
 
@@ -54,10 +54,8 @@ def with_context(
     starts = lifetime_starts(events, ["session_id"], "ts", cfg.ttl_seconds, skew)
     base = events.withColumn("_p", held).drop(*fields)
     marked = mark_blocks(base, ["session_id"], order[0], skew)
-    placed = with_lifetime(
-        marked, ["session_id"], "ts", starts, "created_at", skew, order
-    )
-    seen = scan(placed, ["session_id"], order, skew, _ctx=last_known(F.col("_p")))
+    placed = with_lifetime(marked, ["session_id"], "ts", starts, "created_at", order)
+    seen = scan_marked(placed, ["session_id"], order, _ctx=last_known(F.col("_p")))
     current = F.col("_ctx.at") >= micros("created_at")
     return seen.select(
         *[c for c in events.columns if c not in fields],
@@ -80,7 +78,8 @@ def attached(
     order = order or ["ts"]
     fields = [c for c in CONTEXT if c in events.columns]
     starts = lifetime_starts(events, ["session_id"], "ts", cfg.ttl_seconds, skew)
-    placed = with_lifetime(events, ["session_id"], "ts", starts, "created_at", skew, order)
+    marked = mark_blocks(events, ["session_id"], order[0], skew)
+    placed = with_lifetime(marked, ["session_id"], "ts", starts, "created_at", order).drop(BLOCK)
     at = F.when(F.col("kind") == "prediction", F.struct(*order))
     return placed.groupBy("session_id", "created_at").agg(
         F.count_if(F.col("kind") == "prediction").alias("n_predictions"),

@@ -1,9 +1,9 @@
 """Ordered per-key computations that do not depend on how rows are spread over keys.
 
-A window over one key runs in one task. Where a key may hold a large part of the data, its rows are
-cut into blocks of consecutive order values; the window runs inside ``(key, block)`` and the state
-entering each block is carried in from a summary with one row per hot block. Keys that are not hot
-form a single block and pay only for the count that finds the hot ones.
+A window over one key runs in one task. So keys are counted first; only if some hold a large part of
+the rows are those cut into blocks of consecutive order values. The window then runs inside
+``(key, block)`` and the state entering each block is carried in from a summary with one row per hot
+block. Without hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from stratalog.config import SkewConfig
+from stratalog.session import shared_root
 
 BLOCK = "_block"
 
@@ -21,20 +22,27 @@ BLOCK = "_block"
 def mark_blocks(
     df: DataFrame, keys: list[str], order: str, cfg: SkewConfig = SkewConfig()
 ) -> DataFrame:
-    """Add ``_block``: -1 for ordinary keys, 0.. for consecutive parts of hot keys.
+    """The frame as it is if no key is hot, else with ``_block``: -1 for ordinary keys, 0.. for
+    consecutive parts of hot ones.
 
-    Fewer than ``1 / cfg.share`` keys can exceed ``cfg.share`` of all rows, so the broadcast list of
-    hot keys and their split points has a size bound that does not grow with the data.
+    The question is answered by one pre-aggregated count over the key columns. Fewer than
+    ``1 / cfg.share`` keys can exceed ``cfg.share`` of all rows, so the broadcast list of hot keys
+    and split points has a size bound that does not grow with the data. The split points come from
+    a sketch, so they are checkpointed: every use of a block sees the same ones.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     limit = counts.select(F.greatest(F.lit(float(cfg.min_rows)), F.sum("_n") * cfg.share)).scalar()
     hot = counts.where(F.col("_n") > limit).select(*keys)
+    if hot.isEmpty():
+        return df
+    shared_root(df.sparkSession)
     quantiles = [i / cfg.blocks for i in range(1, cfg.blocks)]
     splits = (
         df.select(*keys, order)
         .join(F.broadcast(hot), keys, "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx(order, quantiles, cfg.accuracy).alias("_splits"))
+        .checkpoint()
     )
     below = F.aggregate(
         "_splits", F.lit(0), lambda n, s: n + F.when(s <= F.col(order), 1).otherwise(0)
@@ -146,28 +154,36 @@ def scan(
 ) -> DataFrame:
     """Add running columns over ``keys`` in the order of ``order``, hot keys cut into blocks.
 
-    The first order column must be numeric or temporal; it places the cuts. A frame that already has
-    ``_block`` (from :func:`mark_blocks` on the same keys) is used as it is, so several scans share
-    one count.
+    The first order column must be numeric or temporal; it places the cuts.
     """
-    given = BLOCK in df.columns
-    blocked = df if given else mark_blocks(df, keys, order[0], cfg)
+    marked = mark_blocks(df, keys, order[0], cfg)
+    return scan_marked(marked, keys, order, **columns).drop(BLOCK)
+
+
+def scan_marked(df: DataFrame, keys: list[str], order: list[str], **columns: Scan) -> DataFrame:
+    """Like :func:`scan` for a frame that :func:`mark_blocks` has already looked at.
+
+    Several scans in a row share one count, and one shuffle.
+    """
+    if BLOCK not in df.columns:
+        w = W.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[_local(s, w).alias(n) for n, s in columns.items()])
+
     part = W.partitionBy(*keys, BLOCK)
     w = part.orderBy(*order)
     at = F.struct(*order)
-
-    local = blocked.select(
+    local = df.select(
         "*",
         F.row_number().over(w).alias("_pos"),
         *[_local(s, w).alias(f"_l_{n}") for n, s in columns.items()],
     )
 
-    hot = blocked.where(F.col(BLOCK) >= 0)
+    hot = df.where(F.col(BLOCK) >= 0)
     plain = {n: s for n, s in columns.items() if s.kind != "tail"}
     tails = {n: s for n, s in columns.items() if s.kind == "tail"}
     across = W.partitionBy(*keys).orderBy(BLOCK)
     summary = hot.groupBy(*keys, BLOCK).agg(
-        F.count(F.lit(1)).alias("_n"), *[_summary(s, at).alias(n) for n, s in plain.items()]
+        F.count(F.lit(1)).alias("_rows"), *[_summary(s, at).alias(n) for n, s in plain.items()]
     )
     if tails:
         deepest = max(s.size for s in tails.values())
@@ -184,14 +200,13 @@ def scan(
     )
     joined = local.join(F.broadcast(carries), [*keys, BLOCK], "left")
     first = F.col("_pos") == 1
-    merged = joined.select(
+    return joined.select(
         *df.columns,
         *[
             _merge(s, F.col(f"_l_{n}"), F.col(f"_c_{n}"), first).alias(n)
             for n, s in columns.items()
         ],
     )
-    return merged
 
 
 def top_per_group(

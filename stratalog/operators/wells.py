@@ -13,7 +13,7 @@ from stratalog.config import (
     SkewConfig,
     WellConfig,
 )
-from stratalog.operators.skew import lag, mark_blocks, position, running_sum, scan, top_per_group
+from stratalog.operators.skew import lag, mark_blocks, position, running_sum, scan, scan_marked, top_per_group
 
 _NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.DecimalType)
 
@@ -169,10 +169,11 @@ def zones(
     """
     order = ["depth", *(tie or [])]
     marked = mark_blocks(samples, ["well"], "depth", skew)
-    seen = scan(marked, ["well"], order, skew, _prev=lag(F.col("lithology")))
+    seen = scan_marked(marked, ["well"], order, _prev=lag(F.col("lithology")))
     starts = (~F.col("_prev").eqNullSafe(F.col("lithology"))).cast("bigint")
-    runs = scan(seen.withColumn("_start", starts), ["well"], order, skew,
-                run=running_sum(F.col("_start")))
+    runs = scan_marked(
+        seen.withColumn("_start", starts), ["well"], order, run=running_sum(F.col("_start"))
+    )
     none = F.lit(None)
     own = F.struct(
         F.col("run"), "depth", "lithology", F.col("lithology_code").alias("code"),
