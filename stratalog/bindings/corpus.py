@@ -24,6 +24,7 @@ CLEAN = CleanConfig(
     drop_prefixes=("src18", "src19"),
     instruction_pattern=P_INSTRUCTION,
     broken_pattern=P_BROKEN,
+    broken_hint=" that",
     placeholder_pattern=P_PLACEHOLDER,
 )
 
@@ -701,3 +702,48 @@ def word_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """Another counter in the place of the estimate."""
     t = table(spark, sf, "conversations")
     return t.select("conv_id", "turn", count_words(F.col("text")).alias("tokens"))
+
+
+# --- the whole build ------------------------------------------------------------------------
+
+
+@query(
+    "corpus_build",
+    f"""WITH {SQL_ROWS}, {SQL_CHATS}, c AS (
+      SELECT min(row_id) AS row_id, instruction, input, output FROM (
+        SELECT row_id, instruction, coalesce(input, '') AS input, {sql_clean('output')} AS output,
+          {_SQL_REASON} AS reason FROM rows_) WHERE reason IS NULL GROUP BY 2, 3, 4),
+    i AS (SELECT 0 AS rank, row_id AS row, 'documents' AS source, output AS answer,
+        instruction || CASE WHEN input <> '' THEN chr(10) || chr(10) || input ELSE '' END AS asked
+      FROM c),
+    all_ AS (
+      SELECT rank, row, source, sha256(asked || '###' || answer) AS key, answer,
+        '<|im_start|>system' || chr(10) || '{SYSTEM_PROMPT}' || '<|im_end|>' || chr(10) ||
+        '<|im_start|>user' || chr(10) || asked || '<|im_end|>' || chr(10) ||
+        '<|im_start|>assistant' || chr(10) || answer || '<|im_end|>' || chr(10) AS rendered FROM i
+      UNION ALL SELECT 1, conv_id, source, key, last_text, rendered FROM checked WHERE error IS NULL),
+    u AS (SELECT DISTINCT ON (key) * FROM all_ WHERE length(answer) >= 10 ORDER BY key, rank, row),
+    s AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY sha256(key || '|42'), key) <=
+        greatest(1, floor((SELECT count(*) FROM u) * 0.03)) THEN 'val' ELSE 'train' END AS split,
+        length(rendered) // 4 AS n_tokens FROM u)
+    SELECT split, source, CAST(sum(CASE WHEN split = 'train' AND source = 'file0' THEN 5 ELSE 1 END)
+      AS BIGINT) AS n, CAST(sum(n_tokens * CASE WHEN split = 'train' AND source = 'file0' THEN 5 ELSE 1
+      END) AS BIGINT) AS n_tokens FROM s WHERE n_tokens <= 512 GROUP BY split, source""",
+)
+def corpus_build(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and conversations through every stage; rows and tokens per split and source."""
+    from stratalog.plans import corpus as plan
+
+    pool = plan.instruction_examples(instruction_rows(spark, sf), "documents", CLEAN).unionByName(
+        examples(spark, sf).select(
+            F.lit(1).alias("rank"), F.lit(0).cast("bigint").alias("block"),
+            F.col("conv_id").alias("row"), "source", "messages",
+        )
+    )
+    built = plan.build(pool, factors(spark), MixConfig(), TokenConfig(max_tokens=512))
+    both = built.train.select("split", "source", "total_tokens").unionByName(
+        built.val.select("split", "source", "total_tokens")
+    )
+    return both.groupBy("split", "source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_tokens").alias("n_tokens")
+    )

@@ -6,12 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stratalog.config import AuditConfig
-from stratalog.functions.text import matches
+from stratalog.functions.text import folded, matches, once
 
 
 def _found(answer: Column, rules: list[tuple[str, str]]) -> Column:
-    hits = [F.when(matches(answer, pattern), F.lit(name)) for name, pattern in rules]
-    return F.array_compact(F.array(*hits)).cast("array<string>")
+    """Names whose pattern matches; a pattern only runs where its name occurs at all."""
+    def hits(text: Column) -> Column:
+        return F.array(*[
+            F.when(text.contains(name.lower()) & answer.rlike(f"(?iuU){pattern}"), F.lit(name))
+            for name, pattern in rules
+        ])
+
+    found = once(F.coalesce(folded(answer), F.lit("")), hits)
+    return F.array_compact(found).cast("array<string>")
 
 
 def false_absences(answer: Column, cfg: AuditConfig = AuditConfig()) -> Column:
@@ -48,8 +55,9 @@ def formula_request(question: Column, cfg: AuditConfig = AuditConfig()) -> Colum
 def confidence_values(answer: Column, cfg: AuditConfig = AuditConfig()) -> Column:
     """Every confidence figure on the scale 0 to 1, in order; threshold phrases do not count."""
     pattern = f"(?iuU){cfg.confidence}"
+    text = F.coalesce(answer, F.lit(""))
     claims = F.filter(
-        F.regexp_extract_all(F.coalesce(answer, F.lit("")), F.lit(pattern), F.lit(0)),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda m: ~m.rlike(f"(?iuU){cfg.threshold}"),
     )
 
@@ -73,11 +81,11 @@ def summary_numbers(summary: Column, cfg: AuditConfig = AuditConfig()) -> Column
 
 
 def mismatched_confidence(
-    answer: Column, summary: Column, cfg: AuditConfig = AuditConfig()
+    claimed: Column, summary: Column, cfg: AuditConfig = AuditConfig()
 ) -> Column:
     """Claims, to two decimals, that the summary does not print: sorted, unique."""
-    claimed = F.transform(confidence_values(answer, cfg), lambda c: F.round(c, 2))
-    missing = F.array_except(claimed, summary_numbers(summary, cfg))
+    rounded = F.transform(claimed, lambda c: F.round(c, 2))
+    missing = F.array_except(rounded, summary_numbers(summary, cfg))
     return F.array_sort(F.transform(missing, lambda c: F.format_string("%.2f", c)))
 
 

@@ -2,37 +2,75 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# white space as a Unicode-aware strip() sees it: (?U)\s plus the four separators it leaves out
-_WS = r"[\s\x1c-\x1f]"
+# fixed values: the characters a Unicode-aware strip() removes
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def strip(text: Column) -> Column:
-    left = F.regexp_replace(text, rf"(?U)\A{_WS}+", "")
-    return F.regexp_replace(left, rf"(?U)(?<!{_WS}){_WS}++\z", "")
+    """Trimming by character set looks at the ends only, unlike a pattern."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)(?<!{_WS}){_WS}++\z", "")
+    return F.rtrim(text, F.lit(WHITE_SPACE))
 
 
 def is_blank(text: Column) -> Column:
     """True for null, empty or white-space-only text."""
-    return ~F.coalesce(text.rlike(r"(?U)[^\s\x1c-\x1f]"), F.lit(False))
+    return F.coalesce(F.ltrim(text, F.lit(WHITE_SPACE)) == "", F.lit(True))
+
 
+def folded(text: Column) -> Column:
+    """Lower case, with the letters that a case-insensitive pattern takes for s, i and k."""
+    return F.lower(F.translate(text, "\u017f\u0131\u0130\u212a", "siik"))
 
-def matches(text: Column, pattern: str) -> Column:
-    """Case-insensitive Unicode search; null text does not match."""
-    return F.coalesce(text.rlike(f"(?iuU){pattern}"), F.lit(False))
+
+def matches(text: Column, pattern: str, hint: str = "") -> Column:
+    """Case-insensitive Unicode search; null text does not match.
+
+    A pattern of plain words is a substring search. ``hint`` is a lower-case text that every match
+    contains: the pattern then only runs where it occurs.
+    """
+    words = pattern.split("|")
+    if all(re.fullmatch(r"[A-Za-z ,]+", w) for w in words):
+        found = once(
+            folded(text), lambda t: reduce(lambda a, b: a | b, [t.contains(w.lower()) for w in words])
+        )
+    else:
+        found = text.rlike(f"(?iuU){pattern}")
+        if hint:
+            found = F.contains(F.lower(text), F.lit(hint)) & found
+    return F.coalesce(found, F.lit(False))
 
 
 def clean(text: Column) -> Column:
     """Null to empty, strip, three or more newlines to two, runs of blanks and tabs to one blank."""
-    out = strip(F.coalesce(text, F.lit("")))
-    out = F.regexp_replace(out, r"\n{3,}", "\n\n")
-    return F.regexp_replace(out, r"[ \t]{2,}", " ")
+    # plain searches decide whether a pattern has anything to do
+    def lines(t: Column) -> Column:
+        return F.when(t.contains("\n\n\n"), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t)
+
+    def gaps(t: Column) -> Column:
+        found = t.contains("  ") | t.contains("\t\t") | t.contains(" \t") | t.contains("\t ")
+        return F.when(found, F.regexp_replace(t, r"[ \t]{2,}", " ")).otherwise(t)
+
+    stripped = strip(F.coalesce(text, F.lit("")))
+    return once(once(stripped, lines), gaps)
 
 
 def estimate_tokens(text: Column) -> Column:

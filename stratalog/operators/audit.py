@@ -32,14 +32,15 @@ def with_fallback(df: DataFrame) -> DataFrame:
 def findings(df: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
     """What each rule finds in ``(question, answer, summary)``."""
     answer, summary = F.col("answer"), F.col("summary")
-    claimed = F.size(R.confidence_values(answer, cfg)) > 0
+    claimed = F.size("claimed") > 0
     shown = R.has_text(summary)
     none = F.array().cast("array<string>")
-    return df.withColumns(
+    return df.withColumn("claimed", R.confidence_values(answer, cfg)).withColumns(
         {
             "no_prediction": claimed & ~shown,
-            "mismatched": F.when(claimed & shown, R.mismatched_confidence(answer, summary, cfg))
-            .otherwise(none),
+            "mismatched": F.when(
+                claimed & shown, R.mismatched_confidence(F.col("claimed"), summary, cfg)
+            ).otherwise(none),
             "absences": F.when(shown, R.false_absences(answer, cfg)).otherwise(none),
             "formula": shown & R.formula_request(F.col("question"), cfg),
         }
@@ -108,7 +109,9 @@ def totals(audited: DataFrame) -> DataFrame:
     """How often each rule fired, from the trace; the values in brackets do not count."""
     rule = F.regexp_replace("step", r" \([^)]*\)$", "")
     return (
-        audited.select(F.explode("trace").alias("step"))
+        # the outer form adds no filter on the trace, which would compute it a second time
+        audited.select(F.explode_outer("trace").alias("step"))
+        .where("step is not null")
         .groupBy(rule.alias("rule"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -44,14 +44,15 @@ def clean_text(df: DataFrame, columns: tuple[str, ...] = TEXT_COLUMNS) -> DataFr
 def length_between(df: DataFrame, column: str, low: int, high: int) -> DataFrame:
     """Whole rows are kept or dropped, text is never cut; ``high`` 0 means no upper limit."""
     size = F.length(column)
-    return df.where((size >= low) & (size <= high) if high else size >= low)
+    # one comparison instead of two: a filter computes its input once per comparison
+    inside = F.abs(size * 2 - (low + high)) <= high - low
+    return df.where(inside if high else size >= low)
 
 
-def drop_reason(cfg: CleanConfig = CleanConfig()) -> Column:
-    """Name of the first rule a raw row fails, or null.
+def raw_reason(cfg: CleanConfig = CleanConfig()) -> Column:
+    """Name of the first rule on raw text that a row fails, or null.
 
-    The rules on raw text come first and the length rules look at the cleaned text; branches are
-    evaluated in this order, so the costly ones only run on rows that got there.
+    Branches are evaluated in this order, so the costly ones only run on rows that got there.
     """
     reason = F.when(~type_allowed(cfg.types), "type").when(
         noisy_category(cfg.drop_prefixes), "category"
@@ -59,12 +60,24 @@ def drop_reason(cfg: CleanConfig = CleanConfig()) -> Column:
     if cfg.instruction_pattern:
         reason = reason.when(matches(F.col("instruction"), cfg.instruction_pattern), "instruction")
     if cfg.broken_pattern:
-        reason = reason.when(matches(F.col("output"), cfg.broken_pattern), "broken")
+        reason = reason.when(matches(F.col("output"), cfg.broken_pattern, cfg.broken_hint), "broken")
     if cfg.placeholder_pattern:
         reason = reason.when(matches(F.col("output"), cfg.placeholder_pattern), "placeholder")
-    size = F.length(clean(F.col("output")))
-    reason = reason.when(size < cfg.min_output, "short")
-    return reason.when(size > cfg.max_output, "long") if cfg.max_output else reason
+    return reason
+
+
+def with_reason(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """Cleaned texts and ``rule``: the first rule a row fails, or null.
+
+    The rules on raw text come first, the length rules look at the cleaned text.
+    """
+    checked = df.withColumn("rule", raw_reason(cfg))
+    cleaned = clean_text(checked)
+    size = F.length("output")
+    wrong_size = F.when(size < cfg.min_output, "short")
+    if cfg.max_output:
+        wrong_size = wrong_size.when(size > cfg.max_output, "long")
+    return cleaned.withColumn("rule", F.coalesce("rule", wrong_size))
 
 
 def row_key(columns: tuple[str, ...] = TEXT_COLUMNS) -> Column:
@@ -107,30 +120,14 @@ def filter_and_clean(
     df: DataFrame, order: list[str], cfg: CleanConfig = CleanConfig()
 ) -> DataFrame:
     """All filters, then cleaning, then first-row-wins deduplication."""
-    kept = df.where(drop_reason(cfg).isNull())
-    return dedup_rows(clean_text(kept), order)
+    kept = clean_text(df.where(raw_reason(cfg).isNull()))
+    return dedup_rows(length_between(kept, "output", cfg.min_output, cfg.max_output), order)
 
 
 def funnel(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """Rows each rule removes and leaves, from one pass: ``(step, rule, removed, remaining)``."""
-    cleaned = df.select(drop_reason(cfg).alias("rule"), *TEXT_COLUMNS)
-    keyed = cleaned.select(
-        "rule",
-        F.when(
-            F.col("rule").isNull(),
-            F.sha2(
-                F.concat(
-                    *[
-                        p
-                        for c in TEXT_COLUMNS
-                        for p in (
-                            F.length(clean(F.col(c))).cast("string"), F.lit(":"), clean(F.col(c)),
-                        )
-                    ]
-                ),
-                256,
-            ),
-        ).alias("key"),
+    keyed = with_reason(df, cfg).select(
+        "rule", F.when(F.col("rule").isNull(), row_key()).alias("key")
     )
     per_key = keyed.groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
     counts = per_key.groupBy("rule").agg(
