@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog.bindings import query, table
-from stratalog.config import DriftConfig, EvalConfig, WellConfig
+from stratalog.config import EvalConfig, WellConfig
 from stratalog.operators import evals, mix, scoring, wells
 
 CURVES = ("GR", "RDEP", "RHOB", "NPHI")
@@ -165,7 +165,7 @@ def _drift(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         }
     )
     train = samples(spark, sf)
-    profile = wells.drift_profile(train, list(CURVES), DriftConfig(accuracy=1_000_000))
+    profile = wells.drift_profile(train, list(CURVES))
     return df, wells.drift_report(df, profile, list(CURVES))
 
 

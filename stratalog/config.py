@@ -213,7 +213,8 @@ class DriftConfig:
     high: float = 0.99
     max_outside: float = 0.25
     refuse_at: int = 3
-    accuracy: int = 1_000_000
+    # rank error 1 in this many rows; also bounds the sketch each task holds
+    accuracy: int = 100_000
 
 
 @dataclass(frozen=True)

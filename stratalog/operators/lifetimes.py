@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalog.config import SkewConfig
 from stratalog.functions.times import micros
-from stratalog.operators.skew import last_known, scan, scan_marked
+from stratalog.operators.skew import last_known, scan
 from stratalog.session import shared_root
 
 SMALL_KEY = 20_000
@@ -77,41 +77,33 @@ def lifetime_starts(
     skew: SkewConfig = SkewConfig(),
     small_key: int = SMALL_KEY,
 ) -> DataFrame:
-    """``(keys, t)`` with the start of every period in microseconds."""
+    """``(keys, t)`` with the start of every period in microseconds.
+
+    A pre-aggregated count tells whether any key is too large to fold; only then is there a second
+    path, and only those keys take it.
+    """
     ttl = ttl_seconds * 1_000_000
-    nodes = df.select(*keys, micros(time).alias("t")).distinct()
-    counts = nodes.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    times = df.select(*keys, micros(time).alias("t"))
+    counts = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     large = counts.where(F.col("_n") > small_key).select(*keys)
     if large.isEmpty():
-        return _starts_small(nodes, keys, ttl)
+        return _starts_small(times, keys, ttl)
     small = counts.where(F.col("_n") <= small_key).select(*keys)
-    return _starts_small(nodes.join(small, keys, "left_semi"), keys, ttl).unionByName(
-        _starts_large(nodes.join(large, keys, "left_semi"), keys, ttl, skew)
+    return _starts_small(times.join(small, keys, "left_semi"), keys, ttl).unionByName(
+        _starts_large(times.join(large, keys, "left_semi").distinct(), keys, ttl, skew)
     )
 
 
-def with_lifetime(
-    df: DataFrame,
-    keys: list[str],
-    time: str,
-    starts: DataFrame,
-    name: str = "started_at",
-    order: list[str] | None = None,
-) -> DataFrame:
-    """Add the start of the period each row lies in, or null before the first one.
+def interleaved(df: DataFrame, keys: list[str], time: str, starts: DataFrame) -> DataFrame:
+    """The rows (``_mark`` 1) and one marker row per period start (``_mark`` 0, time in ``_start``).
 
-    ``df`` has been through ``mark_blocks`` on the same keys and order.
+    Ordered by ``(time, _mark)``, the last known ``_start`` is the period of a row: the lookup rides
+    on the shuffle of the ordered scan instead of needing a join.
     """
-    order = order or [time]
-    flagged = (
-        df.withColumn("_t", micros(time))
-        .join(
-            starts.select(*keys, F.col("t").alias("_t"), F.col("t").alias("_s")),
-            [*keys, "_t"],
-            "left",
-        )
-        .drop("_t")
+    rows = df.withColumns(
+        {"_mark": F.lit(1), "_start": F.lit(None).cast("bigint"), time: F.col(time).cast("timestamp")}
+    )
+    marks = starts.select(
+        *keys, F.timestamp_micros("t").alias(time), F.lit(0).alias("_mark"), F.col("t").alias("_start")
     )
-    # rows of one time share its start, whichever comes first among them
-    out = scan_marked(flagged, keys, order, **{"_l": last_known(F.col("_s"))})
-    return out.withColumn(name, F.timestamp_micros("_l")).drop("_s", "_l")
+    return rows.unionByName(marks, allowMissingColumns=True)

@@ -79,32 +79,39 @@ def served(
     time only the first is fetched.
     """
     order = order or ["fetched_at"]
-    starts = lifetime_starts(requests.where("ok"), keys, "fetched_at", cfg.ttl_seconds, skew)
-    firsts = (
-        requests.where("ok")
-        .groupBy(*keys, micros("fetched_at").alias("t"))
-        .agg(F.min(F.struct(*order)).alias("_o"))
+    rest = order[1:]
+    good = requests.where("ok")
+    starts = lifetime_starts(good, keys, "fetched_at", cfg.ttl_seconds, skew)
+    first = good.groupBy(*keys, micros("fetched_at").alias("t")).agg(
+        F.min_by(F.struct("value", *rest), F.struct(*order)).alias("_got")
     )
-    good = firsts.join(starts, [*keys, "t"], "left_semi").select(
-        *keys, *[F.col(f"_o.{c}").alias(c) for c in order], F.lit(True).alias("_hit")
+    refreshes = first.join(starts, [*keys, "t"], "left_semi")
+    marks = refreshes.select(
+        *keys, F.timestamp_micros("t").alias("fetched_at"), F.lit(0).alias("_mark"),
+        F.struct(F.col("t").alias("at"), F.col("_got")).alias("_refresh"),
+        *[F.col(f"_got.{c}").alias(c) for c in rest],
     )
-    marked = mark_blocks(requests, keys, order[0], skew)
-    hit = marked.join(good, [*keys, *order], "left")
-    held = F.when(
-        F.col("_hit") & F.col("ok"),
-        F.struct(F.col("fetched_at").alias("at"), F.col("value").alias("value")),
-    )
-    seen = scan_marked(hit, keys, order, _now=last_known(held))
-    age = micros("fetched_at") - micros("_now.at")
+    rows = requests.withColumns({"_mark": F.lit(1), "_time": F.col("fetched_at").cast("timestamp")})
+    both = rows.unionByName(marks.withColumnRenamed("fetched_at", "_time"), allowMissingColumns=True)
+    # a refresh comes just before the row that made it, after earlier rows of the same time
+    seen = scan_marked(
+        mark_blocks(both, keys, "_time", skew), keys, ["_time", *rest, "_mark"],
+        _now=last_known(F.col("_refresh")),
+    ).where("_mark = 1")
+    now = F.col("_now.at")
+    age = micros("_time") - now
+    made = (age == 0) & F.col("ok")
+    for c in rest:
+        made = made & (F.col(c) == F.col(f"_now._got.{c}"))
     state = (
-        F.when(F.col("_now").isNull(), "failed")
+        F.when(now.isNull(), "failed")
         .when(age > cfg.ttl_seconds * 1_000_000, "stale")
-        .when(F.col("_hit") & F.col("ok"), "refreshed")
+        .when(made, "refreshed")
         .otherwise("cached")
     )
     return seen.select(
         *requests.columns,
-        F.col("_now.value").alias("served_value"),
-        F.col("_now.at").alias("served_at"),
+        F.col("_now._got.value").alias("served_value"),
+        F.timestamp_micros(now).alias("served_at"),
         state.alias("state"),
     )

@@ -10,8 +10,8 @@ from stratalog.config import SessionConfig, SkewConfig
 from stratalog.functions.audit_rules import has_text
 from stratalog.functions.text import estimate_tokens, fill, strip
 from stratalog.functions.times import micros
-from stratalog.operators.lifetimes import lifetime_starts, with_lifetime
-from stratalog.operators.skew import BLOCK, last_known, mark_blocks, scan, scan_marked, tail
+from stratalog.operators.lifetimes import interleaved, lifetime_starts
+from stratalog.operators.skew import BLOCK, Scan, last_known, mark_blocks, scan, scan_marked, tail
 
 CONTEXT = ("well_name", "summary", "n_zones", "dominant_lithology", "mean_confidence")
 
@@ -42,20 +42,17 @@ def with_context(
     """Every event with its session and the latest prediction of that session.
 
     ``events(session_id, ts, kind, <context>)``; rows of kind ``prediction`` carry the context
-    columns that exist. Both kinds go through one ordered scan, so the as-of lookup needs no range
-    join. A prediction without zones resets class and confidence.
+    columns that exist; ``order`` begins with ``ts``. Session starts, predictions and turns go through
+    one ordered scan, so the as-of lookups need no join. A prediction without zones resets class and
+    confidence.
     """
-    order = order or ["ts"]
     fields = [c for c in CONTEXT if c in events.columns]
     held = F.when(
         F.col("kind") == "prediction",
         F.struct(micros("ts").alias("at"), *[F.col(c) for c in fields]),
     )
-    starts = lifetime_starts(events, ["session_id"], "ts", cfg.ttl_seconds, skew)
     base = events.withColumn("_p", held).drop(*fields)
-    marked = mark_blocks(base, ["session_id"], order[0], skew)
-    placed = with_lifetime(marked, ["session_id"], "ts", starts, "created_at", order)
-    seen = scan_marked(placed, ["session_id"], order, _ctx=last_known(F.col("_p")))
+    seen = _placed(base, order, cfg, skew, _ctx=last_known(F.col("_p")))
     current = F.col("_ctx.at") >= micros("created_at")
     return seen.select(
         *[c for c in events.columns if c not in fields],
@@ -65,22 +62,38 @@ def with_context(
     )
 
 
+def _placed(
+    events: DataFrame,
+    order: list[str] | None,
+    cfg: SessionConfig,
+    skew: SkewConfig,
+    **columns: Scan,
+) -> DataFrame:
+    """Events with ``created_at`` of their session and further running columns."""
+    keys = ["session_id"]
+    starts = lifetime_starts(events, keys, "ts", cfg.ttl_seconds, skew)
+    marked = mark_blocks(interleaved(events, keys, "ts", starts), keys, "ts", skew)
+    rest = (order or ["ts"])[1:]
+    seen = scan_marked(
+        marked, keys, ["ts", "_mark", *rest], _created=last_known(F.col("_start")), **columns
+    )
+    return (
+        seen.where("_mark = 1")
+        .withColumn("created_at", F.timestamp_micros("_created"))
+        .drop("_mark", "_start", "_created", BLOCK)
+    )
+
+
 def attached(
     events: DataFrame,
     order: list[str] | None = None,
     cfg: SessionConfig = SessionConfig(),
     skew: SkewConfig = SkewConfig(),
 ) -> DataFrame:
-    """Final context of each session, ``(session_id, created_at, …)``: newest prediction wins.
-
-    A plain pre-aggregated ``max_by``; no order is needed inside a session.
-    """
-    order = order or ["ts"]
+    """Final context of each session, ``(session_id, created_at, …)``: newest prediction wins."""
     fields = [c for c in CONTEXT if c in events.columns]
-    starts = lifetime_starts(events, ["session_id"], "ts", cfg.ttl_seconds, skew)
-    marked = mark_blocks(events, ["session_id"], order[0], skew)
-    placed = with_lifetime(marked, ["session_id"], "ts", starts, "created_at", order).drop(BLOCK)
-    at = F.when(F.col("kind") == "prediction", F.struct(*order))
+    placed = _placed(events, order, cfg, skew)
+    at = F.when(F.col("kind") == "prediction", F.struct(*(order or ["ts"])))
     return placed.groupBy("session_id", "created_at").agg(
         F.count_if(F.col("kind") == "prediction").alias("n_predictions"),
         *[F.max_by(F.struct(c), at)[c].alias(c) for c in fields],
