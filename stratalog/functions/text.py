@@ -38,7 +38,9 @@ def is_blank(text: Column) -> Column:
 
 def folded(text: Column) -> Column:
     """Lower case, with the letters that a case-insensitive pattern takes for s, i and k."""
-    return F.lower(F.translate(text, "\u017f\u0131\u0130\u212a", "siik"))
+    rare = "\u017f\u0131\u0130\u212a"
+    found = reduce(lambda a, b: a | b, [text.contains(c) for c in rare])
+    return F.lower(F.when(found, F.translate(text, rare, "siik")).otherwise(text))
 
 
 def matches(text: Column, pattern: str, hint: str = "") -> Column:

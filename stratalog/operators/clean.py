@@ -15,13 +15,16 @@ TEXT_COLUMNS = ("instruction", "input", "output")
 
 
 def type_allowed(types: tuple[str, ...], column: str = "type") -> Column:
-    return F.coalesce(F.col(column).isin(*types), F.lit(False))
+    """In the allow-list; in this form the condition reaches the Parquet scan."""
+    return F.col(column).isin(*types)
 
 
-def noisy_category(prefixes: tuple[str, ...], column: str = "category") -> Column:
-    """A null category is not noisy."""
-    hits = [F.coalesce(F.col(column).startswith(p), F.lit(False)) for p in prefixes]
-    return reduce(lambda a, b: a | b, hits, F.lit(False))
+def quiet_category(prefixes: tuple[str, ...], column: str = "category") -> Column:
+    """Null or with none of the prefixes; in this form the condition reaches the Parquet scan."""
+    if not prefixes:
+        return F.lit(True)
+    hits = [F.col(column).startswith(p) for p in prefixes]
+    return F.col(column).isNull() | ~reduce(lambda a, b: a | b, hits)
 
 
 def keep_types(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
@@ -29,12 +32,12 @@ def keep_types(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
 
 
 def drop_categories(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    return df.where(~noisy_category(cfg.drop_prefixes))
+    return df.where(quiet_category(cfg.drop_prefixes))
 
 
-def drop_matching(df: DataFrame, column: str, pattern: str) -> DataFrame:
+def drop_matching(df: DataFrame, column: str, pattern: str, hint: str = "") -> DataFrame:
     """Drop rows whose text matches in any case; null text is kept."""
-    return df.where(~matches(F.col(column), pattern))
+    return df.where(~matches(F.col(column), pattern, hint))
 
 
 def clean_text(df: DataFrame, columns: tuple[str, ...] = TEXT_COLUMNS) -> DataFrame:
@@ -54,8 +57,8 @@ def raw_reason(cfg: CleanConfig = CleanConfig()) -> Column:
 
     Branches are evaluated in this order, so the costly ones only run on rows that got there.
     """
-    reason = F.when(~type_allowed(cfg.types), "type").when(
-        noisy_category(cfg.drop_prefixes), "category"
+    reason = F.when(~F.coalesce(type_allowed(cfg.types), F.lit(False)), "type").when(
+        ~quiet_category(cfg.drop_prefixes), "category"
     )
     if cfg.instruction_pattern:
         reason = reason.when(matches(F.col("instruction"), cfg.instruction_pattern), "instruction")
@@ -120,8 +123,17 @@ def filter_and_clean(
     df: DataFrame, order: list[str], cfg: CleanConfig = CleanConfig()
 ) -> DataFrame:
     """All filters, then cleaning, then first-row-wins deduplication."""
-    kept = clean_text(df.where(raw_reason(cfg).isNull()))
-    return dedup_rows(length_between(kept, "output", cfg.min_output, cfg.max_output), order)
+    kept = drop_categories(keep_types(df, cfg), cfg)
+    if cfg.instruction_pattern:
+        kept = drop_matching(kept, "instruction", cfg.instruction_pattern)
+    if cfg.broken_pattern:
+        kept = drop_matching(kept, "output", cfg.broken_pattern, cfg.broken_hint)
+    if cfg.placeholder_pattern:
+        kept = drop_matching(kept, "output", cfg.placeholder_pattern)
+    kept = clean_text(kept)
+    kept = length_between(kept, "output", cfg.min_output, cfg.max_output)
+    # one read: the rules cost more than carrying the rows through the aggregate
+    return first_rows(kept, row_key(), order, carry=True)
 
 
 def funnel(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
