@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratalog.config import SYSTEM_PROMPT, AssembleConfig, ChatTemplate
 from stratalog.functions import messages as M
 from stratalog.operators.clean import first_rows
+from stratalog.operators.skew import position, scan
 
 
 def to_chat(df: DataFrame, source: str, system_prompt: str = SYSTEM_PROMPT) -> DataFrame:
@@ -128,41 +129,32 @@ def turn_errors(turns: DataFrame) -> DataFrame:
     )
 
 
+def _joined(digests: Column) -> Column:
+    """One digest over an array of ``(n, d)`` in the order of ``n``."""
+    return F.sha2(
+        F.array_join(F.transform(F.sort_array(digests), lambda s: s["d"]), ""), 256
+    )
+
+
 def turn_keys(turns: DataFrame, cfg: AssembleConfig = AssembleConfig()) -> DataFrame:
-    """``(conv_id, key)`` for conversations held as turn rows: a digest over chunk digests.
+    """``(conv_id, key)`` for conversations held as turn rows: digests over chunks of digests.
 
-    Same user and assistant texts in the same order give the same key. Chunks are counted within
-    the role by position, so one task sees at most ``chunk`` digests of 32 bytes. Equal content has
-    equal size, so a conversation is never compared across the two forms.
+    Same user and assistant texts in the same order give the same key. Two levels of chunks keep
+    every gathered list at ``chunk`` entries up to ``chunk`` cubed turns. Equal content has equal
+    size, so a conversation is never compared across the two forms.
     """
-    from stratalog.operators.skew import position, scan
-
     said = turns.where(F.col("role").isin("user", "assistant")).select(
-        "conv_id", "role", "turn", F.unhex(F.sha2("text", 256)).alias("_d")
-    )
-    level = scan(said, ["conv_id", "role"], ["turn"], n=position())
-    chunk = F.floor((F.col("n") - 1) / cfg.chunk)
-    digest = F.sha2(
-        F.array_join(
-            F.transform(F.sort_array(F.collect_list(F.struct("n", "_d"))), lambda s: F.hex(s["_d"])),
-            "",
-        ),
-        256,
+        "conv_id", "role", "turn", F.sha2("text", 256).alias("d")
     )
-    chunks = level.groupBy("conv_id", "role", chunk.alias("n")).agg(digest.alias("_d"))
-    tops = chunks.groupBy("conv_id").agg(
-        F.sha2(
-            F.array_join(
-                F.transform(
-                    F.sort_array(F.collect_list(F.struct(F.col("role").alias("r"), "n", "_d"))),
-                    lambda s: F.concat(s["r"], F.lit(":"), s["_d"]),
-                ),
-                "",
-            ),
-            256,
-        ).alias("key")
+    level = scan(said, ["conv_id", "role"], ["turn"], pos=position()).select(
+        "conv_id", "role", (F.col("pos") - 1).alias("n"), "d"
     )
-    return tops
+    for _ in range(2):
+        level = level.groupBy(
+            "conv_id", "role", F.floor(F.col("n") / cfg.chunk).alias("part")
+        ).agg(_joined(F.collect_list(F.struct("n", "d"))).alias("d")).withColumnRenamed("part", "n")
+    top = F.struct(F.struct("role", F.col("n").alias("i")).alias("n"), F.concat("role", "d").alias("d"))
+    return level.groupBy("conv_id").agg(_joined(F.collect_list(top)).alias("key"))
 
 
 def checked_conversations(

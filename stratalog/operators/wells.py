@@ -169,32 +169,33 @@ def zones(
     """
     order = ["depth", *(tie or [])]
     marked = mark_blocks(samples, ["well"], "depth", skew)
-    seen = scan_marked(marked, ["well"], order, _prev=lag(F.col("lithology")))
-    starts = (~F.col("_prev").eqNullSafe(F.col("lithology"))).cast("bigint")
+    cls = F.struct("lithology", F.col("lithology_code").alias("code"))
+    seen = scan_marked(marked, ["well"], order, _prev=lag(cls))
+    opens = F.col("_prev").isNull() | ~F.col("_prev.lithology").eqNullSafe(F.col("lithology"))
     runs = scan_marked(
-        seen.withColumn("_start", starts), ["well"], order, run=running_sum(F.col("_start"))
+        seen.withColumn("_start", opens.cast("bigint")), ["well"], order,
+        run=running_sum(F.col("_start")),
     )
-    none = F.lit(None)
+    none = F.lit(None).cast("double")
     own = F.struct(
-        F.col("run"), "depth", "lithology", F.col("lithology_code").alias("code"),
-        F.col("confidence"), none.cast("double").alias("next_top"),
+        F.col("run"), F.col("lithology"), F.col("lithology_code").alias("code"), F.col("depth"),
+        F.col("confidence"), none.alias("next_top"),
     )
     end_of_previous = F.struct(
-        (F.col("run") - 1).alias("run"), none.cast("double").alias("depth"),
-        none.cast("string").alias("lithology"), none.cast("int").alias("code"),
-        none.cast("double").alias("confidence"), F.col("depth").alias("next_top"),
+        (F.col("run") - 1).alias("run"), F.col("_prev.lithology").alias("lithology"),
+        F.col("_prev.code").alias("code"), none.alias("depth"), none.alias("confidence"),
+        F.col("depth").alias("next_top"),
     )
     both = (F.col("_start") == 1) & (F.col("run") > 1)
     facts = runs.select(
         "well", F.inline(F.when(both, F.array(own, end_of_previous)).otherwise(F.array(own)))
     )
+    # the class is one per run: as part of the key it leaves only numbers to aggregate
     return (
-        facts.groupBy("well", "run")
+        facts.groupBy("well", "run", F.col("code").alias("lithology_code"), "lithology")
         .agg(
             F.min("depth").alias("top"),
             F.coalesce(F.min("next_top"), F.max("depth")).alias("base"),
-            F.min("code").alias("lithology_code"),
-            F.min("lithology").alias("lithology"),
             F.avg("confidence").alias("confidence"),
             F.count("depth").alias("n_samples"),
         )

@@ -22,7 +22,7 @@ def upload_errors(
     for extension in UPLOAD_EXTENSIONS:
         known = known | low.endswith(extension)
     return F.when(
-        length > max_bytes, F.lit(f"file exceeds the {max_bytes // (1024 * 1024)} MB limit")
+        length > max_bytes, F.lit(f"file exceeds {max_bytes // (1024 * 1024)} MB")
     ).when(
         ~known,
         F.concat(
