@@ -72,7 +72,8 @@ def _placed(
     """Events with ``created_at`` of their session and further running columns."""
     keys = ["session_id"]
     starts = lifetime_starts(events, keys, "ts", cfg.ttl_seconds, skew)
-    marked = mark_blocks(interleaved(events, keys, "ts", starts), keys, "ts", skew)
+    probe = events.select(*keys, F.col("ts").cast("timestamp").alias("ts"))
+    marked = mark_blocks(interleaved(events, keys, "ts", starts), keys, "ts", skew, probe)
     rest = (order or ["ts"])[1:]
     seen = scan_marked(
         marked, keys, ["ts", "_mark", *rest], _created=last_known(F.col("_start")), **columns

@@ -22,7 +22,11 @@ BLOCK = "_block"
 
 
 def mark_blocks(
-    df: DataFrame, keys: list[str], order: str, cfg: SkewConfig = SkewConfig()
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    cfg: SkewConfig = SkewConfig(),
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """The frame as it is if no key is hot, else with ``_block``: -1 for ordinary keys, 0.. for
     consecutive parts of hot ones.
@@ -30,9 +34,11 @@ def mark_blocks(
     The question is answered by one pre-aggregated count over the key columns. Fewer than
     ``1 / cfg.share`` keys can exceed ``cfg.share`` of all rows, so the broadcast list of hot keys
     and split points has a size bound that does not grow with the data. The split points come from
-    a sketch, so they are checkpointed: every use of a block sees the same ones.
+    a sketch, so they are checkpointed: every use of a block sees the same ones. ``probe`` is a
+    cheaper frame with about the same keys and order values to look at.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    probe = df if probe is None else probe
+    counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     limit = counts.select(F.greatest(F.lit(float(cfg.min_rows)), F.sum("_n") * cfg.share)).scalar()
     hot = counts.where(F.col("_n") > limit).select(*keys)
     if hot.isEmpty():
@@ -40,7 +46,7 @@ def mark_blocks(
     shared_root(df.sparkSession)
     quantiles = [i / cfg.blocks for i in range(1, cfg.blocks)]
     splits = (
-        df.select(*keys, order)
+        probe.select(*keys, order)
         .join(F.broadcast(hot), keys, "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx(order, quantiles, cfg.accuracy).alias("_splits"))

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.config import CleanConfig, MixConfig, TokenConfig
+from stratalog.config import SYSTEM_PROMPT, CleanConfig, MixConfig, TokenConfig
 from stratalog.operators import chat, clean, mix, profile, tokens
 from stratalog.session import scratch_path
 from stratalog.sources.chat_files import staged, write_dropped, write_jsonl
@@ -80,3 +80,31 @@ def write(corpus: Corpus, out: str, seed: int = MixConfig.seed) -> None:
     write_jsonl(ordered, f"{out}/train")
     write_jsonl(corpus.val, f"{out}/val")
     write_dropped(corpus.dropped, f"{out}/dropped")
+
+
+def append(
+    new: DataFrame,
+    train: DataFrame,
+    val: DataFrame,
+    out: str,
+    factor: int = MixConfig.factor,
+    seed: int = MixConfig.seed,
+    system_prompt: str = SYSTEM_PROMPT,
+) -> tuple[DataFrame, DataFrame]:
+    """Grow a train set by the new chat rows that are in neither split; returns report and rejects.
+
+    The new rows are checked and get the standard system message. Train and val rows are checked
+    too, since a row without messages has no key. With nothing new, nothing is written.
+    """
+    good, rejects = chat.split_valid(new)
+    standard = chat.with_key(chat.normalise_system(good, system_prompt)).select("messages", "key")
+    standard = staged(standard, scratch_path(new.sparkSession, "append"))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return chat.with_key(chat.split_valid(df)[0]).select("messages", "key")
+
+    grown, report = mix.append_new(keyed(train), keyed(val), standard, factor)
+    report = staged(report, scratch_path(new.sparkSession, "append-report"))
+    if report.first()["added"]:
+        write_jsonl(mix.shuffled(grown, ["key", "copy"], seed), out)
+    return report, rejects

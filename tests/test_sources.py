@@ -171,3 +171,26 @@ def test_build_and_write(spark, tmp_path):
     assert built.train.join(built.val, "key", "left_semi").count() == 0
     plan.write(built, str(tmp_path / "out"))
     assert chat_files.count_valid(spark, str(tmp_path / "out" / "train")) == built.train.count()
+
+
+def test_append_plan(spark, tmp_path):
+    def chats(*pairs):
+        rows = [([{"role": r, "content": c} for r, c in p],) for p in pairs]
+        return spark.createDataFrame(rows, f"messages {M.MESSAGES}")
+
+    def pair(q, *before):
+        return [*before, ("user", q), ("assistant", f"answer {q}")]
+
+    train, val = chats(pair("t"), pair("old")), chats(pair("v"), [("user", "no answer")])
+    new = chats(pair("t"), pair("v"), pair("n", ("system", "x")), pair("n"), [("user", "q")])
+    report, rejects = plan.append(new, train, val, str(tmp_path / "out"), factor=3)
+    assert tuple(report.first()) == (1, 1, 2) and rejects.count() == 1
+    good, _ = chat_files.read_jsonl(spark, str(tmp_path / "out"))
+    got = {}
+    for r in good.collect():
+        got.setdefault(r["messages"][-2]["content"], []).append(r["messages"][0])
+    # the two copies inside the new set survive, each three times and with the standard message
+    assert {k: len(v) for k, v in got.items()} == {"t": 1, "old": 1, "n": 6}
+    assert {m["role"] for m in got["n"]} == {"system"} and len({m["content"] for m in got["n"]}) == 1
+    report, _ = plan.append(chats(pair("t")), train, val, str(tmp_path / "none"))
+    assert report.first()["added"] == 0 and not (tmp_path / "none").exists()
