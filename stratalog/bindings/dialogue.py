@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog import config as C
-from stratalog.bindings import query, table
+from stratalog.bindings import query, table, utc
 from stratalog.config import SeriesConfig, SessionConfig
 from stratalog.functions import audit_rules as R
 from stratalog.functions.times import micros
@@ -247,7 +247,7 @@ def session_events(spark: SparkSession, sf: str) -> DataFrame:
     return e.select(
         "event_id",
         F.col("user_id").alias("session_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc("ts").alias("ts"),
         kind.alias("kind"),
         F.when(made, F.concat(F.lit("w"), F.col("event_id"))).alias("well_name"),
         F.when(made, F.concat(F.lit("summary "), F.col("event_id"))).alias("summary"),
@@ -518,7 +518,7 @@ def served_values(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select(
         "event_id",
         F.col("event_type").alias("series"),
-        F.col("ts").cast("timestamp").alias("fetched_at"),
+        utc("ts").alias("fetched_at"),
         (F.col("value") >= 20).alias("ok"),
         "value",
     )

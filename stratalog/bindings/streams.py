@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalog.bindings import query, table
+from stratalog.bindings import query, table, utc
 from stratalog.bindings.dialogue import SQL_CONTEXT
 from stratalog.functions.times import micros
 from stratalog.session import scratch_path
@@ -23,7 +23,7 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     stream = (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     )
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    return stream.withColumn("ts", utc("ts"))
 
 
 def drained(stream: DataFrame, name: str) -> DataFrame:

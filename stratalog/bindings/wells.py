@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalog.bindings import query, table
+from stratalog.bindings import query, table, utc
 from stratalog.config import EvalConfig, WellConfig
 from stratalog.operators import evals, mix, scoring, wells
 
@@ -38,7 +38,7 @@ def class_samples(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     return e.select(
         F.col("user_id").alias("well"),
-        F.floor(F.unix_seconds(F.col("ts").cast("timestamp"))).cast("double").alias("depth"),
+        F.unix_seconds(utc("ts")).cast("double").alias("depth"),
         "event_id",
         F.col("event_type").alias("lithology"),
         F.ascii("event_type").alias("lithology_code"),
@@ -513,7 +513,7 @@ def _train_log(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").alias("step"),
         F.when(~is_eval, F.col("value")).alias("loss"),
         F.when(is_eval, F.col("value")).alias("eval_loss"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc("ts").alias("ts"),
     )
 
 

@@ -107,7 +107,9 @@ def session_info(attached_: DataFrame) -> DataFrame:
         (F.col("n_predictions") > 0).alias("has_well_context"),
         "well_name",
         "n_zones",
-        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
+        F.date_format(
+            F.to_utc_timestamp("created_at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'"
+        ).alias("created_at"),
     )
 
 

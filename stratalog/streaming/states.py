@@ -2,7 +2,8 @@
 
 Each micro-batch is folded in event-time order together with rows held back by the watermark, so a
 row that arrives in a later micro-batch with an earlier time is still applied in its place. State
-per key is the open period plus the rows newer than the watermark.
+per key is the open period plus the rows newer than the watermark. Times cross into Python as
+microseconds, so neither the session's zone nor a clock change touches them.
 """
 
 from __future__ import annotations
@@ -11,28 +12,30 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stratalog.config import SeriesConfig, SessionConfig
+from stratalog.functions.times import micros
 
 CONTEXT_ROW = (
-    "session_id string, ts timestamp, kind string, created_at timestamp, has_context boolean, "
+    "session_id string, ts long, kind string, created_at long, has_context boolean, "
     "well_name string"
 )
 SERVED_ROW = (
-    "series string, fetched_at timestamp, ok boolean, served_value double, served_at timestamp, "
+    "series string, fetched_at long, ok boolean, served_value double, served_at long, "
     "state string"
 )
 _BUFFER = "created long, well string, times array<long>, kinds array<string>, wells array<string>"
 _HELD = "at long, value double, times array<long>, oks array<boolean>, vals array<double>"
 
 
-def _micros(values: pd.Series) -> list[int]:
-    return values.astype("datetime64[us]").astype("int64").tolist()
+def _longs(values: list) -> pd.Series:
+    return pd.Series(values, dtype="Int64")
 
 
-def _stamps(values: list) -> pd.Series:
-    return pd.Series(pd.to_datetime(pd.Series(values, dtype="Int64"), unit="us"))
+def _stamped(out: DataFrame, *columns: str) -> DataFrame:
+    return out.withColumns({c: F.timestamp_micros(c) for c in columns})
 
 
 def session_context(
@@ -47,7 +50,7 @@ def session_context(
         created, well, times, kinds, wells = state.get if state.exists else (None, None, [], [], [])
         times, kinds, wells = list(times), list(kinds), list(wells)
         for batch in batches:
-            times += _micros(batch["ts"])
+            times += batch["_us"].tolist()
             kinds += batch["kind"].tolist()
             wells += [w if isinstance(w, str) else None for w in batch["well_name"]]
         mark = state.getCurrentWatermarkMs() * 1000
@@ -75,21 +78,23 @@ def session_context(
             yield pd.DataFrame(
                 {
                     "session_id": [key[0]] * len(out),
-                    "ts": _stamps([o[0] for o in out]),
+                    "ts": _longs([o[0] for o in out]),
                     "kind": [o[1] for o in out],
-                    "created_at": _stamps([o[2] for o in out]),
+                    "created_at": _longs([o[2] for o in out]),
                     "has_context": [o[3] is not None for o in out],
                     "well_name": [o[3] for o in out],
                 }
             )
 
-    return (
-        events.withWatermark("ts", delay)
+    folded = (
+        events.withColumn("_us", micros("ts"))
+        .withWatermark("ts", delay)
         .groupBy("session_id")
         .applyInPandasWithState(
             fold, CONTEXT_ROW, _BUFFER, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
+    return _stamped(folded, "ts", "created_at")
 
 
 def served_values(
@@ -104,7 +109,7 @@ def served_values(
         at, value, times, oks, vals = state.get if state.exists else (None, None, [], [], [])
         times, oks, vals = list(times), list(oks), list(vals)
         for batch in batches:
-            times += _micros(batch["fetched_at"])
+            times += batch["_us"].tolist()
             oks += [bool(o) for o in batch["ok"]]
             vals += [float(v) for v in batch["value"]]
         mark = state.getCurrentWatermarkMs() * 1000
@@ -129,18 +134,20 @@ def served_values(
             yield pd.DataFrame(
                 {
                     "series": [key[0]] * len(out),
-                    "fetched_at": _stamps([o[0] for o in out]),
+                    "fetched_at": _longs([o[0] for o in out]),
                     "ok": [o[1] for o in out],
                     "served_value": [o[2] for o in out],
-                    "served_at": _stamps([o[3] for o in out]),
+                    "served_at": _longs([o[3] for o in out]),
                     "state": [o[4] for o in out],
                 }
             )
 
-    return (
-        requests.withWatermark("fetched_at", delay)
+    folded = (
+        requests.withColumn("_us", micros("fetched_at"))
+        .withWatermark("fetched_at", delay)
         .groupBy("series")
         .applyInPandasWithState(
             fold, SERVED_ROW, _HELD, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
+    return _stamped(folded, "fetched_at", "served_at")

@@ -39,11 +39,18 @@ EVENTS = [
 ]
 
 
+@pytest.fixture(params=["UTC", "America/New_York"])
+def zone(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("order", [
     [[0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]],
     [[0, 2, 3], [1], [5, 4], [7, 6], [8], [9], [10]],  # 1 and 6 come after later rows
 ])
-def test_session_context(spark, tmp_path, order):
+def test_session_context(spark, tmp_path, order, zone):
     schema = "session_id string, us long, kind string, well_name string"
     batches = [[EVENTS[i] for i in b] for b in order]
     out = run(
@@ -62,7 +69,7 @@ def test_session_context(spark, tmp_path, order):
     assert {k: v for k, v in got.items() if k[0] != "z"} == want
 
 
-def test_served_values(spark, tmp_path):
+def test_served_values(spark, tmp_path, zone):
     schema = "series string, us long, ok boolean, value double"
     rows = [("p", i * 13 * MIN, i % 4 != 1, float(i)) for i in range(40)]
     end = [("p", 100_000 * MIN, False, 0.0)]
