@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -27,10 +28,14 @@ def local_session(cores: str | int = "*", app: str = "stratalog") -> SparkSessio
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in tests on one machine, a folder is made for it.
+    A local session that names none, as in tests on one machine, gets a folder of its own; on a
+    cluster that would be a different folder on each machine, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; the master is {master}")
         root = tempfile.mkdtemp(prefix="stratalog-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
