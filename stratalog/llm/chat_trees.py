@@ -32,6 +32,7 @@ class TreeTemplate:
     open: str = "<|turn|>"
     close: str = "<|end|>"
     escapes: tuple[tuple[str, str], ...] = (("\\", "\\0"), ("<", "\\1"), ("[", "\\2"))
+    line_code: str = "\\3"
     learned_role: str = "assistant"
 
 
@@ -48,6 +49,15 @@ def unescaped(text: Column, template: TreeTemplate = TreeTemplate()) -> Column:
     return text
 
 
+def escaped_role(role: Column, template: TreeTemplate = TreeTemplate()) -> Column:
+    """A role ends at the end of its line, so line breaks in it are escaped too."""
+    return F.replace(escaped(role, template), F.lit("\n"), F.lit(template.line_code))
+
+
+def unescaped_role(role: Column, template: TreeTemplate = TreeTemplate()) -> Column:
+    return unescaped(F.replace(role, F.lit(template.line_code), F.lit("\n")), template)
+
+
 def linked(nodes: DataFrame) -> DataFrame:
     """Nodes with a text key of their tree (null is a tree of its own), and no dangling parents.
 
@@ -137,7 +147,7 @@ def formatted(
         escaped(text_or_empty(F.col("text")), template).alias("text"),
     )
     paths = chosen_paths(nodes.select("tree", "node", "parent", "score"), per_tree)
-    head = F.concat(F.lit(template.open), escaped(F.col("role"), template), F.lit("\n"))
+    head = F.concat(F.lit(template.open), escaped_role(F.col("role"), template), F.lit("\n"))
     turn = F.struct("at", head.alias("head"), "text", (F.col("role") == template.learned_role).alias("loss"))
     off = F.lit(False).alias("loss")
     pieces = F.transform(
@@ -170,7 +180,7 @@ def read_turns(text: Column, template: TreeTemplate = TreeTemplate()) -> Column:
         start = F.length(role) + 2
         body = F.substr(piece, start, F.length(piece) - start + 1 - F.lit(tail))
         return F.struct(
-            unescaped(role, template).alias("role"), unescaped(body, template).alias("text")
+            unescaped_role(role, template).alias("role"), unescaped(body, template).alias("text")
         )
 
     return F.transform(said, turn)

@@ -155,9 +155,10 @@ def checked(docs: DataFrame, benchmark: DataFrame, cfg: DecontamConfig = Deconta
     spark = docs.sparkSession
     parts = list(item_parts(benchmark, cfg)) or [[]]
     added = ("n_words", "n_hit", "items", "spans", "contaminated")
-    rest = [F.col(c) for c in docs.columns if c not in added]
+    rest = [F.col("_row")[c].alias(c) for c in docs.columns if c not in added]
+    row = F.struct("*").alias("_row")
     if len(parts) == 1:
-        whole = docs.withColumn("_hit", hits_of(spark, parts[0], F.col("text"), cfg))
+        whole = docs.select(row, hits_of(spark, parts[0], F.col("text"), cfg).alias("_hit"))
     else:
         whole = _in_parts(docs, parts, cfg)
     return whole.select(*rest, *[c.alias(n) for n, c in _verdict(F.col("_hit"), cfg).items()])
@@ -191,7 +192,8 @@ def _in_parts(docs: DataFrame, parts: list, cfg: DecontamConfig) -> DataFrame:
         union("ranges").alias("ranges"), union("spans").alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_h.items")))).alias("items"),
     )
-    counted = docs.withColumn("_own", hits_of(spark, [], F.col("text"), cfg)["n_words"]).withColumn("_key", digest)
+    none = hits_of(spark, [], F.col("text"), cfg)
+    counted = docs.select(F.struct("*").alias("_row"), none["n_words"].alias("_own"), digest.alias("_key"))
     empty = "array<struct<start:int,end:int>>"
     return counted.join(joined, F.col("_key") == F.col("_d"), "left").withColumn(
         "_hit",

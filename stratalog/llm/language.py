@@ -216,6 +216,7 @@ def prediction(spark, model: Tables, text: Column, cfg: LanguageConfig = Languag
 def identified(docs: DataFrame, learned: Column, cfg: LanguageConfig = LanguageConfig()) -> DataFrame:
     """All rows and columns with ``lang_pred`` and ``score`` added (replacing columns of that name)."""
     model = learn(docs, learned, cfg)
-    rest = [F.col(c) for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.withColumn("_p", prediction(docs.sparkSession, model, F.col("text"), cfg))
+    rest = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
+    parsed = prediction(docs.sparkSession, model, F.col("text"), cfg)
+    found = docs.select(F.struct("*").alias("_row"), parsed.alias("_p"))
     return found.select(*rest, "_p.lang_pred", "_p.score")

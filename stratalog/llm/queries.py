@@ -104,7 +104,7 @@ def _sha(text: Column) -> Column:
     ),
     escaped AS (
         SELECT *, replace(replace(replace(text, '\\', '\\0'), '<', '\\1'), '[', '\\2') AS coded,
-               replace(replace(replace(role, '\\', '\\0'), '<', '\\1'), '[', '\\2') AS coded_role
+               replace(replace(replace(replace(role, '\\', '\\0'), '<', '\\1'), '[', '\\2'), chr(10), '\\3') AS coded_role
         FROM said
     )
     SELECT conv_id, count(*) AS n_turns,

@@ -75,9 +75,9 @@ def sharded(docs: DataFrame, key: Column, cfg: ShardConfig = ShardConfig()) -> D
         .select(F.posexplode(owners).alias("_slot", "_owner"))
         .select("_slot", F.element_at(names, F.col("_owner") + 1).alias("_shard"))
     )
-    rest = [F.col(c) for c in docs.columns if c not in ("slot", "shard")]
+    rest = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("slot", "shard")]
     return (
-        docs.withColumn("_place", slot_of(key, cfg.slots))
+        docs.select(F.struct("*").alias("_row"), slot_of(key, cfg.slots).alias("_place"))
         .join(F.broadcast(table), F.col("_place") == F.col("_slot"))
         .select(*rest, F.col("_place").alias("slot"), F.col("_shard").alias("shard"))
     )

@@ -64,7 +64,7 @@ def label_counts(labelled: DataFrame, cfg: ToxicityConfig) -> DataFrame:
         def flush() -> pd.DataFrame:
             terms = list(found[0] | found[1])
             table = pd.DataFrame(
-                {"term": terms, "toxic": [found[1][t] for t in terms], "clean": [found[0][t] for t in terms]}
+                {"term": pd.Series(terms, dtype=object), "toxic": [found[1][t] for t in terms], "clean": [found[0][t] for t in terms]}
             )
             found[0].clear()
             found[1].clear()
