@@ -33,7 +33,7 @@ class ToxicityConfig:
     """``examples`` labelled documents of each class at most go into the index, and as many again
     into the calibration; term statistics cover all labelled and all documents."""
 
-    prefixes: tuple[int, ...] = (4, 5)
+    prefixes: tuple[int, ...] = (4, 5, 6, 7)
     max_terms: int = 512
     min_ratio: float = 30.0
     min_lift: float = 8.0
@@ -44,12 +44,12 @@ class ToxicityConfig:
 
 
 def terms_of(text: str | None, prefixes: tuple[int, ...]) -> Counter:
-    """Counts of the lower-case words, and of their beginnings marked by a trailing ``*``."""
+    """Counts of the lower-case words, and of beginnings that more letters follow, marked by ``*``."""
     counts = Counter(WORD.findall((text or "").lower()))
     out = Counter(counts)
     for word, n in counts.items():
         for size in prefixes:
-            if len(word) >= size:
+            if len(word) > size:
                 out[word[:size] + "*"] += n
     return out
 
@@ -116,7 +116,7 @@ def term_vector(spark, terms: list[str], text: Column, cfg: ToxicityConfig) -> C
                 words = WORD.findall((text or "").lower())
                 hits: Counter = Counter()
                 for word in set(words):
-                    near = [word, *(word[:s] + "*" for s in sizes if len(word) >= s)]
+                    near = [word, *(word[:s] + "*" for s in sizes if len(word) > s)]
                     if found := [place[t] for t in near if t in place]:
                         n = words.count(word)
                         for at in found:
