@@ -263,7 +263,7 @@ def system_conformance(spark: SparkSession, sf: str) -> DataFrame:
 
 def examples(spark: SparkSession, sf: str) -> DataFrame:
     """One chat example per conversation; source = id modulo 3."""
-    chats, _ = chat.assemble(table(spark, sf, "conversations"))
+    chats = chat.assemble(table(spark, sf, "conversations"))
     return chats.withColumn("source", F.concat(F.lit("file"), F.col("conv_id") % 3))
 
 

@@ -64,8 +64,7 @@ SQL_ANSWERS = """answers AS (SELECT event_id AS answer_id,
   FROM (SELECT *, lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') AS k,
     CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS v FROM events))"""
 
-_NEG = ("(?:no|not|none|without|absent|absence of|lacks?|free of|didn''t|did not|isn''t|is not|"
-        "wasn''t|was not)")
+_NEG = C.NEGATION_PATTERN.replace("'", "''")
 
 
 def _sql_absence(c: str) -> str:
@@ -82,15 +81,8 @@ def _sql_quantity(q: str) -> str:
     )
 
 
-_ABSENCES = "list_filter([" + ", ".join(
-    _sql_absence(c) for c in ("Chalk", "Tuff", "Marl", "Dolomite")
-) + "], lambda x: x IS NOT NULL)"
-_QUANTITIES = "list_filter([" + ", ".join(
-    _sql_quantity(q) for q in (
-        "api gravity", "flow rate", "net pay", "net to gross", "net-to-gross", "permeability",
-        "pore pressure", "porosity", "reserves", "saturation", "toc", "viscosity", "water cut",
-    )
-) + "], lambda x: x IS NOT NULL)"
+_ABSENCES = "list_filter([" + ", ".join(map(_sql_absence, C.UNRELIABLE_CLASSES)) + "], lambda x: x IS NOT NULL)"
+_QUANTITIES = "list_filter([" + ", ".join(map(_sql_quantity, sorted(C.QUANTITIES))) + "], lambda x: x IS NOT NULL)"
 _CONF = C.CONFIDENCE_PATTERN
 SQL_FOUND = rf"""{SQL_ANSWERS}, m AS (SELECT *,
     list_transform(list_filter(regexp_extract_all(coalesce(answer, ''), '{_CONF}', 0, 'i'),

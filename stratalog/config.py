@@ -39,6 +39,19 @@ UNRELIABLE_CLASSES = ("Chalk", "Tuff", "Marl", "Dolomite")
 UPLOAD_EXTENSIONS = (".las", ".csv")
 MAX_UPLOAD_BYTES = 50 * 1024 * 1024
 
+# sentences of a well's summary
+SUMMARY_HEADER = "Well %s — logged %.1f–%.1f m MD (%d samples, %d zones)."
+SUMMARY_TOTAL = "  %-17s %8.1f m (%5s)"
+SUMMARY_ZONE = "  %7.1f–%7.1f m %7.1f m %-17s conf %.2f"
+SUMMARY_CAUTION = "CAUTION: "
+SUMMARY_NO_ZONES = "No lithology zones were resolved."
+SUMMARY_TOTALS_TITLE = "\nLithology totals:\n"
+SUMMARY_ZONES_TITLE = "\n\nThickest zones (top %d):\n"
+SUMMARY_CONFIDENCE = "\n\nConfidence %.2f mean (thickness-weighted); "
+SUMMARY_UNCERTAIN = " of the column is below {} and should be treated as uncertain.\n"
+SUMMARY_BLIND_SPOTS = "Model blind spots — NOT reliably detected, so do not state their absence as fact: {}."
+SUMMARY_REFUSED = ("Well ", ": prediction REFUSED. ")
+
 # (id, well name, label, description, top, base)
 SAMPLE_WELLS = (
     ("25_5-1", "25/5-1", "North Sea 25/5-1", "Sandstone Reservoir", 145.0, 3432.0),
@@ -46,10 +59,12 @@ SAMPLE_WELLS = (
 )
 
 # --- fixed values: answer audit -------------------------------------------------------------
-NEGATIONS = (
-    "no", "not", "none", "without", "absent", "absence of", "lacks?", "free of", "didn't",
-    "did not", "isn't", "is not", "wasn't", "was not",
+NEGATION_PATTERN = (
+    r"(?:no|not|none|without|absent|absence of|lacks?|free of|didn't|did not|isn't|is not|wasn't|was not)"
 )
+# {} are the negations, the class, and the widths of the gaps
+ABSENCE_PATTERNS = (r"\b{negation}\b[^.]{{0,{gap}}}\b{name}\b", r"\b{name}\b[^.]{{0,{gap}}}\b(?:{negation}|absent)\b")
+QUANTITY_PATTERNS = (r"\d[\d.,]*\s*%?[^.]{{0,{gap}}}\b{name}\b", r"\b{name}\b[^.]{{0,{gap}}}\d[\d.,]*")
 QUANTITIES = (
     "porosity", "permeability", "saturation", "api gravity", "net pay", "net-to-gross",
     "net to gross", "toc", "water cut", "pore pressure", "reserves", "flow rate", "viscosity",
@@ -147,15 +162,6 @@ class CleanConfig:
     max_output: int = 2500
 
 
-@dataclass(frozen=True)
-class AssembleConfig:
-    """Size up to which a conversation is held as one record; larger ones stay turn rows."""
-
-    max_chars: int = 16_000_000
-    max_turns: int = 50_000
-    chunk: int = 10_000
-
-
 @dataclass(frozen=True)
 class ChatTemplate:
     """Pieces of a chat template; the token measure depends on them."""
@@ -220,7 +226,7 @@ class DriftConfig:
 @dataclass(frozen=True)
 class AuditConfig:
     classes: tuple[str, ...] = UNRELIABLE_CLASSES
-    negations: tuple[str, ...] = NEGATIONS
+    negation: str = NEGATION_PATTERN
     quantities: tuple[str, ...] = QUANTITIES
     before: int = 60
     after: int = 40

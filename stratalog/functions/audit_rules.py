@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratalog.config import AuditConfig
+from stratalog.config import ABSENCE_PATTERNS, QUANTITY_PATTERNS, AuditConfig
 from stratalog.functions.text import folded, matches, once
 
 
@@ -23,12 +23,12 @@ def _found(answer: Column, rules: list[tuple[str, str]]) -> Column:
 
 def false_absences(answer: Column, cfg: AuditConfig = AuditConfig()) -> Column:
     """Classes the answer calls absent: a negation before or after the class, in one sentence."""
-    negation = "(?:" + "|".join(cfg.negations) + ")"
+    before, after = ABSENCE_PATTERNS
     rules = [
         (
             c,
-            rf"(?:\b{negation}\b[^.]{{0,{cfg.before}}}\b{c}\b"
-            rf"|\b{c}\b[^.]{{0,{cfg.after}}}\b(?:{negation}|absent)\b)",
+            f"(?:{before.format(negation=cfg.negation, name=c, gap=cfg.before)}"
+            f"|{after.format(negation=cfg.negation, name=c, gap=cfg.after)})",
         )
         for c in cfg.classes
     ]
@@ -37,12 +37,8 @@ def false_absences(answer: Column, cfg: AuditConfig = AuditConfig()) -> Column:
 
 def unsupported_quantities(answer: Column, cfg: AuditConfig = AuditConfig()) -> Column:
     """Quantities that stand near a digit, sorted."""
-    gap = rf"[^.]{{0,{cfg.digit_window}}}"
     rules = [
-        (
-            q,
-            rf"(?:\d[\d.,]*\s*%?{gap}\b\Q{q}\E\b|\b\Q{q}\E\b{gap}\d[\d.,]*)",
-        )
+        (q, "(?:" + "|".join(p.format(name=rf"\Q{q}\E", gap=cfg.digit_window) for p in QUANTITY_PATTERNS) + ")")
         for q in sorted(cfg.quantities)
     ]
     return _found(answer, rules)

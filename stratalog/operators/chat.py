@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalog.config import SYSTEM_PROMPT, AssembleConfig, ChatTemplate
+from stratalog.config import SYSTEM_PROMPT, ChatTemplate
 from stratalog.functions import messages as M
 from stratalog.operators.clean import first_rows
-from stratalog.operators.skew import position, scan
 
 
 def to_chat(df: DataFrame, source: str, system_prompt: str = SYSTEM_PROMPT) -> DataFrame:
@@ -70,102 +69,23 @@ def prompt_target(df: DataFrame) -> DataFrame:
     )
 
 
-def _oversize(turns: DataFrame, cfg: AssembleConfig) -> DataFrame:
-    """Ids of conversations too large for one record: at most (all chars / max_chars) of them,
-    plus (all turns / max_turns), a few million longs even for 100 TB."""
-    return (
-        turns.groupBy("conv_id")
-        .agg(F.sum(F.length("text")).alias("_c"), F.count(F.lit(1)).alias("_t"))
-        .where((F.col("_c") > cfg.max_chars) | (F.col("_t") > cfg.max_turns))
-        .select("conv_id")
-    )
-
-
-def assemble(
-    turns: DataFrame, cfg: AssembleConfig = AssembleConfig()
-) -> tuple[DataFrame, DataFrame]:
-    """Turn rows to one chat example per conversation, and the turns that stay rows.
-
-    A conversation beyond the record size is never collected: its turns come back as they are and
-    the functions below check and key them in that form.
-    """
-    big = F.broadcast(_oversize(turns, cfg))
-    small = turns.join(big, "conv_id", "left_anti")
-    chats = (
-        small.groupBy("conv_id")
-        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_t"))
-        .select(
-            "conv_id",
-            F.transform(
-                "_t", lambda t: F.struct(t.role.alias("role"), t.text.alias("content"))
-            ).alias("messages"),
-        )
-    )
-    return chats, turns.join(big, "conv_id", "left_semi")
-
-
-def turn_errors(turns: DataFrame) -> DataFrame:
-    """``(conv_id, error)`` of conversations held as turn rows.
+def assemble(turns: DataFrame) -> DataFrame:
+    """Turn rows to one chat example ``(conv_id, messages)`` per conversation, of any size.
 
-    Equal to the check on records, but every part is a mergeable aggregate: nothing is collected.
+    A conversation is one record by definition, as in the files it is read from and written to; a
+    long one makes a long record, and none is left out or treated in another way.
     """
-    at = F.col("turn")
-    error = M.turn_error(F.col("role"), F.col("text"))
-    parts = turns.select("conv_id", "turn", "role", error.alias("_e")).groupBy("conv_id").agg(
-        F.max((F.col("role") == "user").cast("int")).alias("_user"),
-        F.max((F.col("role") == "assistant").cast("int")).alias("_assistant"),
-        F.min_by("_e", F.when(F.col("_e").isNotNull(), at)).alias("_first"),
-        F.max_by("role", at).alias("_last"),
-    )
-    return parts.select(
+    said = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    return turns.groupBy("conv_id").agg(said.alias("_t")).select(
         "conv_id",
-        F.when(
-            (F.coalesce("_user", F.lit(0)) == 0) | (F.coalesce("_assistant", F.lit(0)) == 0),
-            F.lit("no user or assistant message"),
-        )
-        .when(F.col("_first").isNotNull(), F.col("_first"))
-        .when(F.col("_last") != "assistant", F.lit("last message is not from assistant"))
-        .alias("error"),
+        F.transform("_t", lambda t: F.struct(t.role.alias("role"), t.text.alias("content"))).alias("messages"),
     )
 
 
-def _joined(digests: Column) -> Column:
-    """One digest over an array of ``(n, d)`` in the order of ``n``."""
-    return F.sha2(
-        F.array_join(F.transform(F.sort_array(digests), lambda s: s["d"]), ""), 256
-    )
-
-
-def turn_keys(turns: DataFrame, cfg: AssembleConfig = AssembleConfig()) -> DataFrame:
-    """``(conv_id, key)`` for conversations held as turn rows: digests over chunks of digests.
-
-    Same user and assistant texts in the same order give the same key. Two levels of chunks keep
-    every gathered list at ``chunk`` entries up to ``chunk`` cubed turns. Equal content has equal
-    size, so a conversation is never compared across the two forms.
-    """
-    said = turns.where(F.col("role").isin("user", "assistant")).select(
-        "conv_id", "role", "turn", F.sha2("text", 256).alias("d")
-    )
-    level = scan(said, ["conv_id", "role"], ["turn"], pos=position()).select(
-        "conv_id", "role", (F.col("pos") - 1).alias("n"), "d"
-    )
-    for _ in range(2):
-        level = level.groupBy(
-            "conv_id", "role", F.floor(F.col("n") / cfg.chunk).alias("part")
-        ).agg(_joined(F.collect_list(F.struct("n", "d"))).alias("d")).withColumnRenamed("part", "n")
-    top = F.struct(F.struct("role", F.col("n").alias("i")).alias("n"), F.concat("role", "d").alias("d"))
-    return level.groupBy("conv_id").agg(_joined(F.collect_list(top)).alias("key"))
-
-
-def checked_conversations(
-    turns: DataFrame, cfg: AssembleConfig = AssembleConfig()
-) -> DataFrame:
-    """``(conv_id, error, key)`` for every conversation, whatever its size."""
-    chats, rest = assemble(turns, cfg)
-    small = chats.select(
+def checked_conversations(turns: DataFrame) -> DataFrame:
+    """``(conv_id, error, key)`` for every conversation."""
+    return assemble(turns).select(
         "conv_id",
         M.example_error(F.col("messages")).alias("error"),
         M.content_key(F.col("messages")).alias("key"),
     )
-    large = turn_errors(rest).join(turn_keys(rest, cfg), "conv_id", "left")
-    return small.unionByName(large.select("conv_id", "error", "key"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F, types as T
 from pyspark.sql import Window as W
 
+from stratalog import config as C
 from stratalog.config import (
     NULL_SENTINELS,
     SAMPLE_WELLS,
@@ -280,7 +281,7 @@ def summary_text(
             (-F.col("thickness")).alias("o"),
             "lithology",
             F.format_string(
-                "  %-17s %8.1f m (%5s)",
+                C.SUMMARY_TOTAL,
                 F.col("lithology"),
                 F.col("thickness"),
                 _percent(F.col("thickness") / F.col("_total"), 1),
@@ -299,7 +300,7 @@ def summary_text(
             F.col("top").alias("o"),
             F.col("run"),
             F.format_string(
-                "  %7.1f–%7.1f m %7.1f m %-17s conf %.2f",
+                C.SUMMARY_ZONE,
                 "top", "base", "thickness", "lithology", "confidence",
             ).alias("line"),
         ).alias("e"),
@@ -316,31 +317,28 @@ def summary_text(
         .withColumn("_nz", F.coalesce("_nz", F.lit(0)))
     )
     header = F.format_string(
-        "Well %s — logged %.1f–%.1f m MD (%d samples, %d zones).",
+        C.SUMMARY_HEADER,
         F.col("well").cast("string"), "depth_min", "depth_max", "n_samples", "_nz",
     )
     caution = F.when(
-        F.col("status") == "warning", F.concat(F.lit("CAUTION: "), F.col("message"))
+        F.col("status") == "warning", F.concat(F.lit(C.SUMMARY_CAUTION), F.col("message"))
     )
-    body = F.when(F.col("_nz") == 0, F.lit("No lithology zones were resolved.")).otherwise(
+    body = F.when(F.col("_nz") == 0, F.lit(C.SUMMARY_NO_ZONES)).otherwise(
         F.concat(
-            F.lit("\nLithology totals:\n"),
+            F.lit(C.SUMMARY_TOTALS_TITLE),
             F.col("_totals"),
-            F.format_string("\n\nThickest zones (top %d):\n", "_k"),
+            F.format_string(C.SUMMARY_ZONES_TITLE, "_k"),
             F.col("_zones"),
-            F.format_string("\n\nConfidence %.2f mean (thickness-weighted); ", "_conf"),
+            F.format_string(C.SUMMARY_CONFIDENCE, "_conf"),
             _percent(F.col("_lowshare"), 0),
-            F.lit(
-                f" of the column is below {cfg.low_confidence} and should be treated as uncertain.\n"
-                "Model blind spots — NOT reliably detected, so do not state their absence as fact: "
-                f"{', '.join(cfg.unreliable)}."
-            ),
+            F.lit(C.SUMMARY_UNCERTAIN.format(cfg.low_confidence)),
+            F.lit(C.SUMMARY_BLIND_SPOTS.format(", ".join(cfg.unreliable))),
         )
     )
     text = F.when(
         F.col("status") == "out_of_distribution",
         F.concat(
-            F.lit("Well "), F.col("well").cast("string"), F.lit(": prediction REFUSED. "),
+            F.lit(C.SUMMARY_REFUSED[0]), F.col("well").cast("string"), F.lit(C.SUMMARY_REFUSED[1]),
             F.col("message"),
         ),
     ).otherwise(F.concat_ws("\n", header, caution, body))

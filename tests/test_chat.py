@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from stratalog.config import SYSTEM_PROMPT, AssembleConfig, ChatTemplate, MixConfig, TokenConfig
+from stratalog.config import SYSTEM_PROMPT, ChatTemplate, MixConfig, TokenConfig
 from stratalog.functions import messages as M
 from stratalog.operators import chat, clean, mix, profile, tokens
 
@@ -20,12 +20,6 @@ def frame(spark, *examples):
     return spark.createDataFrame(rows, f"id long, messages {M.MESSAGES}")
 
 
-def reference_key(messages):
-    user = "||".join(c for r, c in messages if r == U)
-    answer = "||".join(c for r, c in messages if r == A)
-    return hashlib.sha256(f"{user}###{answer}".encode()).hexdigest()
-
-
 CASES = [
     ([(U, "q"), (A, "a")], None),
     (None, "messages missing or not a list"),
@@ -47,10 +41,14 @@ def test_validation_order(spark):
     assert (good.count(), bad.count()) == (2, 8)
 
 
+#: sha256 of "é q||r###a||b"
+KEY = "22d0dc441dc7df6fd2d490626a83b159a6707c3594f547159a0b22784b83c3c8"
+
+
 def test_key_ignores_system(spark):
     plain = [(U, "é q"), (A, "a"), (U, "r"), (A, "b")]
     df = chat.with_key(frame(spark, plain, [(S, "other"), *plain])).collect()
-    assert df[0]["key"] == df[1]["key"] == reference_key(plain)
+    assert df[0]["key"] == df[1]["key"] == KEY
 
 
 def test_dedup_keeps_file_then_line_order(spark):
@@ -88,25 +86,19 @@ def test_prompt_target(spark):
     assert (r["target"], r["question"], len(r["prompt"])) == ("a", "q", 2)
 
 
-def test_large_conversations_stay_rows(spark):
-    """Conversations beyond the record size get the same verdicts and equal keys for equal content."""
-    turns = []
-    for conv, system in ((1, None), (2, "sys"), (3, None)):
-        if system:
-            turns.append((conv, -1, S, system))
-        for i in range(60):
-            turns.append((conv, i, U if i % 2 == 0 else A, f"turn {i}" if conv < 3 or i else "other"))
-    turns += [(4, 0, U, "q"), (4, 1, A, "a"), (5, 0, U, "q"), (5, 1, A, " "), (6, 0, U, "q")]
-    turns += [(7, i, U, f"{i}") for i in range(40)] + [(8, i, A if i else U, " " if i == 5 else "x") for i in range(40)]
+def test_no_conversation_is_too_large(spark):
+    """One very long conversation among short ones is assembled, checked and keyed like them."""
+    turns = [(1, i, A if i % 2 else U, f"turn {i}") for i in range(60_000)]
+    turns += [(2, 0, U, "q"), (2, 1, A, "a"), (3, 0, U, "q"), (3, 1, A, " "), (4, 0, U, "q" * 20_000_000), (4, 1, A, "a")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    small = {r["conv_id"]: r for r in chat.checked_conversations(df).collect()}
-    cfg = AssembleConfig(max_turns=30, chunk=7)
-    large = {r["conv_id"]: r for r in chat.checked_conversations(df, cfg).collect()}
-    assert {c: r["error"] for c, r in small.items()} == {c: r["error"] for c, r in large.items()}
-    assert large[1]["key"] == large[2]["key"] != large[3]["key"]
-    assert large[4]["key"] == small[4]["key"]
-    _, rest = chat.assemble(df, cfg)
-    assert {r["conv_id"] for r in rest.select("conv_id").distinct().collect()} == {1, 2, 3, 7, 8}
+    made = chat.assemble(df)
+    got = {r["conv_id"]: r["n"] for r in made.select("conv_id", F.size("messages").alias("n")).collect()}
+    assert got == {1: 60_000, 2: 2, 3: 2, 4: 2}
+    rows = {r["conv_id"]: r for r in chat.checked_conversations(df).collect()}
+    assert {c: r["error"] for c, r in rows.items()} == {1: None, 2: None, 3: "blank content in role assistant", 4: None}
+    texts = ["||".join(t for _, i, _, t in turns[:60_000] if i % 2 == side) for side in (0, 1)]
+    assert rows[1]["key"] == hashlib.sha256("###".join(texts).encode()).hexdigest()
+    assert rows[2]["key"] == hashlib.sha256(b"q###a").hexdigest()
 
 
 @pytest.mark.parametrize("size,kept", [(9, 0), (10, 1)])
