@@ -1,7 +1,7 @@
 """Corpus queries.
 
-Instruction rows come from ``documents``: type = lang, category = source, instruction = a phrase
-with the language, output = text. Chat examples come from ``conversations``.
+Instruction rows come from ``documents``: type = lang, category = source, instruction = the text for
+every third row, else a phrase with the language, output = text. Chat examples come from ``conversations``.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ def instruction_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.col("doc_id").alias("row_id"),
         F.col("lang").alias("type"),
         F.when(F.col("doc_id") % 10 != 0, F.col("source")).alias("category"),
-        F.concat(F.lit("Write in "), F.col("lang")).alias("instruction"),
+        F.when(F.col("doc_id") % 3 == 0, F.col("text"))
+        .otherwise(F.concat(F.lit("Write in "), F.col("lang")))
+        .alias("instruction"),
         F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("input"),
         F.col("text").alias("output"),
     )
@@ -43,7 +45,7 @@ def instruction_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_ROWS = """rows_ AS (
   SELECT doc_id AS row_id, lang AS type, CASE WHEN doc_id % 10 <> 0 THEN source END AS category,
-         'Write in ' || lang AS instruction, CASE WHEN doc_id % 2 = 0 THEN lang END AS input,
+         CASE WHEN doc_id % 3 = 0 THEN text ELSE 'Write in ' || lang END AS instruction, CASE WHEN doc_id % 2 = 0 THEN lang END AS input,
          text AS output
   FROM documents)"""
 
@@ -73,21 +75,21 @@ def drop_category_prefixes(spark: SparkSession, sf: str) -> DataFrame:
     return rows.drop_categories(instruction_rows(spark, sf), CLEAN).select("row_id", "category")
 
 
-def _drop_pattern(pattern: str):
+def _drop_pattern(column: str, pattern: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         df = instruction_rows(spark, sf)
-        return rows.drop_matching(df, "output", pattern).select("row_id")
+        return rows.drop_matching(df, column, pattern).select("row_id")
 
-    sql = f"SELECT doc_id AS row_id FROM documents WHERE NOT regexp_matches(text, '{pattern}', 'i')"
+    sql = f"WITH {SQL_ROWS} SELECT row_id FROM rows_ WHERE NOT regexp_matches({column}, '{pattern}', 'i')"
     return sql, run
 
 
-for _name, _pattern in (
-    ("drop_instruction_noise", P_INSTRUCTION),
-    ("drop_broken_templates", P_BROKEN),
-    ("drop_placeholders", P_PLACEHOLDER),
+for _name, _column, _pattern in (
+    ("drop_instruction_noise", "instruction", P_INSTRUCTION),
+    ("drop_broken_templates", "output", P_BROKEN),
+    ("drop_placeholders", "output", P_PLACEHOLDER),
 ):
-    _sql, _run = _drop_pattern(_pattern)
+    _sql, _run = _drop_pattern(_column, _pattern)
     query(_name, _sql)(_run)
 
 _WIDE = "'  ' || replace(replace(text, '.', '.  '), chr(10), chr(10) || chr(10) || chr(10)) || chr(9)"

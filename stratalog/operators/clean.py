@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from stratalog.config import CleanConfig, MixConfig
 from stratalog.functions.messages import last
 from stratalog.functions.text import clean, matches
+from stratalog.session import scratch_path
+from stratalog.sources.chat_files import staged
 
 TEXT_COLUMNS = ("instruction", "input", "output")
 
@@ -122,7 +124,11 @@ def dedup_rows(df: DataFrame, order: list[str], columns: tuple[str, ...] = TEXT_
 def filter_and_clean(
     df: DataFrame, order: list[str], cfg: CleanConfig = CleanConfig()
 ) -> DataFrame:
-    """All filters, then cleaning, then first-row-wins deduplication."""
+    """All filters, then cleaning, then first-row-wins deduplication.
+
+    The cleaned rows are written to the shared folder once. The keys are then aggregated by hashing,
+    without the texts, and the first rows come back by a semi-join.
+    """
     kept = drop_categories(keep_types(df, cfg), cfg)
     if cfg.instruction_pattern:
         kept = drop_matching(kept, "instruction", cfg.instruction_pattern)
@@ -132,8 +138,8 @@ def filter_and_clean(
         kept = drop_matching(kept, "output", cfg.placeholder_pattern)
     kept = clean_text(kept)
     kept = length_between(kept, "output", cfg.min_output, cfg.max_output)
-    # one read: the rules cost more than carrying the rows through the aggregate
-    return first_rows(kept, row_key(), order, carry=True)
+    kept = staged(kept.withColumn("_digest", row_key()), scratch_path(df.sparkSession, "cleaned"))
+    return first_rows(kept, F.col("_digest"), order).drop("_digest")
 
 
 def funnel(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
