@@ -203,7 +203,7 @@ def _lower_sql(column: str) -> str:
         FROM (SELECT row_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)
     ),
     hits AS (SELECT row_id, p.n, i, item_id FROM places p JOIN windows USING (win)),
-    words AS (SELECT row_id, count(DISTINCT at) AS n_hit FROM (SELECT row_id, unnest(range(i, i + n)) AS at FROM hits) GROUP BY row_id),
+    words AS (SELECT row_id, count(DISTINCT place) AS n_hit FROM (SELECT row_id, unnest(range(i, i + n)) AS place FROM hits) GROUP BY row_id),
     named AS (
         SELECT row_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
         FROM (SELECT DISTINCT row_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY row_id
