@@ -1,11 +1,14 @@
 """Keyed state on streams: the whole ``events`` table as a stream, run until nothing is left.
 
-Rows newer than the final watermark are still held back when the stream ends, so they are not part
-of the result.
+A stream holds back rows newer than its watermark. When the input is over, a second source sends one
+row from the far future: the watermark passes all events, what was held back comes out, and the
+result covers the whole table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +18,8 @@ from stratalog.functions.times import micros
 from stratalog.session import scratch_path
 from stratalog.streaming import states
 
-_MARK = "(SELECT (max(epoch_us(ts)) - 600000000) // 1000 * 1000 FROM events)"
+END = "end of input"
+LATEST = "2250-01-01 00:00:00"  # times cross into pandas as nanoseconds, which end in 2262
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,26 +30,44 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     return stream.withColumn("ts", utc("ts"))
 
 
-def drained(stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream over all available input into a Parquet folder and read that."""
+def drained(
+    stream: DataFrame, key: str, time: str, build: Callable[[DataFrame], DataFrame], name: str
+) -> DataFrame:
+    """Run a stream over all available input into a Parquet folder and read that.
+
+    The same query runs twice from one checkpoint, the second time with the closing row.
+    """
     spark = stream.sparkSession
-    out, marks = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    job = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", marks)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+    out, marks, end = (scratch_path(spark, f"{name}{part}") for part in ("", "-checkpoint", "-end"))
+    latest = F.to_timestamp(F.lit(LATEST))
+    closing = spark.range(1).select(
+        *[
+            (F.lit(END) if f.name == key else latest if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in stream.schema
+        ]
     )
-    job.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    closing.limit(0).write.parquet(end)
+    last = spark.readStream.schema(stream.schema).parquet(end)
+    folded = build(stream.unionByName(last))
+    for rows in (None, closing):
+        if rows is not None:
+            rows.write.mode("append").parquet(end)
+        job = (
+            folded.writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", marks)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        job.awaitTermination()
+    return spark.read.schema(folded.schema).parquet(out).where(F.col(key) != END)
 
 
 @query(
     "session_context_stream",
     f"""WITH {SQL_CONTEXT} SELECT session_id, t AS event_us, created_us, at_id IS NOT NULL AS has_context,
-      'w' || at_id AS well_name FROM cx WHERE t <= {_MARK}""",
+      'w' || at_id AS well_name FROM cx""",
 )
 def session_context_stream(spark: SparkSession, sf: str) -> DataFrame:
     made = F.col("event_type") == "purchase"
@@ -55,7 +77,7 @@ def session_context_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.when(made, "prediction").otherwise("other").alias("kind"),
         F.when(made, F.concat(F.lit("w"), F.col("event_id"))).alias("well_name"),
     )
-    out = drained(states.session_context(events), "session-context")
+    out = drained(events, "session_id", "ts", states.session_context, "session-context")
     return out.select(
         F.col("session_id").cast("bigint").alias("session_id"),
         micros("ts").alias("event_us"),
@@ -67,7 +89,7 @@ def session_context_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "served_values_stream",
-    f"""WITH RECURSIVE ev AS (SELECT event_id, event_type AS series, epoch_us(ts) AS t, value >= 20 AS ok,
+    """WITH RECURSIVE ev AS (SELECT event_id, event_type AS series, epoch_us(ts) AS t, value >= 20 AS ok,
         value FROM events),
       g AS (SELECT series, t FROM ev WHERE ok),
       st AS (SELECT series, min(t) AS t FROM g GROUP BY series
@@ -79,7 +101,7 @@ def session_context_stream(spark: SparkSession, sf: str) -> DataFrame:
         ON ev.series = sv.series AND ev.t >= sv.t)
     SELECT series, t AS fetched_us, ok, sv AS served_value, st AS served_us,
       CASE WHEN st IS NULL THEN 'failed' WHEN t - st > 3600000000 THEN 'stale'
-        WHEN t = st THEN 'refreshed' ELSE 'cached' END AS state FROM j WHERE t <= {_MARK}""",
+        WHEN t = st THEN 'refreshed' ELSE 'cached' END AS state FROM j""",
 )
 def served_values_stream(spark: SparkSession, sf: str) -> DataFrame:
     requests = event_stream(spark, sf).select(
@@ -88,7 +110,7 @@ def served_values_stream(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("value") >= 20).alias("ok"),
         "value",
     )
-    out = drained(states.served_values(requests), "served-values")
+    out = drained(requests, "series", "fetched_at", states.served_values, "served-values")
     return out.select(
         "series", micros("fetched_at").alias("fetched_us"), "ok", "served_value",
         micros("served_at").alias("served_us"), "state",

@@ -26,7 +26,7 @@ SERVED_ROW = (
     "series string, fetched_at long, ok boolean, served_value double, served_at long, "
     "state string"
 )
-_BUFFER = "created long, well string, times array<long>, kinds array<string>, wells array<string>"
+_BUFFER = "created long, known boolean, well string, times array<long>, kinds array<string>, wells array<string>"
 _HELD = "at long, value double, times array<long>, oks array<boolean>, vals array<double>"
 
 
@@ -47,7 +47,9 @@ def session_context(
     def fold(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        created, well, times, kinds, wells = state.get if state.exists else (None, None, [], [], [])
+        created, known, well, times, kinds, wells = (
+            state.get if state.exists else (None, False, None, [], [], [])
+        )
         times, kinds, wells = list(times), list(kinds), list(wells)
         for batch in batches:
             times += batch["_us"].tolist()
@@ -61,12 +63,12 @@ def session_context(
                 held.append((t, kind, name))
                 continue
             if created is None or t - created > ttl:
-                created, well = t, None
+                created, known, well = t, False, None
             if kind == "prediction":
-                well = name
-            out.append((t, kind, created, well))
+                known, well = True, name
+            out.append((t, kind, created, known, well))
         state.update(
-            (created, well, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held])
+            (created, known, well, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held])
         )
         if held:
             state.setTimeoutTimestamp(max(held[0][0] // 1000 + 1, mark // 1000 + 1))
@@ -81,8 +83,8 @@ def session_context(
                     "ts": _longs([o[0] for o in out]),
                     "kind": [o[1] for o in out],
                     "created_at": _longs([o[2] for o in out]),
-                    "has_context": [o[3] is not None for o in out],
-                    "well_name": [o[3] for o in out],
+                    "has_context": [o[3] for o in out],
+                    "well_name": [o[4] for o in out],
                 }
             )
 
