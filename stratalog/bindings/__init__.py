@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalog.config import SkewConfig
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -29,6 +31,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+#: for queries that take the path of hot keys on tables of any size
+SMALL_BLOCKS = SkewConfig(max_rows=50)
+
+
 def utc(column: str) -> Column:
     """A time without zone as UTC, whatever the zone of the session."""
     local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(column))

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog import config as C
-from stratalog.bindings import query, table, utc
-from stratalog.config import SeriesConfig, SessionConfig
+from stratalog.bindings import SMALL_BLOCKS, query, table, utc
+from stratalog.config import SeriesConfig, SessionConfig, SkewConfig
 from stratalog.functions import audit_rules as R
 from stratalog.functions.times import micros
 from stratalog.operators import audit, series, sessions
@@ -287,30 +287,39 @@ def session_cap(spark: SparkSession, sf: str) -> DataFrame:
     return alive.select("session_id", micros("created_at").alias("created_us"))
 
 
-@query(
-    "session_context",
-    f"""WITH {SQL_CONTEXT} SELECT event_id, session_id, created_us, at_id IS NOT NULL AS has_context,
-      'w' || at_id AS well_name, 'summary ' || at_id AS summary, nz AS n_zones,
-      CASE WHEN nz > 0 THEN 'class ' || nz END AS dominant_lithology FROM cx""",
-)
-def session_context(spark: SparkSession, sf: str) -> DataFrame:
-    seen = sessions.with_context(session_events(spark, sf), ["ts", "event_id"])
+SQL_SESSION_CONTEXT = f"""WITH {SQL_CONTEXT} SELECT event_id, session_id, created_us, at_id IS NOT NULL
+      AS has_context, 'w' || at_id AS well_name, 'summary ' || at_id AS summary, nz AS n_zones,
+      CASE WHEN nz > 0 THEN 'class ' || nz END AS dominant_lithology FROM cx"""
+
+
+@query("session_context", SQL_SESSION_CONTEXT)
+def session_context(spark: SparkSession, sf: str, skew: SkewConfig = SkewConfig()) -> DataFrame:
+    seen = sessions.with_context(session_events(spark, sf), ["ts", "event_id"], skew=skew)
     return seen.select(
         "event_id", "session_id", micros("created_at").alias("created_us"), "has_context",
         "well_name", "summary", "n_zones", "dominant_lithology",
     )
 
 
+@query("session_context_blocks", SQL_SESSION_CONTEXT)
+def session_context_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, every session cut into blocks as a hot one would be."""
+    return session_context(spark, sf, SMALL_BLOCKS)
+
+
 @query(
     "attached_predictions",
     f"""WITH {SQL_CONTEXT} SELECT session_id, created_us, count(*) FILTER (WHERE event_type = 'purchase')
-      AS n_predictions, 'w' || max(CASE WHEN event_type = 'purchase' THEN event_id END) AS well_name
+      AS n_predictions, 'w' || max(CASE WHEN event_type = 'purchase' THEN event_id END) AS well_name,
+      arg_max(nz, t) AS n_zones,
+      CASE WHEN arg_max(nz, t) > 0 THEN 'class ' || arg_max(nz, t) END AS dominant_lithology
       FROM cx GROUP BY session_id, created_us""",
 )
 def attached_predictions(spark: SparkSession, sf: str) -> DataFrame:
     final = sessions.attached(session_events(spark, sf), ["ts", "event_id"])
     return final.select(
-        "session_id", micros("created_at").alias("created_us"), "n_predictions", "well_name"
+        "session_id", micros("created_at").alias("created_us"), "n_predictions", "well_name", "n_zones",
+        "dominant_lithology",
     )
 
 
@@ -337,14 +346,18 @@ SQL_HISTORY = r"""h AS (SELECT conv_id, turn, role, text, string_agg(
     FROM h)"""
 
 
-@query(
-    "history_window",
-    f"WITH {SQL_HISTORY} SELECT conv_id, turn, history FROM hist",
-)
+@query("history_window", f"WITH {SQL_HISTORY} SELECT conv_id, turn, history FROM hist")
 def history_window(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.history(table(spark, sf, "conversations")).select("conv_id", "turn", "history")
 
 
+@query("history_window_blocks", f"WITH {SQL_HISTORY} SELECT conv_id, turn, history FROM hist")
+def history_window_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, with conversations cut into blocks of about two turns."""
+    turns = table(spark, sf, "conversations")
+    return sessions.history(turns, skew=SkewConfig(max_rows=2)).select("conv_id", "turn", "history")
+
+
 _SYSTEM = "You are a geologist."
 _SEP = "chr(10) || chr(10) || '---' || chr(10) || chr(10)"
 _RULES = C.LITHOLOGY_RULES.replace("'", "''")

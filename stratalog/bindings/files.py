@@ -195,9 +195,20 @@ def upload_listing(spark: SparkSession, sf: str) -> DataFrame:
     return listed.groupBy("kind", error.alias("error")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("upload_size_cap")
+@query(
+    "upload_size_cap",
+    """WITH lines AS (SELECT l_suppkey AS w, l_orderkey // 200000 AS part, l_orderkey || '  ' ||
+        CASE WHEN l_linenumber = 3 THEN '-999.25' ELSE CAST(l_quantity AS VARCHAR) END || '  ' ||
+        CASE WHEN l_linenumber = 4 THEN '-999.9' ELSE CAST(l_discount AS VARCHAR) END AS line FROM lineitem),
+      head AS (SELECT '~Version|' || ' VERS. 2.0 : v|' || ' WRAP. NO : one line per depth|' || '~Well|' ||
+        ' NULL. -999.25 :|' || ' WELL. W : name|' || '~Curve|' || ' DEPT.M : depth|' || ' GR.API : gamma|' ||
+        ' NPHI.V/V : neutron|' || '~A DEPT GR NPHI|' AS text),
+      files AS (SELECT w, part, CAST(sum(length(line) + 1) AS BIGINT) + length(w::VARCHAR) + max(length(text)) AS n
+        FROM lines, head GROUP BY w, part)
+    SELECT n > 16384 AS too_large, count(*) AS n, min(n) AS min_length, max(n) AS max_length FROM files GROUP BY 1""",
+)
 def upload_size_cap(spark: SparkSession, sf: str) -> DataFrame:
-    """Files over a cap of 16 KB, listed without their contents; sizes depend on number formats."""
+    """Files over a cap of 16 KB, listed without their contents."""
     root = scratch_path(spark, "capped")
     _write_las(spark, sf, root)
     listed = log_files.listing(spark, root, 16384)

@@ -11,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalog.bindings import query, table, utc
+from stratalog.bindings import SMALL_BLOCKS, query, table, utc
 from stratalog.config import EvalConfig, WellConfig
 from stratalog.operators import evals, mix, scoring, wells
+from stratalog.plans import wells as plan
 
 CURVES = ("GR", "RDEP", "RHOB", "NPHI")
 CONTRACT = WellConfig(required=("GR", "RDEP", "RHOB", "DTC"), optional=("NPHI", "CALI"))
@@ -155,7 +156,7 @@ def well_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _drift(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Curves shifted per well so that all states occur; training wells = group hold-out."""
+    """Curves shifted per well so that all states occur; the profile is that of the training wells."""
     k = F.col("well")
     df = samples(spark, sf).withColumns(
         {
@@ -164,19 +165,22 @@ def _drift(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
             "RHOB": F.col("RHOB") + F.when(k % 20 == 0, 1.0).otherwise(0.0),
         }
     )
-    train = samples(spark, sf)
+    train = mix.group_holdout(samples(spark, sf), "well", 0.25, 42).where("split = 'train'")
     profile = wells.drift_profile(train, list(CURVES))
     return df, wells.drift_report(df, profile, list(CURVES))
 
 
-_SQL_DRIFT = """c AS (SELECT l_suppkey AS well,
+_SQL_TRAINING = (
+    "CAST('0x' || substr(sha256(l_suppkey || '|42'), 1, 8) AS BIGINT) >= 0.25 * 4294967296"
+)
+_SQL_DRIFT = f"""c AS (SELECT l_suppkey AS well,
     l_quantity + CASE WHEN l_suppkey % 5 = 0 THEN 100 ELSE 0 END AS gr,
     l_extendedprice + CASE WHEN l_suppkey % 10 = 0 THEN 1000000 ELSE 0 END AS rdep,
     l_discount + CASE WHEN l_suppkey % 20 = 0 THEN 1 ELSE 0 END AS rhob, l_tax AS nphi FROM lineitem),
   b AS (SELECT quantile_disc(l_quantity, [0.01, 0.99]) AS gr,
     quantile_disc(l_extendedprice, [0.01, 0.99]) AS rdep,
     quantile_disc(l_discount, [0.01, 0.99]) AS rhob, quantile_disc(l_tax, [0.01, 0.99]) AS nphi
-    FROM lineitem),
+    FROM lineitem WHERE {_SQL_TRAINING}),
   o AS (SELECT well, avg(CAST(c.gr < b.gr[1] OR c.gr > b.gr[2] AS INT)) > 0.25 AS f1,
     avg(CAST(c.rdep < b.rdep[1] OR c.rdep > b.rdep[2] AS INT)) > 0.25 AS f2,
     avg(CAST(c.rhob < b.rhob[1] OR c.rhob > b.rhob[2] AS INT)) > 0.25 AS f3,
@@ -208,15 +212,21 @@ def refusal_gate(spark: SparkSession, sf: str) -> DataFrame:
     return kept.groupBy("well").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "lithology_zones",
-    f"""WITH {SQL_ZONES} SELECT well, run, top, base, thickness, lithology, lithology_code,
-      confidence, n_samples FROM z""",
-)
+SQL_ALL_ZONES = f"""WITH {SQL_ZONES} SELECT well, run, top, base, thickness, lithology, lithology_code,
+      confidence, n_samples FROM z"""
+
+
+@query("lithology_zones", SQL_ALL_ZONES)
 def lithology_zones(spark: SparkSession, sf: str) -> DataFrame:
     return all_zones(spark, sf)
 
 
+@query("lithology_zones_blocks", SQL_ALL_ZONES)
+def lithology_zones_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, every well cut into blocks as a hot one would be."""
+    return wells.zones(class_samples(spark, sf), ["event_id"], SMALL_BLOCKS)
+
+
 @query(
     "minimum_thickness",
     f"WITH {SQL_ZONES} SELECT well, run, thickness FROM z WHERE thickness >= 3600",
@@ -277,7 +287,7 @@ def low_confidence_share(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "well_summary",
-    f"""WITH {SQL_ZONES}, z2 AS (SELECT * REPLACE (0.75::DOUBLE AS confidence) FROM z),
+    f"""WITH {SQL_ZONES}, z2 AS (SELECT * FROM z),
     sh AS (SELECT well, lithology, sum(thickness) AS t,
       sum(sum(thickness)) OVER (PARTITION BY well) AS total FROM z2 GROUP BY well, lithology),
     tl AS (SELECT well, string_agg('  ' || rpad(lithology, 17, ' ') || ' ' ||
@@ -287,23 +297,26 @@ def low_confidence_share(spark: SparkSession, sf: str) -> DataFrame:
     zl AS (SELECT well, count(*) AS k, string_agg('  ' || printf('%.1f', top) || '–' ||
         printf('%.1f', base) || ' m ' || lpad(printf('%.1f', thickness),
         CAST(greatest(7, length(printf('%.1f', thickness))) AS INTEGER), ' ') || ' m ' || rpad(lithology, 17, ' ') ||
-        ' conf 0.75', chr(10) ORDER BY top, run) AS lines FROM o WHERE rank <= 8 GROUP BY well),
+        ' conf ' || printf('%.2f', round(confidence, 2)), chr(10) ORDER BY top, run) AS lines FROM o WHERE rank <= 8 GROUP BY well),
     w AS (SELECT well, min(depth) AS lo, max(depth) AS hi, count(*) AS n FROM s GROUP BY well),
-    nz AS (SELECT well, count(*) AS nz FROM z2 GROUP BY well)
+    nz AS (SELECT well, count(*) AS nz, sum(confidence * thickness) / sum(thickness) AS conf,
+      sum(CASE WHEN confidence < 0.65 THEN thickness ELSE 0 END) / sum(thickness) AS low
+      FROM z2 GROUP BY well)
     SELECT well, CASE WHEN well % 3 = 2 THEN 'Well ' || well || ': prediction REFUSED. Too far out.'
       ELSE 'Well ' || well || ' — logged ' || printf('%.1f', lo) || '–' || printf('%.1f', hi) ||
       ' m MD (' || n || ' samples, ' || nz || ' zones).' ||
       CASE WHEN well % 3 = 1 THEN chr(10) || 'CAUTION: Too far out.' ELSE '' END ||
       chr(10) || chr(10) || 'Lithology totals:' || chr(10) || tl.lines || chr(10) || chr(10) ||
       'Thickest zones (top ' || k || '):' || chr(10) || zl.lines || chr(10) || chr(10) ||
-      'Confidence 0.75 mean (thickness-weighted); 0% of the column is below 0.65 and should be ' ||
+      'Confidence ' || printf('%.2f', round(conf, 2)) || ' mean (thickness-weighted); ' ||
+      printf('%.0f', round(low * 100)) || '% of the column is below 0.65 and should be ' ||
       'treated as uncertain.' || chr(10) || 'Model blind spots — NOT reliably detected, so do not ' ||
       'state their absence as fact: Chalk, Tuff, Marl, Dolomite.' END AS summary
     FROM w JOIN nz USING (well) JOIN tl USING (well) JOIN zl USING (well)""",
 )
 def well_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """One confidence for all zones, so every printed number is the same on both sides."""
-    z = all_zones(spark, sf).withColumn("confidence", F.lit(0.75))
+    """Confidences are in 128ths, so their sums are the same on both sides."""
+    z = all_zones(spark, sf)
     k = F.col("well") % 3
     w = class_samples(spark, sf).groupBy("well").agg(
         F.min("depth").alias("depth_min"),
@@ -318,17 +331,17 @@ def well_summary(spark: SparkSession, sf: str) -> DataFrame:
     return wells.summary_text(w, z)
 
 
-@query(
-    "curve_downsample",
-    """WITH n AS (SELECT l_suppkey AS well, greatest(count(*) // 100, 1) AS step FROM lineitem
+SQL_DOWNSAMPLE = """WITH n AS (SELECT l_suppkey AS well, greatest(count(*) // 100, 1) AS step FROM lineitem
       GROUP BY 1),
     r AS (SELECT l_suppkey AS well, l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax,
       row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_quantity,
         l_extendedprice, l_discount, l_tax) AS rn FROM lineitem)
     SELECT well, round(l_orderkey::DOUBLE, 2) AS depth, round(l_quantity, 3) AS "GR",
       round(l_extendedprice, 3) AS "RDEP", round(l_discount, 3) AS "RHOB", round(l_tax, 3) AS "NPHI"
-    FROM r JOIN n USING (well) WHERE (rn - 1) % step = 0""",
-)
+    FROM r JOIN n USING (well) WHERE (rn - 1) % step = 0"""
+
+
+@query("curve_downsample", SQL_DOWNSAMPLE)
 def curve_downsample(spark: SparkSession, sf: str) -> DataFrame:
     """A hundred points instead of six hundred, so that wells are thinned at every scale."""
     cfg = WellConfig(plot_points=100, plot_curves=CURVES)
@@ -336,6 +349,14 @@ def curve_downsample(spark: SparkSession, sf: str) -> DataFrame:
     return wells.downsample(df, ["DEPT", "l_linenumber", *CURVES], cfg)
 
 
+@query("curve_downsample_blocks", SQL_DOWNSAMPLE)
+def curve_downsample_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, every well cut into blocks as a hot one would be."""
+    cfg = WellConfig(plot_points=100, plot_curves=CURVES)
+    df = samples(spark, sf).drop("DTC")
+    return wells.downsample(df, ["DEPT", "l_linenumber", *CURVES], cfg, SMALL_BLOCKS)
+
+
 @query(
     "plot_header",
     """SELECT l_suppkey AS well, min(l_orderkey)::DOUBLE AS depth_min, max(l_orderkey)::DOUBLE AS depth_max,
@@ -350,75 +371,128 @@ def plot_header(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "well_lookup",
-    """SELECT 'well-' || l.k AS id, s_name AS well_name,
-      CASE WHEN s_suppkey IS NULL THEN 'unknown sample well: well-' || l.k END AS error
-    FROM (SELECT DISTINCT l_suppkey AS k FROM lineitem) l
-    LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON k = s_suppkey""",
+    """SELECT 'well-' || k AS id, s_name AS well_name,
+      CASE WHEN s_suppkey IS NULL THEN 'unknown sample well: well-' || k END AS error
+    FROM (SELECT DISTINCT l_suppkey * unnest([1, -1]) AS k FROM lineitem) LEFT JOIN supplier ON k = s_suppkey""",
 )
 def well_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Catalogue = suppliers with a positive balance."""
-    asked = table(spark, sf, "lineitem").select(
-        F.concat(F.lit("well-"), F.col("l_suppkey")).alias("id")
-    ).distinct()
-    catalogue = table(spark, sf, "supplier").where("s_acctbal > 0").select(
+    """Catalogue = all suppliers; negative ids are in none."""
+    key = F.col("l_suppkey")
+    asked = table(spark, sf, "lineitem").select(F.explode(F.array(key, -key)).alias("k")).distinct()
+    asked = asked.select(F.concat(F.lit("well-"), "k").alias("id"))
+    catalogue = table(spark, sf, "supplier").select(
         F.concat(F.lit("well-"), F.col("s_suppkey")).alias("id"), F.col("s_name").alias("well_name")
     )
     return wells.lookup(asked, catalogue).select("id", "well_name", "error")
 
 
-@query(
-    "well_outcomes",
-    f"""WITH {_SQL_DRIFT} SELECT well,
-      CASE WHEN well % 9 = 0 OR well % 2 <> 0 THEN 'rejected' WHEN status = 'out_of_distribution'
-        THEN 'refused' WHEN status <> 'ok' THEN 'warned' ELSE 'predicted' END AS outcome,
-      CASE WHEN well % 9 = 0 THEN 'Cannot predict: unreadable'
-        WHEN well % 2 <> 0 THEN
-          'Cannot predict: missing required curve(s): DTC. Required: GR, RDEP, RHOB, DTC.'
-        WHEN status <> 'ok' THEN message END AS warning,
-      CASE WHEN well % 9 = 0 OR well % 2 <> 0 OR status = 'out_of_distribution' THEN 0
-        ELSE n END::BIGINT AS n_zones
-    FROM drift JOIN (SELECT l_suppkey AS well, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1)
-      USING (well)""",
-)
-def well_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """Every ninth file is unreadable; zone counts stand in as the number of depths."""
-    df, report = _drift(spark, sf)
-    contract = wells.contract_rejects(wells.curve_report(df, CONTRACT), CONTRACT)
-    listed = df.select("well").distinct().withColumn(
-        "error", F.when(F.col("well") % 9 == 0, F.lit("unreadable"))
-    )
-    counts = df.groupBy("well").agg(F.count_distinct("DEPT").alias("n_zones"))
-    return wells.outcomes(listed, contract, report, counts)
+# --- scoring and the whole chain: wells whose class follows a rule that a forest learns exactly --
+
+LEARNED = ("DRHO", "CALI")
+NAMES = "CASE code WHEN 0 THEN 'Shale' WHEN 1 THEN 'Sandstone' ELSE 'Chalk' END"
 
 
-# --- scoring: rows only, there is no SQL for a trained forest ---------------------------------
+def rule_wells(spark: SparkSession, sf: str) -> DataFrame:
+    """Class by line number: 1 and 2, 3 and 4, the rest. Two curves tell it; others are as above,
+    shifted for drift in every fifth well."""
+    df, _ = _drift(spark, sf)
+    n = F.col("l_linenumber")
+    return df.withColumns(
+        {
+            "DRHO": n.cast("double"),
+            "CALI": (8 - n).cast("double"),
+            "label": F.when(n <= 2, 0).when(n <= 4, 1).otherwise(2),
+        }
+    )
 
 
-FEATURES = [(i, f"x{i}") for i in range(64)]
+_SQL_RULE = """k AS (SELECT l_suppkey AS well, l_orderkey::DOUBLE AS depth, l_linenumber,
+    CASE WHEN l_linenumber <= 2 THEN 0 WHEN l_linenumber <= 4 THEN 1 ELSE 2 END AS code FROM lineitem)"""
 
 
-def _vectors(spark: SparkSession, sf: str) -> DataFrame:
-    v = table(spark, sf, "embeddings").select(
-        "vec_id", "label", *[F.col("embedding")[i].cast("double").alias(c) for i, c in FEATURES]
-    )
-    return mix.group_holdout(v, "vec_id", 0.25, 42)
+def _model(data: DataFrame):
+    train = mix.group_holdout(data, "well", 0.25, 42).where("split = 'train'")
+    return scoring.train(train, list(LEARNED), trees=5)
 
 
-@query("score_depths")
+@query(
+    "score_depths",
+    f"WITH {_SQL_RULE} SELECT well, depth, l_linenumber, code AS lithology_code, 1.0::DOUBLE AS confidence FROM k",
+)
 def score_depths(spark: SparkSession, sf: str) -> DataFrame:
-    """Train on one side of the hold-out, score all rows: class code and confidence."""
-    data = _vectors(spark, sf)
-    model = scoring.train(data.where("split = 'train'"), [c for _, c in FEATURES])
-    scored = scoring.score(data, model)
-    return scored.select("vec_id", "lithology_code", "confidence")
+    """Train on the wells of one side of the hold-out, score all rows: class code and confidence."""
+    data = rule_wells(spark, sf)
+    scored = scoring.score(data, _model(data))
+    return scored.select(
+        "well", F.col("DEPT").alias("depth"), "l_linenumber", "lithology_code",
+        F.round("confidence", 9).alias("confidence"),
+    )
 
 
-@query("classifier_metrics")
+@query(
+    "classifier_metrics",
+    f"""SELECT count(*) AS n_test, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS weighted_f1 FROM lineitem
+    WHERE NOT ({_SQL_TRAINING})""",
+)
 def classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Accuracy and weighted F1 on the held-out side."""
-    data = _vectors(spark, sf)
-    model = scoring.train(data.where("split = 'train'"), [c for _, c in FEATURES])
-    return scoring.held_out_table(scoring.score(data.where("split = 'test'"), model))
+    """Accuracy and weighted F1 on the wells that were held out."""
+    data = mix.group_holdout(rule_wells(spark, sf), "well", 0.25, 42)
+    return scoring.held_out_table(scoring.score(data.where("split = 'test'"), _model(data.drop("split"))))
+
+
+_SQL_CHAIN = f"""{_SQL_DRIFT}, {_SQL_RULE},
+  kp AS (SELECT *, lag(code) OVER w IS DISTINCT FROM code AS st FROM k
+    WHERE well % 2 = 0 AND well NOT IN (SELECT well FROM drift WHERE status = 'out_of_distribution')
+    WINDOW w AS (PARTITION BY well ORDER BY depth, l_linenumber)),
+  kr AS (SELECT *, sum(CAST(st AS INT)) OVER (PARTITION BY well ORDER BY depth, l_linenumber
+    ROWS UNBOUNDED PRECEDING) AS run FROM kp),
+  kz AS (SELECT well, run, min(depth) AS top, max(depth) AS bottom, min(code) AS code, count(*) AS n
+    FROM kr GROUP BY well, run),
+  kt AS (SELECT *, coalesce(lead(top) OVER (PARTITION BY well ORDER BY run), bottom) - top AS thickness FROM kz),
+  thick AS (SELECT well, {NAMES} AS lithology, count(*) AS n, sum(thickness) AS thickness FROM kt
+    WHERE thickness >= 0.5 GROUP BY well, lithology)"""
+
+
+def _predicted(spark: SparkSession, sf: str) -> plan.Prediction:
+    data = rule_wells(spark, sf)
+    code = F.col("id").cast("int")
+    names = spark.range(3).select(code.alias("lithology_code"), F.expr(NAMES.replace("code", "id")).alias("lithology"))
+    train = mix.group_holdout(samples(spark, sf), "well", 0.25, 42).where("split = 'train'")
+    profile = wells.drift_profile(train, list(CURVES))
+    files = data.select((-F.col("well")).alias("well")).distinct().withColumn("error", F.lit("unreadable"))
+    return plan.predict(
+        data.drop("label"), _model(data), names, profile, list(CURVES), CONTRACT,
+        file_errors=files, tie=["l_linenumber"],
+    )
+
+
+@query(
+    "well_predict",
+    f"""WITH {_SQL_CHAIN} SELECT well, lithology, n AS n_zones, thickness,
+      round(thickness / sum(thickness) OVER (PARTITION BY well), 4) AS fraction FROM thick""",
+)
+def well_predict(spark: SparkSession, sf: str) -> DataFrame:
+    """Contract, drift, scoring, zones and shares in one chain: share of each class in each well."""
+    got = _predicted(spark, sf)
+    counts = got.zones.groupBy("well", "lithology").agg(F.count(F.lit(1)).alias("n_zones"))
+    shares = got.shares.select("well", "lithology", "thickness", "fraction")
+    return shares.join(counts, ["well", "lithology"])
+
+
+@query(
+    "well_outcomes",
+    f"""WITH {_SQL_CHAIN}, n AS (SELECT well, sum(n) AS n FROM thick GROUP BY well)
+    SELECT well, CASE WHEN well % 2 <> 0 THEN 'rejected' WHEN status = 'out_of_distribution'
+        THEN 'refused' WHEN status <> 'ok' THEN 'warned' ELSE 'predicted' END AS outcome,
+      CASE WHEN well % 2 <> 0 THEN
+          'Cannot predict: missing required curve(s): DTC. Required: GR, RDEP, RHOB, DTC.'
+        WHEN status <> 'ok' THEN message END AS warning, coalesce(n, 0)::BIGINT AS n_zones
+    FROM drift LEFT JOIN n USING (well)
+    UNION ALL SELECT DISTINCT -l_suppkey, 'rejected', 'Cannot predict: unreadable', 0 FROM lineitem""",
+)
+def well_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """One outcome per input of the chain; a file with negative number could not be read."""
+    return _predicted(spark, sf).outcomes
 
 
 # --- evaluation -----------------------------------------------------------------------------

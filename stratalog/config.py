@@ -138,16 +138,13 @@ BRENT_SERIES = "RBRTE"
 
 @dataclass(frozen=True)
 class SkewConfig:
-    """When a key counts as hot and how finely it is cut.
+    """When a key counts as hot: with more rows than one task should order.
 
-    A key is hot above ``max(min_rows, share * all rows)``, so there are fewer than ``1 / share``
-    hot keys whatever the data size: everything kept per hot key is small by construction.
+    Hot keys are cut into blocks of about ``max_rows`` rows, so the number of blocks of a key follows
+    its number of rows.
     """
 
-    min_rows: int = 1_000_000
-    share: float = 0.001
-    blocks: int = 512
-    accuracy: int = 20_000
+    max_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -56,7 +56,7 @@ def early_stop(
 ) -> DataFrame:
     """First step per run with ``patience`` evaluations in a row without a new best, else null."""
     evals = log.where("eval_loss is not null").select("run", "step", "eval_loss")
-    evals = mark_blocks(evals, ["run"], "step", skew)
+    evals = mark_blocks(evals, ["run"], ["step"], skew)
     best = scan_marked(evals, ["run"], ["step"], best=running_min(F.col("eval_loss")), n=position())
     prior = scan_marked(best, ["run"], ["step"], prior=lag(F.col("best")))
     improved = F.col("prior").isNull() | (F.col("eval_loss") < F.col("prior"))

@@ -95,7 +95,7 @@ def served(
     both = rows.unionByName(marks.withColumnRenamed("fetched_at", "_time"), allowMissingColumns=True)
     # a refresh comes just before the row that made it, after earlier rows of the same time
     seen = scan_marked(
-        mark_blocks(both, keys, "_time", skew, rows.select(*keys, "_time")),
+        mark_blocks(both, keys, ["_time", *rest, "_mark"], skew, rows.select(*keys, "_time")),
         keys,
         ["_time", *rest, "_mark"],
         _now=last_known(F.col("_refresh")),

@@ -73,10 +73,10 @@ def _placed(
     keys = ["session_id"]
     starts = lifetime_starts(events, keys, "ts", cfg.ttl_seconds, skew)
     probe = events.select(*keys, F.col("ts").cast("timestamp").alias("ts"))
-    marked = mark_blocks(interleaved(events, keys, "ts", starts), keys, "ts", skew, probe)
-    rest = (order or ["ts"])[1:]
+    places = ["ts", "_mark", *(order or ["ts"])[1:]]
+    marked = mark_blocks(interleaved(events, keys, "ts", starts), keys, places, skew, probe)
     seen = scan_marked(
-        marked, keys, ["ts", "_mark", *rest], _created=last_known(F.col("_start")), **columns
+        marked, keys, places, _created=last_known(F.col("_start")), **columns
     )
     return (
         seen.where("_mark = 1")

@@ -1,7 +1,7 @@
 """Ordered per-key computations that do not depend on how rows are spread over keys.
 
-A window over one key runs in one task. So keys are counted first; only if some hold a large part of
-the rows are those cut into blocks of consecutive order values. The window then runs inside
+A window over one key runs in one task. So keys are counted first; those with more rows than a task
+should order are cut into blocks of consecutive order values. The window then runs inside
 ``(key, block)`` and the state entering each block is carried in from a summary with one row per hot
 block. Without hot keys the plan is the plain window.
 """
@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from stratalog.config import SkewConfig
-from stratalog.functions.text import once
-from stratalog.session import shared_root
+from stratalog.session import scratch_path
+from stratalog.sources.chat_files import staged
 
 BLOCK = "_block"
 
@@ -24,50 +24,31 @@ BLOCK = "_block"
 def mark_blocks(
     df: DataFrame,
     keys: list[str],
-    order: str,
+    order: list[str],
     cfg: SkewConfig = SkewConfig(),
     probe: DataFrame | None = None,
 ) -> DataFrame:
     """The frame as it is if no key is hot, else with ``_block``: -1 for ordinary keys, 0.. for
     consecutive parts of hot ones.
 
-    The question is answered by one pre-aggregated count over the key columns. Fewer than
-    ``1 / cfg.share`` keys can exceed ``cfg.share`` of all rows, so the broadcast list of hot keys
-    and split points has a size bound that does not grow with the data. The split points come from
-    a sketch, so they are checkpointed: every use of a block sees the same ones. ``probe`` is a
-    cheaper frame with about the same keys and order values to look at.
+    A pre-aggregated count over the key columns finds the keys with more than ``cfg.max_rows`` rows.
+    The rows of hot keys are dealt by ranges over keys and all order columns, one range per
+    ``max_rows`` rows, so equal times do not pile up in one block; the range is the block. They are
+    written to the shared folder, since the ranges come from a sample and every later use must see
+    the same ones. ``probe`` is a cheaper frame with the same keys to count.
     """
     probe = df if probe is None else probe
     counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    limit = counts.select(F.greatest(F.lit(float(cfg.min_rows)), F.sum("_n") * cfg.share)).scalar()
-    hot = counts.where(F.col("_n") > limit).select(*keys)
-    if hot.isEmpty():
+    hot = counts.where(F.col("_n") > cfg.max_rows)
+    total = hot.agg(F.sum("_n")).first()[0]
+    if not total:
         return df
-    shared_root(df.sparkSession)
-    quantiles = [i / cfg.blocks for i in range(1, cfg.blocks)]
-    splits = (
-        probe.select(*keys, order)
-        .join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx(order, quantiles, cfg.accuracy).alias("_splits"))
-        .checkpoint()
-    )
-    # a row's block is the number of split points up to it, found in two steps of about 23 points
-    step = max(2, math.isqrt(cfg.blocks))
-    coarse = F.filter("_splits", lambda s, i: (i + 1) % step == 0)
-
-    def up_to(points: Column) -> Column:
-        return F.aggregate(
-            points, F.lit(0), lambda n, s: n + F.when(s <= F.col(order), 1).otherwise(0)
-        )
-
-    first = up_to(F.col("_coarse")) * step
-    block = once(first, lambda n: n + up_to(F.slice(F.col("_splits"), n + 1, F.lit(step))))
-    return (
-        df.join(F.broadcast(splits.withColumn("_coarse", coarse)), keys, "left")
-        .withColumn(BLOCK, F.when(F.col("_splits").isNull(), F.lit(-1)).otherwise(block))
-        .drop("_splits", "_coarse")
-    )
+    names = hot.select(*keys)
+    ranges = math.ceil(total / cfg.max_rows)
+    cut = df.join(names, keys, "left_semi").repartitionByRange(ranges, *keys, *order)
+    cut = staged(cut.withColumn(BLOCK, F.spark_partition_id()), scratch_path(df.sparkSession, "blocks"))
+    plain = df.join(names, keys, "left_anti").withColumn(BLOCK, F.lit(-1))
+    return plain.unionByName(cut)
 
 
 @dataclass(frozen=True)
@@ -145,7 +126,8 @@ def _carry(s: Scan, name: str, w) -> Column:
         return F.last(name, ignorenulls=True).over(before)
     if s.kind == "min":
         return F.min(name).over(before)
-    return F.flatten(F.collect_list(name).over(before))
+    # a block may be shorter than the tail, so as many blocks back as the tail is long
+    return F.flatten(F.collect_list(name).over(w.rowsBetween(-s.size, -1)))
 
 
 def _merge(s: Scan, local: Column, carry: Column, first: Column) -> Column:
@@ -168,11 +150,8 @@ def scan(
     cfg: SkewConfig = SkewConfig(),
     **columns: Scan,
 ) -> DataFrame:
-    """Add running columns over ``keys`` in the order of ``order``, hot keys cut into blocks.
-
-    The first order column must be numeric or temporal; it places the cuts.
-    """
-    marked = mark_blocks(df, keys, order[0], cfg)
+    """Add running columns over ``keys`` in the order of ``order``, hot keys cut into blocks."""
+    marked = mark_blocks(df, keys, order, cfg)
     return scan_marked(marked, keys, order, **columns).drop(BLOCK)
 
 
@@ -214,7 +193,7 @@ def scan_marked(df: DataFrame, keys: list[str], order: list[str], **columns: Sca
     carries = summary.select(
         *keys, BLOCK, *[_carry(s, n, across).alias(f"_c_{n}") for n, s in columns.items()]
     )
-    joined = local.join(F.broadcast(carries), [*keys, BLOCK], "left")
+    joined = local.join(carries, [*keys, BLOCK], "left")
     first = F.col("_pos") == 1
     return joined.select(
         *df.columns,

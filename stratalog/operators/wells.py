@@ -169,7 +169,7 @@ def zones(
     ``(well, run)`` and pre-aggregated.
     """
     order = ["depth", *(tie or [])]
-    marked = mark_blocks(samples, ["well"], "depth", skew)
+    marked = mark_blocks(samples, ["well"], order, skew)
     cls = F.struct("lithology", F.col("lithology_code").alias("code"))
     seen = scan_marked(marked, ["well"], order, _prev=lag(cls))
     opens = F.col("_prev").isNull() | ~F.col("_prev.lithology").eqNullSafe(F.col("lithology"))
@@ -406,7 +406,8 @@ def lookup(requests: DataFrame, catalogue: DataFrame) -> DataFrame:
 def outcomes(
     listed: DataFrame, contract: DataFrame, drift: DataFrame, zone_counts: DataFrame
 ) -> DataFrame:
-    """One status row per input: predicted, warned, refused or rejected, with a text.
+    """One status row per input: predicted, warned, refused, rejected, or unchecked if the drift
+    report doesn't know it, with a text.
 
     ``listed(well, error)`` are the inputs with their file-level error or null,
     ``contract(well, reason)``, ``drift(well, status, message)``, ``zone_counts(well, n_zones)``.
@@ -419,6 +420,7 @@ def outcomes(
     reject = F.coalesce("error", "reason")
     outcome = (
         F.when(reject.isNotNull(), "rejected")
+        .when(F.col("status").isNull(), "unchecked")
         .when(F.col("status") == "out_of_distribution", "refused")
         .when(F.col("status") != "ok", "warned")
         .otherwise("predicted")

@@ -39,7 +39,8 @@ def predict(
     """``samples(well, DEPT, curves…)`` with ``names(lithology_code, lithology)``.
 
     Wells that miss a curve or lie too far from the training data leave before the scoring, so
-    nothing costly runs on them. Scored samples are written once and read by what follows.
+    nothing costly runs on them. Scored samples are written once and read by what follows. A code
+    without a name keeps its samples, under a null name.
     """
     curves = wells.curve_report(samples, well_cfg)
     contract = wells.contract_rejects(curves, well_cfg)
@@ -48,7 +49,7 @@ def predict(
     accepted = wells.without_wells(usable, wells.refused(drift))
 
     depth = wells.depth_column(samples)
-    scored = scoring.score(accepted, model).join(names, "lithology_code").select(
+    scored = scoring.score(accepted, model).join(names, "lithology_code", "left").select(
         "well", F.col(depth).alias("depth"), *(tie or []), "lithology_code", "lithology",
         "confidence",
     ).where("depth is not null")

@@ -123,4 +123,4 @@ def test_mark_blocks_leaves_cold_frames_alone(spark):
     from stratalog.operators.skew import mark_blocks
 
     df = spark.range(100).withColumn("k", F.col("id") % 7)
-    assert mark_blocks(df, ["k"], "id", SkewConfig()) is df
+    assert mark_blocks(df, ["k"], ["id"], SkewConfig()) is df

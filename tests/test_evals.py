@@ -23,7 +23,7 @@ def log(spark, extra=()):
 def test_golden_run(spark):
     best = evals.best_eval(log(spark)).first()
     assert (best["best_eval_loss"], best["best_step"]) == (1.560, 1250)
-    for skew in (SkewConfig(), SkewConfig(min_rows=2, share=0.1, blocks=4, accuracy=100)):
+    for skew in (SkewConfig(), SkewConfig(max_rows=2)):
         stop = evals.early_stop(log(spark), skew=skew).first()
         assert (stop["n_evals"], stop["stop_step"]) == (8, 2000)
     assert evals.early_stop(log(spark), EvalConfig(patience=4)).first()["stop_step"] is None

@@ -9,7 +9,7 @@ from stratalog import config as C
 from stratalog.config import SeriesConfig, SessionConfig, SkewConfig
 from stratalog.operators import series, sessions
 
-HOT = SkewConfig(min_rows=3, share=0.01, blocks=3, accuracy=100)
+HOT = SkewConfig(max_rows=3)
 H = 3600 * 1_000_000
 EVENTS = "id long, session_id string, us long, kind string, well_name string, summary string, n_zones long, dominant_lithology string"
 

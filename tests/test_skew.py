@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratalog.config import SkewConfig
 from stratalog.operators import lifetimes, mix, skew
 
-HOT = SkewConfig(min_rows=40, share=0.01, blocks=8, accuracy=1000)
+HOT = SkewConfig(max_rows=40)
 
 
 @pytest.fixture(scope="module")
@@ -24,8 +24,20 @@ def frame(spark):
 
 
 def test_scan_in_blocks(frame):
-    rows, df = frame
-    assert skew.BLOCK in skew.mark_blocks(df, ["key"], "at", HOT).columns
+    check_scan(*frame)
+
+
+def test_scan_of_one_key_with_few_times(spark):
+    """Nearly all rows have one key and three order values; only the tie column tells them apart."""
+    rows = [("hot" if i % 50 else "k", i % 3, (i * 37) % 1_000, [None, 1.0, 2.5][i % 3], "a") for i in range(1_000)]
+    df = spark.createDataFrame(rows, "key string, at long, i long, v double, c string")
+    blocks = skew.mark_blocks(df, ["key"], ["at", "i"], HOT).where("key = 'hot'").groupBy(skew.BLOCK).count()
+    assert max(r["count"] for r in blocks.collect()) < 4 * HOT.max_rows
+    check_scan(rows, df)
+
+
+def check_scan(rows, df):
+    assert skew.BLOCK in skew.mark_blocks(df, ["key"], ["at", "i"], HOT).columns
     out = skew.scan(
         df, ["key"], ["at", "i"], HOT,
         prev=skew.lag(F.col("v")), total=skew.running_sum(F.coalesce("v", F.lit(0.0))),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stratalog.config import DriftConfig, SkewConfig, WellConfig
 from stratalog.operators import scoring, wells
 
-HOT = SkewConfig(min_rows=5, share=0.01, blocks=4, accuracy=1000)
+HOT = SkewConfig(max_rows=5)
 SAMPLES = "well string, depth double, lithology_code int, lithology string, confidence double"
 
 
