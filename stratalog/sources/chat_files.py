@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from stratalog.functions.messages import example_error
 from stratalog.functions.text import is_blank, strip
+from stratalog.sources.lines import line_numbers, placed_lines
 
-ARRAY_FILE_BYTES = 512 * 1024 * 1024
+#: a JSON array is one value, and one value of a file is less than 2 GB
+ARRAY_FILE_BYTES = 2**31 - 2**20
 
 
 def _text(holder: Column, path: str) -> Column:
@@ -56,25 +58,15 @@ def parsed(df: DataFrame, json: str = "line") -> DataFrame:
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Non-blank lines with source file and place."""
-    return (
-        spark.read.text(paths)
-        .select(
-            F.col("value").alias("line"),
-            F.col("_metadata.file_name").alias("source"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-        )
-        .withColumn("row", F.monotonically_increasing_id())
-        .where(~is_blank(F.col("line")))
-    )
+    return placed_lines(spark, paths).where(~is_blank(F.col("line")))
 
 
 def read_jsonl(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Valid chat rows, and rejects with their line and error."""
+    """Valid chat rows, and rejects with file, line number, line and error."""
     rows = parsed(read_lines(spark, paths))
     good = rows.where("error is null").drop("error", "line")
-    bad = rows.where("error is not null").select("source", "block", "row", "line", "error")
-    return good, bad
+    bad = line_numbers(rows.where("error is not null"), placed_lines(spark, paths))
+    return good, bad.select("source", "file", "block", "row", "line_no", "line", "error")
 
 
 def first_characters(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -88,9 +80,9 @@ def first_characters(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def read_flexible(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Like :func:`read_jsonl`, but a file that starts with ``[`` is one JSON array.
 
-    An array is one value and so one record; larger ones than ``ARRAY_FILE_BYTES`` are rejected with
-    a reason instead of being loaded. Only names of array files come to the driver, as in any file
-    listing.
+    Array items are parsed one by one, so only a file as a whole has a limit, that of one value; a
+    larger one is a reject with a reason. Only names of array files come to the driver, as in any
+    file listing. ``line_no`` of an array item is its place in the array.
     """
     arrays = [
         r["file"] for r in first_characters(spark, paths).where("first = '['").select("file").collect()
@@ -109,7 +101,7 @@ def read_flexible(spark: SparkSession, paths: str | list[str]) -> tuple[DataFram
                 F.col("_metadata.file_name").alias("source"),
                 F.col("_metadata.file_path").alias("file"),
             )
-            .withColumn("_a", F.expr("try_variant_get(try_parse_json(line), '$', 'array<variant>')"))
+            .withColumn("_a", F.from_json("line", "array<variant>"))
         )
         items = files.where("_a is not null").select(
             F.posexplode("_a").alias("row", "_e"), "source", "file"
@@ -136,8 +128,14 @@ def read_flexible(spark: SparkSession, paths: str | list[str]) -> tuple[DataFram
             allowMissingColumns=True,
         )
     good = rows.where("error is null").drop("error", "line")
-    bad = rows.where("error is not null").select("source", "block", "row", "line", "error")
-    return good, bad
+    bad = rows.where("error is not null")
+    if arrays:
+        of_array = F.col("file").isin(arrays)
+        items_ = bad.where(of_array).withColumn("line_no", F.col("row") + 1)
+        bad = line_numbers(bad.where(~of_array), placed_lines(spark, paths)).unionByName(items_)
+    else:
+        bad = line_numbers(bad, placed_lines(spark, paths))
+    return good, bad.select("source", "file", "block", "row", "line_no", "line", "error")
 
 
 def integrity(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratalog.config import MAX_UPLOAD_BYTES, NULL_SENTINELS, UPLOAD_EXTENSIONS
 from stratalog.functions.text import strip
 from stratalog.operators.wells import strip_sentinels
+from stratalog.sources.lines import line_numbers, placed_lines
 
 NULL_WORDS = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "-nan", "<NA>")
 TEXT_COLUMNS = ("WELL", "GROUP", "FORMATION", "LITHOLOGY")
@@ -79,88 +80,106 @@ def _section(sections: Column, letter: str) -> Column:
     )
 
 
-def las_files(
-    spark: SparkSession, path: str | list[str], max_bytes: int = MAX_UPLOAD_BYTES
-) -> DataFrame:
-    """One row per LAS file with its parts and an error, or null.
+def _las_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return placed_lines(
+        spark, path, recursiveFileLookup="true", pathGlobFilter="*.[lL][aA][sS]"
+    ).withColumn("at", F.struct("block", "row"))
+
 
-    The size condition reaches the file source: larger files are listed but never loaded, so a
-    record is at most ``max_bytes``.
+def las_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per LAS file: what its header declares, where its data lie, and an error or null.
+
+    Only the lines before the data section are gathered, so a file may have any size.
     """
-    files = (
+    lines = _las_lines(spark, path)
+    marks = lines.where(F.col("line").startswith("~"))
+    data = F.upper(F.substring("line", 2, 1)) == "A"
+    starts = marks.groupBy("file").agg(F.min(F.when(data, F.col("at"))).alias("start"))
+    later = marks.join(starts, "file").where(F.col("at") > F.col("start"))
+    ends = later.groupBy("file").agg(F.min("at").alias("end"))
+    headers = (
+        lines.join(starts.where("start is not null"), "file")
+        .where(F.col("at") < F.col("start"))
+        .groupBy("file")
+        .agg(
+            F.split(
+                F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n"),
+                r"(?m)^~",
+            ).alias("_s")
+        )
+    )
+    names = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[lL][aA][sS]")
         .load(path)
-        .where(F.col("length") <= max_bytes)
+        .select(F.col("_metadata.file_path").alias("file"))
     )
-    text = F.regexp_replace(F.decode("content", "UTF-8"), r"\r\n?", "\n")
-    parts = files.select("path", F.split(text, r"(?m)^~").alias("_s")).select(
-        "path",
+    parts = names.join(starts, "file", "left").join(ends, "file", "left").join(headers, "file", "left").select(
+        "file", "start", "end",
         _section(F.col("_s"), "V").alias("v"),
         _section(F.col("_s"), "W").alias("w"),
         _section(F.col("_s"), "C").alias("c"),
-        _section(F.col("_s"), "A").alias("a"),
     )
-    stem = F.regexp_replace(F.regexp_replace("path", r"^.*/", ""), r"(?<=.)\.[^.]*$", "")
+    stem = F.regexp_replace(F.regexp_replace("file", r"^.*/", ""), r"(?<=.)\.[^.]*$", "")
     named = strip(F.regexp_extract("w", r"(?im)^[ \t]*WELL[ \t]*\.\S*[ \t]+([^:\n]*):", 1))
     declared = strip(
         F.regexp_extract("w", r"(?im)^[ \t]*NULL[ \t]*\.\S*[ \t]+([^:\n]*)(?::|$)", 1)
     )
+    of_curves = F.split("c", "\n")
     curve_lines = F.filter(
-        F.slice(F.split("c", "\n"), 2, 100_000),
+        F.slice(of_curves, F.lit(2), F.greatest(F.size(of_curves), F.lit(0))),
         lambda line: line.rlike(r"^[ \t]*[^#\s.][^.]*\."),
     )
     curves = F.transform(
         curve_lines, lambda line: F.upper(strip(F.regexp_extract(line, r"^([^.]*)\.", 1)))
     )
     return parts.select(
-        "path",
+        "file", "start", "end",
         F.coalesce(F.when(named != "", named), stem).alias("well"),
         declared.try_cast("double").alias("null_value"),
         curves.alias("curves"),
-        "a",
-        F.when(F.col("c").isNull() | F.col("a").isNull(), F.lit("no curve or data section"))
+        F.when(F.col("c").isNull() | F.col("start").isNull(), F.lit("no curve or data section"))
         .when(F.col("v").rlike(r"(?im)^[ \t]*WRAP[ \t]*\.[ \t]*YES"), F.lit("wrapped data lines"))
         .when(F.size(curves) == 0, F.lit("no curves declared"))
         .alias("error"),
     )
 
 
-def read_las(
-    spark: SparkSession, path: str | list[str], max_bytes: int = MAX_UPLOAD_BYTES
-) -> tuple[DataFrame, DataFrame]:
+def read_las(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """``(path, well, row, depth, curve, value)`` from a folder of LAS files, and rejected files.
 
-    The first declared curve is the depth. A data line whose number of values differs from the
-    number of curves is reported as a reject of its own.
+    The first declared curve is the depth; ``row`` is the number of the line in its file. A data line
+    whose number of values differs from the number of curves is a reject of its own, with its number.
+    Files are read by lines in splits, so size has no limit, and every file gives rows or a reject.
     """
-    files = las_files(spark, path, max_bytes)
-    lines = (
-        files.where("error is null")
-        .select(
-            "path", "well", "null_value", "curves",
-            F.posexplode(F.split("a", "\n")).alias("row", "line"),
-        )
-        .where("row > 0")
+    files = las_files(spark, path)
+    inside = (F.col("at") > F.col("start")) & (F.col("end").isNull() | (F.col("at") < F.col("end")))
+    lines = _las_lines(spark, path)
+    data = (
+        lines.join(files.where("error is null"), "file")
+        .where(inside)
         .withColumn("line", strip(F.col("line")))
         .where(~F.col("line").rlike(r"^(#|$)"))
         .withColumn("values", F.split("line", r"\s+"))
     )
+    data = line_numbers(data, lines).withColumn("path", F.col("file"))
     fits = F.size("values") == F.size("curves")
-    bad_lines = lines.where(~fits).select(
-        "path", F.concat(F.lit("wrong number of values in data line "), F.col("row")).alias("error")
+    bad_lines = data.where(~fits).select(
+        "path", F.concat(F.lit("wrong number of values in line "), F.col("line_no")).alias("error")
+    )
+    rest = F.size("curves") - 1
+    pairs = F.arrays_zip(
+        F.slice("curves", F.lit(2), rest).alias("curve"), F.slice("values", F.lit(2), rest).alias("text")
     )
-    pairs = F.arrays_zip(F.slice("curves", 2, 100_000).alias("curve"),
-                         F.slice("values", 2, 100_000).alias("text"))
     number = F.col("_p.text").try_cast("double")
     missing = number.isin(*NULL_SENTINELS) | F.coalesce(
         number == F.col("null_value"), F.lit(False)
     )
     long = (
-        lines.where(fits)
+        data.where(fits)
         .select(
-            "path", "well", "null_value", F.col("row").cast("bigint").alias("row"),
+            "path", "well", "null_value", F.col("line_no").alias("row"),
             F.col("values")[0].try_cast("double").alias("depth"),
             F.explode(pairs).alias("_p"),
         )
@@ -170,8 +189,8 @@ def read_las(
             F.when(~missing & ~F.isnan(number), number).alias("value"),
         )
     )
-    rejects = files.where("error is not null").select("path", "error").unionByName(bad_lines)
-    return long, rejects
+    rejects = files.where("error is not null").select(F.col("file").alias("path"), "error")
+    return long, rejects.unionByName(bad_lines)
 
 
 def las_wide(long: DataFrame, curves: list[str]) -> DataFrame:

@@ -36,6 +36,7 @@ def test_jsonl(spark, tmp_path):
         "messages missing or not a list", "blank content in role assistant", "unknown role: none",
         "no user or assistant message", "no user or assistant message", "invalid JSON",
     ]
+    assert [r["line_no"] for r in bad.orderBy("line_no").collect()] == [4, 5, 6, 7, 8, 9, 10, 11, 12]
     counts = chat_files.integrity(spark, str(tmp_path)).first()
     assert (counts["n_valid"], counts["n_malformed"]) == (9, 2)
     with pytest.raises(ValueError):
@@ -109,19 +110,20 @@ def test_las(spark, tmp_path, values):
     (tmp_path / "b.las").write_text(LAS.replace("WRAP. NO", "WRAP. YES"))
     (tmp_path / "c.las").write_text("no sections")
     (tmp_path / "d.las").write_text(LAS.replace(" WELL. 25/5-1 : name of well\n", ""))
-    (tmp_path / "big.las").write_text(LAS + "\n" * 2000)
+    (tmp_path / "big.las").write_text(LAS.replace("25/5-1", "big") + "\n" * 2000)
     (tmp_path / "x.txt").write_text("x")
-    long, rejects = log_files.read_las(spark, str(tmp_path), max_bytes=2000)
+    long, rejects = log_files.read_las(spark, str(tmp_path))
     got = values(long.where("well = '25/5-1'"), "depth", "curve", "value")
     assert got == [
         (1.0, "GR", 50.5), (1.0, "NPHI", 0.2), (2.0, "GR", None), (2.0, "NPHI", None),
         (4.0, "GR", None), (4.0, "NPHI", 0.1),
     ]
-    assert {r["well"] for r in long.select("well").distinct().collect()} == {"25/5-1", "d"}
+    assert {r["well"] for r in long.select("well").distinct().collect()} == {"25/5-1", "big", "d"}
     errors = sorted((r["path"].rsplit("/", 1)[1], r["error"]) for r in rejects.collect())
     assert errors == [
-        ("a.LAS", "wrong number of values in data line 4"), ("b.las", "wrapped data lines"),
-        ("c.las", "no curve or data section"), ("d.las", "wrong number of values in data line 4"),
+        ("a.LAS", "wrong number of values in line 19"), ("b.las", "wrapped data lines"),
+        ("big.las", "wrong number of values in line 19"), ("c.las", "no curve or data section"),
+        ("d.las", "wrong number of values in line 18"),
     ]
     wide = log_files.las_wide(long, ["GR", "NPHI"]).where("well = 'd'").orderBy("DEPT").collect()
     assert [(r["DEPT"], r["GR"], r["NPHI"]) for r in wide] == [(1.0, 50.5, 0.2), (2.0, None, None), (4.0, None, 0.1)]
@@ -130,10 +132,22 @@ def test_las(spark, tmp_path, values):
     assert listed["x.txt"].startswith("unsupported file type: 'x.txt'. Upload a .las")
 
 
-def test_size_condition_reaches_the_source(spark, tmp_path):
-    (tmp_path / "a.las").write_text(LAS)
-    plan_text = log_files.las_files(spark, str(tmp_path))._jdf.queryExecution().toString()
-    assert "PushedFilters: [IsNotNull(length), LessThanOrEqual(length,52428800)]" in plan_text
+def test_files_in_many_splits(spark, tmp_path):
+    """Line numbers and sections hold when a file is read in small pieces; long curve lists stay whole."""
+    many = [f"C{i}" for i in range(300)]
+    head = ["~V", "~C", "DEPT.M :", *(f"{c}. :" for c in many), "~A"]
+    rows = [" ".join(map(str, [d, *[0.5] * 300])) for d in range(500)] + ["7 8"]
+    (tmp_path / "wide.las").write_text("\n".join(head + rows))
+    (tmp_path / "x.jsonl").write_text("\n".join([GOOD] * 2_000 + ["{bad"] + [GOOD] * 500))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        long, rejects = log_files.read_las(spark, str(tmp_path))
+        assert long.count() == 500 * 300
+        assert [r["error"] for r in rejects.collect()] == [f"wrong number of values in line {len(head) + 501}"]
+        _, bad = chat_files.read_jsonl(spark, str(tmp_path / "x.jsonl"))
+        assert [r["line_no"] for r in bad.collect()] == [2_001]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 @pytest.mark.parametrize("size,fine", [(50 * 1024 * 1024, True), (50 * 1024 * 1024 + 1, False)])
