@@ -32,6 +32,7 @@ class MixConfig:
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     max_repeat: int = 3
     block_rows: int = 10_000
+    large_share: int = 256
     seed: int = 17
 
 
@@ -157,6 +158,33 @@ def _fly(units: DataFrame, counts: DataFrame, turn: int, land: bool, cfg: MixCon
     return flown.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()}).select(*units.columns)
 
 
+def _drawn(units: DataFrame, cfg: MixConfig) -> DataFrame:
+    """Add ``copies`` to ``(doc_id, source, size, rows, sid, rate)``: whole copies and the draw."""
+    due = F.col("rate") * F.col("rows")
+    whole = F.floor(due + EPSILON)
+    frac = F.greatest(F.lit(0.0), due - whole)
+    started = units.withColumns(
+        {
+            "base": whole.cast("bigint"),
+            "block": F.lit(0).cast("bigint"),
+            "p": F.when(frac < EPSILON, 0.0).otherwise(frac),
+        }
+    )
+    done = started.where("p = 0.0")
+    pending = started.where("p > 0.0")
+    turn = 0
+    while True:
+        counts = kept(pending.groupBy("sid").agg(F.count(F.lit(1)).alias("_units")), "mix-counts")
+        most = counts.agg(F.max("_units")).first()[0] or 0
+        land = most <= cfg.block_rows
+        flown = kept(_fly(pending, counts, turn, land, cfg), "mix-flight")
+        done = done.unionByName(flown.where("p in (0.0, 1.0)"))
+        if land:
+            return done.select(*units.columns, (F.col("base") + F.col("p").cast("bigint")).alias("copies"))
+        pending = flown.where("p not in (0.0, 1.0)")
+        turn += 1
+
+
 def mixed_units(units: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     """``(doc_id, source, size)`` rows to ``(doc_id, source, size, rows, copies, source_size,
     target)``: how many copies the mix takes of the ``rows`` equal rows together.
@@ -164,49 +192,40 @@ def mixed_units(units: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
     Equal rows are one unit here, so a row repeated any number of times is one row of a block. The
     result depends on the rows and the seed, not on their order or partitioning. An empty table
     gives no rows; a source without words has target 0 and nothing taken.
+
+    A document with a notable part of its source's words would stay undecided to the end of a flight
+    and spoil the total when it lands. So those, at most ``large_share`` a source, fly and land
+    first, and the others' rate makes up for what they took too much or too little.
     """
     grouped = units.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
     grouped = kept(grouped, "mix-units")
-    sizes = grouped.groupBy("source").agg(
-        F.sum(F.col("size") * F.col("rows")).alias("source_size"),
-        F.count(F.lit(1)).alias("_units"),
+    volume = F.col("size") * F.col("rows")
+    sizes = grouped.groupBy("source").agg(F.sum(volume).alias("source_size"))
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    strata = source_targets(sizes, cfg).withColumns(
+        {"sid": F.xxhash64("source", F.col("source").isNull()), "rate": rate}
     )
-    strata = source_targets(sizes.drop("_units"), cfg)
-    strata = strata.join(sizes.select(F.col("source").alias("_s"), "_units"), F.col("source").eqNullSafe(F.col("_s")))
-    strata = strata.drop("_s").withColumn("sid", F.xxhash64("source", F.col("source").isNull()))
     strata = kept(strata, "mix-strata")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    due = rate * F.col("rows")
-    whole = F.floor(due + EPSILON)
-    frac = F.greatest(F.lit(0.0), due - whole)
-    side = strata.select(F.col("source").alias("_s"), "sid", "source_size", "target")
-    started = (
-        grouped.join(side, F.col("source").eqNullSafe(F.col("_s")))
-        .drop("_s")
-        .withColumns({"base": whole.cast("bigint"), "block": F.lit(0).cast("bigint"), "p": frac})
-        .withColumn("p", F.when(F.col("p") < EPSILON, 0.0).otherwise(F.col("p")))
+    side = strata.select(F.col("source").alias("_s"), "sid", "rate", "source_size", "target")
+    placed = grouped.join(side, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    is_large = F.col("size") * cfg.large_share > F.col("source_size")
+    columns = ["doc_id", "source", "size", "rows", "sid", "rate"]
+    large = kept(_drawn(placed.where(is_large).select(*columns), cfg), "mix-large")
+    took = large.groupBy("sid").agg(
+        F.sum(F.col("size") * F.col("copies")).alias("_took"), F.sum(volume).alias("_of")
     )
-    done = [started.where("p = 0.0")]
-    pending = started.where("p > 0.0")
-    counts = strata.select("sid", "_units")
-    turn = 0
-    while True:
-        most = counts.agg(F.max("_units")).first()[0] or 0
-        land = most <= cfg.block_rows
-        flown = kept(_fly(pending, counts, turn, land, cfg), "mix-flight")
-        done.append(flown.where("p in (0.0, 1.0)"))
-        if land:
-            break
-        pending = flown.where("p not in (0.0, 1.0)")
-        counts = kept(pending.groupBy("sid").agg(F.count(F.lit(1)).alias("_units")), "mix-counts")
-        turn += 1
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out.select(
-        "doc_id", "source", "size", "rows",
-        (F.col("base") + F.col("p").cast("bigint")).alias("copies"),
-        "source_size", "target",
+    left = (F.col("target") - F.col("_took")) / (F.col("source_size") - F.col("_of"))
+    evened = F.when(
+        F.col("_of") < F.col("source_size"), F.least(F.greatest(left, F.lit(0.0)), F.lit(float(cfg.max_repeat)))
+    )
+    rates = kept(
+        strata.join(took, "sid", "left").select("sid", F.coalesce(evened, "rate").alias("rate")), "mix-rates"
+    )
+    small = placed.where(~is_large).drop("rate").join(rates, "sid").select(*columns)
+    drawn = large.unionByName(_drawn(small, cfg)).drop("rate")
+    totals = strata.select("sid", "source_size", "target")
+    return drawn.join(totals, "sid").select(
+        "doc_id", "source", "size", "rows", "copies", "source_size", "target"
     )
 
 

@@ -64,6 +64,15 @@ def test_totals_come_near_their_targets(spark, block):
         assert abs(copies[s] - n[s] * want / size) <= 3
 
 
+def test_a_few_huge_documents_do_not_spoil_the_total(spark):
+    data = [(i, "w " * (9_000 if i in (3, 44) else 1 + i % 90), "ab"[i % 2], "x", 1) for i in range(600)]
+    got = mixing.mix_table(spark.createDataFrame(data, SCHEMA), MixConfig(weights=(3, 2))).collect()
+    for s in "ab":
+        own = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.01 * own[0]["source_size"]
+        assert max(r["copies"] for r in own) <= 3
+
+
 def test_same_result_however_rows_lie(spark):
     docs = spark.createDataFrame(rows(900), SCHEMA)
     cfg = MixConfig(block_rows=100)
