@@ -71,7 +71,8 @@ def fingerprint(text: Column, cfg: SimhashConfig = SimhashConfig()) -> Column:
             codes = np.fromiter((fingerprint_of(bytes(t), cfg) for t in batch), dtype=np.uint64, count=len(batch))
             yield pd.Series(codes.view(np.int64))
 
-    return hashed(text_or_empty(text).cast("binary"))
+    # so marked, the optimizer doesn't repeat the function below a join to test its result for null
+    return hashed.asNondeterministic()(text_or_empty(text).cast("binary"))
 
 
 def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
