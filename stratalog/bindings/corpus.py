@@ -24,7 +24,6 @@ CLEAN = CleanConfig(
     drop_prefixes=("src18", "src19"),
     instruction_pattern=P_INSTRUCTION,
     broken_pattern=P_BROKEN,
-    broken_hint=" that",
     placeholder_pattern=P_PLACEHOLDER,
 )
 

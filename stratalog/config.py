@@ -153,7 +153,6 @@ class CleanConfig:
     drop_prefixes: tuple[str, ...] = DROP_CATEGORY_PREFIXES
     instruction_pattern: str | None = DROP_INSTRUCTION_PATTERN
     broken_pattern: str | None = BROKEN_OUTPUT_PATTERN
-    broken_hint: str = " that "
     placeholder_pattern: str | None = PLACEHOLDER_OUTPUT_PATTERN
     min_output: int = 15
     max_output: int = 2500

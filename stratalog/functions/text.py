@@ -43,11 +43,10 @@ def folded(text: Column) -> Column:
     return F.lower(F.when(found, F.translate(text, rare, "siik")).otherwise(text))
 
 
-def matches(text: Column, pattern: str, hint: str = "") -> Column:
+def matches(text: Column, pattern: str) -> Column:
     """Case-insensitive Unicode search; null text does not match.
 
-    A pattern of plain words is a substring search. ``hint`` is a lower-case text that every match
-    contains: the pattern then only runs where it occurs.
+    A pattern of plain words is a substring search.
     """
     words = pattern.split("|")
     if all(re.fullmatch(r"[A-Za-z ,]+", w) for w in words):
@@ -56,8 +55,6 @@ def matches(text: Column, pattern: str, hint: str = "") -> Column:
         )
     else:
         found = text.rlike(f"(?iuU){pattern}")
-        if hint:
-            found = F.contains(F.lower(text), F.lit(hint)) & found
     return F.coalesce(found, F.lit(False))
 
 

@@ -37,9 +37,9 @@ def drop_categories(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFram
     return df.where(quiet_category(cfg.drop_prefixes))
 
 
-def drop_matching(df: DataFrame, column: str, pattern: str, hint: str = "") -> DataFrame:
+def drop_matching(df: DataFrame, column: str, pattern: str) -> DataFrame:
     """Drop rows whose text matches in any case; null text is kept."""
-    return df.where(~matches(F.col(column), pattern, hint))
+    return df.where(~matches(F.col(column), pattern))
 
 
 def clean_text(df: DataFrame, columns: tuple[str, ...] = TEXT_COLUMNS) -> DataFrame:
@@ -65,7 +65,7 @@ def raw_reason(cfg: CleanConfig = CleanConfig()) -> Column:
     if cfg.instruction_pattern:
         reason = reason.when(matches(F.col("instruction"), cfg.instruction_pattern), "instruction")
     if cfg.broken_pattern:
-        reason = reason.when(matches(F.col("output"), cfg.broken_pattern, cfg.broken_hint), "broken")
+        reason = reason.when(matches(F.col("output"), cfg.broken_pattern), "broken")
     if cfg.placeholder_pattern:
         reason = reason.when(matches(F.col("output"), cfg.placeholder_pattern), "placeholder")
     return reason
@@ -133,7 +133,7 @@ def filter_and_clean(
     if cfg.instruction_pattern:
         kept = drop_matching(kept, "instruction", cfg.instruction_pattern)
     if cfg.broken_pattern:
-        kept = drop_matching(kept, "output", cfg.broken_pattern, cfg.broken_hint)
+        kept = drop_matching(kept, "output", cfg.broken_pattern)
     if cfg.placeholder_pattern:
         kept = drop_matching(kept, "output", cfg.placeholder_pattern)
     kept = clean_text(kept)
