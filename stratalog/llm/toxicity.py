@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples, with exact TF-IDF cosine over a block-max index.
 
 Terms are words and the beginnings of words. The vector space keeps the terms whose presence depends
-most on the label, by the likelihood ratio over all labelled training documents; inverse document
-frequencies count all documents. Labelled examples are indexed in blocks with the largest weight of
+most on the label, by the likelihood ratio over a sample of the labelled training documents; inverse
+document frequencies count all documents. Labelled examples are indexed in blocks with the largest weight of
 each term per block, so a block's best possible cosine is known before it is opened, and blocks are
 opened only while they can still beat the k-th best example found.
 
@@ -30,28 +30,25 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class ToxicityConfig:
-    """``examples`` labelled documents of each class at most go into the index, and as many again
-    into the calibration; term statistics cover all labelled and all documents."""
+    """The classifier is fitted on a bounded sample by id hash: terms are chosen on at most
+    ``fit_rows`` labelled documents of each class, ``examples`` of each go into the index and as many
+    again into the calibration. Document frequencies and class sizes count all rows."""
 
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
     max_terms: int = 512
     min_ratio: float = 30.0
     min_lift: float = 8.0
+    fit_rows: int = 8_192
     examples: int = 2_048
+    rows_per_task: int = 16_384
     neighbours: int = 15
     block: int = 64
     bins: int = 10
 
 
-def terms_of(text: str | None, prefixes: tuple[int, ...]) -> Counter:
-    """Counts of the lower-case words, and of beginnings that more letters follow, marked by ``*``."""
-    counts = Counter(WORD.findall((text or "").lower()))
-    out = Counter(counts)
-    for word, n in counts.items():
-        for size in prefixes:
-            if len(word) > size:
-                out[word[:size] + "*"] += n
-    return out
+def word_terms(word: str, prefixes: tuple[int, ...]) -> list[str]:
+    """A word, and its beginnings that more letters follow, marked by ``*``."""
+    return [word, *(word[:size] + "*" for size in prefixes if len(word) > size)]
 
 
 def label_counts(labelled: DataFrame, cfg: ToxicityConfig) -> DataFrame:
@@ -59,21 +56,26 @@ def label_counts(labelled: DataFrame, cfg: ToxicityConfig) -> DataFrame:
     prefixes = cfg.prefixes
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: tuple[Counter, Counter] = (Counter(), Counter())
+        # documents per (length of the beginning, 0 for whole words) and class
+        found = {size: (Counter(), Counter()) for size in (0, *prefixes)}
 
         def flush() -> pd.DataFrame:
-            terms = list(found[0] | found[1])
-            table = pd.DataFrame(
-                {"term": pd.Series(terms, dtype=object), "toxic": [found[1][t] for t in terms], "clean": [found[0][t] for t in terms]}
-            )
-            found[0].clear()
-            found[1].clear()
-            return table
+            rows = []
+            for size, (clean, toxic) in found.items():
+                mark = "*" if size else ""
+                rows += [(term + mark, toxic[term], clean[term]) for term in clean.keys() | toxic.keys()]
+                clean.clear()
+                toxic.clear()
+            out = pd.DataFrame(rows, columns=["term", "toxic", "clean"])
+            return out.astype({"term": object, "toxic": "int64", "clean": "int64"})
 
         for frame in frames:
             for text, label in zip(frame["text"], frame["label"], strict=True):
-                found[label].update(terms_of(text, prefixes).keys())
-                if len(found[0]) > 200_000:
+                words = set(WORD.findall((text or "").lower()))
+                found[0][label].update(words)
+                for size in prefixes:
+                    found[size][label].update({word[:size] for word in words if len(word) > size})
+                if sum(len(one[0]) for one in found.values()) > 400_000:
                     yield flush()
         yield flush()
 
@@ -105,22 +107,23 @@ def telling_terms(counts: DataFrame, totals: tuple[int, int], cfg: ToxicityConfi
 def term_vector(spark, terms: list[str], text: Column, cfg: ToxicityConfig) -> Column:
     """Places and counts, as two arrays, of the chosen terms that occur in a text."""
     places = share(spark, {t: i for i, t in enumerate(terms)})
-    sizes = sorted({len(t) - 1 for t in terms if t.endswith("*")})
+    sizes = tuple(sorted({len(t) - 1 for t in terms if t.endswith("*")}))
 
     @F.pandas_udf("place array<int>, n array<int>")
     def vector(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         place = places()
+        # a quick look at the first letters: nearly all words begin like no term
+        short = min((4, *sizes))
+        begins = frozenset(t.rstrip("*")[:short] for t in place)
         for batch in batches:
             out = []
             for text in batch:
-                words = WORD.findall((text or "").lower())
                 hits: Counter = Counter()
-                for word in set(words):
-                    near = [word, *(word[:s] + "*" for s in sizes if len(word) > s)]
-                    if found := [place[t] for t in near if t in place]:
-                        n = words.count(word)
-                        for at in found:
-                            hits[at] += n
+                for word, n in Counter(WORD.findall((text or "").lower())).items():
+                    if word[:short] in begins:
+                        for term in word_terms(word, sizes):
+                            if term in place:
+                                hits[place[term]] += n
                 order = sorted(hits)
                 out.append((order, [hits[a] for a in order]))
             yield pd.DataFrame(out, columns=["place", "n"])
@@ -239,11 +242,14 @@ def _calibrated(votes: list[tuple[float, int, float]], bins: int) -> tuple[np.nd
     return edges, rates
 
 
-def _scorer(vectors: DataFrame, idf: np.ndarray, totals: tuple[int, int], cfg: ToxicityConfig) -> Scorer:
+def _scorer(vectors: DataFrame, idf: np.ndarray, cfg: ToxicityConfig) -> Scorer:
     """Index and calibration from a bounded sample by id hash; every other number counts all rows."""
     known = vectors.where("label is not null")
-    bare = known.where(F.size("place") == 0).agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).first()
-    bare_rate = ((bare["t"] or 0) + 0.5 * (totals[1] / max(1, sum(totals)))) / ((bare["n"] or 0) + 0.5)
+    bare = known.agg(
+        F.sum(F.when(F.size("place") == 0, F.col("label"))).alias("t"), F.count_if(F.size("place") == 0).alias("n"),
+        F.coalesce(F.avg("label"), F.lit(0.0)).alias("all"),
+    ).first()
+    bare_rate = ((bare["t"] or 0) + 0.5 * bare["all"]) / (bare["n"] + 0.5)
     voting = known.where(F.size("place") > 0).withColumn("_h", F.xxhash64("doc_id", F.lit(5)))
     light = voting.select("doc_id", "label", "_h")
     sizes = {r["label"]: r["count"] for r in light.groupBy("label").count().collect()}
@@ -283,8 +289,14 @@ def toxicity_scores(
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & learned)
     marks = marks.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("label"))
     marks = kept(marks.select(F.col("doc_id").alias("_id"), (F.col("label") > 0).cast("int").alias("label")), "toxicity-labels")
-    labelled = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("_id")).select("text", "label")
-    by_label = {r["label"]: r["count"] for r in docs.select("doc_id").join(marks, F.col("doc_id") == F.col("_id")).groupBy("label").count().collect()}
+    order = [F.xxhash64("_id"), F.col("_id")]
+    fit = top_per_group(marks, ["label"], order, cfg.fit_rows, ["_id"]).select("_id", "label")
+    fit = F.broadcast(kept(fit, "toxicity-fit"))  # at most fit_rows ids of each class
+    labelled = docs.select("doc_id", "text").join(fit, F.col("doc_id") == F.col("_id")).select("text", "label")
+    by_label = {
+        r["label"]: r["count"]
+        for r in docs.select("doc_id").join(fit, F.col("doc_id") == F.col("_id")).groupBy("label").count().collect()
+    }
     totals = (by_label.get(0, 0), by_label.get(1, 0))
     counts = label_counts(labelled, cfg)
     terms = telling_terms(counts, totals, cfg) if all(totals) else []
@@ -298,7 +310,7 @@ def toxicity_scores(
     idf = np.full(len(terms), np.log(1 + n_docs))
     for r in seen.collect():  # at most max_terms rows
         idf[r["p"]] = np.log((1 + n_docs) / (1 + r["count"])) + 0.1
-    scorer = share(spark, _scorer(vectors, idf, totals, cfg))
+    scorer = share(spark, _scorer(vectors, idf, cfg))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     @F.pandas_udf(f"score double, vote double, ids array<{kind}>, cosines array<double>")
@@ -315,7 +327,9 @@ def toxicity_scores(
                 out.append(memo[key])
             yield pd.DataFrame(out, columns=["score", "vote", "ids", "cosines"])
 
-    scored = vectors.withColumn("_s", score("place", "n"))
+    # the vectors are small, but each is a search: so many rows to a task
+    spread = vectors.repartition(max(1, -(-n_docs // cfg.rows_per_task)))
+    scored = spread.withColumn("_s", score("place", "n"))
     return scored.select(
         "doc_id", "_s.score", (F.col("_s.score") >= 0.5).cast("int").alias("predicted"), "_s.vote",
         F.zip_with("_s.ids", "_s.cosines", lambda i, c: F.struct(i.alias("doc_id"), c.alias("cosine"))).alias("evidence"),
