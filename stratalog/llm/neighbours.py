@@ -35,7 +35,7 @@ class NeighbourConfig:
     sweeps: int = 8
     slack: float = 0.05
     steps: int = 300
-    recall: float = 0.98
+    recall: float = 0.95
     row_block: int = 16_384
     query_block: int = 4_096
     seed: int = 7
