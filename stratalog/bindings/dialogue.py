@@ -229,8 +229,11 @@ def audit_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def session_events(spark: SparkSession, sf: str) -> DataFrame:
+    return session_rows(table(spark, sf, "events").withColumn("ts", utc("ts")))
+
+
+def session_rows(e: DataFrame) -> DataFrame:
     """A prediction has value modulo 3 zones; without zones it has no class."""
-    e = table(spark, sf, "events")
     kind = F.when(F.col("event_type") == "purchase", "prediction").when(
         F.col("event_type") == "view", "chat"
     ).otherwise("other")
@@ -239,7 +242,7 @@ def session_events(spark: SparkSession, sf: str) -> DataFrame:
     return e.select(
         "event_id",
         F.col("user_id").alias("session_id"),
-        utc("ts").alias("ts"),
+        "ts",
         kind.alias("kind"),
         F.when(made, F.concat(F.lit("w"), F.col("event_id"))).alias("well_name"),
         F.when(made, F.concat(F.lit("summary "), F.col("event_id"))).alias("summary"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalog.bindings import query, table, utc
-from stratalog.bindings.dialogue import SQL_CONTEXT
+from stratalog.bindings.dialogue import SQL_CONTEXT, session_rows
 from stratalog.functions.times import micros
 from stratalog.session import scratch_path
 from stratalog.streaming import states
@@ -67,23 +67,19 @@ def drained(
 @query(
     "session_context_stream",
     f"""WITH {SQL_CONTEXT} SELECT session_id, t AS event_us, created_us, at_id IS NOT NULL AS has_context,
-      'w' || at_id AS well_name FROM cx""",
+      'w' || at_id AS well_name, 'summary ' || at_id AS summary, nz AS n_zones,
+      CASE WHEN nz > 0 THEN 'class ' || nz END AS dominant_lithology FROM cx""",
 )
 def session_context_stream(spark: SparkSession, sf: str) -> DataFrame:
-    made = F.col("event_type") == "purchase"
-    events = event_stream(spark, sf).select(
-        F.col("user_id").cast("string").alias("session_id"),
-        "ts",
-        F.when(made, "prediction").otherwise("other").alias("kind"),
-        F.when(made, F.concat(F.lit("w"), F.col("event_id"))).alias("well_name"),
-    )
+    """The same columns as in batch."""
+    events = session_rows(event_stream(spark, sf)).drop("event_id")
+    events = events.withColumn("session_id", F.col("session_id").cast("string"))
     out = drained(events, "session_id", "ts", states.session_context, "session-context")
     return out.select(
         F.col("session_id").cast("bigint").alias("session_id"),
         micros("ts").alias("event_us"),
         micros("created_at").alias("created_us"),
-        "has_context",
-        "well_name",
+        "has_context", "well_name", "summary", "n_zones", "dominant_lithology",
     )
 
 

@@ -17,16 +17,17 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stratalog.config import SeriesConfig, SessionConfig
 from stratalog.functions.times import micros
+from stratalog.operators.sessions import CONTEXT
 
 CONTEXT_ROW = (
     "session_id string, ts long, kind string, created_at long, has_context boolean, "
-    "well_name string"
+    "context string"
 )
 SERVED_ROW = (
     "series string, fetched_at long, ok boolean, served_value double, served_at long, "
     "state string"
 )
-_BUFFER = "created long, known boolean, well string, times array<long>, kinds array<string>, wells array<string>"
+_BUFFER = "created long, context string, times array<long>, kinds array<string>, contexts array<string>"
 _HELD = "at long, value double, times array<long>, oks array<boolean>, vals array<double>"
 
 
@@ -41,34 +42,39 @@ def _stamped(out: DataFrame, *columns: str) -> DataFrame:
 def session_context(
     events: DataFrame, delay: str = "10 minutes", cfg: SessionConfig = SessionConfig()
 ) -> DataFrame:
-    """Stream of ``(session_id, ts, kind, well_name)`` to rows with session and context."""
+    """Stream of ``(session_id, ts, kind, <context>)`` to rows with session and context.
+
+    The context columns that exist travel through the state as one JSON text, so a prediction
+    replaces all of them at once, as in batch: one without zones leaves no class behind.
+    """
+    fields = [events.schema[c] for c in CONTEXT if c in events.columns]
     ttl = cfg.ttl_seconds * 1_000_000
 
     def fold(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        created, known, well, times, kinds, wells = (
-            state.get if state.exists else (None, False, None, [], [], [])
+        created, context, times, kinds, contexts = (
+            state.get if state.exists else (None, None, [], [], [])
         )
-        times, kinds, wells = list(times), list(kinds), list(wells)
+        times, kinds, contexts = list(times), list(kinds), list(contexts)
         for batch in batches:
             times += batch["_us"].tolist()
             kinds += batch["kind"].tolist()
-            wells += [w if isinstance(w, str) else None for w in batch["well_name"]]
+            contexts += [c if isinstance(c, str) else None for c in batch["_context"]]
         mark = state.getCurrentWatermarkMs() * 1000
-        rows = sorted(zip(times, range(len(times)), kinds, wells))
+        rows = sorted(zip(times, range(len(times)), kinds, contexts))
         out, held = [], []
-        for t, _, kind, name in rows:
+        for t, _, kind, given in rows:
             if t > mark:
-                held.append((t, kind, name))
+                held.append((t, kind, given))
                 continue
             if created is None or t - created > ttl:
-                created, known, well = t, False, None
+                created, context = t, None
             if kind == "prediction":
-                known, well = True, name
-            out.append((t, kind, created, known, well))
+                context = given
+            out.append((t, kind, created, context))
         state.update(
-            (created, known, well, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held])
+            (created, context, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held])
         )
         if held:
             state.setTimeoutTimestamp(max(held[0][0] // 1000 + 1, mark // 1000 + 1))
@@ -83,20 +89,26 @@ def session_context(
                     "ts": _longs([o[0] for o in out]),
                     "kind": [o[1] for o in out],
                     "created_at": _longs([o[2] for o in out]),
-                    "has_context": [o[3] for o in out],
-                    "well_name": [o[4] for o in out],
+                    "has_context": [o[3] is not None for o in out],
+                    "context": [o[3] for o in out],
                 }
             )
 
+    given = F.when(F.col("kind") == "prediction", F.to_json(F.struct(*[f.name for f in fields])))
     folded = (
-        events.withColumn("_us", micros("ts"))
+        events.withColumns({"_us": micros("ts"), "_context": given})
+        .drop(*[f.name for f in fields])
         .withWatermark("ts", delay)
         .groupBy("session_id")
         .applyInPandasWithState(
             fold, CONTEXT_ROW, _BUFFER, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
-    return _stamped(folded, "ts", "created_at")
+    kinds_ = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    read = F.from_json("context", kinds_)
+    return _stamped(folded, "ts", "created_at").select(
+        *[c for c in folded.columns if c != "context"], *[read[f.name].alias(f.name) for f in fields]
+    )
 
 
 def served_values(
