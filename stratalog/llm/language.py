@@ -6,13 +6,14 @@ The language that needs the fewest phrases per character wins.
 
 Texts are parsed in stretches of a fixed number of symbols, each begun afresh, which costs every
 language the same phrase at most. So all stretches of a batch, long texts or short, step through the
-automaton together as one array; the automaton is a table from (state, symbol) to the next state,
-with the restart at the end of a phrase filled in.
+automaton together as one array. Every letter of the samples has a symbol of its own, whatever the
+number of scripts; the edges of an automaton lie scattered in one array, so its size follows its
+text and not the alphabet.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,27 +32,34 @@ UNKNOWN = "und"
 class LanguageConfig:
     """The automata are fitted on a bounded sample, the parse covers all text.
 
-    At most ``sample_rows`` documents of a language, ``piece`` characters of each, and
-    ``total_symbols`` over all languages, so all tables together stay below about
-    ``2 * total_symbols * symbols * 4`` bytes.
+    At most ``sample_rows`` documents of a language and ``piece`` characters of each. An automaton
+    of n characters has fewer than ``3 * n`` edges and takes about ``48 * n`` bytes, whatever the
+    other languages; more only where many states with hundreds of edges need the room.
     """
 
     sample_rows: int = 32
     piece: int = 2_048
-    total_symbols: int = 131_072
-    symbols: int = 48
     stretch: int = 512
 
 
+@dataclass(frozen=True)
+class Table:
+    """The edges of one automaton. A state is a place; its edge with a symbol lies that many places
+    on, as the owner's place and the next state's in the upper and lower half. ``starts`` is where a
+    phrase begun by a symbol leads, the root for symbols the language does not show."""
+
+    edges: np.ndarray
+    starts: np.ndarray
+    root: int
+
+
 @dataclass(frozen=True)
 class Tables:
-    """One automaton per language as ``table[state * symbols + symbol]``: twice the next state's
-    offset, plus 1 if a phrase ends there; and the symbol of each code point."""
+    """One automaton per language, and the symbol of each code point."""
 
     languages: list[str]
-    tables: list[np.ndarray]
+    tables: list[Table]
     symbol_of: np.ndarray
-    symbols: int
 
 
 def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
@@ -88,38 +96,48 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
 
 
-def parse_table(codes: list[int], symbols: int) -> np.ndarray:
-    """The automaton of a coded text as one array. Symbol 0 stands for characters no language
-    shows; the last symbol is padding and stays where it is."""
+def parse_table(codes: list[int], symbols: int) -> Table:
+    """The automaton of a coded text, its states placed so that no two edges meet."""
     moves = suffix_automaton(codes)
-    starts = np.zeros(symbols, dtype=np.int32)
+    size = 2 * sum(map(len, moves)) + 1
+    draw = random.Random(0).random  # half of the places stay free, so a few draws place most states
+    owner = [-1] * (size + symbols)
+    place = [-1] * len(moves)
+    used = set()
+    for state in sorted(range(len(moves)), key=lambda a: -len(moves[a])):
+        at, drawn = int(draw() * size), 1
+        while at in used or any(owner[at + code] >= 0 for code in moves[state]):
+            at, drawn = int(draw() * size), drawn + 1
+            if drawn % 256 == 0:  # many edges find no gap here: a quarter more room
+                owner += [-1] * (size // 4 + 1)
+                size += size // 4 + 1
+        used.add(at)
+        place[state] = at
+        for code in moves[state]:
+            owner[at + code] = at
+    edges = np.array(owner, dtype=np.int64) << 32
+    for state, of in enumerate(moves):
+        for code, to in of.items():
+            edges[place[state] + code] |= place[to]
+    starts = np.full(symbols, place[0], dtype=np.int64)
     for code, to in moves[0].items():
-        starts[code] = to
-    table = np.tile(starts * symbols * 2 + 1, (len(moves), 1)).astype(np.int32)
-    table[0] -= 1  # at the root a known symbol begins a phrase without ending one
-    table[0, starts == 0] = 1
-    for state, edges in enumerate(moves):
-        for code, to in edges.items():
-            table[state, code] = to * symbols * 2
-    table[:, symbols - 1] = np.arange(len(moves), dtype=np.int32) * symbols * 2
-    return table.reshape(-1)
-
-
-def fitted(samples: dict[str, list[str]], cfg: LanguageConfig = LanguageConfig()) -> Tables:
-    """Automata from sample texts. The most frequent letters get a symbol of their own; all that is
-    not a letter is one symbol."""
+        starts[code] = place[to]
+    return Table(edges, starts, place[0])
+
+
+def fitted(samples: dict[str, list[str]]) -> Tables:
+    """Automata from sample texts. Each letter of any sample is a symbol, which only the languages
+    that show it know; symbol 0 is all other letters, symbol 1 all that is not a letter."""
     languages = sorted(samples)
-    each = cfg.total_symbols // max(1, len(languages))
-    texts = {name: " ".join(samples[name]).lower()[:each] for name in languages}
-    counts = Counter(c for text in texts.values() for c in text if c.isalpha())
-    alphabet = sorted(counts, key=lambda c: (-counts[c], c))[: cfg.symbols - 3]
-    symbol_of = np.zeros(0x110000, dtype=np.uint8)
-    letters = np.array([chr(i).isalpha() for i in range(0x30000)], dtype=bool)
-    symbol_of[:0x30000][~letters] = 1
+    texts = {name: " ".join(samples[name]).lower() for name in languages}
+    alphabet = sorted({c for text in texts.values() for c in text if c.isalpha()})
+    symbol_of = np.zeros(0x110000, dtype=np.int32)
+    symbol_of[[i for i in range(0x110000) if not chr(i).isalpha()]] = 1
     for i, char in enumerate(alphabet):
         symbol_of[ord(char)] = i + 2
-    tables = [parse_table(symbol_of[_points(texts[name])].tolist(), cfg.symbols) for name in languages]
-    return Tables(languages, tables, symbol_of, cfg.symbols)
+    symbols = len(alphabet) + 2
+    tables = [parse_table(symbol_of[_points(texts[name])].tolist(), symbols) for name in languages]
+    return Tables(languages, tables, symbol_of)
 
 
 def phrase_counts(texts: list[str], model: Tables, stretch: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,19 +146,28 @@ def phrase_counts(texts: list[str], model: Tables, stretch: int) -> tuple[np.nda
     lengths = np.array([len(c) for c in coded], dtype=np.int64)
     lanes = -(-lengths // stretch)
     owner = np.repeat(np.arange(len(texts)), lanes)
-    grid = np.full(int(lanes.sum()) * stretch, model.symbols - 1, dtype=np.uint8)
+    grid = np.zeros(int(lanes.sum()) * stretch, dtype=np.int32)
     begin = np.concatenate([[0], np.cumsum(lanes)]) * stretch
     for at, codes in zip(begin, coded, strict=False):
         grid[at : at + len(codes)] = codes
-    columns = np.ascontiguousarray(grid.reshape(-1, stretch).T)
+    # only the last lane of a text is short; the longest come first, so those still running are a prefix
+    filled = np.minimum(stretch, lengths[owner] - (np.arange(len(owner)) * stretch - begin[owner]))
+    order = np.argsort(-filled, kind="stable")
+    owner, filled = owner[order], filled[order]
+    columns = np.ascontiguousarray(grid.reshape(-1, stretch)[order].T)
+    running = np.searchsorted(-filled, -np.arange(stretch))
     phrases = np.zeros((len(texts), len(model.languages)), dtype=np.int64)
     for k, table in enumerate(model.tables):
-        state = np.zeros(len(owner), dtype=np.int32)
+        state = np.full(len(owner), table.root, dtype=np.int64)
         ended = np.zeros(len(owner), dtype=np.int32)
-        for column in columns:
-            moved = table.take((state >> 1) + column)
-            ended += moved & 1
-            state = moved & -2
+        for column, n in zip(columns, running.tolist(), strict=True):
+            if not n:
+                break
+            code, now = column[:n], state[:n]
+            edge = table.edges.take(now + code)
+            over = (edge >> 32) != now
+            ended[:n] += over
+            state[:n] = np.where(over, table.starts.take(code), edge & 0xFFFFFFFF)
         phrases[:, k] = np.bincount(owner, weights=ended + 1, minlength=len(texts))
     return phrases, lengths
 
@@ -190,7 +217,7 @@ def learn(docs: DataFrame, learned: Column, cfg: LanguageConfig = LanguageConfig
     samples: dict[str, list[str]] = {}
     for row in picked.where("_piece is not null").orderBy("_lang", "_h").collect():
         samples.setdefault(row["_lang"], []).append(row["_piece"])
-    return fitted(samples, cfg)
+    return fitted(samples)
 
 
 def prediction(spark, model: Tables, text: Column, cfg: LanguageConfig = LanguageConfig()) -> Column:

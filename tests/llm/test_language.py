@@ -45,6 +45,45 @@ def test_phrases_are_longest_matches():
             assert got[i, k] == naive(plain, samples[name][0], 64), (name, t)
 
 
+def test_many_scripts():
+    """Letters of every script stay apart, however many more frequent ones there are."""
+    rng = np.random.default_rng(5)
+
+    def words(first, letters, n):
+        return " ".join("".join(chr(first + c) for c in rng.integers(0, letters, size)) for size in rng.integers(2, 7, n))
+
+    common = {"el": (0x3B1, 17), "en": (0x61, 26), "ru": (0x430, 32)}
+    rare = {"ja": (0x3042, 40), "ka": (0x10D0, 33), "th": (0xE01, 40), "zh": (0x4E00, 3_000), "zz": (0x20000, 3_000)}
+    samples = {name: [words(*of, 4_000)] for name, of in common.items()} | {name: [words(*of, 600)] for name, of in rare.items()}
+    model = L.fitted(samples)
+    texts = {name: words(*of, 80) for name, of in (common | rare).items()}
+    got = L._predictions(list(texts.values()), model, 512)
+    assert [g[0] for g in got] == list(texts)
+    counts, _ = L.phrase_counts(list(texts.values()), model, 512)
+    for k, name in enumerate(model.languages):
+        known = "".join(c if c.isalpha() else " " for c in samples[name][0])
+        assert counts[:, k].tolist() == [naive(t, known, 512) for t in texts.values()]
+
+
+def test_states_with_many_edges_find_a_place():
+    codes = np.random.default_rng(7).integers(0, 250, 20_000).tolist()
+    table = L.parse_table(codes, 250)
+    assert len(table.edges) < 40 * len(codes)
+    state = table.root
+    for code in codes[5_000:6_000]:
+        edge = int(table.edges[state + code])
+        assert edge >> 32 == state
+        state = edge & 0xFFFFFFFF
+
+
+def test_a_language_keeps_its_sample_whatever_the_others():
+    text = "".join(np.random.default_rng(6).choice(list("abcdefgh "), 20_000))
+    alone = L.fitted({"a": [text]})
+    among = L.fitted({"a": [text]} | {f"b{i}": ["xyz"] for i in range(9)})
+    for model in (alone, among):
+        assert L.phrase_counts([text[-512:]], model, 512)[0][0, 0] == 1
+
+
 def test_automaton_knows_exactly_the_factors():
     text = [1, 2, 1, 1, 2, 3, 1, 2, 1]
     moves = L.suffix_automaton(text)
