@@ -1,10 +1,10 @@
-"""Toxicity by the nearest labelled examples, with exact TF-IDF cosine over a block-max index.
+"""Toxicity by the nearest labelled examples, with exact cosines over all their terms.
 
-Terms are words and the beginnings of words. The vector space keeps the terms whose presence depends
-most on the label, by the likelihood ratio over a sample of the labelled training documents; inverse
-document frequencies count all documents. Labelled examples are indexed in blocks with the largest weight of
-each term per block, so a block's best possible cosine is known before it is opened, and blocks are
-opened only while they can still beat the k-th best example found.
+Terms are words and the beginnings of words; the vector space holds every term of the indexed
+examples. A term weighs its TF-IDF times what it tells about the label, the root of its likelihood
+ratio over a sample of the labelled training documents, for either class and never nothing; inverse
+document frequencies count all documents. Every text is compared with every example: terms that many
+examples hold are multiplied as a dense block, the others through their postings.
 
 Votes weigh by closeness and by how many documents of its class an example stands for; a table of
 votes against outcomes, from training documents outside the index, turns them into a probability.
@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,19 +30,17 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class ToxicityConfig:
-    """The classifier is fitted on a bounded sample by id hash: terms are chosen on at most
+    """The classifier is fitted on a bounded sample by id hash: terms are weighed on at most
     ``fit_rows`` labelled documents of each class, ``examples`` of each go into the index and as many
-    again into the calibration. Document frequencies and class sizes count all rows."""
+    again into the calibration. Document frequencies and class sizes count all rows. ``least`` is
+    added to each likelihood ratio, so that no term weighs nothing."""
 
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
-    max_terms: int = 512
-    min_ratio: float = 30.0
-    min_lift: float = 8.0
+    least: float = 0.1
     fit_rows: int = 8_192
     examples: int = 2_048
-    rows_per_task: int = 16_384
     neighbours: int = 15
-    block: int = 64
+    block: int = 16
     bins: int = 10
 
 
@@ -51,144 +49,141 @@ def word_terms(word: str, prefixes: tuple[int, ...]) -> list[str]:
     return [word, *(word[:size] + "*" for size in prefixes if len(word) > size)]
 
 
-def label_counts(labelled: DataFrame, cfg: ToxicityConfig) -> DataFrame:
-    """``(term, toxic, clean)`` documents per term; a task adds up before it sends."""
-    prefixes = cfg.prefixes
+class Reader:
+    """Places and counts of the known terms of a text; the places of a word are remembered."""
+
+    def __init__(self, terms: str, prefixes: tuple[int, ...]):
+        self.place, self.prefixes = {t: i for i, t in enumerate(terms.split())}, prefixes
+        self.memo: dict[str, list[int]] = {}
+
+    def vector(self, text: str | None) -> tuple[list[int], list[int]]:
+        hits: Counter = Counter()
+        for word, n in Counter(WORD.findall((text or "").lower())).items():
+            places = self.memo.get(word)
+            if places is None:
+                if len(self.memo) > 200_000:
+                    self.memo.clear()
+                places = [self.place[t] for t in word_terms(word, self.prefixes) if t in self.place]
+                self.memo[word] = places
+            for at in places:
+                hits[at] += n
+        order = sorted(hits)
+        return order, [hits[a] for a in order]
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # documents per (length of the beginning, 0 for whole words) and class
-        found = {size: (Counter(), Counter()) for size in (0, *prefixes)}
-
-        def flush() -> pd.DataFrame:
-            rows = []
-            for size, (clean, toxic) in found.items():
-                mark = "*" if size else ""
-                rows += [(term + mark, toxic[term], clean[term]) for term in clean.keys() | toxic.keys()]
-                clean.clear()
-                toxic.clear()
-            out = pd.DataFrame(rows, columns=["term", "toxic", "clean"])
-            return out.astype({"term": object, "toxic": "int64", "clean": "int64"})
 
+def term_counts(docs: DataFrame, reader, kind: str) -> DataFrame:
+    """``(place, n, clean, toxic, doc_id)``: documents per term, and those of each class in the
+    sample whose ``label`` is given. A document without any term is a row of its own at place -1."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        read = Reader(*reader())
+        found: dict = {None: Counter(), 0: Counter(), 1: Counter()}
         for frame in frames:
-            for text, label in zip(frame["text"], frame["label"], strict=True):
-                words = set(WORD.findall((text or "").lower()))
-                found[0][label].update(words)
-                for size in prefixes:
-                    found[size][label].update({word[:size] for word in words if len(word) > size})
-                if sum(len(one[0]) for one in found.values()) > 400_000:
-                    yield flush()
-        yield flush()
-
-    counted = labelled.select("text", "label").mapInPandas(count, "term string, toxic long, clean long")
-    return counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-
-
-def telling_terms(counts: DataFrame, totals: tuple[int, int], cfg: ToxicityConfig) -> list[str]:
-    """The terms with the largest likelihood ratio among those that lean clearly to the toxic class."""
-    clean, toxic = (float(n) for n in totals)
-
-    def part(seen: Column, of: float, share: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / (share * of))).otherwise(0.0)
-
-    with_term = (F.col("toxic") + F.col("clean")) / (clean + toxic)
-    ratio = 2 * (
-        part(F.col("toxic"), toxic, with_term)
-        + part(F.col("clean"), clean, with_term)
-        + part(toxic - F.col("toxic"), toxic, 1 - with_term)
-        + part(clean - F.col("clean"), clean, 1 - with_term)
+            bare = []
+            for i, text, label in zip(frame["doc_id"], frame["text"], frame["label"], strict=True):
+                places = read.vector(text)[0]
+                found[None if pd.isna(label) else int(label)].update(places)
+                if not places:
+                    bare.append(i)
+            yield pd.DataFrame({"place": -1, "n": 1, "clean": 0, "toxic": 0, "doc_id": bare})
+        rest, clean, toxic = found[None], found[0], found[1]
+        seen = list(rest.keys() | clean.keys() | toxic.keys())
+        yield pd.DataFrame(
+            [(p, rest[p] + clean[p] + toxic[p], clean[p], toxic[p], None) for p in seen],
+            columns=["place", "n", "clean", "toxic", "doc_id"],
+        )
+
+    return docs.select("doc_id", "text", "label").mapInPandas(
+        count, f"place int, n long, clean long, toxic long, doc_id {kind}"
     )
-    lift = ((F.col("toxic") + 0.5) / (toxic + 1)) / ((F.col("clean") + 0.5) / (clean + 1))
-    best = counts.select("term", ratio.alias("ratio"), lift.alias("lift")).where(
-        (F.col("ratio") >= cfg.min_ratio) & (F.col("lift") >= cfg.min_lift)
-    )
-    return [r["term"] for r in best.orderBy(F.desc("ratio"), "term").limit(cfg.max_terms).collect()]
-
-
-def term_vector(spark, terms: list[str], text: Column, cfg: ToxicityConfig) -> Column:
-    """Places and counts, as two arrays, of the chosen terms that occur in a text."""
-    places = share(spark, {t: i for i, t in enumerate(terms)})
-    sizes = tuple(sorted({len(t) - 1 for t in terms if t.endswith("*")}))
-
-    @F.pandas_udf("place array<int>, n array<int>")
-    def vector(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        place = places()
-        # a quick look at the first letters: nearly all words begin like no term
-        short = min((4, *sizes))
-        begins = frozenset(t.rstrip("*")[:short] for t in place)
-        for batch in batches:
-            out = []
-            for text in batch:
-                hits: Counter = Counter()
-                for word, n in Counter(WORD.findall((text or "").lower())).items():
-                    if word[:short] in begins:
-                        for term in word_terms(word, sizes):
-                            if term in place:
-                                hits[place[term]] += n
-                order = sorted(hits)
-                out.append((order, [hits[a] for a in order]))
-            yield pd.DataFrame(out, columns=["place", "n"])
-
-    return vector(text)
+
+
+def label_ratio(clean: np.ndarray, toxic: np.ndarray, totals: tuple[int, int]) -> np.ndarray:
+    """Likelihood ratio of each term's presence against the label."""
+    n_clean, n_toxic = (float(n) for n in totals)
+
+    def part(seen: np.ndarray, of: float, share: np.ndarray) -> np.ndarray:
+        ok = (seen > 0) & (share > 0)
+        return np.where(ok, seen * np.log(np.where(ok, seen, 1) / np.where(ok, share * of, 1)), 0.0)
+
+    share = (clean + toxic) / max(1.0, n_clean + n_toxic)
+    ratio = part(toxic, n_toxic, share) + part(clean, n_clean, share)
+    ratio += part(n_toxic - toxic, n_toxic, 1 - share) + part(n_clean - clean, n_clean, 1 - share)
+    return np.maximum(2 * ratio, 0.0)
 
 
 @dataclass
-class BlockMaxIndex:
-    """Unit vectors of the examples in blocks, and the largest weight of each term per block."""
+class ExampleIndex:
+    """Unit vectors of the examples by term: a dense row for terms of many examples, postings for
+    the others."""
 
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
     idf: np.ndarray
-    block: int
-    postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    maxima: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    dense_at: np.ndarray
+    dense: np.ndarray
+    begin: np.ndarray
+    rows: np.ndarray
+    values: np.ndarray
 
     @classmethod
-    def build(cls, ids, labels, weights, vectors, idf, block) -> BlockMaxIndex:
-        """Examples with like terms are put next to each other, so that blocks have low maxima."""
+    def build(cls, ids, labels, weights, vectors, idf, block) -> ExampleIndex:
+        """Terms that more than one in ``block`` examples holds get a dense row. Examples with like
+        terms are put next to each other."""
         units = [unit(v, idf) for v in vectors]
-        order = sorted(range(len(ids)), key=lambda i: (units[i][0].tolist(), str(ids[i])))
-        units = [units[i] for i in order]
-        index = cls(np.array(ids)[order], np.array(labels)[order], np.array(weights)[order], idf, block)
-        blocks = -(-len(order) // block)
-        index.maxima = np.zeros((blocks, len(idf)))
-        lists: list[list[tuple[int, float]]] = [[] for _ in idf]
-        for at, (places, values) in enumerate(units):
-            np.maximum.at(index.maxima[at // block], places, values)
-            for p, v in zip(places.tolist(), values.tolist(), strict=True):
-                lists[p].append((at, v))
-        index.postings = [
-            (np.array([a for a, _ in one], dtype=np.int64), np.array([v for _, v in one])) for one in lists
-        ]
-        return index
-
-    def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+        order = sorted(range(len(ids)), key=lambda i: (units[i][0].astype(">i8").tobytes(), str(ids[i])))
+        sizes = [len(units[i][0]) for i in order]
+        places = np.concatenate([units[i][0] for i in order]) if order else np.zeros(0, dtype=np.int64)
+        values = np.concatenate([units[i][1] for i in order]) if order else np.zeros(0)
+        rows = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+        many = np.flatnonzero(np.bincount(places, minlength=len(idf)) * block > len(order))
+        dense_at = np.full(len(idf), -1, dtype=np.int32)
+        dense_at[many] = np.arange(len(many))
+        dense = np.zeros((len(many), len(order)))
+        common = dense_at[places] >= 0
+        dense[dense_at[places[common]], rows[common]] = values[common]
+        places, rows, values = places[~common], rows[~common], values[~common]
+        by_term = np.argsort(places, kind="stable")
+        begin = np.concatenate([[0], np.cumsum(np.bincount(places, minlength=len(idf)))])
+        return cls(
+            np.array(ids)[order], np.array(labels)[order], np.array(weights)[order], idf, dense_at, dense,
+            begin, rows[by_term], values[by_term],
+        )
+
+    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosine of each query with each example."""
+        wide = np.zeros((len(queries), len(self.dense)))
+        for q, (places, values) in enumerate(queries):
+            at = self.dense_at[places]
+            wide[q, at[at >= 0]] = values[at >= 0]
+        out = wide @ self.dense
+        for q, (places, values) in enumerate(queries):
+            start, n = self.begin[places], self.begin[places + 1] - self.begin[places]
+            total = int(n.sum())
+            if total:
+                place = np.arange(total) + np.repeat(start - (np.cumsum(n) - n), n)
+                weight = self.values[place] * np.repeat(values, n)
+                out[q] += np.bincount(self.rows[place], weights=weight, minlength=len(self.ids))
+        return out
+
+    def nearest(
+        self, query: tuple[np.ndarray, np.ndarray], k: int, cosine: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Places and exact cosines of the k nearest examples, nearest first, ties to the smaller
         place; examples that share no term are not near."""
-        places, values = query
-        bounds = self.maxima[:, places] @ values
-        order = np.argsort(-bounds, kind="stable")
-        at = np.zeros(0, dtype=np.int64)
-        cosine = np.zeros(0)
-        for b in order:
-            if bounds[b] <= 0 or (len(at) == k and bounds[b] < cosine[-1] - 1e-12):
-                break
-            start = b * self.block
-            sums = np.zeros(min(self.block, len(self.ids) - start))
-            for p, v in zip(places, values, strict=True):
-                rows, weights = self.postings[p]
-                lo, hi = np.searchsorted(rows, (start, start + len(sums)))
-                sums[rows[lo:hi] - start] += v * weights[lo:hi]
-            found = np.flatnonzero(sums > 0)
-            at = np.concatenate([at, found + start])
-            cosine = np.concatenate([cosine, sums[found]])
-            best = np.lexsort((at, -np.round(cosine, 12)))[:k]
-            at, cosine = at[best], cosine[best]
-        return at, cosine
-
-    def vote(self, query: tuple[np.ndarray, np.ndarray], k: int) -> tuple[float | None, list[int], list[float]]:
+        if cosine is None:
+            cosine = self.cosines([query])[0]
+        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+        at = np.flatnonzero((cosine > 0) & (cosine >= least - 2e-12))
+        at = at[np.lexsort((at, -np.round(cosine[at], 12)))[:k]]
+        return at, cosine[at]
+
+    def vote(
+        self, query: tuple[np.ndarray, np.ndarray], k: int, cosine: np.ndarray | None = None
+    ) -> tuple[float | None, list[int], list[float]]:
         """Share of the toxic class among the nearest, each weighed by closeness and class weight."""
-        at, cosine = self.nearest(query, k)
+        at, cosine = self.nearest(query, k, cosine)
         if not len(at):
             return None, [], []
         weight = self.weights[at] / (1.02 - np.minimum(cosine, 1.0))
@@ -196,6 +191,9 @@ class BlockMaxIndex:
         return share, at.tolist(), cosine.tolist()
 
 
+BlockMaxIndex = ExampleIndex  # the name before all terms were indexed
+
+
 def unit(vector: tuple, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and weights ``(1 + ln n) * idf`` of a vector, scaled to length 1."""
     places = np.array(vector[0], dtype=np.int64)
@@ -207,21 +205,24 @@ def unit(vector: tuple, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Scorer:
     """The index, the calibration of its votes, and the probability of a text without terms."""
 
-    index: BlockMaxIndex | None
+    index: ExampleIndex | None
     edges: np.ndarray
     rates: np.ndarray
     bare: float
     k: int
 
-    def judged(self, vector: tuple) -> tuple[float, float | None, list, list[float]]:
+    def judged(self, vectors: list[tuple]) -> list[tuple[float, float | None, list, list[float]]]:
         """Score, vote, and ids and cosines of the nearest examples."""
-        if self.index is None or not vector[0]:
-            return self.bare, None, [], []
-        vote, at, cosines = self.index.vote(unit(vector, self.index.idf), self.k)
-        if vote is None:
-            return self.bare, None, [], []
-        score = float(np.interp(vote, self.edges, self.rates))
-        return score, vote, [self.index.ids[a].item() for a in at], cosines
+        out: list = [(self.bare, None, [], [])] * len(vectors)
+        known = [i for i, v in enumerate(vectors) if v[0]] if self.index else []
+        for some in (known[a : a + 64] for a in range(0, len(known), 64)):
+            queries = [unit(vectors[i], self.index.idf) for i in some]
+            for i, query, cosine in zip(some, queries, self.index.cosines(queries), strict=True):
+                vote, at, near = self.index.vote(query, self.k, cosine)
+                if vote is not None:
+                    score = float(np.interp(vote, self.edges, self.rates))
+                    out[i] = (score, vote, [self.index.ids[a].item() for a in at], near)
+        return out
 
 
 def _calibrated(votes: list[tuple[float, int, float]], bins: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,38 +243,6 @@ def _calibrated(votes: list[tuple[float, int, float]], bins: int) -> tuple[np.nd
     return edges, rates
 
 
-def _scorer(vectors: DataFrame, idf: np.ndarray, cfg: ToxicityConfig) -> Scorer:
-    """Index and calibration from a bounded sample by id hash; every other number counts all rows."""
-    known = vectors.where("label is not null")
-    bare = known.agg(
-        F.sum(F.when(F.size("place") == 0, F.col("label"))).alias("t"), F.count_if(F.size("place") == 0).alias("n"),
-        F.coalesce(F.avg("label"), F.lit(0.0)).alias("all"),
-    ).first()
-    bare_rate = ((bare["t"] or 0) + 0.5 * bare["all"]) / (bare["n"] + 0.5)
-    voting = known.where(F.size("place") > 0).withColumn("_h", F.xxhash64("doc_id", F.lit(5)))
-    light = voting.select("doc_id", "label", "_h")
-    sizes = {r["label"]: r["count"] for r in light.groupBy("label").count().collect()}
-    top = top_per_group(light, ["label"], [F.col("_h"), F.col("doc_id")], 2 * cfg.examples, ["_h", "doc_id"])
-    chosen = kept(top.select("doc_id", "_h").distinct(), "toxicity-sample")
-    rows = voting.join(F.broadcast(chosen), ["doc_id", "_h"]).orderBy("_h", "doc_id").limit(4 * cfg.examples).collect()
-    if not rows:
-        return Scorer(None, np.array([0.0]), np.array([0.0]), bare_rate, cfg.neighbours)
-    number = Counter(r["label"] for r in rows)
-    weights = {y: sizes[y] / number[y] for y in number}
-    fit, rest = rows[0::2], rows[1::2]
-    index = BlockMaxIndex.build(
-        [r["doc_id"] for r in fit], [r["label"] for r in fit], [weights[r["label"]] for r in fit],
-        [(r["place"], r["n"]) for r in fit], idf, cfg.block,
-    )
-    votes = []
-    for r in rest:
-        vote = index.vote(unit((r["place"], r["n"]), idf), cfg.neighbours)[0]
-        if vote is not None:
-            votes.append((vote, r["label"], weights[r["label"]]))
-    edges, rates = _calibrated(votes, cfg.bins)
-    return Scorer(index, edges, rates, bare_rate, cfg.neighbours)
-
-
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, learned: Column, cfg: ToxicityConfig = ToxicityConfig()
 ) -> DataFrame:
@@ -281,56 +250,84 @@ def toxicity_scores(
 
     ``labels`` has ``doc_id, toxic``; labels are learned where ``learned`` (over ``doc_id``) holds,
     the larger if an id has several, nulls not at all. ``evidence`` lists the nearest examples with
-    their cosine. A text without any telling term, empty or null ones too, gets the rate of such
-    texts among the labelled; with no labels at all every score is 0. Equal cosines go to the
+    their cosine. A text without any term of the examples, empty or null ones too, gets the rate of
+    such texts among the labelled; with no labels at all every score is 0. Equal cosines go to the
     example first in index order.
     """
     spark = docs.sparkSession
+    docs = docs.select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & learned)
     marks = marks.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("label"))
     marks = kept(marks.select(F.col("doc_id").alias("_id"), (F.col("label") > 0).cast("int").alias("label")), "toxicity-labels")
+    same = F.col("doc_id") == F.col("_id")
+
+    # the examples: one in two goes into the index, the others calibrate its votes
+    light = kept(docs.select("doc_id").join(marks, same).select("doc_id", "label", F.xxhash64("doc_id", F.lit(5)).alias("_h")), "toxicity-known")
+    sizes = {r["label"]: r["count"] for r in light.groupBy("label").count().collect()}
+    top = top_per_group(light, ["label"], [F.col("_h"), F.col("doc_id")], 2 * cfg.examples, ["_h", "doc_id"])
+    chosen = kept(top.select(F.col("doc_id").alias("_id"), "label", "_h").distinct(), "toxicity-sample")
+    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), same)
+    rows = picked.orderBy("_h", "doc_id", "text").limit(4 * cfg.examples).collect()
+    fit, rest = rows[0::2], rows[1::2]
+    words = {w for r in fit for w in WORD.findall((r["text"] or "").lower())}
+    terms = {t for w in words for t in word_terms(w, cfg.prefixes)}
+    n_terms = len(terms)
+    known = (" ".join(sorted(terms)), cfg.prefixes)  # one text, since there may be a million
+    del words, terms
+    reader = share(spark, known)
+
     order = [F.xxhash64("_id"), F.col("_id")]
-    fit = top_per_group(marks, ["label"], order, cfg.fit_rows, ["_id"]).select("_id", "label")
-    fit = F.broadcast(kept(fit, "toxicity-fit"))  # at most fit_rows ids of each class
-    labelled = docs.select("doc_id", "text").join(fit, F.col("doc_id") == F.col("_id")).select("text", "label")
-    by_label = {
-        r["label"]: r["count"]
-        for r in docs.select("doc_id").join(fit, F.col("doc_id") == F.col("_id")).groupBy("label").count().collect()
-    }
-    totals = (by_label.get(0, 0), by_label.get(1, 0))
-    counts = label_counts(labelled, cfg)
-    terms = telling_terms(counts, totals, cfg) if all(totals) else []
-    found = docs.select("doc_id", term_vector(spark, terms, F.col("text"), cfg).alias("_v"))
-    vectors = kept(
-        found.join(marks, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "label", "_v.place", "_v.n"),
-        "toxicity-vectors",
-    )
-    seen = vectors.select(F.explode("place").alias("p")).groupBy("p").count()
-    n_docs = vectors.count()
-    idf = np.full(len(terms), np.log(1 + n_docs))
-    for r in seen.collect():  # at most max_terms rows
-        idf[r["p"]] = np.log((1 + n_docs) / (1 + r["count"])) + 0.1
-    scorer = share(spark, _scorer(vectors, idf, cfg))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    sample = top_per_group(marks, ["label"], order, cfg.fit_rows, ["_id"]).select("_id", "label")
+    sample = F.broadcast(kept(sample, "toxicity-fit"))  # at most fit_rows ids of each class
+    seen = kept(term_counts(docs.join(sample, same, "left"), reader, kind), "toxicity-terms")
+    by_label = {r["label"]: r["count"] for r in docs.select("doc_id").join(sample, same).groupBy("label").count().collect()}
+    n_docs = docs.count()
+    n, clean, toxic = (np.zeros(n_terms) for _ in range(3))
+    counted = seen.where("place >= 0").groupBy("place").agg(*[F.sum(c).alias(c) for c in ("n", "clean", "toxic")])
+    columns = counted.toArrow()  # at most one row per term of the examples
+    at = columns["place"].to_numpy()
+    n[at], clean[at], toxic[at] = (columns[c].to_numpy() for c in ("n", "clean", "toxic"))
+    ratio = label_ratio(clean, toxic, (by_label.get(0, 0), by_label.get(1, 0)))
+    idf = (np.log((1 + n_docs) / (1 + n)) + 0.1) * np.sqrt(cfg.least + ratio)
+    bare = seen.where("place < 0").join(marks, same).agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).first()
+    rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    scorer = share(spark, _scorer(fit, rest, sizes, Reader(*known), idf, ((bare["t"] or 0) + 0.5 * rate) / (bare["n"] + 0.5), cfg))
 
     @F.pandas_udf(f"score double, vote double, ids array<{kind}>, cosines array<double>")
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        model = scorer()
-        memo: dict = {}
-        for places, numbers in batches:
-            out = []
-            for key in zip(map(tuple, places), map(tuple, numbers), strict=True):
-                if key not in memo:
-                    if len(memo) > 50_000:
-                        memo.clear()
-                    memo[key] = model.judged(key)
-                out.append(memo[key])
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model, read = scorer(), Reader(*reader())
+        for texts in batches:
+            out = [j for a in range(0, len(texts), 64) for j in model.judged([read.vector(t) for t in texts[a : a + 64]])]
             yield pd.DataFrame(out, columns=["score", "vote", "ids", "cosines"])
 
-    # the vectors are small, but each is a search: so many rows to a task
-    spread = vectors.repartition(max(1, -(-n_docs // cfg.rows_per_task)))
-    scored = spread.withColumn("_s", score("place", "n"))
+    scored = docs.select("doc_id", score("text").alias("_s"))
     return scored.select(
         "doc_id", "_s.score", (F.col("_s.score") >= 0.5).cast("int").alias("predicted"), "_s.vote",
         F.zip_with("_s.ids", "_s.cosines", lambda i, c: F.struct(i.alias("doc_id"), c.alias("cosine"))).alias("evidence"),
     )
+
+
+def _scorer(
+    fit: list, rest: list, sizes: dict[int, int], read: Reader, idf: np.ndarray, bare: float, cfg: ToxicityConfig
+) -> Scorer:
+    """Index of the ``fit`` rows, calibrated on the ``rest``."""
+
+    def vectors_of(rows: list) -> list[tuple]:
+        found = ((r["doc_id"], r["label"], np.array(read.vector(r["text"]), dtype=np.int32)) for r in rows)
+        return [r for r in found if r[2].size]
+
+    fit, rest = vectors_of(fit), vectors_of(rest)
+    if not fit:
+        return Scorer(None, np.array([0.0]), np.array([0.0]), bare, cfg.neighbours)
+    number = Counter(label for _, label, _ in [*fit, *rest])
+    weights = {y: sizes[y] / number[y] for y in number}
+    ids, marks, vectors = map(list, zip(*fit, strict=True))
+    index = ExampleIndex.build(ids, marks, [weights[y] for y in marks], vectors, idf, cfg.block)
+    votes = []
+    for _, label, vector in rest:
+        vote = index.vote(unit(vector, idf), cfg.neighbours)[0]
+        if vote is not None:
+            votes.append((vote, label, weights[label]))
+    edges, rates = _calibrated(votes, cfg.bins)
+    return Scorer(index, edges, rates, bare, cfg.neighbours)

@@ -72,3 +72,15 @@ def test_hard_rows(spark):
     assert by[1_000][0]["predicted"] == by[1_001][0]["predicted"] == 0
     assert {r["score"] for r in T.toxicity_scores(docs, labels.limit(0), F.lit(True)).collect()} == {0.0}
     assert T.toxicity_scores(docs.limit(0), labels, F.lit(True)).count() == 0
+
+
+def test_no_term_is_dropped(spark):
+    """More telling words than any cap, each too seldom to pass a test of its own, and clean ones."""
+    rng = random.Random(4)
+    draw = lambda of: "".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(of))
+    toxic, clean = ([draw(5) for _ in range(600)] for _ in range(2))
+    texts = [(i, " ".join(rng.sample(toxic if i % 2 else clean, 20))) for i in range(1_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1_000)], "doc_id long, toxic int")
+    rows = T.toxicity_scores(docs, labels, F.col("doc_id") < 800).where("doc_id >= 800").collect()
+    assert len(rows) == 200 and all(r["predicted"] == r["doc_id"] % 2 and r["evidence"] for r in rows)
