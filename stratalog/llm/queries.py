@@ -12,6 +12,7 @@ from stratalog.bindings import table
 from stratalog.llm import (
     chat_trees,
     decontam,
+    hard_negatives,
     language,
     mixing,
     neighbours,
@@ -252,6 +253,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query(
+    "op11_hard_negatives",
+    """
+    WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, len(embedding) AS dim,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    s AS (
+        SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+        FROM r a JOIN r b ON a.dim = b.dim AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+    ),
+    p AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 50; ids divisible by 7 change their label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline over the documents."""

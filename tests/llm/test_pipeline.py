@@ -32,7 +32,7 @@ def digest(spans):
 
 def test_all_registered():
     assert {*queries.QUERIES} <= {*spark_entry.queries()}
-    assert sum(n.startswith("op") and n[2].isdigit() for n in queries.QUERIES) == 10 and "pipeline" in queries.QUERIES
+    assert sum(n.startswith("op") and n[2].isdigit() for n in queries.QUERIES) == 13 and "pipeline" in queries.QUERIES
 
 
 def test_scans_equal_brute_force(spark, docs):
