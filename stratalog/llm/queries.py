@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from stratalog.bindings import table
 from stratalog.llm import (
+    alignment,
     chat_trees,
     decontam,
     hard_negatives,
@@ -286,6 +287,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
 
 
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in every document, with counts of the linked ids."""
+    return alignment.alignments(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole pipeline over the documents."""
