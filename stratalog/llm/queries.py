@@ -21,6 +21,7 @@ from stratalog.llm import (
     secret_scan,
     sharding,
     simhash,
+    suffix_dedup,
     toxicity,
 )
 from stratalog.llm.common import bucket_of, kept, span_list
@@ -287,6 +288,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
 
 
+@query("op12_suffix_dedup")
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte strings of 200 that start at two places, removed from every document."""
+    found = suffix_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), texts=False)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256"
+    )
+
+
 @query("op13_alignment")
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers aligned in every document, with counts of the linked ids."""
