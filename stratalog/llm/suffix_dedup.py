@@ -37,8 +37,8 @@ class SuffixConfig:
     length: int = 200
     gram: int = 50
     sizes: tuple[int, ...] = (64, 16, 4, 1)
-    chunk: int = 4_000_000
-    held: int = 1_000_000
+    chunk: int = 1_000_000
+    held: int = 300_000
 
     @property
     def window(self) -> int:
