@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +37,7 @@ class SuffixConfig:
     length: int = 200
     gram: int = 50
     sizes: tuple[int, ...] = (64, 16, 4, 1)
-    chunk: int = 1_000_000
+    chunk: int = 500_000
     held: int = 300_000
 
     @property
@@ -113,7 +113,7 @@ def anchors(texts: list[bytes], cfg: SuffixConfig) -> tuple[np.ndarray, ...]:
     return own[new], place[new] - begin, start[new] - begin, start[last] - begin, ids[place[new]]
 
 
-def pieces(texts: list[bytes], cfg: SuffixConfig) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+def pieces(texts: Iterable[bytes], cfg: SuffixConfig) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Texts in lists of about ``chunk`` bytes: their numbers, where each begins, and the bytes. A
     longer text comes in overlapping pieces that together hold each of its strings once."""
     numbers, begins, part, size = [], [], [], 0
@@ -133,7 +133,7 @@ def pieces(texts: list[bytes], cfg: SuffixConfig) -> Iterator[tuple[list[int], l
         yield numbers, begins, part
 
 
-def text_anchors(texts: list[bytes], cfg: SuffixConfig) -> Iterator[tuple[np.ndarray, ...]]:
+def text_anchors(texts: Iterable[bytes], cfg: SuffixConfig) -> Iterator[tuple[np.ndarray, ...]]:
     """Like :func:`anchors` for texts of any length."""
     for numbers, begins, part in pieces(texts, cfg):
         own, place, first, last, ids = anchors(part, cfg)
@@ -162,8 +162,8 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _blobs(column: pa.Array) -> list[bytes]:
-    return [x or b"" for x in column.to_pylist()]
+def _blobs(column: pa.Array) -> Iterator[bytes]:
+    return (x.as_py() for x in column)
 
 
 def text_key(text: Column) -> tuple[Column, Column]:
@@ -171,18 +171,6 @@ def text_key(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text).alias("s1"), F.xxhash64(F.lit("second"), text).alias("s2")
 
 
-def _first_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of equal texts in a task only the first, so that a text with very many copies isn't shuffled
-    with all of them."""
-    seen: set[tuple[int, int]] = set()
-    for batch in batches:
-        new = []
-        for key in zip(batch.column("s1").to_pylist(), batch.column("s2").to_pylist(), strict=True):
-            new.append(key not in seen)
-            seen.add(key)
-        yield batch.filter(pa.array(new))
-
-
 def repeated_buckets(texts: DataFrame, cfg: SuffixConfig) -> DataFrame:
     """``(s1, s2, grams)``: the chosen q-grams of each text that are chosen more than once anywhere.
 
@@ -193,6 +181,7 @@ def repeated_buckets(texts: DataFrame, cfg: SuffixConfig) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
+        seen: set[tuple[int, int]] = set()
 
         def flush() -> pa.RecordBatch:
             s1, s2, ids = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -212,6 +201,12 @@ def repeated_buckets(texts: DataFrame, cfg: SuffixConfig) -> DataFrame:
             )
 
         for batch in batches:
+            # of equal texts in a task the first will do
+            new = []
+            for key in zip(batch.column("s1").to_pylist(), batch.column("s2").to_pylist(), strict=True):
+                new.append(key not in seen)
+                seen.add(key)
+            batch = batch.filter(pa.array(new))
             s1, s2 = batch.column("s1").to_numpy(), batch.column("s2").to_numpy()
             for own, _, _, _, ids in text_anchors(_blobs(batch.column("data")), cfg):
                 if len(own):
@@ -223,7 +218,7 @@ def repeated_buckets(texts: DataFrame, cfg: SuffixConfig) -> DataFrame:
         if size:
             yield flush()
 
-    rows = texts.select("s1", "s2", "data").mapInArrow(_first_in_task, "s1 long, s2 long, data binary")
+    rows = texts.select("s1", "s2", "data")
     rows = kept(rows.mapInArrow(found, "gram long, s1 long, s2 long, counted boolean, known boolean"), "suffix-buckets")
     counted = rows.where("counted")
     known = rows.where("known").select("s1", "s2", "gram")
@@ -254,8 +249,8 @@ def _strings(texts: DataFrame, buckets: DataFrame, copies: DataFrame, cfg: Suffi
             yield pa.record_batch(columns)
 
     spark = texts.sparkSession
-    one = texts.select("s1", "s2", "data").mapInArrow(_first_in_task, "s1 long, s2 long, data binary")
-    joined = one.join(buckets, ["s1", "s2"]).dropDuplicates(["s1", "s2"]).join(copies, ["s1", "s2"])
+    one = texts.select("s1", "s2", "data").dropDuplicates(["s1", "s2"])
+    joined = one.join(buckets, ["s1", "s2"]).join(copies, ["s1", "s2"])
     kinds = "s1 long, s2 long, n int, data binary, place array<int>, first array<int>, last array<int>"
     out = joined.select("s1", "s2", "n", "data", "grams").mapInArrow(chosen, kinds)
     name = f"suffix_texts_{uuid.uuid4().hex}"
