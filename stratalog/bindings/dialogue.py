@@ -290,6 +290,49 @@ def session_cap(spark: SparkSession, sf: str) -> DataFrame:
     return alive.select("session_id", micros("created_at").alias("created_us"))
 
 
+#: a cap that the given tables reach: some hundred events a day over 15 users for each 1,000 events
+SMALL_CAP = SessionConfig(max_sessions=8)
+
+# one event after the other: the sessions alive are a map from user to (creation, number of it), and one
+# is gone when it is too old or the creations after it number the cap when an event comes
+SQL_CAPPED = f"""RECURSIVE ev AS MATERIALIZED (SELECT event_id, user_id AS u, epoch_us(ts) AS t, event_type,
+      row_number() OVER (ORDER BY ts, event_id) AS i FROM events),
+  run AS (SELECT 0::BIGINT AS i, 0::BIGINT AS n, MAP {{}}::MAP(BIGINT, STRUCT(c BIGINT, r BIGINT)) AS live,
+      false AS opens, 0::BIGINT AS c
+    UNION ALL SELECT i, n + opens::BIGINT, CASE WHEN opens THEN map_concat(live, MAP {{u: {{'c': t, 'r': n + 1}}}}) ELSE live END,
+      opens, CASE WHEN opens THEN t ELSE live[u].c END
+    FROM (SELECT ev.i, ev.u, ev.t, run.n, run.live, coalesce(ev.t - run.live[ev.u].c > 14400000000
+        OR run.n - run.live[ev.u].r >= {SMALL_CAP.max_sessions}, true) AS opens FROM run JOIN ev ON ev.i = run.i + 1)),
+  seen AS (SELECT ev.*, run.c AS created_us, run.opens, run.n FROM run JOIN ev USING (i))"""
+
+
+@query(
+    "session_evictions",
+    f"""WITH {SQL_CAPPED}, made AS (SELECT u, t, n, i FROM seen WHERE opens)
+    SELECT made.u AS session_id, made.t AS created_us, ev.t AS ended_us FROM made
+      JOIN made AS late ON late.n = made.n + {SMALL_CAP.max_sessions} JOIN ev ON ev.i = late.i + 1
+    WHERE ev.t - made.t <= 14400000000""",
+)
+def session_evictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions that a cap of eight ends before their four hours are over; blocks of 1,000 events."""
+    gone = sessions.evictions(session_events(spark, sf), ["ts", "event_id"], SMALL_CAP, SkewConfig(max_rows=1_000))
+    return gone.select("session_id", micros("created_at").alias("created_us"), micros("ended_at").alias("ended_us"))
+
+
+@query(
+    "session_context_capped",
+    f"""WITH {SQL_CAPPED}, cx AS (SELECT *, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS)
+      OVER w AS at_id FROM seen WINDOW w AS (PARTITION BY u, created_us ORDER BY i ROWS UNBOUNDED PRECEDING))
+    SELECT event_id, u AS session_id, created_us, at_id IS NOT NULL AS has_context, 'w' || at_id AS well_name FROM cx""",
+)
+def session_context_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """Context of every event where the cap ends sessions; what came before in them is forgotten."""
+    seen = sessions.with_capped_context(
+        session_events(spark, sf), ["ts", "event_id"], SMALL_CAP, SkewConfig(max_rows=1_000)
+    )
+    return seen.select("event_id", "session_id", micros("created_at").alias("created_us"), "has_context", "well_name")
+
+
 SQL_SESSION_CONTEXT = f"""WITH {SQL_CONTEXT} SELECT event_id, session_id, created_us, at_id IS NOT NULL
       AS has_context, 'w' || at_id AS well_name, 'summary ' || at_id AS summary, nz AS n_zones,
       CASE WHEN nz > 0 THEN 'class ' || nz END AS dominant_lithology FROM cx"""

@@ -100,21 +100,26 @@ def first_rows(df: DataFrame, key: Column, order: list[str], carry: bool = False
     The minimum is pre-aggregated before the shuffle, so a key with very many copies sends one row
     per task. By default the rows come back by a semi-join on their unique order columns, never by
     the key; ``carry`` takes them through the aggregate instead, in one read of the input, which is
-    right when the order columns are only fixed within one read.
+    right when the order columns are only fixed within one read. Rows of one key whose order columns
+    are null cannot be told apart: without another row of the key they all stay.
     """
     if carry:
         row = F.min_by(F.struct(*df.columns), F.struct(*order))
         return df.groupBy(key.alias("_key")).agg(row.alias("_row")).select("_row.*")
     keyed = df.select(*order, key.alias("_key"))
     if len(order) == 1:
-        firsts = keyed.groupBy("_key").agg(F.min(order[0]).alias(order[0])).drop("_key")
+        firsts = keyed.groupBy("_key").agg(F.min(order[0]).alias(order[0]))
     else:
         firsts = (
             keyed.groupBy("_key")
             .agg(F.min(F.struct(*order)).alias("_first"))
-            .select(*[F.col(f"_first.{c}").alias(c) for c in order])
+            .select("_key", *[F.col(f"_first.{c}").alias(c) for c in order])
         )
-    return df.join(firsts, order, "left_semi")
+    # a null in the order identifies no row, so there the key must match too
+    void = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in order])
+    firsts = firsts.select(*[F.col(c).alias(f"_{c}") for c in order], F.when(void, F.col("_key")).alias("_of"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order])
+    return df.join(firsts, same & (F.col("_of").isNull() | (F.col("_of") == key)), "left_semi")
 
 
 def dedup_rows(df: DataFrame, order: list[str], columns: tuple[str, ...] = TEXT_COLUMNS) -> DataFrame:

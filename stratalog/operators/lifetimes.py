@@ -1,97 +1,175 @@
 """Fixed lifetimes: a period begins at a row and covers the rows up to ``ttl`` later.
 
 The next period begins at the first row strictly more than ``ttl`` after the start of the last one.
-It is not a gap session, so a start depends on the start before it.
+It is not a gap session, so a start depends on the start before it. Over a block of ordered times the
+last start is a function of the last start before the block: only the times up to ``ttl`` after the
+block's first can be its first start, and each of them has one last start. These functions of the blocks
+of a key are composed by doubling; a key that is not cut is one block. So one way serves keys of any
+size, null keys too.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalog.config import SkewConfig
 from stratalog.functions.times import micros
-from stratalog.operators.skew import last_known, scan
-from stratalog.session import shared_root
-
-SMALL_KEY = 20_000
-
-
-def _starts_small(nodes: DataFrame, keys: list[str], ttl: int) -> DataFrame:
-    """Fold over the sorted times of a key; only for keys of at most ``SMALL_KEY`` times."""
-    begin = F.struct(
-        F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("all")
+from stratalog.operators.skew import BLOCK, join_on_keys, last_known, mark_blocks, scan
+from stratalog.session import scratch_path, shared_root
+from stratalog.sources.chat_files import staged
+
+_ANY = -(2**63)  # a block that begins with its first row
+
+
+def group_starts(batch: pa.RecordBatch, columns: list[str], before: pa.RecordBatch | None) -> list[int]:
+    """Rows of a sorted batch where a new group of equal columns begins; ``before`` is the row ahead."""
+    n = batch.num_rows
+    new = np.zeros(n, dtype=bool)
+    for name in columns:
+        column = batch.column(name)
+        first = pa.nulls(1, column.type) if before is None else before.column(name)
+        last = pa.concat_arrays([first, column.slice(0, n - 1)])
+        differs = pc.fill_null(pc.not_equal(column, last), False)
+        new |= differs.to_numpy(zero_copy_only=False)
+        new |= pc.xor(pc.is_null(column), pc.is_null(last)).to_numpy(zero_copy_only=False)
+    if before is None and n:
+        new[0] = True
+    return np.flatnonzero(new).tolist()
+
+
+def walk(times: list[int], begin: int, end: int, after: int, ttl: int) -> list[int]:
+    """Places of the starts among sorted times: the first one above ``after``, then always the first
+    more than ``ttl`` later."""
+    out = []
+    at = bisect_right(times, after, begin, end)
+    while at < end:
+        out.append(at)
+        at = bisect_right(times, times[at] + ttl, at, end)
+    return out
+
+
+def last_starts(times: np.ndarray, ttl: int) -> tuple[np.ndarray, np.ndarray]:
+    """The times that can be a block's first start, and the last start of the block for each."""
+    entries = int(np.searchsorted(times, times[0] + ttl, "right")) + 1
+    following = np.searchsorted(times, times + ttl, "right").tolist()
+    last = list(range(len(times)))
+    for i in range(len(times) - 1, -1, -1):
+        if following[i] < len(times):
+            last[i] = last[following[i]]
+    return times[:entries], times[last[:entries]]
+
+
+def _grouped(keys: list[str], emit: Callable) -> Callable:
+    """Task function over rows sorted by ``keys``: ``emit(row, times)`` per group, whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, head, held = None, None, []
+        for batch in batches:
+            times = batch.column("t").to_numpy()
+            at = 0
+            for start in [*group_starts(batch, keys, before), batch.num_rows]:
+                if start > at:
+                    held.append(times[at:start])
+                if start < batch.num_rows:
+                    if held:
+                        yield emit(head, np.concatenate(held))
+                    head, held = batch.slice(start, 1), []
+                at = start
+            before = batch.slice(batch.num_rows - 1, 1) if batch.num_rows else before
+        if held:
+            yield emit(head, np.concatenate(held))
+
+    return run
+
+
+def _entries(blocks: DataFrame, keys: list[str], ttl: int, skew: SkewConfig) -> DataFrame:
+    """``(keys, block, entry)``: the first start in each block that has one, for keys in blocks."""
+    spark = blocks.sparkSession
+    shared_root(spark)
+    columns = [*keys, BLOCK]
+
+    def emit(row: pa.RecordBatch, times: np.ndarray) -> pa.RecordBatch:
+        first, last = last_starts(times, ttl)
+        same = row.select(columns).take(pa.array(np.zeros(len(first), dtype=np.int64)))
+        return pa.record_batch([*same.columns, pa.array(first), pa.array(last)], names=[*columns, "t", "last"])
+
+    kinds = blocks.select(*columns, "t").schema.add("last", "long")
+    ends = blocks.select(*columns, "t").repartition(*columns).sortWithinPartitions(*columns, "t").mapInArrow(
+        _grouped(columns, emit), kinds
     )
-
-    def step(acc, t):
-        opens = acc["last"].isNull() | (t - acc["last"] > ttl)
-        return F.when(
-            opens, F.struct(t.alias("last"), F.array_append(acc["all"], t).alias("all"))
-        ).otherwise(acc)
-
-    times = nodes.groupBy(*keys).agg(F.sort_array(F.collect_list("t")).alias("_ts"))
-    folded = times.select(*keys, F.aggregate("_ts", begin, step, lambda a: a["all"]).alias("_s"))
-    return folded.select(*keys, F.explode("_s").alias("t"))
-
-
-def _starts_large(
-    nodes: DataFrame, keys: list[str], ttl: int, skew: SkewConfig
-) -> DataFrame:
-    """Exact starts of keys with any number of times, without walking a key in one task.
-
-    Every time points to the first time more than ``ttl`` later. Following pointers from the first
-    time marks the starts; pointers are doubled each round, so a chain of n starts takes log2(n)
-    rounds, each a join on ``(key, time)``, which is unique and therefore even. A round is
-    checkpointed to the shared folder.
-    """
-    shared_root(nodes.sparkSession)
-    # descending order: the latest row seen is the next time up; an ask precedes an equal time
-    asks = nodes.select(
-        *keys, (-(F.col("t") + ttl)).alias("_o"), F.lit(0).alias("_k"), F.col("t").alias("_from"),
+    ends = staged(ends.distinct(), scratch_path(spark, "lifetime-blocks"))
+    # from a possible first start to the next block's: the first one more than ttl after the last start
+    asks = ends.select(
+        *keys, (-(F.col("last") + ttl)).alias("_o"), F.lit(0).alias("_k"), F.col("t").alias("_from"),
         F.lit(None).cast("bigint").alias("_at"),
     )
-    marks = nodes.select(
-        *keys, (-F.col("t")).alias("_o"), F.lit(1).alias("_k"),
-        F.lit(None).cast("bigint").alias("_from"), F.col("t").alias("_at"),
+    marks = ends.select(
+        *keys, (-F.col("t")).alias("_o"), F.lit(1).alias("_k"), F.lit(None).cast("bigint").alias("_from"), F.col("t").alias("_at"),
     )
-    linked = scan(asks.unionByName(marks), keys, ["_o", "_k"], skew, nxt=last_known(F.col("_at")))
-    jump = linked.where("_k = 0 and nxt is not null").select(
-        *keys, F.col("_from").alias("t"), "nxt"
-    ).checkpoint()
-    starts = nodes.groupBy(*keys).agg(F.min("t").alias("t")).checkpoint()
+    # descending order: the latest row seen is the next time up; an ask precedes an equal time
+    linked = scan(asks.unionByName(marks), keys, ["_o", "_k", "_from"], skew, nxt=last_known(F.col("_at")))
+    jump = linked.where("_k = 0 and nxt is not null").select(*keys, F.col("_from").alias("t"), "nxt").checkpoint()
+    found = ends.groupBy(*keys).agg(F.min("t").alias("t")).checkpoint()
     while not jump.isEmpty():
-        reached = starts.join(jump, [*keys, "t"]).select(*keys, F.col("nxt").alias("t"))
-        starts = starts.unionByName(reached).checkpoint()
+        reached = join_on_keys(found, jump, [*keys, "t"]).select(*keys, F.col("nxt").alias("t"))
+        found = found.unionByName(reached).checkpoint()
         ahead = jump.select(*keys, F.col("t").alias("nxt"), F.col("nxt").alias("_nn"))
-        jump = jump.join(ahead, [*keys, "nxt"]).select(
-            *keys, "t", F.col("_nn").alias("nxt")
-        ).checkpoint()
-    return starts
+        jump = join_on_keys(jump, ahead, [*keys, "nxt"]).select(*keys, "t", F.col("_nn").alias("nxt")).checkpoint()
+    placed = join_on_keys(ends.select(*columns, "t").distinct(), found.distinct(), [*keys, "t"], "left_semi")
+    # of two blocks with the same time the first one holds the start
+    return placed.groupBy(*keys, F.col("t").alias("entry")).agg(F.min(BLOCK).alias(BLOCK))
 
 
 def lifetime_starts(
-    df: DataFrame,
-    keys: list[str],
-    time: str,
-    ttl_seconds: int,
-    skew: SkewConfig = SkewConfig(),
-    small_key: int = SMALL_KEY,
+    df: DataFrame, keys: list[str], time: str, ttl_seconds: int, skew: SkewConfig = SkewConfig()
 ) -> DataFrame:
-    """``(keys, t)`` with the start of every period in microseconds.
+    """``(keys, t)`` with the start of every period in microseconds; rows without a time are left out.
 
-    A pre-aggregated count tells whether any key is too large to fold; only then is there a second
-    path, and only those keys take it.
+    Keys with more rows than a task should order are cut into blocks; from the functions of the blocks
+    follows where each one begins, and then all blocks are walked at once.
     """
     ttl = ttl_seconds * 1_000_000
-    times = df.select(*keys, micros(time).alias("t"))
-    counts = times.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    large = counts.where(F.col("_n") > small_key).select(*keys)
-    if large.isEmpty():
-        return _starts_small(times, keys, ttl)
-    small = counts.where(F.col("_n") <= small_key).select(*keys)
-    return _starts_small(times.join(small, keys, "left_semi"), keys, ttl).unionByName(
-        _starts_large(times.join(large, keys, "left_semi").distinct(), keys, ttl, skew)
-    )
+    times = df.select(*keys, micros(time).alias("t")).where("t is not null")
+    # the number spreads rows of one time over blocks
+    numbered = times.withColumn("_n", F.monotonically_increasing_id())
+    marked = mark_blocks(numbered, keys, ["t", "_n"], skew, times)
+    if BLOCK in marked.columns:
+        entries = _entries(marked.where(F.col(BLOCK) >= 0), keys, ttl, skew)
+        known = join_on_keys(marked, entries, [*keys, BLOCK], "left")
+        rows = known.where(F.col(BLOCK).eqNullSafe(F.lit(-1)) | F.col("entry").isNotNull())
+        rows = rows.select(*keys, BLOCK, "t", F.coalesce("entry", F.lit(_ANY)).alias("entry"))
+    else:
+        rows = marked.select(*keys, F.lit(-1).alias(BLOCK), "t", F.lit(_ANY).alias("entry"))
+    columns = [*keys, BLOCK]
+
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, after = None, _ANY
+        for batch in batches:
+            times = batch.column("t").to_pylist()
+            opened = group_starts(batch, columns, before)
+            cuts = [*([0] if not opened or opened[0] else []), *opened, len(times)]
+            found = []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if opened and a >= opened[0]:
+                    entry = batch.column("entry")[a].as_py()
+                    a, after = (bisect_left(times, entry, a, b), _ANY) if entry > _ANY else (a, _ANY)
+                own = walk(times, a, b, after, ttl)
+                if own:
+                    found += own
+                    after = times[own[-1]] + ttl
+            if len(times):
+                before = batch.slice(len(times) - 1, 1)
+                yield batch.select([*keys, "t"]).take(pa.array(found, pa.int64()))
+
+    sorted_ = rows.repartition(*columns).sortWithinPartitions(*columns, "t")
+    return sorted_.mapInArrow(starts, rows.select(*keys, "t").schema)
 
 
 def interleaved(df: DataFrame, keys: list[str], time: str, starts: DataFrame) -> DataFrame:

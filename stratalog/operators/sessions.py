@@ -10,6 +10,7 @@ from stratalog.config import SessionConfig, SkewConfig
 from stratalog.functions.audit_rules import has_text
 from stratalog.functions.text import estimate_tokens, fill, strip
 from stratalog.functions.times import micros
+from stratalog.operators.capped import capped_events
 from stratalog.operators.lifetimes import interleaved, lifetime_starts
 from stratalog.operators.skew import BLOCK, Scan, last_known, mark_blocks, scan, scan_marked, tail
 
@@ -62,6 +63,33 @@ def with_context(
     )
 
 
+def with_capped_context(
+    events: DataFrame,
+    order: list[str],
+    cfg: SessionConfig = SessionConfig(),
+    skew: SkewConfig = SkewConfig(),
+) -> DataFrame:
+    """Like :func:`with_context` where the cap ends sessions too: an event after that opens a new one,
+    which knows nothing of the predictions before."""
+    fields = [c for c in CONTEXT if c in events.columns]
+    held = F.when(F.col("kind") == "prediction", F.struct(*[F.col(c) for c in fields]))
+    seen, _ = capped_events(events.withColumn("_p", held).drop(*fields), order, cfg, skew)
+    current = scan(seen, ["session_id", "created_at"], order, skew, _ctx=last_known(F.col("_p")))
+    return current.select(
+        *[c for c in events.columns if c not in fields],
+        "created_at",
+        F.col("_ctx").isNotNull().alias("has_context"),
+        *[F.col(f"_ctx.{c}").alias(c) for c in fields],
+    )
+
+
+def evictions(
+    events: DataFrame, order: list[str], cfg: SessionConfig = SessionConfig(), skew: SkewConfig = SkewConfig()
+) -> DataFrame:
+    """``(session_id, created_at, ended_at)`` of the sessions that the cap ended before their time."""
+    return capped_events(events.select("session_id", *order), order, cfg, skew)[1]
+
+
 def _placed(
     events: DataFrame,
     order: list[str] | None,

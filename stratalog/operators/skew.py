@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
@@ -21,6 +22,13 @@ from stratalog.sources.chat_files import staged
 BLOCK = "_block"
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same name where a null key meets a null key; the columns come once."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"_right_{k}"]) for k in keys])
+    return left.join(other, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def mark_blocks(
     df: DataFrame,
     keys: list[str],
@@ -45,9 +53,9 @@ def mark_blocks(
         return df
     names = hot.select(*keys)
     ranges = math.ceil(total / cfg.max_rows)
-    cut = df.join(names, keys, "left_semi").repartitionByRange(ranges, *keys, *order)
+    cut = join_on_keys(df, names, keys, "left_semi").repartitionByRange(ranges, *keys, *order)
     cut = staged(cut.withColumn(BLOCK, F.spark_partition_id()), scratch_path(df.sparkSession, "blocks"))
-    plain = df.join(names, keys, "left_anti").withColumn(BLOCK, F.lit(-1))
+    plain = join_on_keys(df, names, keys, "left_anti").withColumn(BLOCK, F.lit(-1))
     return plain.unionByName(cut)
 
 
@@ -189,11 +197,11 @@ def scan_marked(df: DataFrame, keys: list[str], order: list[str], **columns: Sca
             .groupBy(*keys, BLOCK)
             .agg(*[_summary(s, at).alias(n) for n, s in tails.items()])
         )
-        summary = summary.join(ends, [*keys, BLOCK])
+        summary = join_on_keys(summary, ends, [*keys, BLOCK])
     carries = summary.select(
         *keys, BLOCK, *[_carry(s, n, across).alias(f"_c_{n}") for n, s in columns.items()]
     )
-    joined = local.join(carries, [*keys, BLOCK], "left")
+    joined = join_on_keys(local, carries, [*keys, BLOCK], "left")
     first = F.col("_pos") == 1
     return joined.select(
         *df.columns,

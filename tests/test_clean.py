@@ -124,3 +124,10 @@ def test_mark_blocks_leaves_cold_frames_alone(spark):
 
     df = spark.range(100).withColumn("k", F.col("id") % 7)
     assert mark_blocks(df, ["k"], ["id"], SkewConfig()) is df
+
+
+def test_first_row_without_order(spark):
+    """A row whose order column is null is a first row like any other."""
+    df = spark.createDataFrame([(None, "a"), (1, "b"), (None, "c"), (2, "c"), (3, "b")], "n long, text string")
+    got = sorted((r["n"] or 0, r["text"]) for r in clean.first_rows(df, F.col("text"), ["n"]).collect())
+    assert got == [(0, "a"), (1, "b"), (2, "c")]

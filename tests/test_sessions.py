@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from stratalog import config as C
 from stratalog.config import SeriesConfig, SessionConfig, SkewConfig
 from stratalog.operators import series, sessions
+from stratalog.operators.capped import capped_events
 
 HOT = SkewConfig(max_rows=3)
 H = 3600 * 1_000_000
@@ -154,3 +156,40 @@ def test_times_without_zone(spark):
 
     df = spark.createDataFrame([(dt.datetime(1970, 1, 1, 0, 0, 1),)], "t timestamp_ntz")
     assert df.select(micros("t")).first()[0] == 1_000_000
+
+
+def reference_cap(rows, ttl, cap):
+    """Every session alive in a list, every event in order."""
+    live, seen, ended = [], {}, []
+    for i, s, t in sorted(rows, key=lambda r: (r[2], r[0])):
+        live = [x for x in live if t - x[1] <= ttl]
+        while len(live) > cap:
+            ended.append((*live.pop(0), t))
+        own = [c for k, c in live if k == s]
+        if not own:
+            live.append((s, t))
+        seen[i] = own[0] if own else t
+    return seen, sorted(ended, key=str)
+
+
+@pytest.mark.parametrize("max_rows", [7, 60, 1_000_000])
+@pytest.mark.parametrize("cap", [1, 5, 500])
+def test_cap_ends_sessions(spark, cap, max_rows):
+    """In blocks of a few events, and in one; a null id, equal times, bursts and silence."""
+    rnd = random.Random(cap)
+    second = 1_000_000
+    rows = [(i, rnd.choice([None, *"abcdefghijkl"]), rnd.choice([0, 600, 601]) * second + rnd.randrange(60) * second) for i in range(200)]
+    df = spark.createDataFrame([(*r, "k") for r in rows] + [(900, "a", None, "k")], "id long, session_id string, us long, kind string")
+    df = df.withColumn("ts", F.timestamp_micros("us")).drop("us")
+    cfg = SessionConfig(ttl_seconds=20, max_sessions=cap)
+    seen, ended = capped_events(df, ["ts", "id"], cfg, SkewConfig(max_rows=max_rows))
+    want, gone = reference_cap(rows, 20 * second, cap)
+    assert {r["id"]: r["t"] for r in seen.select("id", F.unix_micros("created_at").alias("t")).collect()} == want
+    got = ended.select("session_id", F.unix_micros("created_at"), F.unix_micros("ended_at")).collect()
+    assert sorted((tuple(r) for r in got), key=str) == gone and bool(gone) == (cap < 500)
+
+
+def test_cap_over_no_events(spark):
+    df = spark.createDataFrame([], "id long, session_id string, ts timestamp")
+    seen, ended = capped_events(df, ["ts", "id"])
+    assert seen.collect() == [] and ended.collect() == []

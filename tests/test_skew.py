@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,25 +62,59 @@ def check_scan(rows, df):
             prev = v
 
 
-@pytest.mark.parametrize("small_key", [5, 10_000])
-def test_lifetimes(spark, small_key):
-    rnd = random.Random(9)
-    rows = [(k, rnd.randrange(200) * 1000 + rnd.choice([0, 0, 1])) for k in "aab" for _ in range(60)]
-    rows += [("c", 0), ("c", 100_000), ("c", 100_001)]
-    df = spark.createDataFrame(rows, "k string, us long").select("k", F.timestamp_micros("us").alias("t"))
-    # a lifetime of 0.1 s is not whole seconds: scale the times instead
-    df = df.select("k", F.timestamp_micros(F.unix_micros("t") * 10).alias("t"))
-    starts = lifetimes.lifetime_starts(df, ["k"], "t", 1, HOT, small_key=small_key)
+def walked(rows, ttl):
+    """Starts per key, one time after the other."""
     want = set()
-    for key in "abc":
+    for key in {r[0] for r in rows}:
         last = None
-        for t in sorted({r[1] * 10 for r in rows if r[0] == key}):
-            if last is None or t - last > 1_000_000:
+        for t in sorted({r[1] for r in rows if r[0] == key and r[1] is not None}):
+            if last is None or t - last > ttl:
                 want.add((key, t))
                 last = t
+    return want
+
+
+@pytest.mark.parametrize("max_rows", [3, 5, 40, 1_000_000])
+def test_lifetimes(spark, max_rows):
+    """Keys of all sizes in one way: null keys, one time in most rows, blocks without any start."""
+    rnd = random.Random(9)
+    second = 1_000_000
+    rows = [(k, rnd.randrange(200) * 10_000 + rnd.choice([0, 0, 10])) for k in "aab" for _ in range(60)]
+    rows += [("c", 0), ("c", second), ("c", second + 10), ("c", None), ("d", None)]
+    rows += [("e", 50 * second)] * 70 + [("e", 51 * second + 1), ("e", 49 * second)]
+    rows += [(None, rnd.randrange(30 * second)) for _ in range(150)]
+    rows += [("f", i * 37_000) for i in range(300)] + [("g", i * second * 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, us long").select("k", F.timestamp_micros("us").alias("t"))
+    starts = lifetimes.lifetime_starts(df, ["k"], "t", 1, SkewConfig(max_rows=max_rows))
     got = [(r["k"], r["t"]) for r in starts.collect()]
+    want = walked(rows, second)
     assert len(got) == len(want) and set(got) == want
-    assert ("c", 1_000_000) not in want and ("c", 1_000_010) in want
+    assert ("c", second) not in want and ("c", second + 10) in want
+
+
+def test_first_starts_have_one_last_start():
+    rnd = random.Random(2)
+    for _ in range(50):
+        times = sorted(rnd.randrange(300) for _ in range(rnd.randint(1, 60)))
+        first, last = lifetimes.last_starts(np.array(times), 20)
+        for after in range(times[0] - 25, times[0]):
+            own = lifetimes.walk(times, 0, len(times), after + 20, 20)
+            if own:
+                at = first.tolist().index(times[own[0]])
+                assert last[at] == times[own[-1]]
+
+
+@pytest.mark.parametrize("max_rows", [20, 1_000_000])
+def test_null_key_is_a_key(spark, max_rows):
+    rows = [(None if i % 3 else "k", i, i) for i in range(120)]
+    df = spark.createDataFrame(rows, "key string, at long, i long")
+    out = skew.scan(df, ["key"], ["at"], SkewConfig(max_rows=max_rows), n=skew.position(), before=skew.tail(F.struct("i"), 2))
+    got = {r["i"]: r for r in out.collect()}
+    assert len(got) == len(rows)
+    for key in (None, "k"):
+        own = [r[2] for r in rows if r[0] == key]
+        for n, i in enumerate(own):
+            assert got[i]["n"] == n + 1 and [b["i"] for b in got[i]["before"]] == own[max(0, n - 2) : n]
 
 
 @pytest.mark.parametrize("take", [1, 7, 450, 999, 1000])
