@@ -1,12 +1,13 @@
 """Keyed state on streams: the whole ``events`` table as a stream, run until nothing is left.
 
-A stream holds back rows newer than its watermark. When the input is over, a second source sends one
-row from the far future: the watermark passes all events, what was held back comes out, and the
-result covers the whole table.
+The table is written to files in the order of time, and a micro-batch reads one of them. A stream holds
+back rows newer than its watermark, so the last file is one row from the far future: the watermark
+passes all events, what was held back comes out, and the result covers the whole table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,48 +20,48 @@ from stratalog.session import scratch_path
 from stratalog.streaming import states
 
 END = "end of input"
-LATEST = "2250-01-01 00:00:00"  # times cross into pandas as nanoseconds, which end in 2262
+LATEST = "2250-01-01 00:00:00"
+PIECES, PIECE_ROWS = 12, 1_000_000
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+def in_time_order(rows: DataFrame, key: str, time: str, path: str) -> None:
+    """Write files one after the other, each later than the one before: of at most about
+    ``PIECE_ROWS`` rows, but ``PIECES`` at least, and one with the closing row."""
+    us = micros(time)
+    total = rows.count()
+    n = max(PIECES, math.ceil(total / PIECE_ROWS))
+    cuts = rows.select(F.percentile_approx(us, [i / n for i in range(1, n)], 100 * n)).first()[0] if total else []
+    closing = rows.sparkSession.range(1).select(
+        *[
+            (F.lit(END) if f.name == key else F.to_timestamp(F.lit(LATEST)) if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in rows.schema
+        ]
     )
-    return stream.withColumn("ts", utc("ts"))
+    bounds = [None, *sorted(set(cuts)), None]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        above = F.lit(True) if low is None else us > low
+        rows.where(above & (F.lit(True) if high is None else us <= high)).coalesce(1).write.mode("append").parquet(path)
+    closing.coalesce(1).write.mode("append").parquet(path)
 
 
 def drained(
-    stream: DataFrame, key: str, time: str, build: Callable[[DataFrame], DataFrame], name: str
+    rows: DataFrame, key: str, time: str, build: Callable[[DataFrame], DataFrame], name: str
 ) -> DataFrame:
-    """Run a stream over all available input into a Parquet folder and read that.
-
-    The same query runs twice from one checkpoint, the second time with the closing row.
-    """
-    spark = stream.sparkSession
-    out, marks, end = (scratch_path(spark, f"{name}{part}") for part in ("", "-checkpoint", "-end"))
-    latest = F.to_timestamp(F.lit(LATEST))
-    closing = spark.range(1).select(
-        *[
-            (F.lit(END) if f.name == key else latest if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in stream.schema
-        ]
+    """Run a stream over all rows, a file of them at a time, into a Parquet folder and read that."""
+    spark = rows.sparkSession
+    source, out, marks = (scratch_path(spark, f"{name}{part}") for part in ("-in", "", "-checkpoint"))
+    in_time_order(rows, key, time, source)
+    states.state_store(spark)
+    folded = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source))
+    job = (
+        folded.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", marks)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
     )
-    closing.limit(0).write.parquet(end)
-    last = spark.readStream.schema(stream.schema).parquet(end)
-    folded = build(stream.unionByName(last))
-    for rows in (None, closing):
-        if rows is not None:
-            rows.write.mode("append").parquet(end)
-        job = (
-            folded.writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", marks)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-        job.awaitTermination()
+    job.awaitTermination()
     return spark.read.schema(folded.schema).parquet(out).where(F.col(key) != END)
 
 
@@ -72,7 +73,7 @@ def drained(
 )
 def session_context_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same columns as in batch."""
-    events = session_rows(event_stream(spark, sf)).drop("event_id")
+    events = session_rows(table(spark, sf, "events").withColumn("ts", utc("ts"))).drop("event_id")
     events = events.withColumn("session_id", F.col("session_id").cast("string"))
     out = drained(events, "session_id", "ts", states.session_context, "session-context")
     return out.select(
@@ -100,7 +101,7 @@ def session_context_stream(spark: SparkSession, sf: str) -> DataFrame:
         WHEN t = st THEN 'refreshed' ELSE 'cached' END AS state FROM j""",
 )
 def served_values_stream(spark: SparkSession, sf: str) -> DataFrame:
-    requests = event_stream(spark, sf).select(
+    requests = table(spark, sf, "events").withColumn("ts", utc("ts")).select(
         F.col("event_type").alias("series"),
         F.col("ts").alias("fetched_at"),
         (F.col("value") >= 20).alias("ok"),

@@ -1,19 +1,22 @@
 """Keyed state on streams: session context and last good values.
 
-Each micro-batch is folded in event-time order together with rows held back by the watermark, so a
-row that arrives in a later micro-batch with an earlier time is still applied in its place. State
-per key is the open period plus the rows newer than the watermark. Times cross into Python as
-microseconds, so neither the session's zone nor a clock change touches them.
+Rows are applied in the order of their event times, also when they arrive later than others of their
+key, as long as the watermark has not passed them. A row waits in a map state under its time until an
+event-time timer says that nothing earlier can come, is applied to a small value state and goes out. So
+state and work are by row and never a list of a key's rows. The value state goes when its time is over.
+Times cross into Python as microseconds, so neither the session's zone nor a clock change touches them.
+
+Needs the RocksDB state store, see :func:`state_store`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from stratalog.config import SeriesConfig, SessionConfig
 from stratalog.functions.times import micros
@@ -27,12 +30,72 @@ SERVED_ROW = (
     "series string, fetched_at long, ok boolean, served_value double, served_at long, "
     "state string"
 )
-_BUFFER = "created long, context string, times array<long>, kinds array<string>, contexts array<string>"
-_HELD = "at long, value double, times array<long>, oks array<boolean>, vals array<double>"
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+
 
+def state_store(spark: SparkSession) -> None:
+    """Map states and timers need this state store; it holds for queries started from now on."""
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-def _longs(values: list) -> pd.Series:
-    return pd.Series(values, dtype="Int64")
+
+class InOrder(StatefulProcessor):
+    """Applies ``step(held, row)`` to the rows of a key in the order of their times.
+
+    ``step`` gives the new held value and an output tuple; ``until`` is the last microsecond at which a
+    held value matters. ``waiting`` is the schema of a row without its time.
+    """
+
+    def __init__(self, out: str, waiting: str, fields: list[str], held: str, step: Callable, until: Callable):
+        self.names = [column.split()[0] for column in out.split(", ")]
+        self.waiting, self.fields, self.held_kind = waiting, fields, held
+        self.step, self.until = step, until
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", self.held_kind)
+        self.arrived = handle.getValueState("arrived", "n long")
+        self.rows = handle.getMapState("rows", "at long", f"rows array<struct<us:long,n:long,{self.waiting}>>")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        n = (self.arrived.get() or (0,))[0]
+        for row in rows:
+            n += 1
+            # the first millisecond at which no row of this time can come any more
+            at = (row["_us"] // 1000 + 1,)
+            same = self.rows.getValue(at) if self.rows.exists() else None
+            new = (row["_us"], n, *[row[f] for f in self.fields])
+            self.rows.updateValue(at, ([*[tuple(r) for r in same[0]], new] if same else [new],))
+            if not same:
+                self.handle.registerTimer(at[0])
+        self.arrived.update((n,))
+        return iter([])
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        due = self.rows.getValue((at,)) if self.rows.exists() else None
+        held = self.held.get() if self.held.exists() else None
+        out = []
+        for row in sorted(tuple(r) for r in due[0]) if due else []:
+            held, made = self.step(held, row[0], row[2:])
+            out.append(Row(**dict(zip(self.names, (*key, *made), strict=True))))
+        if due:
+            self.rows.removeKey((at,))
+        if held is not None:
+            end = self.until(held)
+            if end is not None and end < at * 1000 and not due:
+                self.held.clear()
+            elif out:
+                self.held.update(held)
+                if end is not None:
+                    self.handle.registerTimer(max(end // 1000 + 1, at + 1))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+def _in_order(rows: DataFrame, key: str, out: str, processor: InOrder) -> DataFrame:
+    return rows.groupBy(key).transformWithState(processor, out, "append", "eventTime")
 
 
 def _stamped(out: DataFrame, *columns: str) -> DataFrame:
@@ -50,60 +113,26 @@ def session_context(
     fields = [events.schema[c] for c in CONTEXT if c in events.columns]
     ttl = cfg.ttl_seconds * 1_000_000
 
-    def fold(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        created, context, times, kinds, contexts = (
-            state.get if state.exists else (None, None, [], [], [])
-        )
-        times, kinds, contexts = list(times), list(kinds), list(contexts)
-        for batch in batches:
-            times += batch["_us"].tolist()
-            kinds += batch["kind"].tolist()
-            contexts += [c if isinstance(c, str) else None for c in batch["_context"]]
-        mark = state.getCurrentWatermarkMs() * 1000
-        rows = sorted(zip(times, range(len(times)), kinds, contexts))
-        out, held = [], []
-        for t, _, kind, given in rows:
-            if t > mark:
-                held.append((t, kind, given))
-                continue
-            if created is None or t - created > ttl:
-                created, context = t, None
-            if kind == "prediction":
-                context = given
-            out.append((t, kind, created, context))
-        state.update(
-            (created, context, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held])
-        )
-        if held:
-            state.setTimeoutTimestamp(max(held[0][0] // 1000 + 1, mark // 1000 + 1))
-        elif created is not None and created + ttl > mark:
-            state.setTimeoutTimestamp((created + ttl) // 1000 + 1)
-        else:
-            state.remove()
-        if out:
-            yield pd.DataFrame(
-                {
-                    "session_id": [key[0]] * len(out),
-                    "ts": _longs([o[0] for o in out]),
-                    "kind": [o[1] for o in out],
-                    "created_at": _longs([o[2] for o in out]),
-                    "has_context": [o[3] is not None for o in out],
-                    "context": [o[3] for o in out],
-                }
-            )
-
+    def step(held: tuple | None, us: int, row: tuple) -> tuple[tuple, tuple]:
+        created, context = held or (None, None)
+        kind, given = row
+        if created is None or us - created > ttl:
+            created, context = us, None
+        if kind == "prediction":
+            context = given
+        return (created, context), (us, kind, created, context is not None, context)
+
+    processor = InOrder(
+        CONTEXT_ROW, "kind:string,context:string", ["kind", "_context"], "created long, context string", step,
+        lambda held: held[0] + ttl,
+    )
     given = F.when(F.col("kind") == "prediction", F.to_json(F.struct(*[f.name for f in fields])))
-    folded = (
+    timed = (
         events.withColumns({"_us": micros("ts"), "_context": given})
         .drop(*[f.name for f in fields])
         .withWatermark("ts", delay)
-        .groupBy("session_id")
-        .applyInPandasWithState(
-            fold, CONTEXT_ROW, _BUFFER, "append", GroupStateTimeout.EventTimeTimeout
-        )
     )
+    folded = _in_order(timed, "session_id", CONTEXT_ROW, processor)
     kinds_ = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
     read = F.from_json("context", kinds_)
     return _stamped(folded, "ts", "created_at").select(
@@ -114,54 +143,23 @@ def session_context(
 def served_values(
     requests: DataFrame, delay: str = "10 minutes", cfg: SeriesConfig = SeriesConfig()
 ) -> DataFrame:
-    """Stream of ``(series, fetched_at, ok, value)`` to what each request is served."""
+    """Stream of ``(series, fetched_at, ok, value)`` to what each request is served.
+
+    A stale value is served until a good one comes, so what a series holds has no end.
+    """
     ttl = cfg.ttl_seconds * 1_000_000
 
-    def fold(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        at, value, times, oks, vals = state.get if state.exists else (None, None, [], [], [])
-        times, oks, vals = list(times), list(oks), list(vals)
-        for batch in batches:
-            times += batch["_us"].tolist()
-            oks += [bool(o) for o in batch["ok"]]
-            vals += [float(v) for v in batch["value"]]
-        mark = state.getCurrentWatermarkMs() * 1000
-        out, held = [], []
-        for t, _, ok, v in sorted(zip(times, range(len(times)), oks, vals)):
-            if t > mark:
-                held.append((t, ok, v))
-                continue
-            due = at is None or t - at > ttl
-            if due and ok:
-                at, value = t, v
-                kind = "refreshed"
-            else:
-                kind = "failed" if at is None else "stale" if due else "cached"
-            out.append((t, ok, value, at, kind))
-        state.update(
-            (at, value, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held])
-        )
-        if held:
-            state.setTimeoutTimestamp(max(held[0][0] // 1000 + 1, mark // 1000 + 1))
-        if out:
-            yield pd.DataFrame(
-                {
-                    "series": [key[0]] * len(out),
-                    "fetched_at": _longs([o[0] for o in out]),
-                    "ok": [o[1] for o in out],
-                    "served_value": [o[2] for o in out],
-                    "served_at": _longs([o[3] for o in out]),
-                    "state": [o[4] for o in out],
-                }
-            )
-
-    folded = (
-        requests.withColumn("_us", micros("fetched_at"))
-        .withWatermark("fetched_at", delay)
-        .groupBy("series")
-        .applyInPandasWithState(
-            fold, SERVED_ROW, _HELD, "append", GroupStateTimeout.EventTimeTimeout
-        )
-    )
-    return _stamped(folded, "fetched_at", "served_at")
+    def step(held: tuple | None, us: int, row: tuple) -> tuple[tuple | None, tuple]:
+        at, value = held or (None, None)
+        ok, new = row
+        due = at is None or us - at > ttl
+        if due and ok:
+            at, value = us, new
+            kind = "refreshed"
+        else:
+            kind = "failed" if at is None else "stale" if due else "cached"
+        return None if at is None else (at, value), (us, ok, value, at, kind)
+
+    processor = InOrder(SERVED_ROW, "ok:boolean,value:double", ["ok", "value"], "at long, value double", step, lambda _: None)
+    timed = requests.withColumn("_us", micros("fetched_at")).withWatermark("fetched_at", delay)
+    return _stamped(_in_order(timed, "series", SERVED_ROW, processor), "fetched_at", "served_at")

@@ -22,6 +22,7 @@ def run(spark, folder, batches, schema, build):
         spark.readStream.schema(spark.createDataFrame([], schema).schema)
         .option("maxFilesPerTrigger", 1).parquet(str(source / "*"))
     )
+    states.state_store(spark)
     job = (
         build(stream).writeStream.format("memory").queryName(folder.name.replace("-", "_"))
         .option("checkpointLocation", str(folder / "ck")).outputMode("append")
