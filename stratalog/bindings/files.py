@@ -121,10 +121,11 @@ def scan_well_csv(spark: SparkSession, sf: str) -> DataFrame:
     return log_files.read_csv(spark, path).select("WELL", "DEPT", "LINE", "GR", "NPHI")
 
 
-def _write_las(spark: SparkSession, sf: str, root: str) -> None:
+def _write_las(spark: SparkSession, sf: str, root: str, wrapped: bool = False) -> None:
     """One LAS file per supplier and span of 200,000 orders, so no file grows with a hot supplier.
 
-    Lines are sorted inside the writing task and streamed out, never gathered.
+    Lines are sorted inside the writing task and streamed out, never gathered. A wrapped record has its
+    depth on a line of its own and the other values on the next one, or on one line each.
     """
     li = table(spark, sf, "lineitem").select(
         F.concat_ws("_", "l_suppkey", F.floor(F.col("l_orderkey") / 200_000)).alias("part"),
@@ -133,27 +134,31 @@ def _write_las(spark: SparkSession, sf: str, root: str) -> None:
     head = (
         "~Version\\n VERS. 2.0 : v\\n WRAP. NO : one line per depth\\n~Well\\n NULL. -999.25 :\\n"
         " WELL. W{} : name\\n~Curve\\n DEPT.M : depth\\n GR.API : gamma\\n NPHI.V/V : neutron\\n~A DEPT GR NPHI"
-    ).replace("\\n", "\n").split("{}")
+    ).replace("\\n", "\n").replace("WRAP. NO : one", "WRAP. YES : some" if wrapped else "WRAP. NO : one").split("{}")
     heads = li.select("part", "l_suppkey").distinct().select(
         "part",
         F.posexplode(
             F.split(F.concat(F.lit(head[0]), F.col("l_suppkey"), F.lit(head[1])), "\n")
         ).alias("i", "line"),
     ).select("part", F.lit(-1.0).alias("depth"), F.col("i").cast("double").alias("i"), "line")
+    gr = F.when(F.col("l_linenumber") == 3, F.lit("-999.25")).otherwise(F.col("l_quantity").cast("string"))
+    nphi = F.when(F.col("l_linenumber") == 4, F.lit("-999.9")).otherwise(F.col("l_discount").cast("string"))
+    depth = F.col("l_orderkey").cast("string")
+    if wrapped:
+        lines = F.when(F.col("l_linenumber") % 2 == 0, F.array(depth, F.concat_ws("  ", gr, nphi))).otherwise(F.array(depth, gr, nphi))
+    else:
+        lines = F.array(F.concat_ws("  ", depth, gr, nphi))
     data = li.select(
         "part",
         F.col("l_orderkey").cast("double").alias("depth"),
         F.col("l_linenumber").cast("double").alias("i"),
-        F.concat_ws(
-            "  ", "l_orderkey",
-            F.when(F.col("l_linenumber") == 3, F.lit("-999.25")).otherwise(F.col("l_quantity").cast("string")),
-            F.when(F.col("l_linenumber") == 4, F.lit("-999.9")).otherwise(F.col("l_discount").cast("string")),
-        ).alias("line"),
+        F.monotonically_increasing_id().alias("record"),
+        F.posexplode(lines).alias("k", "line"),
     )
     (
-        heads.unionByName(data)
+        heads.unionByName(data, allowMissingColumns=True)
         .repartition("part")
-        .sortWithinPartitions("part", "depth", "i")
+        .sortWithinPartitions("part", "depth", "i", "record", "k")
         .select("part", "line")
         .write.partitionBy("part")
         .option("extension", "las")
@@ -164,13 +169,22 @@ def _write_las(spark: SparkSession, sf: str, root: str) -> None:
     )
 
 
-@query(
-    "ingest_las",
-    """SELECT 'W' || l_suppkey AS well, l_orderkey::DOUBLE AS depth, 'GR' AS curve,
+SQL_LAS = """SELECT 'W' || l_suppkey AS well, l_orderkey::DOUBLE AS depth, 'GR' AS curve,
       CASE WHEN l_linenumber <> 3 THEN l_quantity END AS value FROM lineitem
     UNION ALL SELECT 'W' || l_suppkey, l_orderkey::DOUBLE, 'NPHI',
-      CASE WHEN l_linenumber <> 4 THEN l_discount END FROM lineitem""",
-)
+      CASE WHEN l_linenumber <> 4 THEN l_discount END FROM lineitem"""
+
+
+@query("ingest_las_wrapped", SQL_LAS)
+def ingest_las_wrapped(spark: SparkSession, sf: str) -> DataFrame:
+    """The same curves from files whose records go over two or three lines."""
+    root = scratch_path(spark, "las-wrapped")
+    _write_las(spark, sf, root, wrapped=True)
+    long, _ = log_files.read_las(spark, root)
+    return long.select("well", "depth", "curve", "value")
+
+
+@query("ingest_las", SQL_LAS)
 def ingest_las(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "las")
     _write_las(spark, sf, root)

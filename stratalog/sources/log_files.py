@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from stratalog.config import MAX_UPLOAD_BYTES, NULL_SENTINELS, UPLOAD_EXTENSIONS
@@ -140,17 +140,48 @@ def las_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
         declared.try_cast("double").alias("null_value"),
         curves.alias("curves"),
         F.when(F.col("c").isNull() | F.col("start").isNull(), F.lit("no curve or data section"))
-        .when(F.col("v").rlike(r"(?im)^[ \t]*WRAP[ \t]*\.[ \t]*YES"), F.lit("wrapped data lines"))
         .when(F.size(curves) == 0, F.lit("no curves declared"))
         .alias("error"),
+        F.coalesce(F.col("v").rlike(r"(?im)^[ \t]*WRAP[ \t]*\.[ \t]*YES"), F.lit(False)).alias("wrapped"),
+    )
+
+
+def _wrapped_records(data: DataFrame) -> DataFrame:
+    """Records of files whose records go over several lines: ``values`` and the line where each begins.
+
+    A value's number in its file is the number of values before its line, counted within its split and
+    by a running sum over the splits, plus its place in the line; its record is that number divided by
+    the number of curves. So a record may begin in one split and end in the next.
+    """
+    size = F.size("values").cast("bigint")
+    inside = W.partitionBy("file", "block").orderBy("row").rowsBetween(W.unboundedPreceding, -1)
+    splits = data.groupBy("file", "block").agg(F.sum(size).alias("_n"))
+    ahead = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
+    placed = data.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(splits, ["file", "block"])
+    first = F.col("_ahead") + F.col("_inside")
+    each = placed.select(
+        "file", "path", "well", "null_value", "curves", "line_no", first.alias("_first"), F.posexplode("values").alias("_i", "_text")
+    )
+    number = F.col("_first") + F.col("_i")
+    return (
+        each.withColumn("_record", F.floor(number / F.size("curves")))
+        .groupBy("file", "path", "well", "null_value", "curves", "_record")
+        .agg(
+            F.min("line_no").alias("line_no"),
+            # at most as many values as there are curves
+            F.transform(F.array_sort(F.collect_list(F.struct(number.alias("n"), "_text"))), lambda v: v["_text"]).alias("values"),
+        )
     )
 
 
 def read_las(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """``(path, well, row, depth, curve, value)`` from a folder of LAS files, and rejected files.
 
-    The first declared curve is the depth; ``row`` is the number of the line in its file. A data line
-    whose number of values differs from the number of curves is a reject of its own, with its number.
+    The first declared curve is the depth; ``row`` is the number of the line in its file. In a wrapped
+    file a record goes on until it has a value for each curve, and ``row`` is the line where it begins.
+    A line whose number of values differs from the number of curves, or the last record of a wrapped
+    file if values lack, is a reject of its own, with its number.
     Files are read by lines in splits, so size has no limit, and every file gives rows or a reject.
     """
     files = las_files(spark, path)
@@ -164,6 +195,10 @@ def read_las(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Dat
         .withColumn("values", F.split("line", r"\s+"))
     )
     data = line_numbers(data, lines).withColumn("path", F.col("file"))
+    columns = ["path", "well", "null_value", "curves", "line_no", "values"]
+    data = data.where(~F.col("wrapped")).select(*columns).unionByName(
+        _wrapped_records(data.where("wrapped")).select(*columns)
+    )
     fits = F.size("values") == F.size("curves")
     bad_lines = data.where(~fits).select(
         "path", F.concat(F.lit("wrong number of values in line "), F.col("line_no")).alias("error")

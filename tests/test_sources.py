@@ -107,7 +107,7 @@ LAS = """~Version
 
 def test_las(spark, tmp_path, values):
     (tmp_path / "a.LAS").write_bytes(LAS.replace("\n", "\r\n").encode())
-    (tmp_path / "b.las").write_text(LAS.replace("WRAP. NO", "WRAP. YES"))
+    (tmp_path / "b.las").write_text(LAS.replace("WRAP. NO", "WRAP. YES").replace("25/5-1", "wrapped"))
     (tmp_path / "c.las").write_text("no sections")
     (tmp_path / "d.las").write_text(LAS.replace(" WELL. 25/5-1 : name of well\n", ""))
     (tmp_path / "big.las").write_text(LAS.replace("25/5-1", "big") + "\n" * 2000)
@@ -118,10 +118,15 @@ def test_las(spark, tmp_path, values):
         (1.0, "GR", 50.5), (1.0, "NPHI", 0.2), (2.0, "GR", None), (2.0, "NPHI", None),
         (4.0, "GR", None), (4.0, "NPHI", 0.1),
     ]
-    assert {r["well"] for r in long.select("well").distinct().collect()} == {"25/5-1", "big", "d"}
+    assert {r["well"] for r in long.select("well").distinct().collect()} == {"25/5-1", "big", "d", "wrapped"}
+    # values go on over the lines; two are left for the last record
+    assert values(long.where("well = 'wrapped'"), "depth", "curve", "value", "row") == [
+        (1.0, "GR", 50.5, 16), (1.0, "NPHI", 0.2, 16), (2.0, "GR", None, 17), (2.0, "NPHI", None, 17),
+        (3.0, "GR", 7.0, 19), (3.0, "NPHI", 4.0, 19),
+    ]
     errors = sorted((r["path"].rsplit("/", 1)[1], r["error"]) for r in rejects.collect())
     assert errors == [
-        ("a.LAS", "wrong number of values in line 19"), ("b.las", "wrapped data lines"),
+        ("a.LAS", "wrong number of values in line 19"), ("b.las", "wrong number of values in line 21"),
         ("big.las", "wrong number of values in line 19"), ("c.las", "no curve or data section"),
         ("d.las", "wrong number of values in line 18"),
     ]
@@ -208,3 +213,21 @@ def test_append_plan(spark, tmp_path):
     assert {m["role"] for m in got["n"]} == {"system"} and len({m["content"] for m in got["n"]}) == 1
     report, _ = plan.append(chats(pair("t")), train, val, str(tmp_path / "none"))
     assert report.first()["added"] == 0 and not (tmp_path / "none").exists()
+
+
+def test_wrapped_records_over_split_borders(spark, tmp_path, values):
+    """Splits of 64 bytes cut through records, lines and the header."""
+    head = LAS[: LAS.index(" 1.0  50.5")].replace("WRAP. NO", "WRAP. YES")
+    want, lines = [], []
+    for i in range(60):
+        row = [str(i), f"{i}.25", f"{i}.5"]
+        lines += [" ".join(row)] if i % 3 == 0 else [row[0], " ".join(row[1:])] if i % 3 == 1 else row
+        want += [(float(i), "GR", i + 0.25), (float(i), "NPHI", i + 0.5)]
+    (tmp_path / "w.las").write_text(head + "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        long, rejects = log_files.read_las(spark, str(tmp_path))
+        assert values(long, "depth", "curve", "value") == sorted(want) and rejects.count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
