@@ -15,7 +15,7 @@ from stratalog.config import TokenConfig
 from stratalog.functions import messages as M
 from stratalog.operators import chat, profile, tokens
 from stratalog.session import scratch_path
-from stratalog.sources import chat_files, log_files
+from stratalog.sources import array_files, chat_files, log_files
 
 
 def _planted_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,7 +81,7 @@ def scan_flexible(spark: SparkSession, sf: str) -> DataFrame:
     )
     arrays.repartition("part").write.partitionBy("part").text(f"{root}/arrays")
     chat_files.write_jsonl(ex.where(F.col("conv_id") % 2 == 1), f"{root}/lines")
-    good, _ = chat_files.read_flexible(spark, [f"{root}/arrays/*", f"{root}/lines"])
+    good, _ = array_files.read_flexible(spark, [f"{root}/arrays/*", f"{root}/lines"])
     return good.select(
         M.content_key(F.col("messages")).alias("key"),
         F.size("messages").cast("bigint").alias("n_messages"),

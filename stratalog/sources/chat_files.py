@@ -14,9 +14,6 @@ from stratalog.functions.messages import example_error
 from stratalog.functions.text import is_blank, strip
 from stratalog.sources.lines import line_numbers, placed_lines
 
-#: a JSON array is one value, and one value of a file is less than 2 GB
-ARRAY_FILE_BYTES = 2**31 - 2**20
-
 
 def _text(holder: Column, path: str) -> Column:
     """A string field of a variant; null unless it really is a string."""
@@ -69,75 +66,6 @@ def read_jsonl(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame,
     return good, bad.select("source", "file", "block", "row", "line_no", "line", "error")
 
 
-def first_characters(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``(file, first)``: first non-blank character of each file; a file without one has no row."""
-    lines = read_lines(spark, paths)
-    return lines.groupBy("file").agg(
-        F.min_by(F.substring(strip(F.col("line")), 1, 1), F.struct("block", "row")).alias("first")
-    )
-
-
-def read_flexible(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Like :func:`read_jsonl`, but a file that starts with ``[`` is one JSON array.
-
-    Array items are parsed one by one, so only a file as a whole has a limit, that of one value; a
-    larger one is a reject with a reason. Only names of array files come to the driver, as in any
-    file listing. ``line_no`` of an array item is its place in the array.
-    """
-    arrays = [
-        r["file"] for r in first_characters(spark, paths).where("first = '['").select("file").collect()
-    ]
-    lines = read_lines(spark, paths)
-    if not arrays:
-        rows = parsed(lines)
-    else:
-        names = spark.createDataFrame([(a,) for a in arrays], "file string")
-        in_lines = parsed(lines.join(names, "file", "left_anti"))
-        files = (
-            spark.read.format("binaryFile").load(arrays)
-            .where(F.col("length") <= ARRAY_FILE_BYTES)
-            .select(
-                F.decode("content", "UTF-8").alias("line"),
-                F.col("_metadata.file_name").alias("source"),
-                F.col("_metadata.file_path").alias("file"),
-            )
-            .withColumn("_a", F.from_json("line", "array<variant>"))
-        )
-        items = files.where("_a is not null").select(
-            F.posexplode("_a").alias("row", "_e"), "source", "file"
-        ).select(
-            F.to_json("_e").alias("line"), "source", "file",
-            F.lit(0).cast("bigint").alias("block"), F.col("row").cast("bigint").alias("row"),
-        )
-        too_large = (
-            spark.read.format("binaryFile").load(arrays).where(F.col("length") > ARRAY_FILE_BYTES)
-            .select(
-                F.lit(None).cast("string").alias("line"),
-                F.col("_metadata.file_name").alias("source"),
-                F.col("_metadata.file_path").alias("file"),
-                F.lit("array file too large for one record").alias("error"),
-            )
-        )
-        broken = files.where("_a is null").select(
-            "line", "source", "file", F.lit("invalid JSON").alias("error")
-        ).unionByName(too_large)
-        rows = in_lines.unionByName(parsed(items)).unionByName(
-            broken.withColumns(
-                {"block": F.lit(0).cast("bigint"), "row": F.lit(0).cast("bigint")}
-            ),
-            allowMissingColumns=True,
-        )
-    good = rows.where("error is null").drop("error", "line")
-    bad = rows.where("error is not null")
-    if arrays:
-        of_array = F.col("file").isin(arrays)
-        items_ = bad.where(of_array).withColumn("line_no", F.col("row") + 1)
-        bad = line_numbers(bad.where(~of_array), placed_lines(spark, paths)).unionByName(items_)
-    else:
-        bad = line_numbers(bad, placed_lines(spark, paths))
-    return good, bad.select("source", "file", "block", "row", "line_no", "line", "error")
-
-
 def integrity(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Per file: JSON records, and lines that are not JSON."""
     lines = read_lines(spark, paths).withColumn("_ok", F.try_parse_json("line").isNotNull())

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import json
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
 
-from stratalog.config import MixConfig, TokenConfig
+from stratalog.config import MixConfig, SkewConfig, TokenConfig
 from stratalog.functions import messages as M
 from stratalog.plans import corpus as plan
-from stratalog.sources import chat_files, log_files
+from stratalog.sources import array_files, chat_files, log_files
 
 
 def line(*messages, **extra):
@@ -48,11 +49,11 @@ def test_flexible(spark, tmp_path):
     (tmp_path / "lines.jsonl").write_text(f"{GOOD}\n{{bad\n")
     (tmp_path / "empty.json").write_text("")
     (tmp_path / "broken.json").write_text("[{")
-    good, bad = chat_files.read_flexible(spark, str(tmp_path))
+    good, bad = array_files.read_flexible(spark, str(tmp_path))
     got = sorted((r["source"], r["messages"][1]["content"]) for r in good.collect())
     assert got == [("array.json", "a"), ("array.json", "y"), ("lines.jsonl", "a")]
     assert sorted((r["source"], r["error"]) for r in bad.collect()) == [
-        ("array.json", "messages missing or not a list"), ("broken.json", "invalid JSON"),
+        ("array.json", "messages missing or not a list"), ("broken.json", "array without end"), ("broken.json", "invalid JSON"),
         ("lines.jsonl", "invalid JSON"),
     ]
 
@@ -231,3 +232,32 @@ def test_wrapped_records_over_split_borders(spark, tmp_path, values):
         assert values(long, "depth", "curve", "value") == sorted(want) and rejects.count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("max_rows", [20, 1_000_000])
+def test_array_items_over_split_borders(spark, tmp_path, max_rows):
+    """Splits of 300 bytes cut through items, strings and escapes; commas and brackets in strings."""
+    texts = ['a, "b" [c], {d}', "\\\\", 'x\\', "é, ], \"", "", "[[[", "}}", 'end"]'] * 3
+    rows = [{"messages": [{"role": "user", "content": f"q{i}, {t}"}, {"role": "assistant", "content": f"a{i} {t}."}]} for i, t in enumerate(texts)]
+    flat = json.dumps(rows, ensure_ascii=False, separators=(",", ":"))
+    (tmp_path / "one.json").write_text(flat)  # one line
+    (tmp_path / "many lines.json").write_text("\n " + json.dumps(rows, indent=1) + "\n\n")
+    (tmp_path / "cut.json").write_text(flat[: flat.rindex(',{"messages"')])
+    (tmp_path / "none.json").write_text(" [ \n] ")
+    (tmp_path / "comma.json").write_text("[1,]")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        good, bad = array_files.read_flexible(spark, str(tmp_path), SkewConfig(max_rows=max_rows))
+        got = {}
+        for r in good.collect():
+            got.setdefault(unquote(r["source"]), {})[r["row"]] = [m["content"] for m in r["messages"]]
+        rejects = sorted((r["source"], r["line_no"], r["error"]) for r in bad.fillna(0, ["line_no"]).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {i: [m["content"] for m in r["messages"]] for i, r in enumerate(rows)}
+    assert got["one.json"] == want and got["many lines.json"] == want
+    assert got["cut.json"] == {i: m for i, m in want.items() if i < len(rows) - 1} and set(got) == {"one.json", "many lines.json", "cut.json"}
+    assert rejects == [
+        ("comma.json", 1, "messages missing or not a list"), ("comma.json", 2, "invalid JSON"), ("cut.json", 0, "array without end"),
+    ]
