@@ -32,13 +32,15 @@ UNKNOWN = "und"
 class LanguageConfig:
     """The automata are fitted on a bounded sample, the parse covers all text.
 
-    At most ``sample_rows`` documents of a language and ``piece`` characters of each. An automaton
+    At most ``sample_rows`` documents of a language, all with a letter, and ``piece`` characters of each,
+    those of a longer text in ``parts`` stretches from its beginning to its end. An automaton
     of n characters has fewer than ``3 * n`` edges and takes about ``48 * n`` bytes, whatever the
     other languages; more only where many states with hundreds of edges need the room.
     """
 
     sample_rows: int = 32
     piece: int = 2_048
+    parts: int = 4
     stretch: int = 512
 
 
@@ -200,23 +202,34 @@ def _chunks(texts: list[str], limit: int = 4_000_000) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text holds a letter of any script; false for null."""
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
+
 def learn(docs: DataFrame, learned: Column, cfg: LanguageConfig = LanguageConfig()) -> Tables:
     """Automata from a bounded sample of the rows where ``learned`` holds and lang is not null.
 
-    The sample of a language are the documents with the smallest id hashes. No labelled rows give a
-    model without languages, which predicts ``und`` for everything.
+    The sample of a language are the documents with the smallest id hashes among those with a letter, so
+    null, empty and letterless texts take no one's place; of rows with one id, one counts. No labelled
+    rows, an empty table too, give a model without languages, which predicts ``und`` for everything.
     """
-    labelled = docs.where(learned & F.col("lang").isNotNull()).withColumns(
+    labelled = docs.where(learned & F.col("lang").isNotNull() & has_letter(F.col("text"))).withColumns(
         {"_lang": F.col("lang"), "_h": F.xxhash64("doc_id")}
     )
     ids = labelled.select("_lang", "_h")
     chosen = top_per_group(ids, ["_lang"], [F.col("_h")], cfg.sample_rows, ["_h"]).select("_lang", "_h").distinct()
     chosen = kept(chosen, "language-sample")  # at most sample_rows ids of a language
-    pieces = labelled.select("_lang", "_h", F.substring("text", 1, cfg.piece).alias("_piece"))
+    size = F.length("text")
+    part = cfg.piece // cfg.parts
+    begins = [F.floor((size - part) * i / max(1, cfg.parts - 1)).cast("int") + 1 for i in range(cfg.parts)]
+    spread = F.array(*[F.substring(F.col("text"), b, F.lit(part)) for b in begins])
+    stretches = F.when(size <= cfg.piece, F.array("text")).otherwise(spread)
+    pieces = labelled.select("_lang", "_h", stretches.alias("_piece"))
     picked = pieces.join(F.broadcast(chosen), ["_lang", "_h"]).groupBy("_lang", "_h").agg(F.min("_piece").alias("_piece"))
     samples: dict[str, list[str]] = {}
-    for row in picked.where("_piece is not null").orderBy("_lang", "_h").collect():
-        samples.setdefault(row["_lang"], []).append(row["_piece"])
+    for row in picked.orderBy("_lang", "_h").collect():
+        samples.setdefault(row["_lang"], []).extend(row["_piece"])
     return fitted(samples)
 
 
@@ -241,7 +254,10 @@ def prediction(spark, model: Tables, text: Column, cfg: LanguageConfig = Languag
 
 
 def identified(docs: DataFrame, learned: Column, cfg: LanguageConfig = LanguageConfig()) -> DataFrame:
-    """All rows and columns with ``lang_pred`` and ``score`` added (replacing columns of that name)."""
+    """All rows and columns with ``lang_pred`` and ``score`` added (replacing columns of that name).
+
+    Repeated rows are rows of their own; an empty table gives no rows. Texts are parsed whole.
+    """
     model = learn(docs, learned, cfg)
     rest = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
     parsed = prediction(docs.sparkSession, model, F.col("text"), cfg)

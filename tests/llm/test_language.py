@@ -119,3 +119,22 @@ def test_hard_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
     assert {r["lang_pred"] for r in L.identified(docs, F.lit(False)).collect()} == {"und"}
     assert L.identified(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_texts_without_letters_take_no_place(spark):
+    """Thousands of null, empty and letterless texts before a few real ones of a language."""
+    data = [(i, [None, "", "12 34 !"][i % 3], "fr") for i in range(3_000)]
+    data += [(5_000 + i, "le chat et la souris dans la maison " * 9, "fr") for i in range(5)]
+    data += [(6_000 + i, "the cat and the mouse in the house " * 9, "en") for i in range(5)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    assert L.learn(docs, F.lit(True)).languages == ["en", "fr"]
+    got = {r["doc_id"]: r["lang_pred"] for r in L.identified(docs, F.lit(True)).where("doc_id >= 5000").collect()}
+    assert all(p == ("fr" if i < 6_000 else "en") for i, p in got.items())
+
+
+def test_samples_come_from_the_whole_text(spark):
+    """What only the end of a long text shows is learned, within the same number of characters."""
+    docs = spark.createDataFrame([(1, "a" * 50_000 + "xyz" * 400, "one"), (2, "b" * 99, "two")], "doc_id long, text string, lang string")
+    model = L.learn(docs, F.lit(True))
+    counts, _ = L.phrase_counts(["xyzxyzxyz"], model, 512)
+    assert counts[0].tolist()[0] == 1 < counts[0].tolist()[1]

@@ -7,6 +7,7 @@ import os
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
@@ -78,3 +79,23 @@ def test_hard_rows_pass_all_stages(spark):
             assert name == "sharding" or frame.columns == docs.columns
         assert frame.columns == [*docs.columns[:-1], "slot", "shard"]
         frame.collect()
+
+
+def test_corpus_without_languages(spark, docs):
+    """Nothing to learn from: texts with a letter stay."""
+    frame = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    got = Counter(r["doc_id"] for r in corpus_pipeline.identify_language(spark, frame, SF).collect())
+    assert got == Counter(d["doc_id"] for d in docs if d["text"] and any(map(str.isalpha, d["text"])))
+
+
+def test_language_is_filled_in_and_chosen(spark, docs, monkeypatch):
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    named = frame.withColumn("lang", F.when(F.col("doc_id") % 3 != 0, F.col("lang")))
+    truth = {d["doc_id"]: d["lang"] for d in docs if d["lang"]}
+    rows = corpus_pipeline.identify_language(spark, named, SF).collect()
+    assert all(r["lang"] for r in rows)
+    filled = [r for r in rows if r["doc_id"] in truth and r["doc_id"] % 3 == 0]
+    assert filled and sum(r["lang"] == truth[r["doc_id"]] for r in filled) >= 0.9 * len(filled)
+    monkeypatch.setattr(corpus_pipeline, "WANTED_LANGUAGES", ("en",))
+    only = corpus_pipeline.identify_language(spark, frame, SF).collect()
+    assert 0 < len(only) < len(rows)
