@@ -17,15 +17,27 @@ from stratalog.llm.common import bucket_of, kept
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: languages to keep; None keeps every language that was learned
+WANTED_LANGUAGES: tuple[str, ...] | None = None
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents in which a language is found; those without any letter go.
+    """Keep the documents in which a wanted language is found; those without any letter go.
 
-    As in the operator's query, the automata are fitted on documents outside the held-out quarter.
+    As in the operator's query, the automata are fitted on documents outside the held-out quarter. A
+    document that names no language gets the one found. Where no document names one, nothing can be
+    learned: then the documents with a letter stay as they are.
     """
-    learned = F.coalesce(bucket_of(F.col("doc_id"), 4) != 2, F.lit(False))
+    learned = ~F.coalesce(bucket_of(F.col("doc_id"), 4) == 2, F.lit(False))
     model = language.learn(docs, learned)
-    found = language.prediction(spark, model, F.col("text"))
-    return docs.where(found["lang_pred"] != language.UNKNOWN)
+    if not model.languages:
+        return docs.where(language.has_letter(F.col("text")))
+    found = docs.select(F.struct("*").alias("_row"), language.prediction(spark, model, F.col("text")).alias("_p"))
+    wanted = F.col("_p.lang_pred") != language.UNKNOWN
+    if WANTED_LANGUAGES is not None:
+        wanted = wanted & F.col("_p.lang_pred").isin(*WANTED_LANGUAGES)
+    named = F.coalesce(F.col("_row.lang"), F.col("_p.lang_pred")).alias("lang")
+    return found.where(wanted).select(*[named if c == "lang" else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
