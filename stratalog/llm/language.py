@@ -250,8 +250,7 @@ def prediction(spark, model: Tables, text: Column, cfg: LanguageConfig = Languag
             rows = [r for a, b in _chunks(texts) for r in _predictions(texts[a:b], tables, stretch)]
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
 
-    # so marked, a filter on the result doesn't make the optimizer parse twice
-    return parse.asNondeterministic()(text)
+    return parse(text)
 
 
 def identified(docs: DataFrame, learned: Column, cfg: LanguageConfig = LanguageConfig()) -> DataFrame:
