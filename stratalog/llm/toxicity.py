@@ -1,24 +1,26 @@
-"""Toxicity by the nearest labelled examples, with exact cosines over all their terms.
+"""Toxicity by the nearest labelled examples, with exact TF-IDF cosines from a block-max inverted index.
 
-Terms are words and the beginnings of words; the vector space holds every term of the indexed
-examples. A term weighs its TF-IDF times what it tells about the label, the root of its likelihood
-ratio over a sample of the labelled training documents, for either class and never nothing; inverse
-document frequencies count all documents. Every text is compared with every example: terms that many
-examples hold are multiplied as a dense block, the others through their postings.
+Terms are words and the beginnings of words; the vector space holds every term of the indexed examples,
+weighed by TF-IDF, with document frequencies among the indexed examples that are not toxic. Like
+examples form blocks. Postings of common terms lie by block, with the largest weight of each term there;
+with the sums over seldom terms they bound every block before its common postings are read, and only the
+blocks that can still reach the k-th best example found are opened.
 
-Votes weigh by closeness and by how many documents of its class an example stands for; a table of
-votes against outcomes, from training documents outside the index, turns them into a probability.
+The nearest vote by closeness, counted over shared terms by what a term tells about the label (its
+likelihood ratio among the examples), and by how many documents of its class an example stands for; a
+table of votes against outcomes, from training documents outside the index, turns them into a probability.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,18 +32,18 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class ToxicityConfig:
-    """The classifier is fitted on a bounded sample by id hash: terms are weighed on at most
-    ``fit_rows`` labelled documents of each class, ``examples`` of each go into the index and as many
-    again into the calibration. Document frequencies and class sizes count all rows. ``least`` is
-    added to each likelihood ratio, so that no term weighs nothing."""
+    """The classifier is fitted on a bounded sample by id hash: at most ``2 * examples`` labelled
+    documents of each class, of which a half by another hash goes into the index and the others
+    calibrate its votes. Class sizes count all rows. ``least`` is added to each likelihood ratio, so
+    that no shared term counts nothing. ``remembered`` bounds the words a task looks up once."""
 
     prefixes: tuple[int, ...] = (4, 5, 6, 7)
     least: float = 0.1
-    fit_rows: int = 8_192
     examples: int = 2_048
-    neighbours: int = 15
-    block: int = 16
+    neighbours: int = 64
+    block: int = 64
     bins: int = 10
+    remembered: int = 200_000
 
 
 def word_terms(word: str, prefixes: tuple[int, ...]) -> list[str]:
@@ -49,55 +51,90 @@ def word_terms(word: str, prefixes: tuple[int, ...]) -> list[str]:
     return [word, *(word[:size] + "*" for size in prefixes if len(word) > size)]
 
 
-class Reader:
-    """Places and counts of the known terms of a text; the places of a word are remembered."""
-
-    def __init__(self, terms: str, prefixes: tuple[int, ...]):
-        self.place, self.prefixes = {t: i for i, t in enumerate(terms.split())}, prefixes
-        self.memo: dict[str, list[int]] = {}
-
-    def vector(self, text: str | None) -> tuple[list[int], list[int]]:
-        hits: Counter = Counter()
-        for word, n in Counter(WORD.findall((text or "").lower())).items():
-            places = self.memo.get(word)
-            if places is None:
-                if len(self.memo) > 200_000:
-                    self.memo.clear()
-                places = [self.place[t] for t in word_terms(word, self.prefixes) if t in self.place]
-                self.memo[word] = places
-            for at in places:
-                hits[at] += n
-        order = sorted(hits)
-        return order, [hits[a] for a in order]
-
-
-def term_counts(docs: DataFrame, reader, kind: str) -> DataFrame:
-    """``(place, n, clean, toxic, doc_id)``: documents per term, and those of each class in the
-    sample whose ``label`` is given. A document without any term is a row of its own at place -1."""
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        read = Reader(*reader())
-        found: dict = {None: Counter(), 0: Counter(), 1: Counter()}
-        for frame in frames:
-            bare = []
-            for i, text, label in zip(frame["doc_id"], frame["text"], frame["label"], strict=True):
-                places = read.vector(text)[0]
-                found[None if pd.isna(label) else int(label)].update(places)
-                if not places:
-                    bare.append(i)
-            yield pd.DataFrame({"place": -1, "n": 1, "clean": 0, "toxic": 0, "doc_id": bare})
-        rest, clean, toxic = found[None], found[0], found[1]
-        seen = list(rest.keys() | clean.keys() | toxic.keys())
-        yield pd.DataFrame(
-            [(p, rest[p] + clean[p] + toxic[p], clean[p], toxic[p], None) for p in seen],
-            columns=["place", "n", "clean", "toxic", "doc_id"],
-        )
+def term_ids(terms: Sequence[str]) -> np.ndarray:
+    """64-bit identifiers of terms."""
+    return np.array([xxhash.xxh64_intdigest(t) for t in terms], dtype=np.uint64).view(np.int64)
+
+
+def stretches(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places ``begin .. begin + size`` one after the other, and which stretch each is of."""
+    which = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(which)) + (begin - (np.cumsum(size) - size))[which], which
 
-    return docs.select("doc_id", "text", "label").mapInPandas(
-        count, f"place int, n long, clean long, toxic long, doc_id {kind}"
+
+def term_vectors(docs: DataFrame, prefixes: tuple[int, ...], kind: str) -> DataFrame:
+    """``(doc_id, label, term, n)``: identifiers and counts of all terms of each text."""
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            terms, counts = [], []
+            for text in frame["text"]:
+                hits: Counter = Counter()
+                for word, n in Counter(WORD.findall((text or "").lower())).items():
+                    for term in word_terms(word, prefixes):
+                        hits[term] += n
+                terms.append(term_ids(list(hits)))
+                counts.append(np.array(list(hits.values()), dtype=np.int32))
+            yield frame[["doc_id", "label"]].assign(term=pd.Series(terms, index=frame.index, dtype=object), n=pd.Series(counts, index=frame.index, dtype=object))
+
+    return docs.select("doc_id", "label", "text").mapInPandas(
+        read, f"doc_id {kind}, label int, term array<long>, n array<int>"
     )
 
 
+class _Numbers(dict):
+    """Words by number; words met for the first time are noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
+class Reader:
+    """Places and counts of the known terms of texts; the places of a word are remembered."""
+
+    def __init__(self, terms: np.ndarray, cfg: ToxicityConfig):
+        self.terms, self.cfg = terms, cfg
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.begin, self.places = _Numbers(), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def _look_up(self) -> None:
+        new = [word_terms(word, self.cfg.prefixes) for word in self.words.new]
+        self.words.new.clear()
+        if new and len(self.terms):
+            at, known = self.place_of(term_ids([t for terms in new for t in terms]))
+            owner = np.repeat(np.arange(len(new)), [len(terms) for terms in new])[known]
+            self.places = np.concatenate([self.places, at[known]])
+            ends = self.begin[-1] + np.cumsum(np.bincount(owner, minlength=len(new)))
+            self.begin = np.concatenate([self.begin, ends])
+
+    def place_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each identifier among the known terms, and whether it is one."""
+        at = np.minimum(np.searchsorted(self.terms, ids), max(0, len(self.terms) - 1))
+        return at, self.terms[at] == ids if len(self.terms) else np.zeros(len(ids), dtype=bool)
+
+    def vectors(self, texts: Sequence[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        if not len(self.terms):
+            return [(np.zeros(0, dtype=np.int64), np.zeros(0))] * len(texts)
+        if len(self.words) > self.cfg.remembered:
+            self._forget()
+        number = self.words.__getitem__
+        read = [np.fromiter(map(number, WORD.findall((t or "").lower())), dtype=np.int64) for t in texts]
+        self._look_up()
+        out = []
+        for words in read:
+            size = self.begin[words + 1] - self.begin[words]
+            out.append(np.unique(self.places[stretches(self.begin[words], size)[0]], return_counts=True))
+        return out
+
+
 def label_ratio(clean: np.ndarray, toxic: np.ndarray, totals: tuple[int, int]) -> np.ndarray:
     """Likelihood ratio of each term's presence against the label."""
     n_clean, n_toxic = (float(n) for n in totals)
@@ -112,119 +149,156 @@ def label_ratio(clean: np.ndarray, toxic: np.ndarray, totals: tuple[int, int]) -
     return np.maximum(2 * ratio, 0.0)
 
 
+def like_together(rows: np.ndarray, places: np.ndarray, values: np.ndarray, n: int, n_terms: int, block: int) -> np.ndarray:
+    """An order of the examples in which blocks hold like ones: halves along the main direction of a
+    sketch of 64 numbers, halved again down to a block."""
+    dice = np.random.default_rng(64)
+    column, sign = dice.integers(0, 64, n_terms), dice.choice([-1.0, 1.0], n_terms)
+    sketch = np.bincount(rows * 64 + column[places], weights=values * sign[places], minlength=n * 64).reshape(n, 64)
+    left, done = [np.arange(n)], []
+    while left:
+        part = left.pop()
+        if len(part) <= block:
+            done.append(part)
+            continue
+        middle = sketch[part] - sketch[part].mean(axis=0)
+        direction = np.linalg.eigh(middle.T @ middle)[1][:, -1]
+        part = part[np.argsort(middle @ direction, kind="stable")]
+        half = block * (-(-len(part) // block) // 2)
+        left += [part[half:], part[:half]]
+    return np.concatenate(done) if done else np.zeros(0, dtype=np.int64)
+
+
 @dataclass
-class ExampleIndex:
-    """Unit vectors of the examples by term: a dense row for terms of many examples, postings for
-    the others."""
+class BlockMaxIndex:
+    """Unit vectors of the examples, by term. Seldom terms have postings ``rows, values``, where those of
+    a term are ``begin[t]:begin[t + 1]``. The postings of common terms, with row ``common_at[t]``, lie by
+    block in ``common[block, term]``, and ``top[term, block]`` is the largest weight there."""
 
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
     idf: np.ndarray
-    dense_at: np.ndarray
-    dense: np.ndarray
+    telling: np.ndarray
     begin: np.ndarray
     rows: np.ndarray
     values: np.ndarray
+    common_at: np.ndarray
+    common: np.ndarray
+    top: np.ndarray
+    opened: int = 0
+    asked: int = 0
 
     @classmethod
-    def build(cls, ids, labels, weights, vectors, idf, block) -> ExampleIndex:
-        """Terms that more than one in ``block`` examples holds get a dense row. Examples with like
-        terms are put next to each other."""
+    def build(cls, ids, labels, weights, vectors, idf, block, telling=None, seldom=8) -> BlockMaxIndex:
+        """``telling`` is what a shared term counts in a vote; without it all count the same. A term of
+        more than one in ``seldom`` examples is common."""
         units = [unit(v, idf) for v in vectors]
-        order = sorted(range(len(ids)), key=lambda i: (units[i][0].astype(">i8").tobytes(), str(ids[i])))
-        sizes = [len(units[i][0]) for i in order]
-        places = np.concatenate([units[i][0] for i in order]) if order else np.zeros(0, dtype=np.int64)
-        values = np.concatenate([units[i][1] for i in order]) if order else np.zeros(0)
-        rows = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
-        many = np.flatnonzero(np.bincount(places, minlength=len(idf)) * block > len(order))
-        dense_at = np.full(len(idf), -1, dtype=np.int32)
-        dense_at[many] = np.arange(len(many))
-        dense = np.zeros((len(many), len(order)))
-        common = dense_at[places] >= 0
-        dense[dense_at[places[common]], rows[common]] = values[common]
-        places, rows, values = places[~common], rows[~common], values[~common]
-        by_term = np.argsort(places, kind="stable")
+        rows = np.repeat(np.arange(len(ids)), [len(u[0]) for u in units])
+        places, values = (np.concatenate([u[i] for u in units]) for i in (0, 1))
+        del units
+        order = like_together(rows, places, values, len(ids), len(idf), block)
+        rows = np.argsort(order)[rows]
+        many = np.flatnonzero(np.bincount(places, minlength=len(idf)) * seldom > len(ids))
+        common_at = np.full(len(idf), -1, dtype=np.int32)
+        common_at[many] = np.arange(len(many))
+        common = np.zeros((-(-len(ids) // block), len(many), block))
+        at = common_at[places]
+        often = at >= 0
+        common[rows[often] // block, at[often], rows[often] % block] = values[often]
+        places, rows, values = places[~often], rows[~often], values[~often]
+        by_term = np.lexsort((rows, places))
         begin = np.concatenate([[0], np.cumsum(np.bincount(places, minlength=len(idf)))])
         return cls(
-            np.array(ids)[order], np.array(labels)[order], np.array(weights)[order], idf, dense_at, dense,
-            begin, rows[by_term], values[by_term],
+            np.array(ids)[order], np.array(labels)[order], np.array(weights)[order], idf,
+            np.ones(len(idf)) if telling is None else telling, begin, rows[by_term].astype(np.int32), values[by_term],
+            common_at, common, common.max(axis=2).T.copy(),
         )
 
-    def cosines(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosine of each query with each example."""
-        wide = np.zeros((len(queries), len(self.dense)))
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple]:
+        """For each query the places and cosines of the k nearest, and its postings of seldom terms.
+
+        A block's bound is its best sum over seldom terms, which is exact, and the largest weights of
+        the common ones. Eight blocks are opened first, and then all that can still reach the k-th best.
+        """
+        blocks, size, n = len(self.common), self.common.shape[2], len(self.ids)
+        wide = np.zeros((len(queries), len(self.top)))
+        sums = np.zeros((len(queries), blocks * size))
+        read = []
         for q, (places, values) in enumerate(queries):
-            at = self.dense_at[places]
+            at = self.common_at[places]
             wide[q, at[at >= 0]] = values[at >= 0]
-        out = wide @ self.dense
-        for q, (places, values) in enumerate(queries):
-            start, n = self.begin[places], self.begin[places + 1] - self.begin[places]
-            total = int(n.sum())
-            if total:
-                place = np.arange(total) + np.repeat(start - (np.cumsum(n) - n), n)
-                weight = self.values[place] * np.repeat(values, n)
-                out[q] += np.bincount(self.rows[place], weights=weight, minlength=len(self.ids))
+            post, by = stretches(self.begin[places], self.begin[places + 1] - self.begin[places])
+            row = self.rows[post]
+            sums[q] = np.bincount(row, weights=self.values[post] * values[by], minlength=blocks * size)
+            read.append((row, post, by))
+        sums = sums.reshape(len(queries), blocks, size)
+        bound = sums.max(axis=2) + wide @ self.top
+        full = np.zeros_like(sums)
+        first = np.zeros(bound.shape, dtype=bool)
+        np.put_along_axis(first, np.argpartition(-bound, min(7, blocks - 1), axis=1)[:, :8], True, axis=1)
+        self._open(first, wide, sums, full)
+        flat = full.reshape(len(queries), -1)
+        least = np.partition(flat, -k, axis=1)[:, -k] if flat.shape[1] >= k else np.zeros(len(queries))
+        self._open((bound >= least[:, None] - 1e-9) & (bound > 0) & ~first, wide, sums, full)
+        self.asked += len(queries)
+        out = []
+        for cosine, postings in zip(flat[:, :n], read, strict=True):
+            least = np.partition(cosine, -k)[-k] if n > k else 0.0
+            at = np.flatnonzero((cosine > 0) & (cosine >= least - 2e-12))
+            at = at[np.lexsort((at, -np.round(cosine[at], 12)))[:k]]
+            out.append((at, cosine[at], postings))
         return out
 
-    def nearest(
-        self, query: tuple[np.ndarray, np.ndarray], k: int, cosine: np.ndarray | None = None
-    ) -> tuple[np.ndarray, np.ndarray]:
+    def _open(self, wanted: np.ndarray, wide: np.ndarray, sums: np.ndarray, full: np.ndarray) -> None:
+        """Whole cosines of the wanted blocks of each query."""
+        self.opened += int(wanted.sum())
+        for b in np.flatnonzero(wanted.any(axis=0)):
+            who = np.flatnonzero(wanted[:, b])
+            full[who, b] = sums[who, b] + wide[who] @ self.common[b]
+
+    def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and exact cosines of the k nearest examples, nearest first, ties to the smaller
         place; examples that share no term are not near."""
-        if cosine is None:
-            cosine = self.cosines([query])[0]
-        least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
-        at = np.flatnonzero((cosine > 0) & (cosine >= least - 2e-12))
-        at = at[np.lexsort((at, -np.round(cosine[at], 12)))[:k]]
-        return at, cosine[at]
-
-    def vote(
-        self, query: tuple[np.ndarray, np.ndarray], k: int, cosine: np.ndarray | None = None
-    ) -> tuple[float | None, list[int], list[float]]:
-        """Share of the toxic class among the nearest, each weighed by closeness and class weight."""
-        at, cosine = self.nearest(query, k, cosine)
-        if not len(at):
-            return None, [], []
-        weight = self.weights[at] / (1.02 - np.minimum(cosine, 1.0))
-        share = float((weight * self.labels[at]).sum() / weight.sum())
-        return share, at.tolist(), cosine.tolist()
-
+        return self.search([query], k)[0][:2]
+
+    def votes(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[float | None, list, list[float]]]:
+        """Share of the toxic class among the nearest, each weighed by closeness over telling terms and
+        by class weight; ids and cosines of the nearest."""
+        out: list = []
+        size = self.common.shape[2]
+        for (places, values), (at, cosine, (row, post, by)) in zip(queries, self.search(queries, k), strict=True):
+            if not len(at):
+                out.append((None, [], []))
+                continue
+            told = values * self.telling[places]
+            slot = np.full(len(self.ids), -1)
+            slot[at] = np.arange(len(at))
+            mine = np.flatnonzero(slot[row] >= 0)
+            close = np.bincount(slot[row[mine]], weights=self.values[post[mine]] * told[by[mine]], minlength=len(at))
+            often = np.flatnonzero(self.common_at[places] >= 0)
+            close = close + self.common[(at // size)[:, None], self.common_at[places[often]], (at % size)[:, None]] @ told[often]
+            weight = self.weights[at] * close
+            share = float((weight * self.labels[at]).sum() / weight.sum())
+            out.append((share, self.ids[at].tolist(), cosine.tolist()))
+        return out
 
-BlockMaxIndex = ExampleIndex  # the name before all terms were indexed
+    def judged(self, vectors: list[tuple], k: int) -> list[tuple[float | None, list, list[float]]]:
+        """Votes on vectors of counts; none for an empty one."""
+        some = [i for i, v in enumerate(vectors) if len(v[0])]
+        out: list = [(None, [], [])] * len(vectors)
+        for i, vote in zip(some, self.votes([unit(vectors[i], self.idf) for i in some], k) if some else [], strict=True):
+            out[i] = vote
+        return out
 
 
 def unit(vector: tuple, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and weights ``(1 + ln n) * idf`` of a vector, scaled to length 1."""
-    places = np.array(vector[0], dtype=np.int64)
-    values = (1 + np.log(np.array(vector[1], dtype=float))) * idf[places] if len(places) else np.zeros(0)
+    places = np.asarray(vector[0], dtype=np.int64)
+    values = (1 + np.log(np.asarray(vector[1], dtype=float))) * idf[places] if len(places) else np.zeros(0)
     return places, values / np.sqrt((values**2).sum()) if len(places) else values
 
 
-@dataclass
-class Scorer:
-    """The index, the calibration of its votes, and the probability of a text without terms."""
-
-    index: ExampleIndex | None
-    edges: np.ndarray
-    rates: np.ndarray
-    bare: float
-    k: int
-
-    def judged(self, vectors: list[tuple]) -> list[tuple[float, float | None, list, list[float]]]:
-        """Score, vote, and ids and cosines of the nearest examples."""
-        out: list = [(self.bare, None, [], [])] * len(vectors)
-        known = [i for i, v in enumerate(vectors) if v[0]] if self.index else []
-        for some in (known[a : a + 64] for a in range(0, len(known), 64)):
-            queries = [unit(vectors[i], self.index.idf) for i in some]
-            for i, query, cosine in zip(some, queries, self.index.cosines(queries), strict=True):
-                vote, at, near = self.index.vote(query, self.k, cosine)
-                if vote is not None:
-                    score = float(np.interp(vote, self.edges, self.rates))
-                    out[i] = (score, vote, [self.index.ids[a].item() for a in at], near)
-        return out
-
-
 def _calibrated(votes: list[tuple[float, int, float]], bins: int) -> tuple[np.ndarray, np.ndarray]:
     """Rising outcome rates over vote bins: weighted, smoothed, and pooled where they would fall."""
     edges = (np.arange(bins) + 0.5) / bins
@@ -243,16 +317,37 @@ def _calibrated(votes: list[tuple[float, int, float]], bins: int) -> tuple[np.nd
     return edges, rates
 
 
+def _index(examples: DataFrame, weights: dict[int, float], cfg: ToxicityConfig) -> tuple[np.ndarray, BlockMaxIndex | None]:
+    """The identifiers of all terms of the bounded examples, sorted, and the index over them."""
+    table = examples.where(F.size("term") > 0).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().combine_chunks()
+    if not table.num_rows:
+        return np.zeros(0, dtype=np.int64), None
+    size = table["n"].combine_chunks().value_lengths().to_numpy()
+    terms, place = np.unique(table["term"].combine_chunks().flatten().to_numpy(), return_inverse=True)
+    cuts = np.cumsum(size)[:-1]
+    vectors = list(zip(np.split(place, cuts), np.split(table["n"].combine_chunks().flatten().to_numpy(), cuts), strict=True))
+    labels = table["label"].to_numpy()
+    toxic = np.bincount(place, weights=np.repeat(labels, size), minlength=len(terms))
+    clean = np.bincount(place, minlength=len(terms)) - toxic
+    n_toxic = int(labels.sum())
+    n_clean = len(labels) - n_toxic
+    idf = np.log((1 + n_clean) / (1 + clean)) + 0.1
+    telling = cfg.least + label_ratio(clean, toxic, (n_clean, n_toxic))
+    ids = table["doc_id"].to_pylist()
+    return terms, BlockMaxIndex.build(ids, labels, [weights[y] for y in labels.tolist()], vectors, idf, cfg.block, telling)
+
+
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, learned: Column, cfg: ToxicityConfig = ToxicityConfig()
 ) -> DataFrame:
-    """One row per document: ``doc_id, score, predicted, vote, evidence``.
+    """One row per document: ``doc_id, score, predicted, vote, evidence``; other columns play no part.
 
     ``labels`` has ``doc_id, toxic``; labels are learned where ``learned`` (over ``doc_id``) holds,
     the larger if an id has several, nulls not at all. ``evidence`` lists the nearest examples with
     their cosine. A text without any term of the examples, empty or null ones too, gets the rate of
     such texts among the labelled; with no labels at all every score is 0. Equal cosines go to the
-    example first in index order.
+    example first in index order. Texts are read whole, whatever their length. Repeated rows each get
+    a row; of documents with one id, one text is learned from. Empty documents give no rows.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -262,43 +357,45 @@ def toxicity_scores(
     marks = kept(marks.select(F.col("doc_id").alias("_id"), (F.col("label") > 0).cast("int").alias("label")), "toxicity-labels")
     same = F.col("doc_id") == F.col("_id")
 
-    # the examples: one in two goes into the index, the others calibrate its votes
     light = kept(docs.select("doc_id").join(marks, same).select("doc_id", "label", F.xxhash64("doc_id", F.lit(5)).alias("_h")), "toxicity-known")
     sizes = {r["label"]: r["count"] for r in light.groupBy("label").count().collect()}
     top = top_per_group(light, ["label"], [F.col("_h"), F.col("doc_id")], 2 * cfg.examples, ["_h", "doc_id"])
-    chosen = kept(top.select(F.col("doc_id").alias("_id"), "label", "_h").distinct(), "toxicity-sample")
-    picked = docs.select("doc_id", "text").join(F.broadcast(chosen), same)
-    rows = picked.orderBy("_h", "doc_id", "text").limit(4 * cfg.examples).collect()
-    fit, rest = rows[0::2], rows[1::2]
-    words = {w for r in fit for w in WORD.findall((r["text"] or "").lower())}
-    terms = {t for w in words for t in word_terms(w, cfg.prefixes)}
-    n_terms = len(terms)
-    known = (" ".join(sorted(terms)), cfg.prefixes)  # one text, since there may be a million
-    del words, terms
-    reader = share(spark, known)
-
-    order = [F.xxhash64("_id"), F.col("_id")]
-    sample = top_per_group(marks, ["label"], order, cfg.fit_rows, ["_id"]).select("_id", "label")
-    sample = F.broadcast(kept(sample, "toxicity-fit"))  # at most fit_rows ids of each class
-    seen = kept(term_counts(docs.join(sample, same, "left"), reader, kind), "toxicity-terms")
-    by_label = {r["label"]: r["count"] for r in docs.select("doc_id").join(sample, same).groupBy("label").count().collect()}
-    n_docs = docs.count()
-    n, clean, toxic = (np.zeros(n_terms) for _ in range(3))
-    counted = seen.where("place >= 0").groupBy("place").agg(*[F.sum(c).alias(c) for c in ("n", "clean", "toxic")])
-    columns = counted.toArrow()  # at most one row per term of the examples
-    at = columns["place"].to_numpy()
-    n[at], clean[at], toxic[at] = (columns[c].to_numpy() for c in ("n", "clean", "toxic"))
-    ratio = label_ratio(clean, toxic, (by_label.get(0, 0), by_label.get(1, 0)))
-    idf = (np.log((1 + n_docs) / (1 + n)) + 0.1) * np.sqrt(cfg.least + ratio)
-    bare = seen.where("place < 0").join(marks, same).agg(F.sum("label").alias("t"), F.count(F.lit(1)).alias("n")).first()
+    chosen = kept(top.select(F.col("doc_id").alias("_id"), "label").distinct(), "toxicity-sample")
+    picked = docs.join(F.broadcast(chosen), same).groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = kept(term_vectors(picked, cfg.prefixes, kind), "toxicity-vectors")
+    number = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    weights = {y: sizes[y] / number[y] for y in number}
+    in_index = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(2)) == 0
+    terms, index = _index(sample.where(in_index), weights, cfg)
+    model = share(spark, (terms, index))
+
+    @F.pandas_udf("double")
+    def voted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        terms, index = model()
+        read = Reader(terms, cfg)
+        for ids, counts in batches:
+            found = [(*read.place_of(np.asarray(one, dtype=np.int64)), np.asarray(n)) for one, n in zip(ids, counts, strict=True)]
+            known = [(at[ok], n[ok]) for at, ok, n in found]
+            some = (known[a : a + 64] for a in range(0, len(known), 64))
+            yield pd.Series([v[0] for s in some for v in (index.judged(s, cfg.neighbours) if index else [(None,)] * len(s))], dtype=object)
+
+    votes = sample.where(~in_index).select("label", voted("term", "n").alias("vote")).collect()  # at most 4 * examples numbers
+    known = [(r["vote"], r["label"], weights[r["label"]]) for r in votes if r["vote"] is not None]
+    edges, rates = _calibrated(known, cfg.bins)
+    none = [(r["label"], weights[r["label"]]) for r in votes if r["vote"] is None]
     rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
-    scorer = share(spark, _scorer(fit, rest, sizes, Reader(*known), idf, ((bare["t"] or 0) + 0.5 * rate) / (bare["n"] + 0.5), cfg))
+    bare = (sum(y * w for y, w in none) + 0.5 * rate) / (sum(w for _, w in none) + 0.5)
 
     @F.pandas_udf(f"score double, vote double, ids array<{kind}>, cosines array<double>")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model, read = scorer(), Reader(*reader())
+        terms, index = model()
+        read = Reader(terms, cfg)
         for texts in batches:
-            out = [j for a in range(0, len(texts), 64) for j in model.judged([read.vector(t) for t in texts[a : a + 64]])]
+            out: list = []
+            for a in range(0, len(texts), 64):
+                vectors = read.vectors(texts.iloc[a : a + 64].tolist())
+                for vote, ids, cosines in index.judged(vectors, cfg.neighbours) if index else [(None, [], [])] * len(vectors):
+                    out.append((bare if vote is None else float(np.interp(vote, edges, rates)), vote, ids, cosines))
             yield pd.DataFrame(out, columns=["score", "vote", "ids", "cosines"])
 
     scored = docs.select("doc_id", score("text").alias("_s"))
@@ -306,28 +403,3 @@ def toxicity_scores(
         "doc_id", "_s.score", (F.col("_s.score") >= 0.5).cast("int").alias("predicted"), "_s.vote",
         F.zip_with("_s.ids", "_s.cosines", lambda i, c: F.struct(i.alias("doc_id"), c.alias("cosine"))).alias("evidence"),
     )
-
-
-def _scorer(
-    fit: list, rest: list, sizes: dict[int, int], read: Reader, idf: np.ndarray, bare: float, cfg: ToxicityConfig
-) -> Scorer:
-    """Index of the ``fit`` rows, calibrated on the ``rest``."""
-
-    def vectors_of(rows: list) -> list[tuple]:
-        found = ((r["doc_id"], r["label"], np.array(read.vector(r["text"]), dtype=np.int32)) for r in rows)
-        return [r for r in found if r[2].size]
-
-    fit, rest = vectors_of(fit), vectors_of(rest)
-    if not fit:
-        return Scorer(None, np.array([0.0]), np.array([0.0]), bare, cfg.neighbours)
-    number = Counter(label for _, label, _ in [*fit, *rest])
-    weights = {y: sizes[y] / number[y] for y in number}
-    ids, marks, vectors = map(list, zip(*fit, strict=True))
-    index = ExampleIndex.build(ids, marks, [weights[y] for y in marks], vectors, idf, cfg.block)
-    votes = []
-    for _, label, vector in rest:
-        vote = index.vote(unit(vector, idf), cfg.neighbours)[0]
-        if vote is not None:
-            votes.append((vote, label, weights[label]))
-    edges, rates = _calibrated(votes, cfg.bins)
-    return Scorer(index, edges, rates, bare, cfg.neighbours)

@@ -84,3 +84,67 @@ def test_no_term_is_dropped(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(1_000)], "doc_id long, toxic int")
     rows = T.toxicity_scores(docs, labels, F.col("doc_id") < 800).where("doc_id >= 800").collect()
     assert len(rows) == 200 and all(r["predicted"] == r["doc_id"] % 2 and r["evidence"] for r in rows)
+
+
+def test_blocks_that_cannot_win_stay_closed():
+    """Examples of twenty topics; a text of one topic opens few blocks and misses nothing."""
+    rng = random.Random(9)
+    idf = np.ones(400)
+    vectors = [(sorted(rng.sample(range(20 * (i % 20), 20 * (i % 20) + 20), 10)), [1] * 10) for i in range(2_000)]
+    index = T.BlockMaxIndex.build(list(range(2_000)), [0] * 2_000, [1.0] * 2_000, vectors, idf, 20, seldom=40)
+    dense = np.zeros((2_000, 400))
+    for at, place in enumerate(index.ids):
+        dense[at, vectors[place][0]] = T.unit(vectors[place], idf)[1]
+    queries = [T.unit(v, idf) for v in vectors[:40]]
+    for (p, v), (at, got, _) in zip(queries, index.search(queries, 5), strict=True):
+        cosine = dense[:, p] @ v
+        order = np.lexsort((np.arange(2_000), -np.round(cosine, 12)))[:5]
+        assert at.tolist() == order.tolist() and np.allclose(got, cosine[order])
+    assert index.opened < 0.15 * index.asked * len(index.common)
+
+
+def test_evidence_is_the_brute_force_of_texts(spark):
+    """Ids and cosines against TF-IDF vectors made anew from texts and labels."""
+    rng = random.Random(5)
+    words = [f"{rng.choice('abcdefgh')}{'xyzw'[i % 4]}ord{'abcdefghij'[i % 10] * (i % 7 + 1)}" for i in range(80)]
+    texts = {i: " ".join(rng.choices(words, k=rng.randint(3, 12)) + ["vile"] * (i % 3 == 0)) for i in range(150)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(100)], "doc_id long, toxic int")
+    cfg = T.ToxicityConfig(neighbours=6, block=4)
+    rows = T.toxicity_scores(docs, labels, F.lit(True), cfg).collect()
+    half = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(2)) == 0
+    fit = [r["doc_id"] for r in labels.where(half).select("doc_id").collect()]
+
+    def counts(text):
+        out = {}
+        for w in text.split():
+            for t in [w] + [w[:n] + "*" for n in (4, 5, 6, 7) if len(w) > n]:
+                out[t] = out.get(t, 0) + 1
+        return out
+
+    vectors = {i: counts(t) for i, t in texts.items()}
+    clean = [i for i in fit if i % 3]
+    known = {t for i in fit for t in vectors[i]}
+    idf = {t: np.log((1 + len(clean)) / (1 + sum(t in vectors[i] for i in clean))) + 0.1 for t in known}
+
+    def scaled(i):
+        out = {t: (1 + np.log(n)) * idf[t] for t, n in vectors[i].items() if t in known}
+        norm = np.sqrt(sum(v * v for v in out.values())) or 1.0
+        return {t: v / norm for t, v in out.items()}
+
+    examples = {i: scaled(i) for i in fit}
+    assert len(rows) == 150
+    for r in rows:
+        mine = scaled(r["doc_id"])
+        cosine = {i: sum(v * one.get(t, 0.0) for t, v in mine.items()) for i, one in examples.items()}
+        best = sorted((c for c in cosine.values() if c > 0), reverse=True)[:6]
+        assert np.allclose([e["cosine"] for e in r["evidence"]], best)
+        assert all(abs(cosine[e["doc_id"]] - e["cosine"]) < 1e-9 for e in r["evidence"])
+
+
+def test_copies_of_an_id_count_once_in_the_sample(spark):
+    texts = [(i, "vile talk" if i % 2 else "kind talk") for i in range(60)] + [(1, "vile talk")] * 3_000
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("label", F.lit("other"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = T.toxicity_scores(docs, labels, F.lit(True)).collect()
+    assert len(rows) == 3_060 and all(r["predicted"] == r["doc_id"] % 2 for r in rows)
