@@ -243,9 +243,8 @@ class BlockMaxIndex:
         self._open((bound >= least[:, None] - 1e-9) & (bound > 0) & ~first, wide, sums, full)
         self.asked += len(queries)
         out = []
-        for cosine, postings in zip(flat[:, :n], read, strict=True):
-            least = np.partition(cosine, -k)[-k] if n > k else 0.0
-            at = np.flatnonzero((cosine > 0) & (cosine >= least - 2e-12))
+        for cosine, floor, postings in zip(flat[:, :n], least, read, strict=True):
+            at = np.flatnonzero(cosine > max(0.0, floor - 2e-12))
             at = at[np.lexsort((at, -np.round(cosine[at], 12)))[:k]]
             out.append((at, cosine[at], postings))
         return out
@@ -280,7 +279,7 @@ class BlockMaxIndex:
             close = close + self.common[(at // size)[:, None], self.common_at[places[often]], (at % size)[:, None]] @ told[often]
             weight = self.weights[at] * close
             share = float((weight * self.labels[at]).sum() / weight.sum())
-            out.append((share, self.ids[at].tolist(), cosine.tolist()))
+            out.append((share, self.ids[at], cosine))
         return out
 
     def judged(self, vectors: list[tuple], k: int) -> list[tuple[float | None, list, list[float]]]:
