@@ -13,7 +13,8 @@ from stratalog.bindings import query, table
 from stratalog.config import SYSTEM_PROMPT, CleanConfig, MixConfig, TokenConfig
 from stratalog.functions import messages as M
 from stratalog.functions.text import clean, count_words, estimate_tokens
-from stratalog.operators import chat, clean as rows, mix, profile, tokens
+from stratalog.operators import chat, clean as rows, key_store, mix, profile, tokens
+from stratalog.session import scratch_path
 
 # patterns that occur in the generated texts; word boundaries as explicit ASCII classes
 P_INSTRUCTION = "thing and"
@@ -531,6 +532,26 @@ def append_report(spark: SparkSession, sf: str) -> DataFrame:
     return mix.append_new(train, val, d, 5)[1]
 
 
+@query(
+    "append_to_store",
+    """WITH d AS (SELECT doc_id, text, doc_id % 3 AS batch FROM documents)
+    SELECT doc_id, CAST(batch AS INTEGER) AS batch FROM d AS n WHERE NOT EXISTS
+      (SELECT 1 FROM d AS o WHERE o.text = n.text AND o.batch < n.batch)""",
+)
+def append_to_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Three appends to one store of keys: each keeps the rows that no earlier one held."""
+    d = _text_keys(spark, sf).select("doc_id", "key")
+    store = key_store.create(spark, scratch_path(spark, "key-store"))
+    grown = None
+    for batch in range(3):
+        new = d.where(F.col("doc_id") % 3 == batch)
+        kept = key_store.append(store, new, scratch_path(spark, "store-rows"))
+        kept = kept.select("doc_id", F.lit(batch).alias("batch"))
+        grown = kept if grown is None else grown.unionByName(kept)
+    store.close()
+    return grown
+
+
 @query(
     "shuffled_rows",
     "SELECT doc_id, sha256(doc_id || '|42') AS place FROM documents",
