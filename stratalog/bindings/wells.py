@@ -15,6 +15,8 @@ from stratalog.bindings import SMALL_BLOCKS, query, table, utc
 from stratalog.config import EvalConfig, WellConfig
 from stratalog.operators import evals, mix, scoring, wells
 from stratalog.plans import wells as plan
+from stratalog.session import scratch_path
+from stratalog.sources.chat_files import staged
 
 CURVES = ("GR", "RDEP", "RHOB", "NPHI")
 CONTRACT = WellConfig(required=("GR", "RDEP", "RHOB", "DTC"), optional=("NPHI", "CALI"))
@@ -155,16 +157,21 @@ def well_names(spark: SparkSession, sf: str) -> DataFrame:
     return wells.well_names(df)
 
 
-def _drift(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Curves shifted per well so that all states occur; the profile is that of the training wells."""
+def _shifted(spark: SparkSession, sf: str) -> DataFrame:
+    """Curves shifted per well so that all states occur."""
     k = F.col("well")
-    df = samples(spark, sf).withColumns(
+    return samples(spark, sf).withColumns(
         {
             "GR": F.col("GR") + F.when(k % 5 == 0, 100.0).otherwise(0.0),
             "RDEP": F.col("RDEP") + F.when(k % 10 == 0, 1e6).otherwise(0.0),
             "RHOB": F.col("RHOB") + F.when(k % 20 == 0, 1.0).otherwise(0.0),
         }
     )
+
+
+def _drift(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The shifted curves and their report; the profile is that of the training wells."""
+    df = _shifted(spark, sf)
     train = mix.group_holdout(samples(spark, sf), "well", 0.25, 42).where("split = 'train'")
     profile = wells.drift_profile(train, list(CURVES))
     return df, wells.drift_report(df, profile, list(CURVES))
@@ -201,6 +208,45 @@ def drift_check(spark: SparkSession, sf: str) -> DataFrame:
     return report.withColumn("flagged_curves", F.array_join("flagged_curves", ","))
 
 
+def _stored_sketches(spark: SparkSession, train: DataFrame) -> DataFrame:
+    """Four deliveries of wells, each read once, sketched per version and stored."""
+    path = scratch_path(spark, "profiles")
+    for batch in range(4):
+        part = train.where(F.col("well") % 4 == batch)
+        wells.store_sketches(wells.curve_sketches(part, list(CURVES), ["version"]), path, str(batch))
+    return spark.read.parquet(path).select("version", "curve", "n", "sketch")
+
+
+_GRID = {"GR": "l_quantity", "RDEP": "floor(l_extendedprice / 20000)", "RHOB": "l_discount", "NPHI": "l_tax"}
+_SQL_PROFILE = " UNION ALL ".join(
+    f"""SELECT l_suppkey % 2 AS version, '{curve}' AS curve, count({x})::BIGINT AS n,
+      quantile_disc({x}, 0.01)::DOUBLE AS low, quantile_disc({x}, 0.99)::DOUBLE AS high
+    FROM lineitem WHERE {_SQL_TRAINING} GROUP BY ALL"""
+    for curve, x in _GRID.items()
+)
+
+
+@query("drift_profile_merge", _SQL_PROFILE)
+def drift_profile_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounds per version from merged sketches. Prices are put on a coarse grid, so that, as for the other
+    curves, the rank error of a sketch moves no bound to another value."""
+    train = mix.group_holdout(samples(spark, sf), "well", 0.25, 42).where("split = 'train'")
+    train = train.withColumns({"version": F.col("well") % 2, "RDEP": F.floor(F.col("RDEP") / 20000)})
+    merged = wells.merged_sketches(_stored_sketches(spark, train), ["version"])
+    return wells.sketch_bounds(merged).select(
+        "version", "curve", "n", F.col("bounds")[0].alias("low"), F.col("bounds")[1].alias("high")
+    )
+
+
+@query("drift_check_merged", f"WITH {_SQL_DRIFT} SELECT well, flagged_curves, status, message FROM drift")
+def drift_check_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The drift check against a profile that grew by four deliveries."""
+    train = mix.group_holdout(samples(spark, sf), "well", 0.25, 42).where("split = 'train'")
+    merged = wells.merged_sketches(_stored_sketches(spark, train.withColumn("version", F.lit(1))))
+    report = wells.drift_report(_shifted(spark, sf), wells.sketch_profile(merged, list(CURVES)), list(CURVES))
+    return report.withColumn("flagged_curves", F.array_join("flagged_curves", ","))
+
+
 @query(
     "refusal_gate",
     f"""WITH {_SQL_DRIFT} SELECT well, count(*) AS n FROM c
@@ -440,6 +486,57 @@ def classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.held_out_table(scoring.score(data.where("split = 'test'"), _model(data.drop("split"))))
 
 
+_SQL_SAID = f"""k AS (SELECT l_linenumber AS n, CASE WHEN l_linenumber <= 2 THEN 0 WHEN l_linenumber <= 4 THEN 1 ELSE 2
+      END AS rule, (l_orderkey * 7 + l_linenumber * 3 + l_suppkey) % 10 = 0 AS wrong FROM lineitem WHERE NOT ({_SQL_TRAINING})),
+  said AS (SELECT version, CASE WHEN wrong THEN (rule + 1) % 3 ELSE rule END AS label,
+    CASE WHEN version = '2024-two-curves' THEN rule WHEN n <= 2 THEN 0 ELSE 2 END AS code
+    FROM k, (VALUES ('2024-two-curves'), ('2023-one-curve')) AS v(version))"""
+
+
+def _said_by_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out wells scored by two saved versions and stored.
+
+    A tenth of the labels is wrong, so no forest finds them all. One version sees the curve that tells the
+    classes; the other sees only whether the line number is above 2, where class 2 is the most frequent.
+    """
+    n = F.col("l_linenumber")
+    wrong = (F.col("DEPT").cast("bigint") * 7 + n * 3 + F.col("well")) % 10 == 0
+    data = rule_wells(spark, sf).withColumns(
+        {"label": F.when(wrong, (F.col("label") + 1) % 3).otherwise(F.col("label")), "PEF": (n > 2).cast("double")}
+    )
+    data = mix.group_holdout(data, "well", 0.25, 42)
+    root = scratch_path(spark, "models")
+    train = data.where("split = 'train'").drop("split")
+    for version, curves in (("2024-two-curves", list(LEARNED)), ("2023-one-curve", ["PEF"])):
+        scoring.save_version(scoring.train(train, curves, trees=5), root, version, spark)
+    scored = scoring.score_versions(data.where("split = 'test'"), scoring.load_versions(spark, root))
+    return staged(scored.select("version", "label", "lithology_code", "confidence"), scratch_path(spark, "said"))
+
+
+@query(
+    "classifier_metrics_versions",
+    f"""WITH {_SQL_SAID}, c AS (SELECT c FROM range(3) AS r(c)),
+    per AS (SELECT version, c, count(*) FILTER (WHERE label = c) AS support, count(*) FILTER (WHERE code = c) AS said,
+      count(*) FILTER (WHERE label = c AND code = c) AS hit FROM said, c GROUP BY version, c)
+    SELECT version, sum(support)::BIGINT AS n_test, round(sum(hit) / sum(support), 9) AS accuracy,
+      round(sum(support * CASE WHEN hit = 0 THEN 0.0::DOUBLE ELSE 2 * (hit / said) * (hit / support)
+        / (hit / said + hit / support) END) / sum(support), 9) AS weighted_f1
+    FROM per GROUP BY version""",
+)
+def classifier_metrics_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy and weighted F1 of each saved version on the wells that were held out."""
+    rated = scoring.held_out_table(_said_by_versions(spark, sf), by=["version"])
+    return rated.withColumns({c: F.round(c, 9) for c in ("accuracy", "weighted_f1")})
+
+
+@query(
+    "confusion_by_version",
+    f"WITH {_SQL_SAID} SELECT version, label, code AS lithology_code, count(*) AS n FROM said GROUP BY ALL",
+)
+def confusion_by_version(spark: SparkSession, sf: str) -> DataFrame:
+    return scoring.confusion(_said_by_versions(spark, sf), by=["version"])
+
+
 _SQL_CHAIN = f"""{_SQL_DRIFT}, {_SQL_RULE},
   kp AS (SELECT *, lag(code) OVER w IS DISTINCT FROM code AS st FROM k
     WHERE well % 2 = 0 AND well NOT IN (SELECT well FROM drift WHERE status = 'out_of_distribution')

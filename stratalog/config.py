@@ -217,6 +217,8 @@ class DriftConfig:
     refuse_at: int = 3
     # rank error 1 in this many rows; also bounds the sketch each task holds
     accuracy: int = 100_000
+    # size of the mergeable sketches: rank error about 0.0007; exact up to as many samples
+    sketch_k: int = 8192
 
 
 @dataclass(frozen=True)

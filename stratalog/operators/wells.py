@@ -119,6 +119,59 @@ def drift_profile(train: DataFrame, curves: list[str], cfg: DriftConfig = DriftC
     )
 
 
+def curve_sketches(
+    train: DataFrame, curves: list[str], by: list[str] | None = None, cfg: DriftConfig = DriftConfig()
+) -> DataFrame:
+    """``(*by, curve, n, sketch)``: a mergeable KLL sketch of each curve, per group.
+
+    Nulls and NaN are no samples; a group without any has ``n`` 0 and still a row. Tasks send one sketch
+    per group and curve, whatever their rows.
+    """
+    by = by or []
+    values = [F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(curves)]
+    made = train.select(*by, *values).groupBy(*by).agg(
+        *[F.kll_sketch_agg_double(f"_{i}", cfg.sketch_k).alias(f"_{i}") for i in range(len(curves))]
+    )
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("curve"), F.col(f"_{i}").alias("sketch")) for i, c in enumerate(curves)]
+    )
+    return made.select(*by, F.inline(pairs)).select(
+        *by, "curve", F.kll_sketch_get_n_double("sketch").alias("n"), "sketch"
+    )
+
+
+def merged_sketches(sketches: DataFrame, by: list[str] | None = None, cfg: DriftConfig = DriftConfig()) -> DataFrame:
+    """One sketch per group and curve from many; rows that a sketch once read are not read again."""
+    by = by or []
+    return (
+        sketches.groupBy(*by, "curve")
+        .agg(F.kll_merge_agg_double("sketch", cfg.sketch_k).alias("sketch"))
+        .select(*by, "curve", F.kll_sketch_get_n_double("sketch").alias("n"), "sketch")
+    )
+
+
+def sketch_bounds(sketches: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
+    """Add ``bounds``, the low and high percentile of each sketch; null where it holds no sample."""
+    ranks = F.array(F.lit(cfg.low), F.lit(cfg.high))
+    return sketches.withColumn(
+        "bounds", F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", ranks))
+    )
+
+
+def sketch_profile(sketches: DataFrame, curves: list[str], cfg: DriftConfig = DriftConfig()) -> DataFrame:
+    """The sketches of one version in the one-row shape of ``drift_profile``."""
+    bounds = sketch_bounds(sketches, cfg)
+    return bounds.agg(*[F.max(F.when(F.col("curve") == c, F.col("bounds"))).alias(c) for c in curves])
+
+
+def store_sketches(sketches: DataFrame, path: str, batch: str) -> None:
+    """Keep the sketches of one delivery of wells; the same delivery again replaces its own.
+
+    A delivery is one folder, so one that was interrupted can run again.
+    """
+    sketches.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
 def drift_report(
     df: DataFrame, profile: DataFrame, curves: list[str], cfg: DriftConfig = DriftConfig()
 ) -> DataFrame:
@@ -133,7 +186,7 @@ def drift_report(
         )
 
     shares = df.groupBy("well").agg(*[F.avg(outside(c)).alias(c) for c in curves])
-    known = F.greatest(*[F.col(c).isNotNull().cast("int") for c in curves]) == 1
+    known = F.coalesce(*curves).isNotNull()
     flagged = _names([(c, F.coalesce(F.col(c) > cfg.max_outside, F.lit(False))) for c in curves])
     listed = shares.select("well", flagged.alias("flagged_curves"), known.alias("_known"))
     n = F.size("flagged_curves")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stratalog.config import DriftConfig, SkewConfig, WellConfig
 from stratalog.operators import scoring, wells
+from stratalog.session import scratch_path
 
 HOT = SkewConfig(max_rows=5)
 SAMPLES = "well string, depth double, lithology_code int, lithology string, confidence double"
@@ -35,6 +36,46 @@ def test_curve_contract(spark):
     assert reasons["b"] == "missing required curve(s): GR, DTC. Required: GR, RDEP, DTC."
 
 
+def test_merged_sketches_equal_one_pass(spark):
+    """Below the size of a sketch it is exact; nulls and NaN are no samples."""
+    df = spark.range(4000).selectExpr(
+        "id % 2 as version", "id % 7 as delivery", "double(id) as A", "if(id % 5 = 0, null, double(-id)) as B",
+        "cast(null as double) as C", "if(id < 10, double('nan'), double(id % 3)) as D",
+    )
+    curves = ["A", "B", "C", "D"]
+    parts = wells.curve_sketches(df, curves, ["delivery", "version"]).drop("delivery")
+    got = {(r["version"], r["curve"]): (r["n"], r["bounds"]) for r in wells.sketch_bounds(wells.merged_sketches(parts, ["version"])).collect()}
+    clean = df.withColumn("D", F.when(~F.isnan("D"), F.col("D")))
+    for v in (0, 1):
+        one = wells.drift_profile(clean.where(F.col("version") == v), curves).first()
+        counts = clean.where(F.col("version") == v).agg(*[F.count(c).alias(c) for c in curves]).first()
+        for c in curves:
+            assert got[v, c] == (counts[c], one[c]), (v, c)
+
+
+def test_rank_error_of_merged_sketches(spark):
+    """Beyond its size a sketch keeps within its rank error, whatever the order of the deliveries."""
+    cfg = DriftConfig(sketch_k=1024)
+    df = spark.range(200_000).selectExpr("id div 20000 as delivery", "double(id) / 200000 as A")
+    merged = wells.merged_sketches(wells.curve_sketches(df, ["A"], ["delivery"], cfg), cfg=cfg)
+    row = wells.sketch_bounds(merged, cfg).first()
+    assert row["n"] == 200_000
+    assert abs(row["bounds"][0] - 0.01) < 0.006 and abs(row["bounds"][1] - 0.99) < 0.006
+
+
+def test_delivery_again_replaces_its_own(spark):
+    path = scratch_path(spark, "profiles")
+    df = spark.createDataFrame([(1.0,), (2.0,)], "A double")
+    for batch in ("a", "b", "a"):
+        wells.store_sketches(wells.curve_sketches(df, ["A"]), path, batch)
+    merged = wells.merged_sketches(spark.read.parquet(path))
+    assert merged.first()["n"] == 4
+    none = wells.sketch_profile(wells.curve_sketches(df.limit(0), ["A"]), ["A"])
+    assert none.first()["A"] is None
+    report = wells.drift_report(df.withColumn("well", F.lit("w")), none, ["A"])
+    assert report.first()["status"] == "unknown"
+
+
 def test_depth_range_prefers_dept(spark, values):
     df = spark.createDataFrame(
         [("a", None, 1.0), ("a", None, 9.0), ("b", 5.0, None)], "well string, DEPT double, DEPTH_MD double"
@@ -239,3 +280,51 @@ def test_held_out_table_agrees_with_the_evaluator(spark):
     got = scoring.held_out_table(df).first()
     assert got["accuracy"] == pytest.approx(want["accuracy"])
     assert got["weighted_f1"] == pytest.approx(want["f1"])
+
+
+def test_versions_saved_and_scored(spark):
+    """Each version scores as it does alone, the input is read once, and the metrics are those by hand."""
+    df = spark.range(400).selectExpr(
+        "id", "double(id % 4) as A", "double(id % 2) as B", "int(if(id % 10 = 0, 1, 0) + id % 4) % 4 as label"
+    )
+    root = scratch_path(spark, "models")
+    models = {"fine": scoring.train(df, ["A"], trees=3), "rough": scoring.train(df, ["B"], trees=3)}
+    for name, model in models.items():
+        scoring.save_version(model, root, name, spark, "trial")
+    scoring.save_version(models["rough"], root, "rough", spark, "again")
+    table = {r["version"]: r for r in scoring.versions(spark, root).collect()}
+    assert {v: (r["features"], r["n_classes"], r["note"]) for v, r in table.items()} == {
+        "fine": (["A"], 4, "trial"), "rough": (["B"], 4, "again"),
+    }
+    loaded = scoring.load_versions(spark, root)
+    both = scoring.score_versions(df, loaded)
+    assert both.columns == ["id", "A", "B", "label", "version", "lithology_code", "confidence"]
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and "Exchange" not in plan
+    rows = both.collect()
+    assert len(rows) == 800
+    for name, model in models.items():
+        alone = {r["id"]: r["lithology_code"] for r in scoring.score(df, model).collect()}
+        assert {r["id"]: r["lithology_code"] for r in rows if r["version"] == name} == alone
+    for r in scoring.held_out_table(both, by=["version"]).collect():
+        pairs = [(x["label"], x["lithology_code"]) for x in rows if x["version"] == r["version"]]
+        f1 = 0.0
+        for c in range(4):
+            hit = sum(a == b == c for a, b in pairs)
+            support, said = sum(a == c for a, _ in pairs), sum(b == c for _, b in pairs)
+            f1 += support * (2 * hit / (support + said) if hit else 0.0)
+        assert r["n_test"] == 400 and 0.3 < r["accuracy"] < 1
+        assert r["accuracy"] == pytest.approx(sum(a == b for a, b in pairs) / 400)
+        assert r["weighted_f1"] == pytest.approx(f1 / 400)
+        one = scoring.held_out_metrics(both.where(F.col("version") == r["version"]))
+        assert (r["accuracy"], r["weighted_f1"]) == (pytest.approx(one["accuracy"]), pytest.approx(one["f1"]))
+
+
+def test_unknown_and_no_versions(spark):
+    df = spark.range(8).selectExpr("double(id) as A", "int(id % 2) as label")
+    root = scratch_path(spark, "models")
+    scoring.save_version(scoring.train(df, ["A"], trees=1), root, "one", spark)
+    with pytest.raises(ValueError, match="unknown model version"):
+        scoring.load_versions(spark, root, ["one", "two"])
+    assert scoring.score_versions(df, {}).count() == 0
+    assert scoring.score_versions(df.limit(0), scoring.load_versions(spark, root)).count() == 0
