@@ -132,6 +132,20 @@ def hits_of(spark, items: list[tuple[object, str]], text: Column, cfg: DecontamC
     return find(text)
 
 
+def placed(text: Column, ranges: Column) -> Column:
+    """Number of words, and the offsets of word ranges in the original text."""
+
+    @F.pandas_udf("n_words long, spans array<struct<start:int,end:int>>")
+    def place(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, told in zip(texts, found):
+            pairs = [(r["start"], r["end"]) for r in told] if told is not None else []
+            out.append((len(words_of(text or "")), _spans(text, pairs)))
+        return pd.DataFrame(out, columns=["n_words", "spans"])
+
+    return place(text, ranges)
+
+
 def _verdict(found: Column, cfg: DecontamConfig) -> dict[str, Column]:
     n_hit = F.aggregate(found["ranges"], F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
     return {
@@ -173,34 +187,30 @@ def _in_parts(docs: DataFrame, parts: list, cfg: DecontamConfig) -> DataFrame:
         hits = hits.where(F.size("_h.ranges") > 0).dropDuplicates(["_d"])
         found = hits if found is None else found.unionByName(hits)
 
-    def union(name: str) -> Column:
-        """Merged ranges of all parts."""
-        all_ = F.array_sort(F.flatten(F.collect_list(F.col("_h")[name])))
-        none = F.slice(all_, 1, 0)
-
-        def grow(done: Column, r: Column) -> Column:
-            last = F.element_at(done, -1)
-            wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))
-            return F.when(
-                (F.size(done) > 0) & (r["start"] <= F.try_element_at(done, F.lit(-1))["end"]),
-                F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(wider)),
-            ).otherwise(F.concat(done, F.array(r)))
+    all_ = F.array_sort(F.flatten(F.collect_list("_h.ranges")))
 
-        return F.aggregate(all_, none, grow)
+    def grow(done: Column, r: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))
+        return F.when(
+            (F.size(done) > 0) & (r["start"] <= last["end"]),
+            F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(wider)),
+        ).otherwise(F.concat(done, F.array(r)))
 
     joined = found.groupBy("_d").agg(
-        union("ranges").alias("ranges"), union("spans").alias("spans"),
+        F.aggregate(all_, F.slice(all_, 1, 0), grow).alias("ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("_h.items")))).alias("items"),
     )
-    none = hits_of(spark, [], F.col("text"), cfg)
-    counted = docs.select(F.struct("*").alias("_row"), none["n_words"].alias("_own"), digest.alias("_key"))
-    empty = "array<struct<start:int,end:int>>"
-    return counted.join(joined, F.col("_key") == F.col("_d"), "left").withColumn(
-        "_hit",
+    rows = docs.select(F.struct("*").alias("_row"), digest.alias("_key"))
+    met = rows.join(joined, F.col("_key") == F.col("_d"), "left")
+    # offsets come from the merged ranges, so they are the same as with one automaton
+    met = met.withColumn("_at", placed(F.col("_row")["text"], F.col("ranges")))
+    return met.select(
+        "_row",
         F.struct(
-            F.col("_own").alias("n_words"),
-            F.coalesce("ranges", F.array().cast(empty)).alias("ranges"),
-            F.coalesce(joined["spans"], F.array().cast(empty)).alias("spans"),
-            F.coalesce(joined["items"], F.array().cast("array<string>")).alias("items"),
-        ),
+            F.col("_at.n_words").alias("n_words"),
+            F.coalesce("ranges", F.array().cast("array<struct<start:int,end:int>>")).alias("ranges"),
+            F.col("_at.spans").alias("spans"),
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        ).alias("_hit"),
     )
