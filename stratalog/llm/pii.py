@@ -11,8 +11,10 @@ The texts are read once; seed spans and graph are tables from then on.
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -29,9 +31,14 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_CANDIDATE = re.compile(r"[^\s\"'<>()\[\]{},;:|=]*[0-9@][^\s\"'<>()\[\]{},;:|=]*")
+#: from the beginning of a string only, so that a long one without a digit is read once
+_CANDIDATE = re.compile(
+    r"(?<![^\s\"'<>()\[\]{},;:|=])[^\s\"'<>()\[\]{},;:|=0-9@]*+[0-9@][^\s\"'<>()\[\]{},;:|=]*+"
+)
 _CONTEXT = re.compile(r"[^\W_]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+#: characters looked at first for the words before a place
+_LOOK = 200
 
 
 @dataclass(frozen=True)
@@ -44,7 +51,6 @@ class PiiConfig:
     accept: float = 0.8
     doubt: float = 0.5
     rounds: int = 3
-    longest: int = 128
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -90,15 +96,49 @@ def seed_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _context(text: str, start: int, n: int) -> str:
-    """The last ``n`` words before a place, lower-case, at most 200 characters back."""
-    return " ".join(_CONTEXT.findall(text[max(0, start - 200) : start])[-n:]).lower()
+def key_of(text: str) -> str:
+    """A string as a key of the graph: itself, or a digest of all of it where it is long."""
+    return text if len(text) <= 64 else "#" + hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=32).hexdigest()
+
+
+def contexts(text: str, starts: Iterable[int], n: int) -> dict[int, str]:
+    """Per place, the key of the last ``n`` whole words that end at or before it, lower-case.
+
+    A word that the place lies in is no word before it. The places are met in order and what lies
+    between two of them is read at most twice, so a text is read in linear time, however far back the
+    words are. Mostly a look at the characters just before the place is enough.
+    """
+    out: dict[int, str] = {}
+    words: deque[str] = deque(maxlen=n)
+    at, key, held = 0, "", None
+    for start in sorted(set(starts)):
+        if held is not None and held[1] <= start:
+            words.append(text[held[0] : held[1]].lower())
+            at, key, held = held[1], None, None
+        if held is None:
+            found = []
+            if start - at > _LOOK:
+                found = list(_CONTEXT.finditer(text, start - _LOOK, start))
+                # the first may be the rest of a longer word
+                found = found[1:] if found and found[0].start() == start - _LOOK else found
+            if len(found) <= n:
+                found = deque(_CONTEXT.finditer(text, at, start), maxlen=n + 1)
+            if found and found[-1].end() == start and _CONTEXT.match(text, start):
+                held = _CONTEXT.match(text, found.pop().start()).span()
+            if found:
+                words.extend(m.group().lower() for m in found)
+                key = None
+            at = start
+        if key is None:
+            key = key_of(" ".join(words))
+        out[start] = key
+    return out
 
 
 def graph_edges(text: str, seeds: list[tuple[str, int, int]], cfg: PiiConfig) -> list[tuple]:
     """``(kind, pattern, entity, start, end)`` of the seeds and, with kind null, of the candidates:
-    identifier-like strings apart from all seeds."""
-    out = [(k, _context(text, a, cfg.context_words), text[a:b].lower()[: cfg.longest], a, b) for k, a, b in seeds]
+    strings with a digit or ``@``, of any length, apart from all seeds."""
+    found = list(seeds)
     taken = sorted((a, b) for _, a, b in seeds)
     at = 0
     for m in _CANDIDATE.finditer(text):
@@ -108,10 +148,10 @@ def graph_edges(text: str, seeds: list[tuple[str, int, int]], cfg: PiiConfig) ->
         while at < len(taken) and taken[at][1] <= start:
             at += 1
         near = (t for t in taken[max(0, at - len(KINDS)) :] if t[0] < end) if at < len(taken) else ()
-        if end - start < 6 or end - start > cfg.longest or any(a < end and start < b for a, b in near):
-            continue
-        out.append((None, _context(text, start, cfg.context_words), text[start:end].lower(), start, end))
-    return out
+        if not any(a < end and start < b for a, b in near):
+            found.append((None, start, end))
+    before = contexts(text, (a for _, a, _ in found), cfg.context_words)
+    return [(k, before[a], key_of(text[a:b].lower()), a, b) for k, a, b in found]
 
 
 _SPAN = "array<struct<kind:string,start:int,end:int>>"

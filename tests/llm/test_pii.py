@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -44,6 +46,88 @@ def test_known_entities():
     assert [k for k, _, _ in P.seed_spans("mail a@b.cd, 10.0.0.1, 4111 1111 1111 1111 or +1 (017) 555-7713")] == list(P.KINDS)
 
 
+WORD = re.compile(r"[^\W_]+")
+STRING = re.compile(r"[^\s\"'<>()\[\]{},;:|=]+")
+
+
+def plain_context(text, start, n):
+    before = [m.group().lower() for m in WORD.finditer(text) if m.end() <= start]
+    return " ".join(before[-n:])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text("abZ@.-+ (0129é_", max_size=80), st.integers(1, 3), st.sampled_from([0, 3, 200]))
+def test_edges_equal_the_plain_way(text, n, look):
+    """Words before a place however far back, and candidates of any length."""
+    was, P._LOOK = P._LOOK, look
+    try:
+        seeds = P.seed_spans(text)
+        edges = P.graph_edges(text, seeds, P.PiiConfig(context_words=n))
+    finally:
+        P._LOOK = was
+    for kind, pattern, entity, a, b in edges:
+        assert (pattern, entity) == (plain_context(text, a, n), text[a:b].lower())
+    assert [(k, a, b) for k, _, _, a, b in edges if k] == seeds
+    taken = [(a, b) for _, a, b in seeds]
+    open_ = []
+    for m in STRING.finditer(text):
+        a, b = m.start(), m.start() + len(m.group().rstrip(".!?-"))
+        if re.search("[0-9@]", m.group()) and not any(x < b and a < y for x, y in taken):
+            open_.append((a, b))
+    assert [(a, b) for k, _, _, a, b in edges if not k] == open_
+
+
+def test_long_strings_and_far_words():
+    """Two long strings with one beginning are two; words count however far before a place."""
+    cfg = P.PiiConfig()
+    x, y = ("7" * 5_000 + c for c in "ab")
+    edges = P.graph_edges(f"mail to {x} {' ' * 10_000}{y}", [], cfg)
+    assert edges[0][1] == "mail to" and edges[0][2] != edges[1][2] and len(edges[0][2]) == 65
+    assert P.graph_edges("mail to" + " ." * 50_000 + " q@", [], cfg)[0][1] == "mail to"
+    for text in ("@ " * 200_000, "a" * 1_000_000, "w" * 500_000 + " @" * 100_000, "b4111111111111111" * 30_000):
+        P.graph_edges(text, P.seed_spans(text), cfg)
+
+
+def plain_scores(edges, cfg):
+    """The same rounds over dictionaries."""
+    pairs = {(k, p, e) for k, p, e in edges if p}
+    seeds = {}
+    for k, p, e in pairs:
+        if k:
+            seeds.setdefault((k, p), set()).add(e)
+    good = {kp for kp, es in seeds.items() if len(es) >= cfg.min_seeds}
+    links = [(k, p, e, float(own == k), own is None) for k, p in good for own, q, e in pairs if q == p]
+    strings = {}
+    for k, _, e, seed, _ in links:
+        strings[k, e] = max(strings.get((k, e), 0.0), seed)
+    own = dict(strings)
+    patterns = {}
+    for _ in range(cfg.rounds):
+        said = {}
+        for k, p, e, _, _ in links:
+            said.setdefault((k, p), []).append(strings[k, e])
+        patterns = {kp: sum(v) / (len(v) + cfg.doubt) for kp, v in said.items()}
+        missed = {}
+        for k, p, e, _, _ in links:
+            missed[k, e] = missed.get((k, e), 1.0) * (1 - min(patterns[k, p], 0.999))
+        strings = {ke: max(own[ke], 1 - m) for ke, m in missed.items()}
+    return patterns, strings
+
+
+def test_graph_scores_equal_plain_rounds(spark):
+    draw, cfg = random.Random(7), P.PiiConfig(min_seeds=2)
+    edges = []
+    for _ in range(400):
+        kind = draw.choice(["email", "phone", None, None])
+        edges.append((kind, draw.choice(["", "p1", "p2", "p3", "p4", "p5"]), f"{kind or ''}{draw.randrange(25)}"))
+    patterns, strings = P.scored_graph(spark.createDataFrame(edges, "kind string, pattern string, entity string"), cfg)
+    want_patterns, want_strings = plain_scores(edges, cfg)
+    got = {(r["kind"], r["pattern"]): r["score"] for r in patterns.collect()}
+    assert got == {k: pytest.approx(v) for k, v in want_patterns.items()} and got
+    got = {(r["kind"], r["entity"]): r["score"] for r in strings.collect()}
+    assert got == {k: pytest.approx(v) for k, v in want_strings.items()} and got
+
+
 def test_patterns_find_unseen_identifiers(spark):
     data = [(i, f"please mail to u{i}@mail.example.com now and then 9{i}12345", "x") for i in range(30)]
     data += [(100, "please mail to someone7@intranet now", "x"), (101, "then 7712345", "x"), (102, None, None), (102, "", "x")]
