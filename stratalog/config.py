@@ -140,11 +140,12 @@ BRENT_SERIES = "RBRTE"
 class SkewConfig:
     """When a key counts as hot: with more rows than one task should order.
 
-    Hot keys are cut into blocks of about ``max_rows`` rows, so the number of blocks of a key follows
-    its number of rows.
+    Hot keys are cut into blocks of at most ``max_rows`` rows, so the number of blocks of a key follows
+    its number of rows. One task orders about ``task_rows`` rows of them, or ``max_rows`` if that is more.
     """
 
     max_rows: int = 1_000_000
+    task_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

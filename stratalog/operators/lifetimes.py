@@ -146,7 +146,7 @@ def lifetime_starts(
         rows = known.where(F.col(BLOCK).eqNullSafe(F.lit(-1)) | F.col("entry").isNotNull())
         rows = rows.select(*keys, BLOCK, "t", F.coalesce("entry", F.lit(_ANY)).alias("entry"))
     else:
-        rows = marked.select(*keys, F.lit(-1).alias(BLOCK), "t", F.lit(_ANY).alias("entry"))
+        rows = marked.select(*keys, F.lit(-1).cast("bigint").alias(BLOCK), "t", F.lit(_ANY).alias("entry"))
     columns = [*keys, BLOCK]
 
     def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

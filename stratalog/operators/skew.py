@@ -40,8 +40,9 @@ def mark_blocks(
     consecutive parts of hot ones.
 
     A pre-aggregated count over the key columns finds the keys with more than ``cfg.max_rows`` rows.
-    The rows of hot keys are dealt by ranges over keys and all order columns, one range per
-    ``max_rows`` rows, so equal times do not pile up in one block; the range is the block. They are
+    The rows of hot keys are dealt by ranges over keys and all order columns, so equal times do not
+    pile up in one range. A range is a task, so their number follows ``cfg.task_rows`` and the tasks of
+    a shuffle, however small the blocks are; its sorted rows are cut at every ``max_rows``. They are
     written to the shared folder, since the ranges come from a sample and every later use must see
     the same ones. ``probe`` is a cheaper frame with the same keys to count.
     """
@@ -52,10 +53,14 @@ def mark_blocks(
     if not total:
         return df
     names = hot.select(*keys)
-    ranges = math.ceil(total / cfg.max_rows)
-    cut = join_on_keys(df, names, keys, "left_semi").repartitionByRange(ranges, *keys, *order)
-    cut = staged(cut.withColumn(BLOCK, F.spark_partition_id()), scratch_path(df.sparkSession, "blocks"))
-    plain = join_on_keys(df, names, keys, "left_anti").withColumn(BLOCK, F.lit(-1))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / cfg.task_rows))
+    ranges = min(math.ceil(total / cfg.max_rows), tasks)
+    dealt = join_on_keys(df, names, keys, "left_semi").repartitionByRange(ranges, *keys, *order)
+    # the number of a row rises inside a range and over the ranges, so no two of them share a block
+    number = F.expr(f"monotonically_increasing_id() div {cfg.max_rows}")
+    cut = dealt.sortWithinPartitions(*keys, *order).withColumn(BLOCK, number)
+    cut = staged(cut, scratch_path(df.sparkSession, "blocks"))
+    plain = join_on_keys(df, names, keys, "left_anti").withColumn(BLOCK, F.lit(-1).cast("bigint"))
     return plain.unionByName(cut)
 
 

@@ -146,3 +146,23 @@ def test_split_does_not_depend_on_partitioning(spark):
     a = mix.split_exact(spark.range(500), "id", 0.1, 42)
     b = mix.split_exact(spark.range(500).repartition(7), "id", 0.1, 42)
     assert {tuple(r) for r in a.collect()} == {tuple(r) for r in b.collect()}
+
+
+def test_blocks_are_cut_inside_few_ranges(spark):
+    """Blocks of five rows: thousands of them, still no more files than a shuffle has tasks."""
+    rows = spark.range(20_000).select((F.col("id") % 3).alias("key"), F.hash("id").alias("at"), "id")
+    marked = skew.mark_blocks(rows, ["key"], ["at", "id"], SkewConfig(max_rows=5))
+    assert len(marked.where(F.col(skew.BLOCK) >= 0).inputFiles()) <= 4
+    blocks = marked.groupBy(skew.BLOCK).agg(F.count("*").alias("n"), F.countDistinct("key").alias("keys")).collect()
+    assert len(blocks) >= 4_000 and max(r["n"] for r in blocks) <= 5
+    placed = sorted((r["key"], r["at"], r["id"], r[skew.BLOCK]) for r in marked.collect())
+    assert [r[3] for r in placed] == sorted(r[3] for r in placed)
+
+
+def test_blocks_hold_as_many_rows_as_asked_where_a_task_holds_fewer(spark):
+    rows = spark.range(1_000).select(F.lit(1).alias("key"), "id")
+    cfg = SkewConfig(max_rows=300, task_rows=10)
+    marked = skew.mark_blocks(rows, ["key"], ["id"], cfg)
+    assert len(marked.inputFiles()) <= 4
+    out = skew.scan(rows, ["key"], ["id"], cfg, n=skew.position())
+    assert all(r["n"] == r["id"] + 1 for r in out.collect())
