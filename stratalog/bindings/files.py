@@ -155,18 +155,13 @@ def _write_las(spark: SparkSession, sf: str, root: str, wrapped: bool = False) -
         F.monotonically_increasing_id().alias("record"),
         F.posexplode(lines).alias("k", "line"),
     )
-    (
+    ordered = (
         heads.unionByName(data, allowMissingColumns=True)
         .repartition("part")
         .sortWithinPartitions("part", "depth", "i", "record", "k")
         .select("part", "line")
-        .write.partitionBy("part")
-        .option("extension", "las")
-        .option("quote", "\u0000")
-        .option("sep", "\u0001")
-        .option("ignoreLeadingWhiteSpace", "false")
-        .csv(root)
     )
+    log_files.write_parts(ordered, root, "las")
 
 
 SQL_LAS = """SELECT 'W' || l_suppkey AS well, l_orderkey::DOUBLE AS depth, 'GR' AS curve,

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
@@ -47,6 +55,72 @@ def listing(
     )
 
 
+def _local_folder(spark: SparkSession, path: str) -> str | None:
+    """The path as the tasks' file system knows it; null for HDFS and object stores."""
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]+:", path):
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        return path if default.startswith("file:") else None
+    return re.sub(r"^file:/+", "/", path) if path.startswith("file:") else None
+
+
+def _part_writer(root: str, extension: str) -> Callable:
+    """Task function over sorted rows ``(part, line)``: a file per part; gives their number.
+
+    A file has its name once it is whole, the same in every attempt of a task. Lines are written as by
+    Spark's CSV writer, which has two quotes for an empty text and an empty line for null.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder = os.path.join(root, f"{TaskContext.get().partitionId():05d}")
+        draft = os.path.join(root, f"_{uuid.uuid4().hex}")
+        file, part, n = None, None, 0
+        os.makedirs(folder, exist_ok=True)
+
+        def finish() -> None:
+            file.close()
+            os.replace(draft, os.path.join(folder, f"{n:09d}.{extension}"))
+
+        for batch in batches:
+            runs = pc.run_end_encode(batch.column("part"))
+            lines, start = batch.column("line"), 0
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+                if file is None or name != part:
+                    if file is not None:
+                        finish()
+                        n += 1
+                    file, part = open(draft, "w", encoding="utf-8", newline=""), name
+                texts = lines.slice(start, end - start).to_pylist()
+                file.writelines("\n" if t is None else f"{t}\n" if t else '""\n' for t in texts)
+                start = end
+        if file is not None:
+            finish()
+            n += 1
+        yield pa.record_batch([pa.array([n], pa.int64())], names=["n"])
+
+    return write
+
+
+def write_parts(lines: DataFrame, root: str, extension: str) -> None:
+    """A text file per ``part`` from rows ``(part, line)`` whose partitions hold whole parts, sorted.
+
+    Where the folder is on a mounted file system the tasks write the files themselves: Hadoop's local
+    file system starts several processes for each new file, which thousands of files wait for.
+    Elsewhere Spark's writer does it.
+    """
+    folder = _local_folder(lines.sparkSession, root)
+    if folder is not None:
+        lines.mapInArrow(_part_writer(folder, extension), "n long").agg(F.sum("n")).collect()
+        return
+    (
+        lines.write.partitionBy("part")
+        .option("extension", extension)
+        .option("quote", "\u0000")
+        .option("sep", "\u0001")
+        .option("ignoreLeadingWhiteSpace", "false")
+        .csv(root)
+    )
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], text_columns: tuple[str, ...] = TEXT_COLUMNS
 ) -> DataFrame:

@@ -261,3 +261,29 @@ def test_array_items_over_split_borders(spark, tmp_path, max_rows):
     assert rejects == [
         ("comma.json", 1, "messages missing or not a list"), ("comma.json", 2, "invalid JSON"), ("cut.json", 0, "array without end"),
     ]
+
+
+def test_write_parts_makes_no_file_through_hadoop(spark, tmp_path):
+    """A file per part, whole and in order; none by Spark's writer, which starts processes for each."""
+    rows = [(f"w{i % 40}", f"{i:05d} é") for i in range(4_000)] + [("w3", None), ("w3", "")]
+    df = spark.createDataFrame(rows, "part string, line string").repartition("part").sortWithinPartitions("part", "line")
+    root = tmp_path / "out"
+    log_files.write_parts(df, str(root), "las")
+    assert not list(root.rglob(".*")) and not list(root.rglob("_*")) and not list(root.rglob("part*"))
+    got = {}
+    for file in root.rglob("*.las"):
+        lines = file.read_text(encoding="utf-8").split("\n")
+        assert lines.pop() == ""
+        got[min(line for line in lines if len(line) > 2)] = lines
+    want = {}
+    for part, line in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or "")):
+        want.setdefault(part, []).append("" if line is None else line or '""')
+    assert sorted(got.values()) == sorted(want.values())
+    assert log_files.listing(spark, str(root)).count() == 40
+
+
+def test_write_parts_by_sparks_writer_elsewhere(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(log_files, "_local_folder", lambda *_: None)
+    df = spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "3")], "part string, line string")
+    log_files.write_parts(df.coalesce(1).sortWithinPartitions("part", "line"), str(tmp_path / "out"), "las")
+    assert log_files.listing(spark, str(tmp_path / "out")).where("kind = 'las'").count() == 2
