@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from stratalog.config import MAX_UPLOAD_BYTES, NULL_SENTINELS, UPLOAD_EXTENSIONS
 from stratalog.functions.text import strip
 from stratalog.operators.wells import strip_sentinels
+from stratalog.session import scratch_path
+from stratalog.sources.chat_files import staged
 from stratalog.sources.lines import line_numbers, placed_lines
 
 NULL_WORDS = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "-nan", "<NA>")
@@ -160,12 +162,13 @@ def _las_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ).withColumn("at", F.struct("block", "row"))
 
 
-def las_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def las_files(spark: SparkSession, path: str | list[str], lines: DataFrame | None = None) -> DataFrame:
     """One row per LAS file: what its header declares, where its data lie, and an error or null.
 
-    Only the lines before the data section are gathered, so a file may have any size.
+    Only the lines before the data section are gathered, so a file may have any size. ``lines`` are those
+    of the files if they have been read already.
     """
-    lines = _las_lines(spark, path)
+    lines = _las_lines(spark, path) if lines is None else lines
     marks = lines.where(F.col("line").startswith("~"))
     data = F.upper(F.substring("line", 2, 1)) == "A"
     starts = marks.groupBy("file").agg(F.min(F.when(data, F.col("at"))).alias("start"))
@@ -256,11 +259,12 @@ def read_las(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Dat
     file a record goes on until it has a value for each curve, and ``row`` is the line where it begins.
     A line whose number of values differs from the number of curves, or the last record of a wrapped
     file if values lack, is a reject of its own, with its number.
-    Files are read by lines in splits, so size has no limit, and every file gives rows or a reject.
+    Files are read by lines in splits, so size has no limit, and every file gives rows or a reject. They
+    are opened once for their lines, which go on from a table: headers, data and line numbers need them.
     """
-    files = las_files(spark, path)
+    lines = staged(_las_lines(spark, path), scratch_path(spark, "las-lines"))
+    files = las_files(spark, path, lines)
     inside = (F.col("at") > F.col("start")) & (F.col("end").isNull() | (F.col("at") < F.col("end")))
-    lines = _las_lines(spark, path)
     data = (
         lines.join(files.where("error is null"), "file")
         .where(inside)

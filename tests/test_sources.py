@@ -287,3 +287,11 @@ def test_write_parts_by_sparks_writer_elsewhere(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "3")], "part string, line string")
     log_files.write_parts(df.coalesce(1).sortWithinPartitions("part", "line"), str(tmp_path / "out"), "las")
     assert log_files.listing(spark, str(tmp_path / "out")).where("kind = 'las'").count() == 2
+
+
+def test_read_las_opens_files_once_for_their_lines(spark, tmp_path):
+    (tmp_path / "a.las").write_text("~V\n VERS. 2.0 : v\n~W\n WELL. A : name\n~C\n DEPT.M : d\n GR.API : g\n~A\n1 2\n3 4\n")
+    long, _ = log_files.read_las(spark, str(tmp_path))
+    plan = long._jdf.queryExecution().toString()
+    assert "FileScan parquet" in plan and "FileScan text" not in plan
+    assert sorted((r["well"], r["row"], r["depth"], r["value"]) for r in long.collect()) == [("A", 9, 1.0, 2.0), ("A", 10, 3.0, 4.0)]
