@@ -26,21 +26,28 @@ PIECES, PIECE_ROWS = 12, 1_000_000
 
 def in_time_order(rows: DataFrame, key: str, time: str, path: str) -> None:
     """Write files one after the other, each later than the one before: of at most about
-    ``PIECE_ROWS`` rows, but ``PIECES`` at least, and one with the closing row."""
-    us = micros(time)
+    ``PIECE_ROWS`` rows, but ``PIECES`` at least, and one with the closing row. The rows are dealt to
+    the files in one go first, so that writing a file reads its own rows only."""
+    spark, us = rows.sparkSession, micros(time)
     total = rows.count()
     n = max(PIECES, math.ceil(total / PIECE_ROWS))
     cuts = rows.select(F.percentile_approx(us, [i / n for i in range(1, n)], 100 * n)).first()[0] if total else []
-    closing = rows.sparkSession.range(1).select(
+    cuts = sorted(set(cuts))
+    closing = spark.range(1).select(
         *[
             (F.lit(END) if f.name == key else F.to_timestamp(F.lit(LATEST)) if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in rows.schema
         ]
     )
-    bounds = [None, *sorted(set(cuts)), None]
-    for low, high in zip(bounds, bounds[1:], strict=False):
-        above = F.lit(True) if low is None else us > low
-        rows.where(above & (F.lit(True) if high is None else us <= high)).coalesce(1).write.mode("append").parquet(path)
+    dealt = scratch_path(spark, "dealt")
+    place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < us)) if cuts else F.lit(0)
+    marked = rows.withColumns({"_file": place, "_us": us, "_row": F.monotonically_increasing_id()})
+    if cuts:
+        marked = marked.where(F.col("_us").isNotNull())
+    marked.repartition(len(cuts) + 1, "_file").sortWithinPartitions("_file", "_us", "_row").write.partitionBy("_file").parquet(dealt)
+    files = spark.read.schema(marked.schema).parquet(dealt)
+    for i in range(len(cuts) + 1):
+        files.where(F.col("_file") == i).select(*rows.columns).coalesce(1).write.mode("append").parquet(path)
     closing.coalesce(1).write.mode("append").parquet(path)
 
 

@@ -1,20 +1,25 @@
 """Keyed state on streams: session context and last good values.
 
 Rows are applied in the order of their event times, also when they arrive later than others of their
-key, as long as the watermark has not passed them. A row waits in a map state under its time until an
-event-time timer says that nothing earlier can come, is applied to a small value state and goes out. So
-state and work are by row and never a list of a key's rows. The value state goes when its time is over.
-Times cross into Python as microseconds, so neither the session's zone nor a clock change touches them.
+key, as long as the watermark has not passed them. Keys are dealt by hash into a fixed number of groups,
+so that a call to the state store serves many rows of many keys. The rows of a group wait in pieces of
+bounded size until an event-time timer says that nothing earlier can come; the pieces are then merged by
+time, one open after the other where they do not overlap, and each row is applied to the small value that
+its key holds. Held values go when their time is over. Times cross into Python as microseconds, so neither
+the session's zone nor a clock change touches them.
 
 Needs the RocksDB state store, see :func:`state_store`.
 """
 
 from __future__ import annotations
 
+import pickle
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,9 +32,11 @@ CONTEXT_ROW = (
     "context string"
 )
 SERVED_ROW = (
-    "series string, fetched_at long, ok boolean, served_value double, served_at long, "
+    "series string, fetched_at long, ok boolean, served_value double, has_value boolean, served_at long, "
     "state string"
 )
+#: groups of keys, fixed for the life of a checkpoint, and most rows in one piece
+GROUPS, PIECE = 128, 4_096
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -39,63 +46,126 @@ def state_store(spark: SparkSession) -> None:
 
 
 class InOrder(StatefulProcessor):
-    """Applies ``step(held, row)`` to the rows of a key in the order of their times.
+    """Applies ``step(held, us, row)`` to the rows of each key in the order of their times.
 
-    ``step`` gives the new held value and an output tuple; ``until`` is the last microsecond at which a
-    held value matters. ``waiting`` is the schema of a row without its time.
+    ``step`` gives the new held value and an output tuple; a held value begins with the microsecond from
+    which it matters for ``ttl`` more, or without end where that is None. ``key`` and ``fields`` name the
+    columns of a row that are kept with its time.
     """
 
-    def __init__(self, out: str, waiting: str, fields: list[str], held: str, step: Callable, until: Callable):
+    def __init__(self, out: str, key: str, fields: list[str], held: str, step: Callable, ttl: int | None, piece: int = PIECE):
         self.names = [column.split()[0] for column in out.split(", ")]
-        self.waiting, self.fields, self.held_kind = waiting, fields, held
-        self.step, self.until = step, until
+        self.columns, self.held_kind = ["at_us", key, *fields], held
+        self.step, self.ttl, self.piece = step, ttl, piece
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", self.held_kind)
-        self.arrived = handle.getValueState("arrived", "n long")
-        self.rows = handle.getMapState("rows", "at long", f"rows array<struct<us:long,n:long,{self.waiting}>>")
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        n = (self.arrived.get() or (0,))[0]
-        for row in rows:
-            n += 1
-            # the first millisecond at which no row of this time can come any more
-            at = (row["_us"] // 1000 + 1,)
-            same = self.rows.getValue(at) if self.rows.exists() else None
-            new = (row["_us"], n, *[row[f] for f in self.fields])
-            self.rows.updateValue(at, ([*[tuple(r) for r in same[0]], new] if same else [new],))
-            if not same:
-                self.handle.registerTimer(at[0])
-        self.arrived.update((n,))
+        self.held = handle.getMapState("held", "key string", self.held_kind)
+        self.pieces = handle.getMapState("pieces", "piece long", "rows binary")
+        self.book = handle.getValueState(
+            "book", "arrived long, held long, timer long, sweep long, starts array<struct<us:long,n:long,piece:long,size:long>>"
+        )
+
+    def _read(self) -> tuple[int, int, int | None, int | None, list[tuple]]:
+        """Rows arrived, values held, the timers of rows and of held values, and where each piece begins."""
+        arrived, held, timer, sweep, starts = self.book.get() or (0, 0, None, None, [])
+        return arrived, held, timer, sweep, [tuple(s) for s in starts]
+
+    def _take(self, piece: int) -> list[tuple]:
+        rows = pickle.loads(self.pieces.getValue((piece,))[0])
+        self.pieces.removeKey((piece,))
+        return rows
+
+    def _keep(self, rows: list[tuple], starts: list[tuple]) -> None:
+        """Put rows into new pieces, together with the last one if that has room for them."""
+        if rows and starts and starts[-1][3] + len(rows) <= self.piece:
+            rows = self._take(starts.pop()[2]) + rows
+        rows = sorted(rows)
+        for a in range(0, len(rows), self.piece):
+            part = rows[a : a + self.piece]
+            number = max((s[2] for s in starts), default=0) + 1
+            self.pieces.updateValue((number,), (pickle.dumps(part),))
+            starts.append((*part[0][:2], number, len(part)))
+
+    def _wake(self, timer: int | None, starts: list[tuple]) -> int | None:
+        """A timer for the first millisecond at which the first row waiting has nothing before it to come."""
+        due = min(starts)[0] // 1000 + 1 if starts else None
+        if due is not None and (timer is None or due < timer):
+            self.handle.registerTimer(due)
+            return due
+        return timer
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        arrived, held, timer, sweep, starts = self._read()
+        for frame in rows:
+            us, *others = (frame[c].tolist() for c in self.columns)
+            self._keep(list(zip(us, range(arrived, arrived + len(us)), *others)), starts)
+            arrived += len(us)
+        self.book.update((arrived, held, self._wake(timer, starts), sweep, starts))
         return iter([])
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        due = self.rows.getValue((at,)) if self.rows.exists() else None
-        held = self.held.get() if self.held.exists() else None
-        out = []
-        for row in sorted(tuple(r) for r in due[0]) if due else []:
-            held, made = self.step(held, row[0], row[2:])
-            out.append(Row(**dict(zip(self.names, (*key, *made), strict=True))))
-        if due:
-            self.rows.removeKey((at,))
-        if held is not None:
-            end = self.until(held)
-            if end is not None and end < at * 1000 and not due:
-                self.held.clear()
-            elif out:
-                self.held.update(held)
-                if end is not None:
-                    self.handle.registerTimer(max(end // 1000 + 1, at + 1))
-        return iter(out)
+    def _due(self, end: int, starts: list[tuple]) -> Iterator[list[tuple]]:
+        """Lists of the rows before ``end`` in the order of time and arrival; ``starts`` keeps the others."""
+        pieces = sorted(s for s in starts if s[0] < end)
+        starts[:] = [s for s in starts if s[0] >= end]
+        rows: list[tuple] = []
+        for at, (_, _, piece, _) in enumerate(pieces):
+            rows = sorted(rows + self._take(piece))
+            cut = bisect_left(rows, min([(end,), *(p[:2] for p in pieces[at + 1 : at + 2])]))
+            yield rows[:cut]
+            rows = rows[cut:]
+        self._keep(rows, starts)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs()
+        end = now * 1000
+        arrived, n_held, timer, sweep, starts = self._read()
+        sweeping = sweep is not None and sweep <= now
+        due = sum(s[3] for s in starts if s[0] < end)
+        if not due and not sweeping:
+            return
+        held: dict = {}
+        # all held values in one go if they are not many more than the rows
+        whole = sweeping or n_held <= due
+        if whole and n_held:
+            held = {k: value for (k,), value in self.held.iterator()}
+        stored, changed = set(held), set()
+        for rows in self._due(end, starts):
+            made = []
+            for us, _, k, *row in rows:
+                if k not in held:
+                    held[k] = None if whole else self.held.getValue((k,))
+                    if held[k] is not None:
+                        stored.add(k)
+                held[k], values = self.step(held[k], us, row)
+                changed.add(k)
+                made.append((k, *values))
+            if made:
+                yield pd.DataFrame(dict(zip(self.names, zip(*made, strict=True), strict=True)), dtype=object)
+        for k in set(held) if sweeping else changed:
+            value = held[k]
+            if value is not None and (self.ttl is None or value[0] + self.ttl >= end):
+                if k in changed:
+                    self.held.updateValue((k,), value)
+                    n_held += k not in stored
+            elif k in stored:
+                self.held.removeKey((k,))
+                n_held -= 1
+        if sweep is not None and sweep <= now:
+            sweep = None
+        if n_held and sweep is None and self.ttl is not None:
+            sweep = now + self.ttl // 1000 + 1
+            self.handle.registerTimer(sweep)
+        timer = self._wake(None if timer is not None and timer <= now else timer, starts)
+        self.book.update((arrived, n_held, timer, sweep, starts))
 
     def close(self) -> None:
         pass
 
 
 def _in_order(rows: DataFrame, key: str, out: str, processor: InOrder) -> DataFrame:
-    return rows.groupBy(key).transformWithState(processor, out, "append", "eventTime")
+    grouped = rows.withColumn("key_group", F.pmod(F.xxhash64(key), F.lit(GROUPS))).groupBy("key_group")
+    return grouped.transformWithStateInPandas(processor, out, "append", "eventTime")
 
 
 def _stamped(out: DataFrame, *columns: str) -> DataFrame:
@@ -113,7 +183,7 @@ def session_context(
     fields = [events.schema[c] for c in CONTEXT if c in events.columns]
     ttl = cfg.ttl_seconds * 1_000_000
 
-    def step(held: tuple | None, us: int, row: tuple) -> tuple[tuple, tuple]:
+    def step(held: tuple | None, us: int, row: list) -> tuple[tuple, tuple]:
         created, context = held or (None, None)
         kind, given = row
         if created is None or us - created > ttl:
@@ -122,13 +192,10 @@ def session_context(
             context = given
         return (created, context), (us, kind, created, context is not None, context)
 
-    processor = InOrder(
-        CONTEXT_ROW, "kind:string,context:string", ["kind", "_context"], "created long, context string", step,
-        lambda held: held[0] + ttl,
-    )
+    processor = InOrder(CONTEXT_ROW, "session_id", ["kind", "given"], "created long, context string", step, ttl)
     given = F.when(F.col("kind") == "prediction", F.to_json(F.struct(*[f.name for f in fields])))
     timed = (
-        events.withColumns({"_us": micros("ts"), "_context": given})
+        events.withColumns({"at_us": micros("ts"), "given": given})
         .drop(*[f.name for f in fields])
         .withWatermark("ts", delay)
     )
@@ -149,17 +216,20 @@ def served_values(
     """
     ttl = cfg.ttl_seconds * 1_000_000
 
-    def step(held: tuple | None, us: int, row: tuple) -> tuple[tuple | None, tuple]:
+    def step(held: tuple | None, us: int, row: list) -> tuple[tuple | None, tuple]:
         at, value = held or (None, None)
-        ok, new = row
+        ok, new, known = row
         due = at is None or us - at > ttl
         if due and ok:
-            at, value = us, new
+            at, value = us, new if known else None
             kind = "refreshed"
         else:
             kind = "failed" if at is None else "stale" if due else "cached"
-        return None if at is None else (at, value), (us, ok, value, at, kind)
-
-    processor = InOrder(SERVED_ROW, "ok:boolean,value:double", ["ok", "value"], "at long, value double", step, lambda _: None)
-    timed = requests.withColumn("_us", micros("fetched_at")).withWatermark("fetched_at", delay)
-    return _stamped(_in_order(timed, "series", SERVED_ROW, processor), "fetched_at", "served_at")
+        return None if at is None else (at, value), (us, ok, value, value is not None, at, kind)
+
+    # a frame cannot tell null from NaN
+    processor = InOrder(SERVED_ROW, "series", ["ok", "value", "known"], "at long, value double", step, None)
+    timed = requests.withColumns({"at_us": micros("fetched_at"), "known": F.col("value").isNotNull()}).withWatermark("fetched_at", delay)
+    served = _stamped(_in_order(timed, "series", SERVED_ROW, processor), "fetched_at", "served_at")
+    value = F.when(F.col("has_value"), F.coalesce("served_value", F.lit(float("nan"))))
+    return served.withColumn("served_value", value).drop("has_value")
