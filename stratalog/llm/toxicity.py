@@ -53,7 +53,7 @@ def word_terms(word: str, prefixes: tuple[int, ...]) -> list[str]:
 
 def term_ids(terms: Sequence[str]) -> np.ndarray:
     """64-bit identifiers of terms."""
-    return np.array([xxhash.xxh64_intdigest(t) for t in terms], dtype=np.uint64).view(np.int64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, terms), dtype=np.uint64, count=len(terms)).view(np.int64)
 
 
 def stretches(begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +173,7 @@ def like_together(rows: np.ndarray, places: np.ndarray, values: np.ndarray, n: i
 class BlockMaxIndex:
     """Unit vectors of the examples, by term. Seldom terms have postings ``rows, values``, where those of
     a term are ``begin[t]:begin[t + 1]``. The postings of common terms, with row ``common_at[t]``, lie by
-    block in ``common[block, term]``, and ``top[term, block]`` is the largest weight there."""
+    block in ``common[block, example, term]``, and ``top[term, block]`` is the largest weight there."""
 
     ids: np.ndarray
     labels: np.ndarray
@@ -202,36 +202,46 @@ class BlockMaxIndex:
         many = np.flatnonzero(np.bincount(places, minlength=len(idf)) * seldom > len(ids))
         common_at = np.full(len(idf), -1, dtype=np.int32)
         common_at[many] = np.arange(len(many))
-        common = np.zeros((-(-len(ids) // block), len(many), block))
+        common = np.zeros((-(-len(ids) // block), block, len(many)))
         at = common_at[places]
         often = at >= 0
-        common[rows[often] // block, at[often], rows[often] % block] = values[often]
+        common[rows[often] // block, rows[often] % block, at[often]] = values[often]
         places, rows, values = places[~often], rows[~often], values[~often]
         by_term = np.lexsort((rows, places))
         begin = np.concatenate([[0], np.cumsum(np.bincount(places, minlength=len(idf)))])
         return cls(
             np.array(ids)[order], np.array(labels)[order], np.array(weights)[order], idf,
-            np.ones(len(idf)) if telling is None else telling, begin, rows[by_term].astype(np.int32), values[by_term],
-            common_at, common, common.max(axis=2).T.copy(),
+            np.ones(len(idf)) if telling is None else telling, begin, rows[by_term], values[by_term],
+            common_at, common, common.max(axis=1).T.copy(),
         )
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple]:
-        """For each query the places and cosines of the k nearest, and its postings of seldom terms.
+        """For each query the places and cosines of the k nearest, and their sums over telling terms.
 
         A block's bound is its best sum over seldom terms, which is exact, and the largest weights of
         the common ones. Eight blocks are opened first, and then all that can still reach the k-th best.
         """
-        blocks, size, n = len(self.common), self.common.shape[2], len(self.ids)
+        blocks, size, n = len(self.common), self.common.shape[1], len(self.ids)
         wide = np.zeros((len(queries), len(self.top)))
+        told = np.zeros_like(wide)
         sums = np.zeros((len(queries), blocks * size))
-        read = []
-        for q, (places, values) in enumerate(queries):
+        telling = np.zeros_like(sums)
+        ranges = [(self.begin[places], self.begin[places + 1] - self.begin[places]) for places, _ in queries]
+        most = max((int(many.sum()) for _, many in ranges), default=0)
+        steps, rows, found = np.arange(most), np.empty(most, dtype=self.rows.dtype), np.empty(most)
+        for q, ((places, values), (begin, many)) in enumerate(zip(queries, ranges, strict=True)):
             at = self.common_at[places]
-            wide[q, at[at >= 0]] = values[at >= 0]
-            post, by = stretches(self.begin[places], self.begin[places + 1] - self.begin[places])
-            row = self.rows[post]
-            sums[q] = np.bincount(row, weights=self.values[post] * values[by], minlength=blocks * size)
-            read.append((row, post, by))
+            often = at >= 0
+            wide[q, at[often]] = values[often]
+            told[q, at[often]] = values[often] * self.telling[places[often]]
+            post = np.repeat(begin - (np.cumsum(many) - many), many)
+            post += steps[: len(post)]
+            row = np.take(self.rows, post, out=rows[: len(post)], mode="clip")
+            product = np.take(self.values, post, out=found[: len(post)], mode="clip")
+            product *= np.repeat(values, many)
+            sums[q] = np.bincount(row, weights=product, minlength=blocks * size)
+            product *= np.repeat(self.telling[places], many)
+            telling[q] = np.bincount(row, weights=product, minlength=blocks * size)
         sums = sums.reshape(len(queries), blocks, size)
         bound = sums.max(axis=2) + wide @ self.top
         full = np.zeros_like(sums)
@@ -242,11 +252,12 @@ class BlockMaxIndex:
         least = np.partition(flat, -k, axis=1)[:, -k] if flat.shape[1] >= k else np.zeros(len(queries))
         self._open((bound >= least[:, None] - 1e-9) & (bound > 0) & ~first, wide, sums, full)
         self.asked += len(queries)
+        by_example = self.common.reshape(blocks * size, -1)
         out = []
-        for cosine, floor, postings in zip(flat[:, :n], least, read, strict=True):
+        for cosine, floor, close, often in zip(flat[:, :n], least, telling, told, strict=True):
             at = np.flatnonzero(cosine > max(0.0, floor - 2e-12))
             at = at[np.lexsort((at, -np.round(cosine[at], 12)))[:k]]
-            out.append((at, cosine[at], postings))
+            out.append((at, cosine[at], close[at] + by_example[at] @ often))
         return out
 
     def _open(self, wanted: np.ndarray, wide: np.ndarray, sums: np.ndarray, full: np.ndarray) -> None:
@@ -254,7 +265,7 @@ class BlockMaxIndex:
         self.opened += int(wanted.sum())
         for b in np.flatnonzero(wanted.any(axis=0)):
             who = np.flatnonzero(wanted[:, b])
-            full[who, b] = sums[who, b] + wide[who] @ self.common[b]
+            full[who, b] = sums[who, b] + wide[who] @ self.common[b].T
 
     def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and exact cosines of the k nearest examples, nearest first, ties to the smaller
@@ -265,18 +276,10 @@ class BlockMaxIndex:
         """Share of the toxic class among the nearest, each weighed by closeness over telling terms and
         by class weight; ids and cosines of the nearest."""
         out: list = []
-        size = self.common.shape[2]
-        for (places, values), (at, cosine, (row, post, by)) in zip(queries, self.search(queries, k), strict=True):
+        for at, cosine, close in self.search(queries, k):
             if not len(at):
                 out.append((None, [], []))
                 continue
-            told = values * self.telling[places]
-            slot = np.full(len(self.ids), -1)
-            slot[at] = np.arange(len(at))
-            mine = np.flatnonzero(slot[row] >= 0)
-            close = np.bincount(slot[row[mine]], weights=self.values[post[mine]] * told[by[mine]], minlength=len(at))
-            often = np.flatnonzero(self.common_at[places] >= 0)
-            close = close + self.common[(at // size)[:, None], self.common_at[places[often]], (at % size)[:, None]] @ told[often]
             weight = self.weights[at] * close
             share = float((weight * self.labels[at]).sum() / weight.sum())
             out.append((share, self.ids[at], cosine))

@@ -148,3 +148,23 @@ def test_copies_of_an_id_count_once_in_the_sample(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
     rows = T.toxicity_scores(docs, labels, F.lit(True)).collect()
     assert len(rows) == 3_060 and all(r["predicted"] == r["doc_id"] % 2 for r in rows)
+
+
+def test_votes_count_telling_terms_and_little_work():
+    """Votes against sums over all shared terms made anew; common postings are not gathered one by one."""
+    rng = random.Random(6)
+    idf = np.array([rng.uniform(0.5, 6) for _ in range(60)])
+    telling = np.array([rng.uniform(0.1, 9) for _ in range(60)])
+    vectors = [(sorted(rng.sample(range(6), 3)) + sorted(rng.sample(range(6, 60), rng.randint(1, 4))), None) for _ in range(300)]
+    vectors = [(places, [rng.randint(1, 4) for _ in places]) for places, _ in vectors]
+    labels, weights = [i % 3 == 0 for i in range(300)], [1.0 + i % 2 for i in range(300)]
+    index = T.BlockMaxIndex.build(list(range(300)), np.array(labels, dtype=int), weights, vectors, idf, 16, telling)
+    dense = np.zeros((300, 60))
+    for i, v in enumerate(vectors):
+        dense[i, v[0]] = T.unit(v, idf)[1]
+    queries = [T.unit(v, idf) for v in vectors[:50]]
+    for (p, v), (share, ids, cosine) in zip(queries, index.votes(queries, 9), strict=True):
+        close = dense[ids][:, p] @ (v * telling[p]) * np.array(weights)[ids]
+        assert np.isclose(share, (close * np.array(labels)[ids]).sum() / close.sum())
+        assert np.allclose(cosine, dense[ids][:, p] @ v)
+    assert index.common.flags["C_CONTIGUOUS"] and index.common.shape[1] == 16  # by example: its common terms lie together
