@@ -5,8 +5,9 @@ key, as long as the watermark has not passed them. Keys are dealt by hash into a
 so that a call to the state store serves many rows of many keys. The rows of a group wait in pieces of
 bounded size until an event-time timer says that nothing earlier can come; the pieces are then merged by
 time, one open after the other where they do not overlap, and each row is applied to the small value that
-its key holds. Held values go when their time is over. Times cross into Python as microseconds, so neither
-the session's zone nor a clock change touches them.
+its key holds. The held values of a group lie in parts by hash of the key, of some hundred values each, which
+are read and written as a whole; the number of parts grows with the values. Held values go when their time is
+over. Times cross into Python as microseconds, so neither the session's zone nor a clock change touches them.
 
 Needs the RocksDB state store, see :func:`state_store`.
 """
@@ -14,6 +15,7 @@ Needs the RocksDB state store, see :func:`state_store`.
 from __future__ import annotations
 
 import pickle
+import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -35,8 +37,8 @@ SERVED_ROW = (
     "series string, fetched_at long, ok boolean, served_value double, has_value boolean, served_at long, "
     "state string"
 )
-#: groups of keys, fixed for the life of a checkpoint, and most rows in one piece
-GROUPS, PIECE = 128, 4_096
+#: groups of keys, fixed for the life of a checkpoint, most rows in one piece, and held values in a part on average
+GROUPS, PIECE, PART = 128, 4_096, 256
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -45,31 +47,37 @@ def state_store(spark: SparkSession) -> None:
     spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def _part(key: Any, parts: int) -> int:
+    """The part of a key, the same in all processes."""
+    return zlib.crc32(str(key).encode()) % parts
+
+
 class InOrder(StatefulProcessor):
     """Applies ``step(held, us, row)`` to the rows of each key in the order of their times.
 
     ``step`` gives the new held value and an output tuple; a held value begins with the microsecond from
     which it matters for ``ttl`` more, or without end where that is None. ``key`` and ``fields`` name the
-    columns of a row that are kept with its time.
+    columns of a row that are kept with its time; ``held`` says what a held value consists of.
     """
 
     def __init__(self, out: str, key: str, fields: list[str], held: str, step: Callable, ttl: int | None, piece: int = PIECE):
         self.names = [column.split()[0] for column in out.split(", ")]
-        self.columns, self.held_kind = ["at_us", key, *fields], held
-        self.step, self.ttl, self.piece = step, ttl, piece
+        self.columns = ["at_us", key, *fields]
+        self.step, self.ttl, self.piece, self.part = step, ttl, piece, min(PART, max(1, piece // 2))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getMapState("held", "key string", self.held_kind)
+        self.held = handle.getMapState("held", "part long", "values binary")
         self.pieces = handle.getMapState("pieces", "piece long", "rows binary")
         self.book = handle.getValueState(
-            "book", "arrived long, held long, timer long, sweep long, starts array<struct<us:long,n:long,piece:long,size:long>>"
+            "book",
+            "arrived long, held long, parts long, timer long, sweep long, starts array<struct<us:long,n:long,piece:long,size:long>>",
         )
 
-    def _read(self) -> tuple[int, int, int | None, int | None, list[tuple]]:
-        """Rows arrived, values held, the timers of rows and of held values, and where each piece begins."""
-        arrived, held, timer, sweep, starts = self.book.get() or (0, 0, None, None, [])
-        return arrived, held, timer, sweep, [tuple(s) for s in starts]
+    def _read(self) -> tuple[int, int, int, int | None, int | None, list[tuple]]:
+        """Rows arrived, values held and their parts, the timers of rows and of held values, and where each piece begins."""
+        arrived, held, parts, timer, sweep, starts = self.book.get() or (0, 0, 1, None, None, [])
+        return arrived, held, parts, timer, sweep, [tuple(s) for s in starts]
 
     def _take(self, piece: int) -> list[tuple]:
         rows = pickle.loads(self.pieces.getValue((piece,))[0])
@@ -96,12 +104,12 @@ class InOrder(StatefulProcessor):
         return timer
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        arrived, held, timer, sweep, starts = self._read()
+        arrived, held, parts, timer, sweep, starts = self._read()
         for frame in rows:
             us, *others = (frame[c].tolist() for c in self.columns)
             self._keep(list(zip(us, range(arrived, arrived + len(us)), *others)), starts)
             arrived += len(us)
-        self.book.update((arrived, held, self._wake(timer, starts), sweep, starts))
+        self.book.update((arrived, held, parts, self._wake(timer, starts), sweep, starts))
         return iter([])
 
     def _due(self, end: int, starts: list[tuple]) -> Iterator[list[tuple]]:
@@ -116,48 +124,75 @@ class InOrder(StatefulProcessor):
             rows = rows[cut:]
         self._keep(rows, starts)
 
+    def _values(self, part: int) -> dict:
+        stored = self.held.getValue((part,))
+        return pickle.loads(stored[0]) if stored else {}
+
+    def _hold(self, read: dict[int, dict], sizes: dict[int, int], n_held: int, parts: int, end: int) -> tuple[int, int]:
+        """Write the parts in ``read``, ``sizes`` long as stored, without values whose time is over; gives the
+        number of values held and of parts. All are dealt anew where they grow too large, or are read and small."""
+        for part, values in read.items():
+            if self.ttl is not None:
+                read[part] = values = {k: v for k, v in values.items() if v[0] + self.ttl >= end}
+            n_held += len(values) - sizes[part]
+        wanted = parts
+        while n_held > wanted * self.part:
+            wanted *= 2
+        while len(read) == parts and wanted > 1 and n_held * 4 <= wanted * self.part:
+            wanted //= 2
+        if wanted != parts:
+            for part in range(parts):
+                if part not in read:
+                    read[part] = self._values(part)
+                    sizes[part] = len(read[part])
+            dealt: dict[int, dict] = {part: {} for part in range(max(parts, wanted))}
+            for values in read.values():
+                for k, v in values.items():
+                    dealt[_part(k, wanted)][k] = v
+            read = dealt
+        for part, values in read.items():
+            if values:
+                self.held.updateValue((part,), (pickle.dumps(values),))
+            elif sizes.get(part):
+                self.held.removeKey((part,))
+        return n_held, wanted
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
         end = now * 1000
-        arrived, n_held, timer, sweep, starts = self._read()
+        arrived, n_held, parts, timer, sweep, starts = self._read()
         sweeping = sweep is not None and sweep <= now
-        due = sum(s[3] for s in starts if s[0] < end)
-        if not due and not sweeping:
+        if not sweeping and not any(s[0] < end for s in starts):
             return
-        held: dict = {}
-        # all held values in one go if they are not many more than the rows
-        whole = sweeping or n_held <= due
-        if whole and n_held:
-            held = {k: value for (k,), value in self.held.iterator()}
-        stored, changed = set(held), set()
+        read = {part: self._values(part) for part in range(parts)} if sweeping and n_held else {}
+        sizes = {part: len(values) for part, values in read.items()}
+        at: dict = {}  # the part of each key met
         for rows in self._due(end, starts):
             made = []
             for us, _, k, *row in rows:
-                if k not in held:
-                    held[k] = None if whole else self.held.getValue((k,))
-                    if held[k] is not None:
-                        stored.add(k)
-                held[k], values = self.step(held[k], us, row)
-                changed.add(k)
+                held = at.get(k)
+                if held is None:
+                    part = _part(k, parts)
+                    if part not in read:
+                        read[part] = self._values(part) if n_held else {}
+                        sizes[part] = len(read[part])
+                    held = at[k] = read[part]
+                value, values = self.step(held.get(k), us, row)
+                if value is not None:
+                    held[k] = value
+                else:
+                    held.pop(k, None)
                 made.append((k, *values))
             if made:
                 yield pd.DataFrame(dict(zip(self.names, zip(*made, strict=True), strict=True)), dtype=object)
-        for k in set(held) if sweeping else changed:
-            value = held[k]
-            if value is not None and (self.ttl is None or value[0] + self.ttl >= end):
-                if k in changed:
-                    self.held.updateValue((k,), value)
-                    n_held += k not in stored
-            elif k in stored:
-                self.held.removeKey((k,))
-                n_held -= 1
+        n_held, parts = self._hold(read, sizes, n_held, parts, end)
         if sweep is not None and sweep <= now:
             sweep = None
         if n_held and sweep is None and self.ttl is not None:
             sweep = now + self.ttl // 1000 + 1
             self.handle.registerTimer(sweep)
         timer = self._wake(None if timer is not None and timer <= now else timer, starts)
-        self.book.update((arrived, n_held, timer, sweep, starts))
+        self.book.update((arrived, n_held, parts, timer, sweep, starts))
 
     def close(self) -> None:
         pass

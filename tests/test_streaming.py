@@ -187,6 +187,19 @@ def test_held_values_go_when_their_time_is_over():
     assert len(out) == 301 and len(store.maps["held"]) <= 1 and len(store.maps["pieces"]) == 1
 
 
+def test_held_values_lie_in_parts():
+    """Calls to the store are not by key held, a part has a bound, and parts go with their values."""
+    keys, second = 5_000, 1_000_000
+    rows = [(second * (1 + turn * 60) + i, f"k{i}", f"{turn}") for turn in range(3) for i in range(keys)]
+    batches = [rows[a : a + keys] for a in range(0, len(rows), keys)] + [[(10**11, "end", "")], [], [(10**12, "end", "")], [], []]
+    out, store = fed(batches, 0, 100 * second, 1_000)
+    first = {f"k{i}": second + i for i in range(keys)}
+    restarted = {f"k{i}": second * 121 + i for i in range(keys)}
+    assert out == [(k, us, first[k] if us - first[k] <= 100 * second else restarted[k], word) for us, k, word in rows] + [("end", 10**11, 10**11, "")]
+    assert store.calls < 0.1 * len(rows)
+    assert store.largest <= 1_000 and len(store.maps["held"]) <= 1 and store.maps["book"][()][2] == 1
+
+
 def test_served_null_and_nan(spark, tmp_path):
     """A fetched value may be null or NaN; either is served as it is."""
     rows = [("p", 0, True, None), ("p", MIN, True, 1.0), ("q", 0, True, float("nan")), ("q", MIN, False, None), ("r", 0, None, 2.0)]
