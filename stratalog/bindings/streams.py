@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,30 +25,53 @@ LATEST = "2250-01-01 00:00:00"
 PIECES, PIECE_ROWS = 12, 1_000_000
 
 
-def in_time_order(rows: DataFrame, key: str, time: str, path: str) -> None:
-    """Write files one after the other, each later than the one before: of at most about
-    ``PIECE_ROWS`` rows, but ``PIECES`` at least, and one with the closing row. The rows are dealt to
-    the files in one go first, so that writing a file reads its own rows only."""
+def settable_times(spark: SparkSession, folder: str) -> bool:
+    """Whether the file system of a folder lets the time of a file be set, as object stores do not."""
+    probe = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "probe"))
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark._jsc.hadoopConfiguration()
+    system = probe.getFileSystem(conf)
+    if system.getUri().toString() != at.getFileSystem(conf).getUri().toString():
+        return False
+    system.create(probe).close()
+    system.setTimes(probe, 86_400_000, -1)
+    return system.getFileStatus(probe).getModificationTime() == 86_400_000
+
+
+def written(spark: SparkSession, folder: str) -> tuple[Any, list]:
+    """The file system and the data files of a folder in the order of their tasks."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = [f for f in system.listStatus(at) if f.getPath().getName().startswith("part-")]
+    return system, sorted(files, key=lambda f: f.getPath().getName())
+
+
+def in_time_order(rows: DataFrame, key: str, time: str, path: str, settable: bool | None = None) -> None:
+    """Write files each later than the one before, in time and as files: of about ``PIECE_ROWS`` rows,
+    but ``PIECES`` at least, and one with the closing row. One job writes them, a range of times a task, and
+    their times are set in order; where a file system cannot do that, they are written again one by one."""
     spark, us = rows.sparkSession, micros(time)
-    total = rows.count()
-    n = max(PIECES, math.ceil(total / PIECE_ROWS))
-    cuts = rows.select(F.percentile_approx(us, [i / n for i in range(1, n)], 100 * n)).first()[0] if total else []
-    cuts = sorted(set(cuts))
+    n = max(PIECES, math.ceil(rows.count() / PIECE_ROWS))
     closing = spark.range(1).select(
         *[
             (F.lit(END) if f.name == key else F.to_timestamp(F.lit(LATEST)) if f.name == time else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in rows.schema
         ]
     )
-    dealt = scratch_path(spark, "dealt")
-    place = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < us)) if cuts else F.lit(0)
-    marked = rows.withColumns({"_file": place, "_us": us, "_row": F.monotonically_increasing_id()})
-    if cuts:
-        marked = marked.where(F.col("_us").isNotNull())
-    marked.repartition(len(cuts) + 1, "_file").sortWithinPartitions("_file", "_us", "_row").write.partitionBy("_file").parquet(dealt)
-    files = spark.read.schema(marked.schema).parquet(dealt)
-    for i in range(len(cuts) + 1):
-        files.where(F.col("_file") == i).select(*rows.columns).coalesce(1).write.mode("append").parquet(path)
+    if settable is None:
+        settable = settable_times(spark, path)
+    target = path if settable else scratch_path(spark, "dealt")
+    marked = rows.withColumns({"_us": us, "_row": F.monotonically_increasing_id()}).where(F.col("_us").isNotNull())
+    ranges = marked.repartitionByRange(n, "_us").sortWithinPartitions("_us", "_row")
+    ranges.select(*rows.columns).write.parquet(target)
+    system, files = written(spark, target)
+    if settable:
+        first = min([f.getModificationTime() for f in files], default=0)
+        for i, f in enumerate(reversed(files)):
+            system.setTimes(f.getPath(), first - 1_000 * i, -1)
+    else:
+        for f in files:
+            spark.read.schema(rows.schema).parquet(f.getPath().toString()).coalesce(1).write.mode("append").parquet(path)
     closing.coalesce(1).write.mode("append").parquet(path)
 
 
@@ -60,6 +84,10 @@ def drained(
     in_time_order(rows, key, time, source)
     states.state_store(spark)
     folded = build(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source))
+    # each partition of the state costs a micro-batch some time, and beyond the groups it is empty
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = max(8, spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", min(partitions, cores, states.GROUPS))
     job = (
         folded.writeStream.format("parquet")
         .option("path", out)
@@ -68,6 +96,7 @@ def drained(
         .trigger(availableNow=True)
         .start()
     )
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     job.awaitTermination()
     return spark.read.schema(folded.schema).parquet(out).where(F.col(key) != END)
 

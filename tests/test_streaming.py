@@ -225,3 +225,35 @@ def test_files_in_time_order(spark, tmp_path):
     assert [r["k"] for r in found.pop()] == [streams.END] and len(found) == streams.PIECES
     assert sorted((r["k"], r["s"]) for part in found for r in part) == sorted(r for r in rows if r[1] is not None)
     assert all(max(r["s"] for r in a) < min(r["s"] for r in b) for a, b in zip(found, found[1:]))
+
+
+@pytest.mark.parametrize("settable", [True, False])
+def test_a_range_of_times_is_one_task(spark, tmp_path, settable):
+    """One job writes all files where times can be set, and each file has a time of its own; elsewhere a job writes
+    one file. The rows are the same, and rows of equal times keep their order."""
+    rows = [(f"k{i}", i // 4) for i in range(240)]
+    df = spark.createDataFrame(rows, "k string, s long").withColumn("ts", F.timestamp_seconds("s")).coalesce(1)
+    out = str(tmp_path / "out")
+    streams.in_time_order(df, "k", "ts", out, settable)
+    files = sorted((tmp_path / "out").glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+    found = [[(r["k"], r["s"]) for r in spark.read.parquet(str(p)).select("k", "s").collect()] for p in files]
+    assert found.pop() == [(streams.END, None)] and sum(found, []) == rows
+    assert len({p.stat().st_mtime_ns // 1_000_000 for p in files}) == len(files) == streams.PIECES + 1
+    # the job of a file is in its name; the closing row has its own
+    assert len({p.name.split("-", 2)[2] for p in files}) == (2 if settable else len(files))
+
+
+def test_partitions_of_the_state_have_a_bound(spark, tmp_path, monkeypatch):
+    """A session with many shuffle partitions does not give a stream as many; the setting stays as it was."""
+    rows = [(f"k{i % 7}", i * 60) for i in range(40)]
+    df = spark.createDataFrame(rows, "session_id string, s long").select(
+        "session_id", F.timestamp_seconds(F.col("s") + 86_400).alias("ts"), F.lit("chat").alias("kind"), F.lit("w").alias("well_name"))
+    monkeypatch.setattr(streams, "PIECES", 2)
+    monkeypatch.setattr(streams, "scratch_path", lambda _, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        out = streams.drained(df, "session_id", "ts", states.session_context, "few")
+        assert out.count() == 40 and spark.conf.get("spark.sql.shuffle.partitions") == "1000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(list((tmp_path / "few-checkpoint" / "state" / "0").glob("[0-9]*"))) == 8
