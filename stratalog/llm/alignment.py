@@ -302,10 +302,10 @@ def aligned_blocks(docs: DataFrame, cfg: AlignConfig = AlignConfig()) -> DataFra
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """``(a, b, count, links, best)``: documents and links of each pair over all blocks; ``best`` is 1
     where no pair of the same A id has a larger document count."""
-    found = blocks.where("a is not null").groupBy("a", "b").agg(
+    # not written out, a file per partition costs more than the sums; where both ids are said to be there, both uses share one shuffle
+    found = blocks.where("a is not null and b is not null").groupBy("a", "b").agg(
         F.sum("n_docs").alias("count"), F.sum("links").alias("links")
     )
-    found = kept(found, "alignment-pairs")
     # a row per id of A's vocabulary at most
     most = F.broadcast(found.groupBy("a").agg(F.max("count").alias("most")))
     return found.join(most, "a").select("a", "b", "count", "links", (F.col("count") == F.col("most")).cast("int").alias("best"))

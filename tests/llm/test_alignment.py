@@ -113,6 +113,14 @@ def test_pair_counts(spark, both):
         assert got == {p: (len(c), sum(c.values())) for p, c in links.items()}
 
 
+def test_only_the_blocks_are_written_out(spark, monkeypatch):
+    written, kept = [], A.kept
+    monkeypatch.setattr(A, "kept", lambda df, name: written.append(name) or kept(df, name))
+    docs = spark.createDataFrame([(1, "same"), (2, "same words")], "doc_id long, text string")
+    assert A.alignments(docs).count() == 2
+    assert written == ["alignment"]
+
+
 def test_empty_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "same")] * 3 + [(None, "same")], "doc_id long, text string")
     assert A.alignments(docs.limit(0)).collect() == []
