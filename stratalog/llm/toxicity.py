@@ -28,6 +28,8 @@ from stratalog.llm.common import kept, share
 from stratalog.operators.skew import top_per_group
 
 WORD = re.compile(r"[^\W\d_]+")
+#: of ASCII, the letters stay and all others become blanks
+_ASCII = "".join(c if WORD.match(c) else " " for c in map(chr, range(128)))
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,12 @@ class ToxicityConfig:
     remembered: int = 200_000
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, in lower case."""
+    text = (text or "").lower()
+    return text.translate(_ASCII).split() if text.isascii() else WORD.findall(text)
+
+
 def word_terms(word: str, prefixes: tuple[int, ...]) -> list[str]:
     """A word, and its beginnings that more letters follow, marked by ``*``."""
     return [word, *(word[:size] + "*" for size in prefixes if len(word) > size)]
@@ -70,7 +78,7 @@ def term_vectors(docs: DataFrame, prefixes: tuple[int, ...], kind: str) -> DataF
             terms, counts = [], []
             for text in frame["text"]:
                 hits: Counter = Counter()
-                for word, n in Counter(WORD.findall((text or "").lower())).items():
+                for word, n in Counter(words_of(text)).items():
                     for term in word_terms(word, prefixes):
                         hits[term] += n
                 terms.append(term_ids(list(hits)))
@@ -126,7 +134,7 @@ class Reader:
         if len(self.words) > self.cfg.remembered:
             self._forget()
         number = self.words.__getitem__
-        read = [np.fromiter(map(number, WORD.findall((t or "").lower())), dtype=np.int64) for t in texts]
+        read = [np.fromiter(map(number, words_of(t)), dtype=np.int64) for t in texts]
         self._look_up()
         out = []
         for words in read:
@@ -245,19 +253,22 @@ class BlockMaxIndex:
         sums = sums.reshape(len(queries), blocks, size)
         bound = sums.max(axis=2) + wide @ self.top
         full = np.zeros_like(sums)
+        best = np.argpartition(-bound, min(7, blocks - 1), axis=1)[:, :8]
         first = np.zeros(bound.shape, dtype=bool)
-        np.put_along_axis(first, np.argpartition(-bound, min(7, blocks - 1), axis=1)[:, :8], True, axis=1)
+        np.put_along_axis(first, best, True, axis=1)
         self._open(first, wide, sums, full)
         flat = full.reshape(len(queries), -1)
-        least = np.partition(flat, -k, axis=1)[:, -k] if flat.shape[1] >= k else np.zeros(len(queries))
+        seen = np.take_along_axis(full, best[:, :, None], axis=1).reshape(len(queries), -1)
+        least = np.partition(seen, -k, axis=1)[:, -k] if seen.shape[1] >= k else np.zeros(len(queries))
         self._open((bound >= least[:, None] - 1e-9) & (bound > 0) & ~first, wide, sums, full)
         self.asked += len(queries)
         by_example = self.common.reshape(blocks * size, -1)
         out = []
-        for cosine, floor, close, often in zip(flat[:, :n], least, telling, told, strict=True):
+        for q, (cosine, floor, close) in enumerate(zip(flat[:, :n], least, telling, strict=True)):
             at = np.flatnonzero(cosine > max(0.0, floor - 2e-12))
             at = at[np.lexsort((at, -np.round(cosine[at], 12)))[:k]]
-            out.append((at, cosine[at], close[at] + by_example[at] @ often))
+            often = np.flatnonzero(told[q])
+            out.append((at, cosine[at], close[at] + by_example[at[:, None], often] @ told[q, often]))
         return out
 
     def _open(self, wanted: np.ndarray, wide: np.ndarray, sums: np.ndarray, full: np.ndarray) -> None:

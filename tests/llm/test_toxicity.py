@@ -37,6 +37,14 @@ def test_index_finds_the_exact_nearest():
         assert at.tolist() == order and np.allclose(got, cosine[order])
 
 
+def test_words_are_runs_of_letters():
+    rng = random.Random(3)
+    odd = [None, "", "Two_words and3more\x1cI'm", "GRÜSSE İstanbul ẞ x²y", "".join(map(chr, range(128)))]
+    odd += ["".join(chr(rng.randrange(of)) for _ in range(300)) for of in (128, 600, 0x3000) for _ in range(20)]
+    for text in odd:
+        assert T.words_of(text) == T.WORD.findall((text or "").lower())
+
+
 def test_calibration_rises_and_follows_outcomes():
     votes = [(0.05, 0, 1.0)] * 90 + [(0.05, 1, 1.0)] * 10 + [(0.95, 1, 1.0)] * 50 + [(0.5, 1, 1.0), (0.6, 0, 1.0)]
     edges, rates = T._calibrated(votes, 10)
