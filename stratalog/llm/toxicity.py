@@ -198,7 +198,7 @@ class BlockMaxIndex:
     asked: int = 0
 
     @classmethod
-    def build(cls, ids, labels, weights, vectors, idf, block, telling=None, seldom=8) -> BlockMaxIndex:
+    def build(cls, ids, labels, weights, vectors, idf, block, telling=None, seldom=12) -> BlockMaxIndex:
         """``telling`` is what a shared term counts in a vote; without it all count the same. A term of
         more than one in ``seldom`` examples is common."""
         units = [unit(v, idf) for v in vectors]
@@ -219,7 +219,8 @@ class BlockMaxIndex:
         begin = np.concatenate([[0], np.cumsum(np.bincount(places, minlength=len(idf)))])
         return cls(
             np.array(ids)[order], np.array(labels)[order], np.array(weights)[order], idf,
-            np.ones(len(idf)) if telling is None else telling, begin, rows[by_term], values[by_term],
+            np.ones(len(idf)) if telling is None else telling, begin,
+            rows[by_term].astype(np.min_scalar_type(len(ids))), values[by_term],
             common_at, common, common.max(axis=1).T.copy(),
         )
 
@@ -237,6 +238,7 @@ class BlockMaxIndex:
         ranges = [(self.begin[places], self.begin[places + 1] - self.begin[places]) for places, _ in queries]
         most = max((int(many.sum()) for _, many in ranges), default=0)
         steps, rows, found = np.arange(most), np.empty(most, dtype=self.rows.dtype), np.empty(most)
+        wider = np.empty(most, dtype=np.intp)
         for q, ((places, values), (begin, many)) in enumerate(zip(queries, ranges, strict=True)):
             at = self.common_at[places]
             often = at >= 0
@@ -244,7 +246,8 @@ class BlockMaxIndex:
             told[q, at[often]] = values[often] * self.telling[places[often]]
             post = np.repeat(begin - (np.cumsum(many) - many), many)
             post += steps[: len(post)]
-            row = np.take(self.rows, post, out=rows[: len(post)], mode="clip")
+            row = wider[: len(post)]
+            row[:] = np.take(self.rows, post, out=rows[: len(post)], mode="clip")
             product = np.take(self.values, post, out=found[: len(post)], mode="clip")
             product *= np.repeat(values, many)
             sums[q] = np.bincount(row, weights=product, minlength=blocks * size)

@@ -176,3 +176,10 @@ def test_votes_count_telling_terms_and_little_work():
         assert np.isclose(share, (close * np.array(labels)[ids]).sum() / close.sum())
         assert np.allclose(cosine, dense[ids][:, p] @ v)
     assert index.common.flags["C_CONTIGUOUS"] and index.common.shape[1] == 16  # by example: its common terms lie together
+
+
+def test_rows_of_postings_are_as_narrow_as_their_number_allows():
+    vectors = [([i % 50], [1]) for i in range(300)]
+    index = T.BlockMaxIndex.build(list(range(300)), [0] * 300, [1.0] * 300, vectors, np.ones(50), 16)
+    assert index.rows.dtype == np.uint16 and len(index.rows) == 300
+    assert len(index.nearest((np.array([7]), np.array([1.0])), 9)[0]) == 6
