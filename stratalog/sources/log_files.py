@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from stratalog.config import MAX_UPLOAD_BYTES, NULL_SENTINELS, UPLOAD_EXTENSIONS
-from stratalog.functions.text import strip
+from stratalog.functions.text import once, strip
 from stratalog.operators.wells import strip_sentinels
 from stratalog.session import scratch_path
 from stratalog.sources.chat_files import staged
+from stratalog.sources.folders import PIECE_BYTES, files_below, pieces
 from stratalog.sources.lines import line_numbers, placed_lines
 
 NULL_WORDS = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "-nan", "<NA>")
+NO_DATA = r"^(#|$)"
 TEXT_COLUMNS = ("WELL", "GROUP", "FORMATION", "LITHOLOGY")
 
 
@@ -65,6 +67,14 @@ def _local_folder(spark: SparkSession, path: str) -> str | None:
     return re.sub(r"^file:/+", "/", path) if path.startswith("file:") else None
 
 
+def _mounted_folders(spark: SparkSession, path: str | list[str]) -> list[str] | None:
+    """Folders that tasks can list themselves; null if one is elsewhere, a pattern, a file or not there."""
+    found = [_local_folder(spark, p) for p in ([path] if isinstance(path, str) else path)]
+    if not found or any(p is None or not p.startswith("/") or re.search(r"[\[\]{}*?\\]", p) or not os.path.isdir(p) for p in found):
+        return None
+    return list(dict.fromkeys(re.sub("^/+", "/", os.path.normpath(p)) for p in found))
+
+
 def _part_writer(root: str, extension: str) -> Callable:
     """Task function over sorted rows ``(part, line)``: a file per part; gives their number.
 
@@ -162,11 +172,13 @@ def _las_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ).withColumn("at", F.struct("block", "row"))
 
 
-def las_files(spark: SparkSession, path: str | list[str], lines: DataFrame | None = None) -> DataFrame:
+def las_files(
+    spark: SparkSession, path: str | list[str], lines: DataFrame | None = None, names: DataFrame | None = None
+) -> DataFrame:
     """One row per LAS file: what its header declares, where its data lie, and an error or null.
 
     Only the lines before the data section are gathered, so a file may have any size. ``lines`` are those
-    of the files if they have been read already.
+    of the files if they have been read already, ``names`` the files if they have been listed.
     """
     lines = _las_lines(spark, path) if lines is None else lines
     marks = lines.where(F.col("line").startswith("~"))
@@ -185,15 +197,22 @@ def las_files(spark: SparkSession, path: str | list[str], lines: DataFrame | Non
             ).alias("_s")
         )
     )
-    names = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.[lL][aA][sS]")
-        .load(path)
-        .select(F.col("_metadata.file_path").alias("file"))
-    )
-    parts = names.join(starts, "file", "left").join(ends, "file", "left").join(headers, "file", "left").select(
-        "file", "start", "end",
+    if names is None:
+        names = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.[lL][aA][sS]")
+            .load(path)
+            .select(F.col("_metadata.file_path").alias("file"))
+        )
+    return _declared(names.join(starts, "file", "left").join(ends, "file", "left").join(headers, "file", "left"))
+
+
+def _declared(headers: DataFrame) -> DataFrame:
+    """What the sections ``_s`` before the data declare; other columns stay."""
+    kept = [c for c in headers.columns if c != "_s"]
+    parts = headers.select(
+        *kept,
         _section(F.col("_s"), "V").alias("v"),
         _section(F.col("_s"), "W").alias("w"),
         _section(F.col("_s"), "C").alias("c"),
@@ -212,7 +231,7 @@ def las_files(spark: SparkSession, path: str | list[str], lines: DataFrame | Non
         curve_lines, lambda line: F.upper(strip(F.regexp_extract(line, r"^([^.]*)\.", 1)))
     )
     return parts.select(
-        "file", "start", "end",
+        *kept,
         F.coalesce(F.when(named != "", named), stem).alias("well"),
         declared.try_cast("double").alias("null_value"),
         curves.alias("curves"),
@@ -252,31 +271,108 @@ def _wrapped_records(data: DataFrame) -> DataFrame:
     )
 
 
-def read_las(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """``(path, well, row, depth, curve, value)`` from a folder of LAS files, and rejected files.
+RECORD = ("path", "well", "null_value", "curves", "line_no", "values")
 
-    The first declared curve is the depth; ``row`` is the number of the line in its file. In a wrapped
-    file a record goes on until it has a value for each curve, and ``row`` is the line where it begins.
-    A line whose number of values differs from the number of curves, or the last record of a wrapped
-    file if values lack, is a reject of its own, with its number.
-    Files are read by lines in splits, so size has no limit, and every file gives rows or a reject. They
-    are opened once for their lines, which go on from a table: headers, data and line numbers need them.
-    """
-    lines = staged(_las_lines(spark, path), scratch_path(spark, "las-lines"))
-    files = las_files(spark, path, lines)
+
+def _records_over_splits(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Records of files read in splits: their lines meet headers and line counts in joins."""
     inside = (F.col("at") > F.col("start")) & (F.col("end").isNull() | (F.col("at") < F.col("end")))
     data = (
         lines.join(files.where("error is null"), "file")
         .where(inside)
         .withColumn("line", strip(F.col("line")))
-        .where(~F.col("line").rlike(r"^(#|$)"))
+        .where(~F.col("line").rlike(NO_DATA))
         .withColumn("values", F.split("line", r"\s+"))
     )
     data = line_numbers(data, lines).withColumn("path", F.col("file"))
-    columns = ["path", "well", "null_value", "curves", "line_no", "values"]
-    data = data.where(~F.col("wrapped")).select(*columns).unionByName(
-        _wrapped_records(data.where("wrapped")).select(*columns)
+    return data.where(~F.col("wrapped")).select(*RECORD).unionByName(
+        _wrapped_records(data.where("wrapped")).select(*RECORD)
+    )
+
+
+def _whole_files(whole: DataFrame) -> DataFrame:
+    """As `las_files`, from rows that hold all lines of a file, which stay; ``start`` and ``end`` are indices."""
+    lines = F.col("lines")
+    marks = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).startswith("~"))
+    data = F.filter("_marks", lambda i: F.upper(F.substring(F.get(lines, i), 2, 1)) == "A")
+    later = F.filter("_marks", lambda i: i > F.col("start"))
+    head = F.split(F.array_join(F.slice(lines, F.lit(1), F.col("start")), "\n"), r"(?m)^~")
+    return _declared(
+        whole.select("file", "lines", marks.alias("_marks"))
+        .withColumn("start", F.get(data, F.lit(0)))
+        .select("file", "lines", "start", F.get(later, F.lit(0)).alias("end"), F.when(F.col("start").isNotNull(), head).alias("_s"))
+    )
+
+
+def _records_in_rows(files: DataFrame) -> DataFrame:
+    """Records of files whose lines are in one row. A wrapped record has the number of its first value's line."""
+    start, n = F.col("start"), F.size("curves")
+    lines = F.slice("lines", start + 2, F.coalesce("end", F.size("lines")) - start - 1)
+    numbered = F.transform(lines, lambda line, i: F.struct((start + i + 2).cast("bigint").alias("line_no"), strip(line).alias("line")))
+    data = F.transform(
+        F.filter(numbered, lambda x: ~x["line"].rlike(NO_DATA)),
+        lambda x: F.struct(x["line_no"].alias("line_no"), F.split(x["line"], r"\s+").alias("values")),
     )
+    each = F.flatten(F.transform("_data", lambda x: F.transform(x["values"], lambda v: F.struct(x["line_no"].alias("line_no"), v.alias("text")))))
+
+    def records(values: Column) -> Column:
+        starts = F.when(F.size(values) > 0, F.sequence(F.lit(1), F.size(values), n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(
+            starts,
+            lambda i: F.struct(
+                F.get(values, i - 1)["line_no"].alias("line_no"),
+                F.transform(F.slice(values, i, n), lambda v: v["text"]).alias("values"),
+            ),
+        )
+
+    return (
+        files.where("error is null")
+        .withColumn("_data", data)
+        .select(
+            F.col("file").alias("path"), "well", "null_value", "curves",
+            F.explode(F.when(F.col("wrapped"), once(each, records)).otherwise(F.col("_data"))).alias("_r"),
+        )
+        .select("path", "well", "null_value", "curves", "_r.line_no", "_r.values")
+    )
+
+
+def _read_folders(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Records and files of LAS files, from a table of their lines.
+
+    In mounted folders tasks find and read the files: a file up to `PIECE_BYTES` is one row, its header
+    and records come from that row; longer files go on in pieces. Elsewhere Spark's reader gives the lines.
+    """
+    folders = _mounted_folders(spark, path)
+    if folders is None:
+        lines = staged(_las_lines(spark, path), scratch_path(spark, "las-lines"))
+        files = las_files(spark, path, lines)
+        return _records_over_splits(lines, files), files.select("file", "error")
+    size = min(PIECE_BYTES, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    names = files_below(spark, folders).where(F.lower(F.substring("path", -4, 4)) == ".las")
+    read = staged(pieces(names, size), scratch_path(spark, "las-lines"))
+    files = _whole_files(read.where("whole"))
+    records, checked = _records_in_rows(files), files.select("file", "error")
+    long_names = names.where(F.col("length") > size).select("file")
+    if not long_names.isEmpty():
+        lines = read.where("not whole").select("file", "block", F.posexplode("lines").alias("row", "line"))
+        lines = lines.withColumn("at", F.struct("block", "row"))
+        files = las_files(spark, path, lines, long_names)
+        records = records.unionByName(_records_over_splits(lines, files))
+        checked = checked.unionByName(files.select("file", "error"))
+    return records, checked
+
+
+def read_las(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """``(path, well, row, depth, curve, value)`` from a folder of LAS files, and rejected files.
+
+    The first declared curve is the depth; ``row`` is the number of the line in its file. In a wrapped
+    file a record goes on until it has a value for each curve, and ``row`` is the line where it begins.
+    A line whose number of values differs from the number of curves, or the last record of a wrapped
+    file if values lack, is a reject of its own, with its number.
+    Files are read by lines in splits, so size has no limit, and every file gives rows or a reject. They
+    are opened once for their lines, which go on from a table: headers, data and line numbers need them.
+    """
+    data, files = _read_folders(spark, path)
     fits = F.size("values") == F.size("curves")
     bad_lines = data.where(~fits).select(
         "path", F.concat(F.lit("wrong number of values in line "), F.col("line_no")).alias("error")

@@ -4,8 +4,10 @@ import json
 from urllib.parse import unquote
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
+from stratalog.bindings import files
 from stratalog.config import MixConfig, SkewConfig, TokenConfig
 from stratalog.functions import messages as M
 from stratalog.plans import corpus as plan
@@ -295,3 +297,73 @@ def test_read_las_opens_files_once_for_their_lines(spark, tmp_path):
     plan = long._jdf.queryExecution().toString()
     assert "FileScan parquet" in plan and "FileScan text" not in plan
     assert sorted((r["well"], r["row"], r["depth"], r["value"]) for r in long.collect()) == [("A", 9, 1.0, 2.0), ("A", 10, 3.0, 4.0)]
+
+
+HEAD = "~V\n WRAP. NO : w\n~W\n NULL. -1.5 :\n WELL. {} : name\n~C\n DEPT.M : d\n GR.API : g\n NPHI.V/V : n\n"
+
+
+def odd_folder(root):
+    """Names, line ends, bytes and sections as they come; some files that Spark's readers pass over."""
+    head = HEAD.format
+    wrap = HEAD.replace("WRAP. NO", "WRAP. YES").format
+    data = "".join(f" {i}.0  {i}.5\t-1.5\n" if i % 7 else f"\n# no. {i}\n  {i} 2\n" for i in range(60))
+    texts = {
+        "a b%20é .las": HEAD.replace(" WELL. {} : name\n", "") + "~A\n" + data,
+        "sub/_x=1/b.LAS": head("b").replace("\n", "\r\n") + "~a x\r\n" + data.replace("\n", "\r\n"),
+        "sub/cr.lAs": (head("cr") + "~A\n" + data).replace("\n", "\r"),
+        "sub/twice.las": head("twice") + "~A\n1 2 3\n~P\n x. 1 : y\n~A\n4 5 6\n",
+        "wrapped.las": wrap("wr") + "~A\n1\n2 3\n\n4 5\n# x\n6 7\n8\n9 10\n",
+        "wrapped-none.las": wrap("none") + "~A\n\n# x\n",
+        "wrapped-long.las": wrap("long") + "~A\n" + "".join(f"{i}\n{i}.25  {i}.5\n" for i in range(80)),
+        "first.las": "~A\n1 2 3\n", "empty.las": "", "no.las": "no sections\n~C\n DEPT.M : d", "none.las": "~C\n# x\n~A\n1\n",
+        "long.las": head("long line") + "# " + "x" * 500 + "\n~A\n" + "1 2 " + " " * 400 + "3\n4 5 6",
+        "_hidden/c.las": head("c") + "~A\n1 2 3\n", ".h/d.las": head("d") + "~A\n1 2 3\n", "_y.las": "", ".z.las": "", "x._COPYING_": "",
+        "x.txt": "x", "sub/t=.csv": "", "sub/#?[1]{2}.las": head("marks") + "~A\n1 2 3\n",
+    }
+    for name, text in texts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(text.encode())
+    (root / "latin.las").write_bytes((head("25° é") + "~A\n1 2 3\n7 \xb0 9\n").encode("latin-1"))
+    (root / "mark.las").write_bytes(b"\xef\xbb\xbf" + (head("mark") + "~A\n1 2 3\n").encode())
+    (root / "gone.las").symlink_to(root / "nowhere")
+    (root / "link.las").symlink_to(root / "first.las")
+    (root / "linked").symlink_to(root / "sub")
+
+
+def without_sparks_listing(monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("the driver would hold the names of all files")
+
+    for name in ("load", "text"):
+        monkeypatch.setattr(DataFrameReader, name, refuse)
+
+
+def test_las_files_of_mounted_folders_are_read_by_tasks(spark, tmp_path, values, monkeypatch):
+    """Rows, line numbers and rejects are those of Spark's text reader, for files in one row and in pieces."""
+    odd_folder(tmp_path)
+
+    def read():
+        long, rejects = log_files.read_las(spark, str(tmp_path))
+        return values(long, "path", "well", "row", "depth", "curve", "value"), values(rejects, "path", "error")
+
+    with monkeypatch.context() as m:
+        m.setattr(log_files, "_local_folder", lambda *_: None)
+        want = read()
+    without_sparks_listing(monkeypatch)
+    for size in (log_files.PIECE_BYTES, 300, 47):
+        monkeypatch.setattr(log_files, "PIECE_BYTES", size)
+        assert read() == want
+    wells = {r[1] for r in want[0]}
+    assert {"b", "cr", "twice", "wr", "long", "mark", "a%20b%2520é%E2%80%A8"} <= wells and not wells & {"c", "d", "none"}
+
+
+def test_queries_list_no_file_on_the_driver(spark, tmp_path, values, monkeypatch):
+    """Thirty suppliers: as many LAS files, none of which Spark's listing holds."""
+    spark.range(300).select(
+        (F.col("id") % 90).alias("l_orderkey"), (F.col("id") % 30).alias("l_suppkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        F.col("id").cast("double").alias("l_quantity"), (F.col("id") / 1000).alias("l_discount"),
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(1).write.parquet(str(tmp_path / "nation.parquet"))
+    without_sparks_listing(monkeypatch)
+    rows = values(files.ingest_las(spark, str(tmp_path)), "well", "depth", "curve", "value")
+    assert len(rows) == 600 and rows == values(files.ingest_las_wrapped(spark, str(tmp_path)), "well", "depth", "curve", "value")
