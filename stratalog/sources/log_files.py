@@ -47,9 +47,16 @@ def upload_errors(
 def listing(
     spark: SparkSession, path: str | list[str], max_bytes: int = MAX_UPLOAD_BYTES
 ) -> DataFrame:
-    """``(path, file, length, kind, error)`` per file; contents are not read."""
+    """``(path, file, length, kind, error)`` per file; contents are not read.
+
+    Mounted folders are listed by tasks; elsewhere Spark's reader holds the names on the driver.
+    """
     file = F.regexp_replace("path", r"^.*/", "")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    folders = _mounted_folders(spark, path)
+    if folders is None:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    else:
+        files = files_below(spark, folders).withColumn("path", F.concat(F.lit("file:"), "path"))
     return files.select(
         "path",
         file.alias("file"),

@@ -338,6 +338,19 @@ def without_sparks_listing(monkeypatch):
         monkeypatch.setattr(DataFrameReader, name, refuse)
 
 
+def test_mounted_folders_are_listed_by_tasks(spark, tmp_path, values, monkeypatch):
+    odd_folder(tmp_path)
+    columns = ("path", "file", "length", "kind", "error")
+    paths = [str(tmp_path), f"{tmp_path}//sub/", [str(tmp_path / "sub"), str(tmp_path)]]
+    with monkeypatch.context() as m:
+        m.setattr(log_files, "_local_folder", lambda *_: None)
+        want = [values(log_files.listing(spark, p, 300), *columns) for p in paths]
+    without_sparks_listing(monkeypatch)
+    for p, w in zip(paths, want, strict=True):
+        assert values(log_files.listing(spark, p, 300), *columns) == w
+    assert len(want[0]) == 20
+
+
 def test_las_files_of_mounted_folders_are_read_by_tasks(spark, tmp_path, values, monkeypatch):
     """Rows, line numbers and rejects are those of Spark's text reader, for files in one row and in pieces."""
     odd_folder(tmp_path)
@@ -365,5 +378,6 @@ def test_queries_list_no_file_on_the_driver(spark, tmp_path, values, monkeypatch
     ).write.parquet(str(tmp_path / "lineitem.parquet"))
     spark.range(1).write.parquet(str(tmp_path / "nation.parquet"))
     without_sparks_listing(monkeypatch)
+    assert values(files.upload_listing(spark, str(tmp_path)), "kind", "error", "n") == [("las", None, 30), ("parquet", "unsupported type", 1)]
     rows = values(files.ingest_las(spark, str(tmp_path)), "well", "depth", "curve", "value")
     assert len(rows) == 600 and rows == values(files.ingest_las_wrapped(spark, str(tmp_path)), "well", "depth", "curve", "value")
