@@ -379,5 +379,6 @@ def test_queries_list_no_file_on_the_driver(spark, tmp_path, values, monkeypatch
     spark.range(1).write.parquet(str(tmp_path / "nation.parquet"))
     without_sparks_listing(monkeypatch)
     assert values(files.upload_listing(spark, str(tmp_path)), "kind", "error", "n") == [("las", None, 30), ("parquet", "unsupported type", 1)]
+    assert [(r["too_large"], r["n"]) for r in files.upload_size_cap(spark, str(tmp_path)).collect()] == [(False, 30)]
     rows = values(files.ingest_las(spark, str(tmp_path)), "well", "depth", "curve", "value")
     assert len(rows) == 600 and rows == values(files.ingest_las_wrapped(spark, str(tmp_path)), "well", "depth", "curve", "value")
