@@ -22,7 +22,7 @@ from stratalog.sources.chat_files import staged
 ENTRY = pa.schema([("path", pa.string()), ("file", pa.string()), ("length", pa.int64()), ("folder", pa.bool_())])
 PIECE = pa.schema([("file", pa.string()), ("block", pa.int64()), ("whole", pa.bool_()), ("lines", pa.list_(pa.binary()))])
 #: a file up to this size is one row with all its lines
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 BATCH_ROWS, BATCH_BYTES = 4_096, 4 << 20
 #: what a file URI, as in Spark's ``_metadata.file_path``, has as it is: some ASCII, and letters and marks beyond
 PLAIN = re.compile(r"[A-Za-z0-9_\-!.~'()*,;:$&+=@/]*")

@@ -17,7 +17,7 @@ from stratalog.config import MAX_UPLOAD_BYTES, NULL_SENTINELS, UPLOAD_EXTENSIONS
 from stratalog.functions.text import once, strip
 from stratalog.operators.wells import strip_sentinels
 from stratalog.session import scratch_path
-from stratalog.sources.chat_files import staged
+from stratalog.sources.chat_files import read_table, staged
 from stratalog.sources.folders import PIECE_BYTES, files_below, pieces
 from stratalog.sources.lines import line_numbers, placed_lines
 
@@ -356,7 +356,11 @@ def _read_folders(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame
         return _records_over_splits(lines, files), files.select("file", "error")
     size = min(PIECE_BYTES, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     names = files_below(spark, folders).where(F.lower(F.substring("path", -4, 4)) == ".las")
-    read = staged(pieces(names, size), scratch_path(spark, "las-lines"))
+    table = scratch_path(spark, "las-lines")
+    # rows may have a megabyte: readers take a row group at once, so these stay small
+    groups = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "8"}
+    pieces(names, size).write.options(**groups).parquet(table)
+    read = read_table(spark, table)
     files = _whole_files(read.where("whole"))
     records, checked = _records_in_rows(files), files.select("file", "error")
     long_names = names.where(F.col("length") > size).select("file")
